@@ -1,4 +1,12 @@
 """All queries of the library's own operators by name, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from importlib import import_module
+
+from .plans.base import ORACLE_SQL, QUERIES
+
+for _name in ("standard",):
+    import_module(f"obskit.plans.{_name}")
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
