@@ -148,7 +148,8 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     probe = keyed.select(F.col("f").alias("u"), F.explode("probe").alias("k"))
     index = keyed.select(F.col("f").alias("v"), F.explode("index").alias("k"))
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= bits)
-    return probe.alias("p").join(index.alias("i"), (F.col("p.k") == F.col("i.k")) & near).select("u", "v").distinct()
+    # Sizes are estimated before the keys are exploded, so a broadcast would not be bounded: both sides are shuffled.
+    return probe.alias("p").join(index.alias("i").hint("merge"), (F.col("p.k") == F.col("i.k")) & near).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
