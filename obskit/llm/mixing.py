@@ -84,37 +84,46 @@ def soft_members(docs: DataFrame, model: DomainModel, keep: list[str] | None = N
     return rows.mapInArrow(each, f"{row_type(rows)}, n_tokens bigint, posterior array<double>")
 
 
-def fit_rates(members: DataFrame, targets: list[float], tolerance: float = 1e-6, most: int = 40) -> tuple[Column, np.ndarray]:
+def fit_rates(members: DataFrame, targets: list[float], tolerance: float = 1e-5, most: int = 30) -> tuple[Column, np.ndarray]:
     """The rate of each row as a column over ``members``, and the expected tokens of each domain at these rates.
 
-    ``targets`` are shares; together they stand for the tokens that ``members`` has at rate 1.
+    ``targets`` are shares; together they stand for the tokens that ``members`` has at rate 1. A step that brings the
+    totals no nearer is halved; a domain with next to no members can't drive the others, as its step is damped.
     """
     k = len(targets)
     p = [F.col("posterior")[i] for i in range(k)]
-    rate: Column = F.lit(1.0)
     share = np.array(targets, dtype=np.float64) / sum(targets)
-    goal, best = None, None
-    for _ in range(most):
+
+    def totals(rate: Column) -> tuple[np.ndarray, np.ndarray, float]:
         mass = rate * F.col("n_tokens")
         free = F.when(rate > 0, F.col("n_tokens")).otherwise(0)
         sums = members.agg(*[F.sum(mass * p[i]) for i in range(k)], *[F.sum(free * p[i] * p[j]) for i in range(k) for j in range(k)], F.sum("n_tokens")).first()
-        if not sums[-1]:
-            return F.lit(1.0), np.zeros(k)
-        have, gram = np.array(sums[:k], dtype=np.float64), np.array(sums[k:-1], dtype=np.float64).reshape(k, k)
-        goal = share * float(sums[-1])
-        miss = np.linalg.norm(goal - have) / np.linalg.norm(goal)
-        if best is None or miss < best[0] * (1 - 1e-9):
-            best = (miss, rate, have)
-        else:
-            break
-        if miss < tolerance:
+        return np.array([x or 0 for x in sums[:k]], dtype=np.float64), np.array([x or 0 for x in sums[k:-1]], dtype=np.float64).reshape(k, k), float(sums[-1] or 0)
+
+    rate: Column = F.lit(1.0)
+    have, gram, tokens = totals(rate)
+    if not tokens:
+        return rate, np.zeros(k)
+    goal = share * tokens
+    miss, scale = np.linalg.norm(goal - have), 1.0
+    for _ in range(most):
+        if miss < tolerance * tokens or scale < 1 / 64:
             break
-        step = np.linalg.solve(gram + 1e-9 * (np.trace(gram) + 1) * np.eye(k), goal - have)
+        step = scale * np.linalg.solve(gram + 1e-3 * np.trace(gram) / k * np.eye(k), goal - have)
         moved = rate
         for i in range(k):
             moved = moved + F.lit(float(step[i])) * p[i]
-        rate = F.greatest(F.lit(0.0), moved)
-    return best[1], best[2]
+        moved = F.greatest(F.lit(0.0), moved)
+        there, curve, _ = totals(moved)
+        now = np.linalg.norm(goal - there)
+        if now < miss:
+            small = now > 0.999 * miss
+            rate, have, gram, miss, scale = moved, there, curve, now, min(1.0, 2 * scale)
+            if small:
+                break
+        else:
+            scale /= 2
+    return rate, have
 
 
 def copies_of(rate: Column, key: Column, seed: int) -> Column:
