@@ -145,6 +145,6 @@ def a52(t):
     return r(P.threshold_exceedance(t.obs, [200000.0, 450000.0]), 4, "median").withColumnRenamed("above_2e+05", "above_200000").withColumnRenamed("above_4.5e+05", "above_450000")
 
 
-@query("a53_enriched_bins", LP.format(w="") + "select cast(floor(site_lon / 20) as bigint) as bx, cast(floor(site_lat / 20) as bigint) as "by", count(*) as n, round(median(lr), 6) as median_log2 from l2 group by 1, 2 having count(*) >= 5 order by median(lr) desc, 1, 2 limit 8")
+@query("a53_enriched_bins", LP.format(w="") + "select cast(floor(site_lon / 20) as bigint) as bx, cast(floor(site_lat / 20) as bigint) as \"by\", count(*) as n, round(median(lr), 6) as median_log2 from l2 group by 1, 2 having count(*) >= 5 order by median(lr) desc, 1, 2 limit 8")
 def a53(t):
     return r(P.enriched_bins(_layers(t), 20.0), 6, "median_log2")
