@@ -101,13 +101,35 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][text]), pa.array(h), pa.array(spot, pa.int64())], names=["rid", "hash", "spot"])
 
 
+_PLACE = pa.struct([("rid", pa.int64()), ("spot", pa.int64())])
+_GROUP_SQL = "hash bigint, rid bigint, spot bigint, others array<struct<rid: bigint, spot: bigint>>"
+
+
+def _anchor_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of each block, one row for each hash: its first place, and the others (null: none) as a list."""
+    for b in _anchor_rows(batches):
+        rid, h, spot = (b.column(c).to_numpy() for c in ("rid", "hash", "spot"))
+        _, lead, member = np.unique(h, return_index=True, return_inverse=True)
+        group = lead[member]  # in the order of first places, so that neighbours stay together and compress
+        order = np.argsort(group, kind="stable")
+        h, rid, spot, group = h[order], rid[order], spot[order], group[order]
+        head = np.concatenate([[True], group[1:] != group[:-1]])
+        first = np.flatnonzero(head)
+        more = np.diff([*first, len(h)]) - 1
+        offsets = pa.array(np.concatenate([[0], more.cumsum()]), pa.int32(), mask=np.concatenate([more == 0, [False]]))
+        places = pa.StructArray.from_arrays([pa.array(rid[~head]), pa.array(spot[~head])], fields=list(_PLACE))
+        columns = [pa.array(h[first]), pa.array(rid[first]), pa.array(spot[first]), pa.ListArray.from_arrays(offsets, places)]
+        yield pa.RecordBatch.from_arrays(columns, names=["hash", "rid", "spot", "others"])
+
+
 _STRETCH = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("stretch", pa.binary())])
 _STRETCH_SQL = "hash bigint, doc_id bigint, rid bigint, start bigint, n int, stretch binary"
 LEAST_ID = -(1 << 63)
 
 
 def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stretch of every repeated anchor. Equal ones of a block: the first one, and the others without their text."""
+    """The stretch of every repeated anchor. Of equal ones of a block, the first; the others are known to repeat, so
+    each run of them is one row without text, under its row's number in place of a hash."""
     for b in batches:
         raw = b.column("text").cast(pa.binary())
         for lo, hi in chunks(pa.compute.binary_length(raw).to_pylist(), 4_000_000, 2048):
@@ -128,8 +150,11 @@ def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     else:
                         old[5], first[cut] = None, row
                     rows.append(row)
-            for at in range(0, len(rows), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 20_000]), _STRETCH.types)], schema=_STRETCH)
+            again = np.array([(r[2], r[3], r[3] + r[4] - 1) for r in rows if r[5] is None], dtype=np.int64).reshape(-1, 3)
+            out = [r for r in rows if r[5] is not None]
+            out += [[rid, LEAST_ID, rid, start, last - start + 1, None] for rid, start, last in zip(*(x.tolist() for x in _runs(*again.T)))]
+            for at in range(0, len(out), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 20_000]), _STRETCH.types)], schema=_STRETCH)
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,21 +273,21 @@ class Shard:
                     else:
                         self.repeated[a] = True
 
-    def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """(rid, start) of the repeated windows."""
-        return self.rids[self.repeated], self.starts[self.repeated]
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rid, first, last) of the runs of repeated windows."""
+        starts = self.starts[self.repeated]
+        return _runs(self.rids[self.repeated], starts, starts)
 
 
-def _ranges(rid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring starts: (rid, first, last)."""
+def _runs(rid: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of starts that don't overlap, neighbours joined: (rid, first, last)."""
     if not len(rid):
-        return rid, start, start
-    order = np.lexsort((start, rid))
-    rid, start = rid[order], start[order]
-    new = np.concatenate([[True], (rid[1:] != rid[:-1]) | (start[1:] > start[:-1] + 1)])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(rid)]]).astype(np.int64) - 1
-    return rid[first], start[first], start[last]
+        return rid, first, last
+    order = np.lexsort((first, rid))
+    rid, first, last = rid[order], first[order], last[order]
+    new = np.concatenate([[True], (rid[1:] != rid[:-1]) | (first[1:] > last[:-1] + 1)])
+    head = np.flatnonzero(new)
+    return rid[head], first[head], last[np.concatenate([head[1:], [len(rid)]]).astype(np.int64) - 1]
 
 
 def _repeat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +309,7 @@ def _repeat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush_shard() -> Iterator[pa.RecordBatch]:
         nonlocal shard, held
         if shard:
-            yield out(*_ranges(*Shard(shard).marks()))
+            yield out(*Shard(shard).marks())
         shard, held = [], 0
 
     def add_part() -> None:
@@ -302,7 +327,7 @@ def _repeat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if group:
                 add_part()
             for p in parts:
-                yield out(*_ranges(*p.marks()))
+                yield out(*p.marks())
             parts = []
         elif len(group) > 1:
             shard += lay()
@@ -364,8 +389,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans array<struct<start, end>> (the maximal removed runs) and kept binary, of every row."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("rid")).repartition(n, "rid")
-    found = rows.select("rid", "text", "doc_id").mapInArrow(_anchor_rows, "rid bigint, hash bigint, spot bigint")
-    repeated = found.withColumn("_n", F.count("*").over(Window.partitionBy("hash"))).filter("_n > 1")
+    found = rows.select("rid", "text", "doc_id").mapInArrow(_anchor_groups, _GROUP_SQL)
+    places = F.when(F.col("others").isNull(), 1).otherwise(F.size("others") + 1)
+    counted = found.withColumn("_n", F.sum(places).over(Window.partitionBy("hash"))).filter("_n > 1")
+    place = F.struct("rid", "spot")
+    repeated = counted.select("hash", F.inline(F.when(F.col("others").isNull(), F.array(place)).otherwise(F.concat(F.array(place), "others"))))
     by_doc = repeated.groupBy("rid").agg(F.collect_list(F.struct("hash", "spot")).alias("a"))
     wanted = rows.join(by_doc.hint("shuffle_hash"), "rid").select("rid", "doc_id", "text", F.col("a.hash").alias("hashes"), F.col("a.spot").alias("spots"))
     stretches = wanted.mapInArrow(_stretch_rows, _STRETCH_SQL).repartition(n, "hash").sortWithinPartitions("hash")
