@@ -58,3 +58,18 @@ def rows_with_text(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def row_type(rows: DataFrame) -> str:
     return f"row {rows.schema['row'].dataType.simpleString()}"
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, parts: int = 1000) -> DataFrame:
+    """``rows`` joined with ``groups`` (one row for each ``key``, with its number of rows in ``size``) on ``key``.
+
+    Keys that hold over a ``parts``-th of the rows are fewer than ``parts``, however large the input: these groups
+    are broadcast, so that their rows stay spread over tasks. All other rows meet their group in a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) > total / parts
+    often = [r[key] for r in groups.filter(hot).select(key).limit(parts).collect()]
+    if not often:
+        return rows.join(groups.hint("merge"), key)
+    is_hot = F.col(key).isin(often)
+    return rows.filter(~is_hot).join(groups.filter(~hot).hint("merge"), key).unionByName(rows.filter(is_hot).join(F.broadcast(groups.filter(hot)), key))

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, durable
+from .common import ascii_lower, durable, join_groups
 
 
 def text_digest(text: Column) -> Column:
@@ -64,9 +64,9 @@ def dedup_exact(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """doc_id, digest, keep_id, group_size, kept for every row of ``docs`` (doc_id, text), through ``index``."""
     index = index or DigestIndex.fresh(docs.sparkSession)
     digests = index_documents(docs, index)
-    groups = digests.groupBy("digest").agg(F.count("*").alias("group_size")).join(index.read().hint("merge"), "digest")
+    groups = durable(digests.groupBy("digest").agg(F.count("*").alias("group_size")).join(index.read().hint("merge"), "digest"))
     once = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("digest")) == 1
-    joined = digests.join(groups, "digest")
+    joined = join_groups(digests, groups, "digest", "group_size")
     return joined.select("doc_id", "digest", "keep_id", "group_size", (once & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"))
 
 
