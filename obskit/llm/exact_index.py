@@ -74,7 +74,9 @@ def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one of each text, the one whose id the index holds."""
     index = index or DigestIndex.fresh(docs.sparkSession)
     index_documents(docs, index)
-    once = F.row_number().over(Window.partitionBy("digest").orderBy("digest"))
+    once = F.row_number().over(Window.partitionBy("digest", "keep_id").orderBy("digest"))
     rows = docs.select(F.struct("*").alias("row"), text_digest(F.col("text")).alias("digest"))
-    mine = rows.join(index.read().hint("merge"), "digest").filter(F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
+    # The id is a join key too, so the copies of one text are dealt to many tasks.
+    kept = index.read().hint("merge")
+    mine = rows.join(kept, (rows["digest"] == kept["digest"]) & F.col("row.doc_id").eqNullSafe(F.col("keep_id"))).select("row", kept["digest"], "keep_id")
     return mine.withColumn("n", once).filter("n = 1").select("row.*")
