@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, row_type, rows_with_text
+from .common import durable, join_groups, row_type, rows_with_text
 from .components import components
 
 MAX_BITS = 3
@@ -155,12 +155,12 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint bigint, component_id: the smallest id reachable over links of up to ``bits`` bits."""
     marked = durable(fingerprints(docs, ["doc_id"]).select("row.doc_id", "fingerprint"))
-    nodes = durable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    nodes = durable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_rows")))
     roots = durable(components(links(nodes, bits))).withColumnRenamed("node", "fingerprint")
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    classes = durable(rooted.join(least, "root").select("fingerprint", "component_id", "n_rows"))
+    return join_groups(marked, classes, "fingerprint", "n_rows").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
@@ -168,6 +168,8 @@ def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     found = near_duplicates(docs, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     least = F.min(F.struct("doc_id", "fingerprint"))
     keepers = found.groupBy("component_id").agg(least.alias("k")).select(F.col("k.fingerprint").alias("fingerprint"), F.col("k.doc_id").alias("keep_id"))
-    once = F.row_number().over(Window.partitionBy("fingerprint").orderBy("fingerprint"))
-    mine = fingerprints(docs).join(keepers.hint("merge"), "fingerprint").filter(F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
+    once = F.row_number().over(Window.partitionBy("print", "keep_id").orderBy("print"))
+    # The id is a join key too, so the copies of one text are dealt to many tasks.
+    rows, kept = fingerprints(docs), keepers.withColumnRenamed("fingerprint", "print").hint("merge")
+    mine = rows.join(kept, (F.col("fingerprint") == F.col("print")) & F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
     return mine.withColumn("n", once).filter("n = 1").select("row.*")
