@@ -454,3 +454,15 @@ def test_long_text_goes_piece_by_piece(monkeypatch):
     want = {i: v[0][1] for i, v in brute_cut(texts).items()}
     for i, v in in_process(texts).items():
         assert len({p for m in v for p in range(m["first"], m["last"] + 100)}) == want[i]
+
+
+def test_hot_groups_join_like_the_others(spark):
+    from obskit.llm.common import join_groups
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "i int, k string")
+    groups = rows.groupBy("k").count().withColumnRenamed("count", "n")
+    want = {(r.i, r.k, r.n) for r in rows.join(groups, "k").collect()}
+    for parts in (1, 3, 1000):  # no group is frequent, one is, all are
+        got = join_groups(rows, groups, "k", "n", parts).select("i", "k", "n").collect()
+        assert len(got) == 60 and {tuple(r) for r in got} == want
+    assert join_groups(rows.limit(0), groups.limit(0), "k", "n").count() == 0
