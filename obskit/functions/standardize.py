@@ -48,33 +48,40 @@ def source_qualifier(row: Mapping[str, Column]) -> Column:
 def parse_measurement(df: DataFrame) -> DataFrame:
     """Add number, qualifier, limits, missing_reason and value_flags, from the value text and its companions."""
     c = {n: F.col(n) for n in ("value", "value_qualifier", "source_qualifier_raw", "detection_limit", "quantitation_limit", "missing_reason")}
+    # One step reads what the step before computed, so no text is matched or looked up twice.
     df = df.withColumns(
         {
-            "_plain": F.replace(blank_to_null(c["value"]), F.lit(","), F.lit("")),
-            "_said": F.coalesce(blank_to_null(c["value_qualifier"]), source_qualifier(c)),
-            "_given": blank_to_null(c["missing_reason"]),
+            "_plain": F.replace(blank_to_null(c["value"]), F.lit(","), F.lit("")), "_said": F.coalesce(blank_to_null(c["value_qualifier"]), source_qualifier(c)),
+            "_given": blank_to_null(c["missing_reason"]), "_dl": number(c["detection_limit"]), "_ql": number(c["quantitation_limit"]),
         }
-    )
+    )
     plain, said, given = F.col("_plain"), F.col("_said"), F.col("_given")
-    reason_word = lookup(F.lower(plain), V.MISSING_REASONS)
-    is_number = reason_word.isNull() & plain.rlike(PREFIXED)
-    found = F.when(is_number, F.regexp_extract(plain, PREFIXED, 2).try_cast("double"))
-    word = lookup(F.lower(plain), V.QUALIFIERS)
-    from_text = F.when(reason_word.isNotNull(), "unknown").when(is_number, F.coalesce(lookup(F.regexp_extract(plain, PREFIXED, 1), V.QUALIFIERS), F.lit("reported"))).otherwise(F.coalesce(word, F.lit("unknown")))
-    qualifier = F.when(said.isNotNull(), F.coalesce(lookup(F.lower(said), V.QUALIFIERS), F.lit("unknown"))).otherwise(F.when(plain.isNotNull(), from_text).otherwise("unknown"))
-    known = F.when(given.isNotNull(), F.coalesce(lookup(F.lower(given), V.MISSING_REASONS), F.lit("unknown")))
+    df = df.withColumns(
+        {
+            "_sign": F.regexp_extract(plain, PREFIXED, 1), "_digits": F.regexp_extract(plain, PREFIXED, 2), "_reason_word": lookup(F.lower(plain), V.MISSING_REASONS),
+            "_word": lookup(F.lower(plain), V.QUALIFIERS), "_said_word": lookup(F.lower(said), V.QUALIFIERS), "_given_word": lookup(F.lower(given), V.MISSING_REASONS),
+        }
+    )
+    reason_word, word = F.col("_reason_word"), F.col("_word")
+    is_number = reason_word.isNull() & (F.col("_digits") != "")
     invalid = plain.isNotNull() & reason_word.isNull() & ~is_number & word.isNull()
-    reason = F.coalesce(known, reason_word, F.when(invalid, "invalid_value"), F.when(plain.isNull(), "not_reported"))
-    df = df.withColumns({"number": found, "qualifier": qualifier, "_reason": reason})
-    limit = {n: number(F.col(n)) for n in ("detection_limit", "quantitation_limit")}
-    bad = {n: blank_to_null(F.col(n)).isNotNull() & (limit[n].isNull() | (limit[n] < 0)) for n in limit}
-    good = {n: F.when(~bad[n], limit[n]) for n in limit}
+    from_text = F.when(is_number, F.coalesce(lookup(F.col("_sign"), V.QUALIFIERS), F.lit("reported"))).when(reason_word.isNull(), word)
+    known = F.when(given.isNotNull(), F.coalesce("_given_word", F.lit("unknown")))
+    df = df.withColumns(
+        {
+            "number": F.when(is_number, F.col("_digits").try_cast("double")), "qualifier": F.coalesce(F.when(said.isNotNull(), F.coalesce("_said_word", F.lit("unknown"))), from_text, F.lit("unknown")),
+            "_invalid": invalid, "_reason": F.coalesce(known, reason_word, F.when(invalid, "invalid_value"), F.when(plain.isNull(), "not_reported")),
+        }
+    )
+    limit = {"detection_limit": F.col("_dl"), "quantitation_limit": F.col("_ql")}
+    bad = {n: blank_to_null(c[n]).isNotNull() & (limit[n].isNull() | (limit[n] < 0)) for n in limit}
+    good = {n: F.when(limit[n] >= 0, limit[n]) for n in limit}
     num, q = F.col("number"), F.col("qualifier")
     censor = F.when(q.isin("lt", "le", "gt", "ge") & num.isNotNull(), num).when(q == "loq", good["quantitation_limit"]).otherwise(good["detection_limit"])
     rules = (
-        ("INVALID_MISSING_REASON", given.isNotNull() & lookup(F.lower(given), V.MISSING_REASONS).isNull()),
+        ("INVALID_MISSING_REASON", given.isNotNull() & F.col("_given_word").isNull()),
         ("MISSING_VALUE", plain.isNull() | reason_word.isNotNull()),
-        ("INVALID_NUMERIC_VALUE", invalid),
+        ("INVALID_NUMERIC_VALUE", F.col("_invalid")),
         ("INVALID_MISSING_REASON", num.isNotNull() & F.col("_reason").isNotNull()),
         ("INVALID_DETECTION_LIMIT", bad["detection_limit"]),
         ("INVALID_QUANTITATION_LIMIT", bad["quantitation_limit"]),
@@ -89,7 +96,7 @@ def parse_measurement(df: DataFrame) -> DataFrame:
             "missing_reason_value": F.when(num.isNull(), F.col("_reason")), "value_flags": flags(*rules),
         }
     )
-    return out.drop("_plain", "_said", "_given", "_reason")
+    return out.drop("_plain", "_said", "_given", "_dl", "_ql", "_sign", "_digits", "_reason_word", "_word", "_said_word", "_given_word", "_invalid", "_reason")
 
 
 def canonical_unit(c: Column) -> Column:
