@@ -107,6 +107,9 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        # The JVM doesn't compile methods over 8000 bytes: wide rule projections run faster in split methods.
+        if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000:
+            spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
