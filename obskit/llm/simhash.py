@@ -152,22 +152,30 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     return probe.alias("p").join(index.alias("i").hint("merge"), (F.col("p.k") == F.col("i.k")) & near).select("u", "v").distinct()
 
 
+def _rooted(marked: DataFrame, bits: int) -> DataFrame:
+    """fingerprint, first_id, n_rows, root: the smallest fingerprint reachable over links, one row for each fingerprint."""
+    nodes = durable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_rows")))
+    roots = durable(components(links(nodes, bits))).withColumnRenamed("node", "fingerprint")
+    return nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint bigint, component_id: the smallest id reachable over links of up to ``bits`` bits."""
     marked = durable(fingerprints(docs, ["doc_id"]).select("row.doc_id", "fingerprint"))
-    nodes = durable(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_rows")))
-    roots = durable(components(links(nodes, bits))).withColumnRenamed("node", "fingerprint")
-    rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = _rooted(marked, bits)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = durable(rooted.join(least, "root").select("fingerprint", "component_id", "n_rows"))
     return join_groups(marked, classes, "fingerprint", "n_rows").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each component: that of the smallest id."""
-    found = near_duplicates(docs, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    least = F.min(F.struct("doc_id", "fingerprint"))
-    keepers = found.groupBy("component_id").agg(least.alias("k")).select(F.col("k.fingerprint").alias("fingerprint"), F.col("k.doc_id").alias("keep_id"))
+    """The rows of ``docs``, all columns, one of each component: that of the smallest id.
+
+    Components are told apart by their root: the smallest id is null in each without ids, and unlike texts may share one.
+    """
+    marked = durable(fingerprints(docs, ["doc_id"]).select("row.doc_id", "fingerprint"))
+    least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "fingerprint"))
+    keepers = _rooted(marked, bits).groupBy("root").agg(least.alias("k")).select(F.col("k.fingerprint").alias("fingerprint"), F.col("k.first_id").alias("keep_id"))
     once = F.row_number().over(Window.partitionBy("print", "keep_id").orderBy("print"))
     # The id is a join key too, so the copies of one text are dealt to many tasks.
     rows, kept = fingerprints(docs), keepers.withColumnRenamed("fingerprint", "print").hint("merge")

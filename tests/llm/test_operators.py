@@ -310,6 +310,26 @@ def test_simhash_query_matches_brute_force(spark, odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_copies_keep_one_of_each_component(spark, odd):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    more = spark.createDataFrame([(None, prose(rng, 60 + i), "a", "b", 1, 0.5, True, "z") for i in range(5)], odd.schema)
+    for docs in (odd, odd.union(more)):
+        rows = [(r.doc_id, brute_print(r.text)) for r in docs.collect()]
+        root = {p: p for _, p in rows}
+        for _ in rows:
+            root = {p: min(root[q] for q in root if (p ^ q).bit_count() <= 3) for p in root}
+        want = []
+        for top in set(root.values()):
+            least = min((i is None, i or 0, p - 2**64 if p >= 2**63 else p) for i, p in rows if root[p] == top)
+            want.append((None if least[0] else least[1], least[2] & (2**64 - 1)))
+        for kept in (simhash.keep_one(docs), corpus_pipeline.drop_near_copies(spark, docs, "")):
+            assert kept.columns == docs.columns
+            assert sorted((str(r.doc_id), brute_print(r.text)) for r in kept.collect()) == sorted((str(i), p) for i, p in want)
+    assert simhash.keep_one(odd.limit(0)).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 60)] + [(300, 299), (5, 5)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
