@@ -92,19 +92,21 @@ def s8(t):
 
 
 def bundles(t):
-    """A bundle for each source, samples of one dataset made its own, with a planted repeated and a dangling key."""
+    """Bundles of bounded size, samples of one dataset made its own, with a planted repeated and a dangling key.
+
+    Each source has one with its dataset, files, events and methods, and a part for each sample and its observations.
+    """
     o = t.obs.dropDuplicates(["record_id"]).withColumn("sid", F.concat_ws("/", "source_id", "sample_id"))
-    s = o.groupBy("source_id", "title", "license", "sid").agg(F.min("medium").alias("medium"))
-    samples = s.groupBy("source_id", "title", "license").agg(
-        F.collect_list(F.struct(F.col("sid").alias("sample_id"), F.when(F.length("sid") % 5 != 0, F.concat(F.lit("e-"), "source_id")).otherwise("e-none").alias("event_id"), "medium")).alias("samples")
-    )
-    obs = o.groupBy("source_id").agg(F.collect_list(F.struct(F.col("record_id").alias("observation_id"), F.col("sid").alias("sample_id"), F.concat(F.col("source_id"), F.lit("/"), "method_family").alias("method_id"), "element", "value")).alias("observations"))
+    files = F.array(F.struct(F.lit("file-1").alias("file_id"), F.lit("h").alias("sha256")))
+    events = F.array(F.struct(F.concat(F.lit("e-"), "source_id").alias("event_id"), F.col("title").alias("place")))
     fam = F.array(*[F.struct(F.concat(F.col("source_id"), F.lit(f"/{m}")).alias("method_id"), F.lit(m).alias("family")) for m in ("icp_ms", "xrf")])
-    b = samples.join(obs, "source_id").select(
-        F.struct(F.col("source_id").alias("dataset_id"), "title", "license").alias("dataset"), F.array(F.struct(F.lit("file-1").alias("file_id"), F.lit("h").alias("sha256"))).alias("files"),
-        F.array(F.struct(F.concat(F.lit("e-"), "source_id").alias("event_id"), F.col("title").alias("place"))).alias("events"), "samples", fam.alias("methods"), "observations",
+    heads = o.select("source_id", "title", "license").distinct().select(F.struct(F.col("source_id").alias("dataset_id"), "title", "license").alias("dataset"), files.alias("files"), events.alias("events"), fam.alias("methods"))
+    observation = F.struct(F.col("record_id").alias("observation_id"), F.col("sid").alias("sample_id"), F.concat(F.col("source_id"), F.lit("/"), "method_family").alias("method_id"), "element", "value")
+    event = F.when(F.length("sid") % 5 != 0, F.concat(F.lit("e-"), "source_id")).otherwise("e-none")
+    parts = o.groupBy("source_id", "sid").agg(F.min("medium").alias("medium"), F.collect_list(observation).alias("observations")).select(
+        F.col("source_id").alias("part_of"), F.array(F.struct(F.col("sid").alias("sample_id"), event.alias("event_id"), "medium")).alias("samples"), "observations",
     )
-    return b.select(F.to_json(F.struct("*")).alias("bundle"))
+    return heads.select(F.to_json(F.struct("*")).alias("bundle")).union(parts.select(F.to_json(F.struct("*")).alias("bundle")))
 
 
 #: The archive's tables in SQL, written down from the same rules.

@@ -149,14 +149,18 @@ def manifest_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 BUNDLE = (
     "dataset struct<dataset_id: string, title: string, license: string>, files array<struct<file_id: string, sha256: string>>, events array<struct<event_id: string, place: string>>, "
     "samples array<struct<sample_id: string, event_id: string, medium: string>>, methods array<struct<method_id: string, family: string>>, "
-    "observations array<struct<observation_id: string, sample_id: string, method_id: string, element: string, value: double>>"
+    "observations array<struct<observation_id: string, sample_id: string, method_id: string, element: string, value: double>>, "
+    "part_of string"
 )
 
 
 def explode_archive_bundle(bundles: DataFrame, column: str = "bundle") -> dict[str, DataFrame]:
-    """The tables of nested JSON bundles, each with its dataset_id: datasets, files, events, samples, methods, observations, provenance."""
-    parsed = bundles.select(F.from_json(column, BUNDLE).alias("b")).select("b.*").withColumn("dataset_id", F.col("dataset.dataset_id"))
-    out = {"datasets": parsed.select("dataset.*")}
+    """The tables of nested JSON bundles, each with its dataset_id: datasets, files, events, samples, methods, observations, provenance.
+
+    A large dataset comes as many bundles: one has the dataset, the others name its id in ``part_of``.
+    """
+    parsed = bundles.select(F.from_json(column, BUNDLE).alias("b")).select("b.*").withColumn("dataset_id", F.coalesce("part_of", "dataset.dataset_id"))
+    out = {"datasets": parsed.filter("part_of is null").select("dataset.*")}
     for name in ("files", "events", "samples", "methods", "observations"):
         out[name] = parsed.select("dataset_id", F.inline(name))
     out["provenance"] = out["observations"].select("observation_id", "dataset_id")
