@@ -30,7 +30,8 @@ def s2(t):
     path = scratch(t)
     lines = t.spark.createDataFrame([("# made",), ("Station\tDepth\tAs",), ("\tm\tug/L",)], "value string").coalesce(1)
     body = t.obs.filter("value is not null").select(F.concat_ws("\t", "sample_id", F.col("depth").cast("string"), F.col("source_row").cast("string")).alias("value"))
-    lines.union(body).coalesce(1).write.text(path)
+    lines.write.text(path)
+    body.write.mode("append").text(path)
     df, units = T.read_units_header_table(t.spark, path, "Station\t")
     return df.withColumn("unit", F.lit(units["As"]))
 

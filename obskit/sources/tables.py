@@ -33,17 +33,19 @@ def read_delimited(spark: SparkSession, path: str, schema_map: Mapping[str, str]
 def read_units_header_table(spark: SparkSession, path: str, header_marker: str) -> tuple[DataFrame, dict[str, str]]:
     """(rows, {column: unit}) of a tab-separated table: preamble, a header line that starts with the marker, units, rows.
 
-    Only the header and the line after it, found by their place in the file, come to the driver.
+    Only the header and the line after it, found by their place in the file, come to the driver. In a folder of many
+    files one has the header; the others, in any order, have rows only.
     """
-    lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
     head = lines.filter(F.col("value").startswith(header_marker)).orderBy("n").first()
     if head is None:
         raise ValueError("no header line")
-    units = lines.filter(F.col("n") > head.n).orderBy("n").first()
+    own = F.col("file") == head.file
+    units = lines.filter(own & (F.col("n") > head.n)).orderBy("n").first()
     names = [c.strip() for c in head.value.split("\t")]
     unit = [c.strip() for c in units.value.split("\t")] if units else []
     cells = F.split("value", "\t", -1)
-    rows = lines.filter((F.col("n") > (units.n if units else head.n)) & (F.trim("value") != ""))
+    rows = lines.filter((~own | (F.col("n") > (units.n if units else head.n))) & (F.trim("value") != ""))
     return rows.select(*[F.trim(F.get(cells, F.lit(i))).alias(c) for i, c in enumerate(names)]), dict(zip(names, unit))
 
 
