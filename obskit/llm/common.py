@@ -17,21 +17,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only where none is named."""
+    """The shared folder the cluster names. Only a driver that is its own executor may do without: it has a private one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = getattr(shared_dir, "own", None)
     if own is None:
         own = shared_dir.own = tempfile.mkdtemp(prefix="obskit-")
     return own
 
 
+#: Folders that ``durable`` has made and that nobody has removed yet.
+_made: list[str] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    ``forget`` removes the folder of a result that nothing reads any more, ``purge`` those of all results.
+    """
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/obskit-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.durable_path = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _made.remove(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the folder of ``df``, a result of ``durable`` that nothing will read again."""
+    _remove(df.sparkSession, df.durable_path)
+
+
+def purge(spark: SparkSession) -> None:
+    """Remove what ``durable`` has written in this process, once the results built on it have been consumed."""
+    for path in list(_made):
+        _remove(spark, path)
 
 
 def let(value: Column, body) -> Column:

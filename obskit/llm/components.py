@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, forget
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
         if not state[0]:
             break
-        stars = durable(_star(_star(stars, True), False))
+        before, stars = stars, durable(_star(_star(stars, True), False))
+        forget(before)
     nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -6,7 +6,7 @@ has its exact cosine with every one of them, in blocks, and its nearest ``k`` vo
 how frequent their label is among all labelled rows.
 
 Defined cases: a null text counts as empty and is scored; repeated rows score alike; without labelled rows every
-score is 0.5, with one label only every score is that label; other columns are ignored.
+score is 0.5, with one label only every score is that label; labels other than 0 and 1 and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,11 +48,11 @@ class NeighbourModel:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, sample: int = 1500, rank: int = 48) -> NeighbourModel:
     """Fit on at most ``sample`` rows of each label among the ``allowed`` ones."""
-    x, y = sample_terms(labelled_sample(docs, labels, label, sample, allowed))
+    x, y = sample_terms(labelled_sample(docs, labels, label, sample, allowed, (0, 1)))
     if not len(y):
         empty = np.zeros((0, rank), dtype=np.float32)
         return NeighbourModel(inverse_frequency(x), empty, empty, y, np.zeros(0))
-    shares = {r["label"]: r["n"] for r in labels.filter(F.col(label).isNotNull() & allowed).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")).limit(16).collect()}
+    shares = {r["label"]: r["n"] for r in labels.filter(F.col(label).isin(0, 1) & allowed).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")).collect()}
     weights = np.array([shares.get(v, 1) / max(1, (y == v).sum()) for v in y.tolist()], dtype=np.float64)
     idf = inverse_frequency(x)
     w = weigh(x, idf)

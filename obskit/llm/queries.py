@@ -71,7 +71,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     mixed = mixing.mix(docs, mixing.label_domains(labels), keep=["doc_id"])
-    return mixed.select("row.doc_id", "n_tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)], "rate", "copies")
+    return mixed.select("row.doc_id", "n_tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)], "rate", "copies", "residual")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The ten training-data operators against brute force, round trips and their defined cases."""
 
 import hashlib
+import os
 import random
 import re
 import struct
@@ -64,15 +65,70 @@ def test_chat_reads_back(spark):
 
 def test_toxicity_grammar():
     m = toxicity.ToxicityModel({"idiot": 5.0, "oaf ": 4.0})
-    assert m.features("a calm text. nothing here") == (0.0, 0.0)
+    assert m.features("a calm text. nothing here") == (0.0, 0.0, 0.0)
     plain, near, negated, reported = (m.features(t)[0] for t in ("what an idiot", "you are an idiot", "he is not an idiot", "she said what an idiot"))
     assert near > plain > reported > negated > 0
     assert m.features("some oafish thing")[0] == 0 and m.features("some oaf thing")[0] == 4.0
-    assert m.features("i will kill you")[0] == toxicity.THREAT_WEIGHT and m.features("i will kill time")[0] == 0
+    assert m.features("i will kill you")[0] == m.threat and m.features("i will kill time")[0] == 0
+    assert m.features("i will not kill you")[0] == m.threat * m.negated and m.features("he wrote: i would never hurt you")[0] == m.threat * m.negated * m.reported
+    assert m.features("ich werde dich töten")[0] == m.features("je vais te tuer")[0] == m.threat and m.features("you killed time")[0] == 0
+    both = toxicity.ToxicityModel({"you ": 5.0, "not ": 2.0})
+    assert both.features("i will kill you")[0] == both.threat + 5.0, "a target stays one when it is an insult too"
+    assert both.features("not a good thing to kill you")[0] == 2.0 + both.threat + 5.0 and both.features("not kill you")[0] == 2.0 + both.negated * (both.threat + 5.0)
     assert m.features("not this. idiot")[0] == 5.0, "negation ends with its clause"
     assert m.score("") == m.score("calm") < 0.5 < m.score("you idiot, you idiotic oaf")
 
 
+def test_toxicity_machine_equals_its_parts_run_apart():
+    rng = random.Random(12)
+    whole, kinds = toxicity.grammar(), (0, 0, toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.OBJECT, toxicity.NEGATION, toxicity.REPORT)
+    for _ in range(400):
+        words = [rng.choice(kinds) | rng.choice(kinds) for _ in range(rng.randint(0, 25))]
+        state, got = whole.start, []
+        for w in words:
+            state, _, out = whole.arcs(state, w)
+            got.append(sorted(out))
+        want, tape = [[] for _ in words], words
+        for m in toxicity.machines():  # each machine reads the whole tape that the one before it has left
+            state, left = m.start, []
+            for i, w in enumerate(tape):
+                state, passed, out = m.arcs(state, w)
+                left.append(passed)
+                want[i] += out
+            tape = left
+        assert got == [sorted(x) for x in want]
+
+
+def test_toxicity_factors_follow_labels():
+    rng = np.random.default_rng(3)
+    model = toxicity.ToxicityModel({"idiot": 4.0})
+    y, totals = np.zeros(600), np.zeros((600, len(toxicity.EMITTED)))
+    for i in range(600):  # plain insults are toxic, negated ones as well, reported ones never
+        kind = i % 4
+        if kind:
+            totals[i, toxicity.PLACE[toxicity.INSULT | (0, 0, toxicity.NEGATED, toxicity.REPORTED)[kind]]] = 4.0
+            y[i] = (kind != 3) ^ (rng.random() < 0.05)
+    got = toxicity.fit_factors(model, totals, y)
+    assert got.negated > model.negated and got.reported <= model.reported and got.near == model.near and got.threat == model.threat
+
+
+def test_cues_count_copies_once(spark):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, 40) + ". you grumkel " + prose(rng, 5), 1) for i in range(30)] + [(100 + i, prose(rng, 60) + rng.choice(["", " works"]), 0) for i in range(90)]
+    rows += [(200 + i, f"one zorple copied. tail{i}", 1) for i in range(30)] + [(300 + i, prose(rng, 20) + " grumble", 1) for i in range(3)]
+    cues = features.learn_cues(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
+    assert any("grumkel".startswith(c.strip()) for c in cues) and not any(c.startswith("zor") for c in cues)
+    find = features.CueFinder({"idi": 2.0, "oaf ": 3.0})
+    assert find("Idiot oaf, oafish anidiot") == (5.0, 3.0) and features.CueFinder({})("x") == (0.0, 0.0)
+
+
+def test_labelled_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(2000)] + [(i, "t") for i in range(20, 60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 3)] + [(i, i % 2) for i in range(20, 60)] + [(50, None), (51, 9)], "doc_id bigint, label int")
+    got = features.labelled_sample(docs, labels, "label", 10, F.lit(True), (0, 1)).collect()
+    assert len(got) <= 20 and {r.label for r in got} == {0, 1} and len({r.doc_id for r in got}) == len(got)
+
+
 def test_toxicity_learns_stems_and_defined_cases(spark, odd):
     rng = random.Random(1)
     texts, labels = {}, []
@@ -370,12 +426,40 @@ def test_rates_reach_targets(spark, odd):
     n = rng.integers(1, 500, 500)
     members = spark.createDataFrame([((i,), int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(n, p))], "row struct<doc_id: bigint>, n_tokens bigint, posterior array<double>")
     for share in ([0.5, 0.3, 0.2], [0.85, 0.1, 0.05], [1 / 3, 1 / 3, 1 / 3]):
-        rate, have = mixing.fit_rates(members, share)
-        got = members.select("row.doc_id", rate.alias("r")).collect()
+        fitted = mixing.fit_rates(members, share)
+        got = members.select("row.doc_id", fitted.rate.alias("r")).collect()
         r = np.array([x.r for x in sorted(got)])
-        assert (r >= 0).all() and np.allclose((r * n) @ p / n.sum(), share, atol=2e-3) and np.allclose((r * n) @ p, have, rtol=1e-6)
-    zero, _ = mixing.fit_rates(members.withColumn("n_tokens", F.lit(0).cast("bigint")), [0.5, 0.3, 0.2])
-    assert members.select(zero.alias("r")).distinct().collect()[0].r == 1.0
+        assert (r >= 0).all() and np.allclose((r * n) @ p / n.sum(), share, atol=1e-5) and np.allclose((r * n) @ p, fitted.expected, rtol=1e-6) and fitted.residual < 1e-5
+        best = nearest_rates(n, p, np.array(share) * n.sum())
+        assert np.allclose(r, best, atol=1e-3), "of all rates that reach the targets, the nearest to 1"
+    zero = mixing.fit_rates(members.withColumn("n_tokens", F.lit(0).cast("bigint")), [0.5, 0.3, 0.2])
+    assert members.select(zero.rate.alias("r")).distinct().collect()[0].r == 1.0
+    with pytest.warns(UserWarning, match="stays"):
+        short = mixing.fit_rates(members.withColumn("posterior", F.array(F.lit(0.9), F.lit(0.1), F.lit(0.0))), [0.5, 0.3, 0.2])
+    assert short.residual > 0.1 and np.isfinite(short.slope).all()
+
+
+def nearest_rates(n, p, goal):
+    """By alternating projections (Dykstra) onto the totals and the rates of 0 or more, in the norm weighted by tokens."""
+    a = p * n[:, None]
+    pull = p @ np.linalg.inv(p.T @ a)
+    r, q = np.ones(len(n)), np.zeros(len(n))
+    for _ in range(20000):
+        r = r + pull @ (goal - a.T @ r)
+        y = np.maximum(r + q, 0)
+        r, q = y, r + q - y
+    return r
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables")
+def test_mix_reaches_targets_on_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = mixing.mix(docs, mixing.label_domains(labels), keep=["doc_id"]).collect()
+    n, r, p = np.array([x.n_tokens for x in got]), np.array([x.rate for x in got]), np.array([x.posterior for x in got])
+    assert np.allclose((n * r) @ p / n.sum(), list(mixing.TARGETS.values()), atol=1e-4) and got[0].residual < 1e-4
+    assert [x.n_tokens for x in sorted(got, key=lambda x: x.row.doc_id)] == [len(WORDS.findall(x.text or "")) for x in docs.orderBy("doc_id").collect()]
+    domain = {x.doc_id: x.domain for x in mixing.label_domains(labels).collect()}
+    assert np.mean([int(np.argmax(x.posterior)) == domain[x.row.doc_id] for x in got if x.row.doc_id in domain]) > 0.95
 
 
 def test_mix_defined_cases(spark, odd):
