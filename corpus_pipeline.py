@@ -14,6 +14,8 @@ from obskit.llm.common import durable, held_out, table
 
 #: Documents with this toxicity score or more go.
 TOXIC = 0.5
+#: Token shares of the two domains that are left when toxic documents are gone.
+QUALITY = {"clean": 0.94, "junk": 0.06}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +32,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says: none, once or several times."""
-    mixed = mixing.mix(docs, mixing.label_domains(table(spark, sf_dir, "labels")))
+    """Documents as often as their rate says: none, once or several times. Toxic ones are gone: two domains are left."""
+    good = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("domain"))
+    mixed = mixing.mix(docs, good, QUALITY)
     repeated = F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))))
     return mixed.select("row", repeated.alias("copy")).select("row.*")
 
