@@ -82,7 +82,7 @@ def held_out(doc_id: Column) -> Column:
 def rows_with_text(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(row, text): ``keep`` (all columns, if None) packed in a struct, so that no name clashes, and the text, "" for null."""
     names = docs.columns if keep is None else keep
-    return docs.select(F.struct(*names).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def row_type(rows: DataFrame) -> str:

@@ -3,28 +3,29 @@
 The vocabulary comes from a model file and is never trained. Encoding works as the model's own: a text gets a
 leading space, characters become symbols (bytes where the vocabulary has no character), and an agenda merges the
 adjacent pair whose union ranks best, leftmost first, until none is left. With dropout, a candidate merge is
-skipped for good when its keyed hash (seed, variant, unit, span) falls below the rate. A document's variant is a
-hash of its id, so documents differ in how they cut equal words, and every run repeats itself.
+skipped for good when its keyed hash (seed, document key, place of the unit in the text, span) falls below the rate:
+every occurrence of a word is cut on its own, and every run repeats itself.
 
-No piece spans a space that follows something else, so texts are cut into units (spaces and the word after them),
-and each distinct unit of a batch is merged once. Short units run together in numpy, one agenda pop per unit and
-round; long ones each use a heap. Both pop in the same order.
+No piece spans a space that follows something else, so texts are cut into units (spaces and the word after them).
+Each distinct unit of a batch is merged once without dropout, which also tells the candidates its agenda looks at; an
+occurrence that skips none of these has that result, and any other goes through its own agenda. Short units run
+together in numpy, one agenda pop per unit and round; long ones each use a heap. Both pop in the same order.
 
 Defined cases: a null text encodes as an empty one, without tokens; a literal U+2581 goes by its bytes, so that
-decoding can tell it from a space; repeated rows encode alike; other columns pass through `encode` unread.
+decoding can tell it from a space; rows of equal key and text encode alike; other columns pass through, but one
+named as the new column is replaced.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,8 +121,8 @@ def _dropped(unit: np.ndarray, start: np.ndarray, end: np.ndarray, limit: np.uin
     return _mix(unit ^ _mix(span + np.uint64(0x9E3779B97F4A7C15))) < limit
 
 
-def merge_one(vocab: Vocabulary, ids: list[int], key: int, limit: int) -> list[int]:
-    """The agenda over one unit, with a heap."""
+def merge_one(vocab: Vocabulary, ids: list[int], key: int, limit: int, seen: list[tuple[int, int]] | None = None) -> list[int]:
+    """The agenda over one unit, with a heap. ``seen`` gets the spans of its candidates."""
     n = len(ids)
     ids, nxt, prv, end, version = list(ids), list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1)), [0] * n
     heap: list[tuple[int, int, int, int]] = []
@@ -133,6 +134,8 @@ def merge_one(vocab: Vocabulary, ids: list[int], key: int, limit: int) -> list[i
         ranks = vocab.rank(np.array([ids[i] for i in lefts]), np.array([ids[nxt[i]] for i in lefts]))
         skip = _dropped(np.full(len(lefts), key, dtype=np.uint64), np.array(lefts), np.array([end[nxt[i]] for i in lefts]), np.uint64(limit)) if limit else np.zeros(len(lefts), bool)
         for i, r, s in zip(lefts, ranks.tolist(), skip.tolist()):
+            if r < NEVER and seen is not None:
+                seen.append((i, end[nxt[i]]))
             if r < NEVER and not s:
                 heapq.heappush(heap, (r, i, version[i], version[nxt[i]]))
 
@@ -152,10 +155,10 @@ def merge_one(vocab: Vocabulary, ids: list[int], key: int, limit: int) -> list[i
     return [x for x, d in zip(ids, dead) if not d]
 
 
-def merge_many(vocab: Vocabulary, ids: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def merge_many(vocab: Vocabulary, ids: np.ndarray, keys: np.ndarray, limit: int, seen: list[tuple[np.ndarray, ...]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The agenda over many units, rows of ``ids`` padded with -1: each round pops every unit's best candidate.
 
-    Returns the tokens row by row, and how many each row has.
+    Returns the tokens row by row, and how many each row has. ``seen`` gets the rows and spans of the candidates.
     """
     n, width = ids.shape
     ids = ids.copy()
@@ -167,8 +170,11 @@ def merge_many(vocab: Vocabulary, ids: np.ndarray, keys: np.ndarray, limit: int)
         ranks = np.full((n, width), NEVER, dtype=np.int32)
         r, c = np.nonzero(alive[:, 1:])
         ranks[r, c] = vocab.rank(ids[r, c], ids[r, c + 1])
-        if limit:
+        if limit or seen is not None:
             r, c = np.nonzero(ranks < NEVER)
+            if seen is not None:
+                seen.append((r, c, c + 2))
+        if limit:
             skip = _dropped(keys[r], c, c + 2, np.uint64(limit))
             ranks[r[skip], c[skip]] = NEVER
         rows = np.arange(n)
@@ -193,71 +199,101 @@ def merge_many(vocab: Vocabulary, ids: np.ndarray, keys: np.ndarray, limit: int)
                 r, left = r[ok], left[ok]
                 right = nxt[r, left]
                 new = vocab.rank(ids[r, left], ids[r, right])
+                if seen is not None:
+                    real = new < NEVER
+                    seen.append((r[real], left[real], end[r[real], right[real]]))
                 if limit:
                     new[_dropped(keys[r], left, end[r, right], np.uint64(limit))] = NEVER
                 ranks[r, left] = new
     return ids[alive], alive.sum(axis=1)
 
 
-def encode_texts(vocab: Vocabulary, texts: list[str], variants: list[int], seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts in a row, and the number of tokens of each text."""
+class _Units:
+    """The distinct units of a batch, and the agenda over any selection of them."""
+
+    WIDTHS = (1, 2, 4, 6, 8, 10, 12, 16, 24, 32, LONG)
+
+    def __init__(self, vocab: Vocabulary, units: list[str]) -> None:
+        self.vocab, self.units = vocab, units
+        self.codes = vocab.chars[np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)]
+        self.lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.easy = self.lengths <= LONG
+        self.easy[np.searchsorted(self.begins, np.flatnonzero(self.codes < 0), side="right") - 1] = False
+
+    def merge(self, which: np.ndarray, keys: np.ndarray, limit: int, seen: list[tuple[np.ndarray, ...]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the units ``which`` under ``keys``: a pool, and where each one's begin and how many they are.
+
+        ``seen`` gets (positions in ``which``, span starts, span ends) of the candidates.
+        """
+        starts, sizes = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=np.int64)
+        pool, held, low = [], 0, 0
+
+        def put(at: np.ndarray, tokens: np.ndarray, size: np.ndarray) -> None:
+            nonlocal held
+            sizes[at], starts[at] = size, held + np.cumsum(size) - size
+            pool.append(tokens)
+            held += len(tokens)
+
+        easy, lengths = self.easy[which], self.lengths[which]
+        for width in self.WIDTHS:
+            pick = np.flatnonzero(easy & (lengths > low) & (lengths <= width))
+            low = width
+            for at in range(0, len(pick), 65536):
+                part = pick[at : at + 65536]
+                own = which[part]
+                grid = self.begins[own, None] + np.arange(width)
+                inside = np.arange(width) < self.lengths[own, None]
+                ids = np.where(inside, self.codes[np.minimum(grid, len(self.codes) - 1)], -1)
+                found: list[tuple[np.ndarray, ...]] | None = None if seen is None else []
+                put(part, *merge_many(self.vocab, ids, keys[part], limit, found))
+                if seen is not None:
+                    seen += [(part[r], a, b) for r, a, b in found]
+        for i in np.flatnonzero(~easy).tolist():
+            spans: list[tuple[int, int]] | None = None if seen is None else []
+            tokens = merge_one(self.vocab, self.vocab.symbols(self.units[which[i]]), int(keys[i]), limit, spans)
+            put(np.array([i]), np.array(tokens, dtype=np.int32), np.array([len(tokens)]))
+            if spans:
+                seen.append((np.full(len(spans), i), *np.array(spans).T))
+        return np.concatenate(pool) if pool else np.zeros(0, dtype=np.int32), starts, sizes
+
+
+def encode_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts in a row, and the number of tokens of each text. ``keys`` (uint64): one for each text."""
     limit = min(int(dropout * 2.0**64), 2**64 - 1)
-    known: dict[int, dict[str, int]] = {}
-    units: list[str] = []
-    owners: list[int] = []
+    known: dict[str, int] = {}
     used: list[int] = []
-    counts = []
-    for text, variant in zip(texts, variants):
-        if not text:
-            counts.append(0)
-            continue
-        mine = known.setdefault(variant, {})
-        found = UNIT.findall(" " + text)
-        for u in found:
-            i = mine.get(u)
-            if i is None:
-                i = mine[u] = len(units)
-                units.append(u)
-                owners.append(variant)
-            used.append(i)
-        counts.append(len(found))
-    sizes = np.zeros(len(units), dtype=np.int64)
-    keys = np.array([xxhash.xxh64_intdigest(u.encode(), (seed * 1_000_003 + v) & (2**64 - 1)) for u, v in zip(units, owners)], dtype=np.uint64)
-    codes = vocab.chars[np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)]
-    lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
-    begins = np.cumsum(lengths) - lengths
-    unknown = np.zeros(len(units), dtype=bool)
-    missing = np.flatnonzero(codes < 0)
-    unknown[np.searchsorted(begins, missing, side="right") - 1] = True
-    odd = np.flatnonzero(unknown | (lengths > LONG))
-    own: dict[int, np.ndarray] = {}
-    for i in odd.tolist():
-        own[i] = np.array(merge_one(vocab, vocab.symbols(units[i]), int(keys[i]), limit), dtype=np.int32)
-        sizes[i] = len(own[i])
-    groups = []
-    easy = ~unknown & (lengths <= LONG)
-    low = 0
-    for width in (1, 2, 4, 6, 8, 10, 12, 16, 24, 32, LONG):
-        pick = np.flatnonzero(easy & (lengths > low) & (lengths <= width))
-        low = width
-        for at in range(0, len(pick), 65536):
-            part = pick[at : at + 65536]
-            grid = begins[part, None] + np.arange(width)
-            inside = np.arange(width) < lengths[part, None]
-            ids = np.where(inside, codes[np.minimum(grid, len(codes) - 1)], -1)
-            tokens, size = merge_many(vocab, ids, keys[part], limit)
-            sizes[part] = size
-            groups.append((part, tokens, size))
-    starts = np.cumsum(sizes) - sizes
-    flat = np.empty(int(sizes.sum()), dtype=np.int32)
-    for part, tokens, size in groups:
-        flat[_ragged(starts[part], size)] = tokens
-    for i, tokens in own.items():
-        flat[starts[i] : starts[i] + len(tokens)] = tokens
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for n, text in enumerate(texts):
+        if text:
+            found = UNIT.findall(" " + text)
+            used += [known.setdefault(u, len(known)) for u in found]
+            counts[n] = len(found)
     use = np.array(used, dtype=np.int64)
-    per_unit = sizes[use]
-    ends = np.concatenate([[0], np.cumsum(per_unit)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-    return flat[_ragged(starts[use], per_unit)], np.diff(ends)
+    units = _Units(vocab, list(known))
+    seen: list[tuple[np.ndarray, ...]] | None = [] if limit else None
+    every = np.arange(len(known))
+    pool, starts, sizes = units.merge(every, np.zeros(len(known), dtype=np.uint64), 0, seen)
+    starts, sizes = starts[use], sizes[use]
+    if limit and seen:
+        place = np.arange(len(use)) - np.repeat(np.cumsum(counts) - counts, counts)
+        own = _mix(np.repeat(keys, counts) + (place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        unit, first, last = (np.concatenate(c) for c in zip(*seen))
+        order = np.argsort(unit, kind="stable")
+        first, last = first[order], last[order]
+        per = np.bincount(unit, minlength=len(known))
+        begin = np.cumsum(per) - per
+        again = np.zeros(len(use), dtype=bool)
+        for at in range(0, len(use), 65536):
+            u = use[at : at + 65536]
+            spans, row = _ragged(begin[u], per[u]), np.repeat(np.arange(len(u)), per[u])
+            again[at + row[_dropped(own[at + row], first[spans], last[spans], np.uint64(limit))]] = True
+        redo = np.flatnonzero(again)
+        more, starts[redo], sizes[redo] = units.merge(use[redo], own[redo], limit)
+        starts[redo] += len(pool)
+        pool = np.concatenate([pool, more])
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+    return pool[_ragged(starts, sizes)], np.diff(ends)
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -284,39 +320,47 @@ def read_model(path: str = MODEL) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 1, variants: int = 8, model: bytes | None = None, into: str = "token_ids") -> DataFrame:
-    """Add ``into`` array<int>: the tokens of ``text``. ``dropout`` 0 gives the model's own segmentation."""
+def _with_row(df: DataFrame, into: str, *more: Column) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns in a struct ``row`` beside ``more``, and what unpacks it next to the column ``into``."""
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *more)
+    kept = [c for c in df.columns if c.lower() != into.lower()]
+    return packed, lambda out: out.select(*[F.col("row")[c].alias(c) for c in kept], F.col("new").alias(into))
+
+
+def encode(docs: DataFrame, text: str = "text", key: str | Sequence[str] = "doc_id", dropout: float = 0.1, seed: int = 1, model: bytes | None = None, into: str = "token_ids") -> DataFrame:
+    """Add ``into`` array<int>: the tokens of ``text``. ``dropout`` 0 gives the model's own segmentation.
+
+    ``key`` names the columns that tell rows apart: rows that differ in one of them are cut differently.
+    """
     model = model or read_model()
-    variant = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)), F.lit(variants)).cast("int")
-    rows = docs.withColumns({"_variant": variant, "_text": F.coalesce(F.col(text), F.lit(""))})
-    names = [c for c in rows.columns if c not in ("_variant", "_text")]
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in ([key] if isinstance(key, str) else key)]
+    rows, unpack = _with_row(docs, into, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.xxhash64(*parts, F.lit(seed)).alias("key"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary.of(model)
         for b in batches:
-            for lo, hi in chunks(pa.compute.binary_length(b.column("_text")).to_pylist()):
+            for lo, hi in chunks(pa.compute.binary_length(b.column("text")).to_pylist()):
                 part = b.slice(lo, hi - lo)
-                tokens, size = encode_texts(vocab, part.column("_text").to_pylist(), part.column("_variant").to_pylist(), seed, dropout)
+                tokens, size = encode_texts(vocab, part.column("text").to_pylist(), part.column("key").to_numpy().view(np.uint64), dropout)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(tokens, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), ids], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([part.column("row"), ids], names=["row", "new"])
 
-    schema = T.StructType([*(f for f in docs.schema.fields), T.StructField(into, T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(each, schema)
+    return unpack(rows.mapInArrow(each, T.StructType([rows.schema["row"], T.StructField("new", T.ArrayType(T.IntegerType()))])))
 
 
 def decode(tokens: DataFrame, ids: str = "token_ids", model: bytes | None = None, into: str = "decoded") -> DataFrame:
-    """Add ``into`` string: the text that ``ids`` stand for. Works for any segmentation of a text."""
+    """Add ``into`` string: the text that ``ids`` stand for (null: an empty one). Works for any segmentation of a text."""
     model = model or read_model()
-    names = tokens.columns
+    rows, unpack = _with_row(tokens, into, F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")).alias("ids"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = Vocabulary.of(model).piece_bytes.__getitem__
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                col = part.column(ids)
+                col = part.column("ids")
                 offsets, flat = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
                 texts = [b"".join(map(piece, flat[i:j].tolist()))[1:].decode() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "new"])
 
-    return tokens.mapInArrow(each, T.StructType([*tokens.schema.fields, T.StructField(into, T.StringType())]))
+    return unpack(rows.mapInArrow(each, T.StructType([rows.schema["row"], T.StructField("new", T.StringType())])))

@@ -3,17 +3,20 @@
 Every byte covered by a string of ``LENGTH`` bytes that also starts earlier (a smaller document id, or the same
 document and an earlier start) goes. Sorting all suffixes of a corpus together would not scale, so:
 
-1. Each document is winnowed: every window of LENGTH bytes picks the least hash among its GRAM-byte strings, its
-   anchor. Equal windows pick equal anchors, so windows whose anchor hash is unique in the corpus repeat nowhere.
-2. Repeated anchors fetch their stretch of text, all windows that picked them. Stretches that are equal byte by
-   byte collapse before and after the shuffle by anchor hash: all but the first repeat as a whole.
-3. Anchors left with several different stretches fill shards of bounded size. Each shard gets a suffix array
-   (Larsson-Sadakane refinement in numpy) and common prefixes (Kasai, in lanes): windows in a run of prefixes of
-   LENGTH or more are equal. An anchor too large for one shard has several, merged by binary search of one shard's
-   first windows in the suffix arrays of the others.
-4. Repeated starts return to their documents, where intervals are joined and cut out.
-
-Hashes only choose candidates; every removal follows from equal bytes. Texts travel once, in one exchange that all
+1. Prefilter: each document is winnowed. Every window of LENGTH bytes picks the least hash among its GRAM-byte
+   strings, its anchor. Equal windows pick equal anchors, so windows whose anchor hash is unique in the corpus repeat
+   nowhere and need no sorting. The windows that picked one anchor are a stretch.
+2. Each block of documents is a shard: what is left of its texts gets a suffix array (Larsson-Sadakane refinement in
+   numpy) and common prefixes (Kasai, in lanes). Windows in a run of prefixes of LENGTH or more are equal; all but the
+   first repeat. Stretches that repeat as a whole within their shard go no further.
+3. The other stretches meet those of other shards by anchor hash. Shards are merged in sorted runs, pair by pair, by
+   binary search of one run in the other: of equal stretches, all but the first repeat as a whole.
+4. Anchors left with several different stretches fill shards of their own, with arrays and prefixes as in 2, for
+   stretches that agree in part. An anchor too large for one shard has several, merged by binary search of one's first
+   windows in the suffix arrays of the others.
+5. Repeated starts return to their documents, where intervals are joined and cut out.
+
+Hashes only choose candidates; every removal follows from arrays or a merge, by equal bytes. Texts travel once, in one exchange that all
 steps share.
 
 Defined cases: a null text is empty; a null id sorts before all others; rows of equal id count as different
@@ -24,15 +27,17 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .pieces import chunks
+from .pieces import _ragged, chunks
 
 LENGTH = 100
 GRAM = 20
@@ -122,39 +127,123 @@ def _anchor_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, names=["hash", "rid", "spot", "others"])
 
 
-_STRETCH = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("stretch", pa.binary())])
-_STRETCH_SQL = "hash bigint, doc_id bigint, rid bigint, start bigint, n int, stretch binary"
+_STRETCH = pa.schema([("hash", pa.int64()), ("shard", pa.int64()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("stretch", pa.binary())])
+_STRETCH_SQL = "hash bigint, shard bigint, doc_id bigint, rid bigint, start bigint, n bigint, stretch binary"
 LEAST_ID = -(1 << 63)
+#: How many sorted runs the shards that meet in one task are dealt to.
+RUNS = 8
+
+
+def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices of ``data`` that start at ``begin``, one after another."""
+    return data[_ragged(begin, size)]
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(data, offsets) of a binary column without nulls."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = column.buffers()[2]
+    return np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8), offsets
+
+
+@dataclass
+class Stretches:
+    """Runs of windows of one document each: the first window starts at ``start``, ``n`` windows, n + LENGTH - 1 bytes."""
+
+    hash: np.ndarray
+    shard: np.ndarray
+    doc: np.ndarray
+    rid: np.ndarray
+    start: np.ndarray
+    n: np.ndarray
+    data: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return self.n + LENGTH - 1
+
+    @property
+    def begin(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def take(self, at: np.ndarray) -> Stretches:
+        cut = (c[at] for c in (self.hash, self.shard, self.doc, self.rid, self.start, self.n))
+        return Stretches(*cut, _gather(self.data, self.begin[at], self.sizes[at]))
+
+    @staticmethod
+    def concat(parts: list[Stretches]) -> Stretches:
+        return Stretches(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("hash", "shard", "doc", "rid", "start", "n", "data")))
+
+    @staticmethod
+    def read(batch: pa.RecordBatch) -> Stretches:
+        data, offsets = _bytes_of(batch.column("stretch"))
+        return Stretches(*(batch.column(c).to_numpy() for c in ("hash", "shard", "doc_id", "rid", "start", "n")), data[offsets[0] : offsets[-1]])
+
+    def batches(self, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+        begin, sizes = self.begin, self.sizes
+        for at in range(0, len(self), rows):
+            size = sizes[at : at + rows]
+            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            held = self.data[begin[at] : begin[at] + int(offsets[-1])]
+            text = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(held))])
+            columns = [pa.array(c[at : at + rows], pa.int64()) for c in (self.hash, self.shard, self.doc, self.rid, self.start, self.n)]
+            yield pa.RecordBatch.from_arrays([*columns, text], schema=_STRETCH)
+
+
+def _marks(rid: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Ranges of repeated starts as rows without text, under their document's number in place of a hash."""
+    rid, first, last = _runs(rid, first, last)
+    for at in range(0, len(rid), 20_000):
+        r = pa.array(rid[at : at + 20_000], pa.int64())
+        none = pa.nulls(len(r), pa.int64())
+        n = pa.array((last - first + 1)[at : at + 20_000], pa.int64())
+        yield pa.RecordBatch.from_arrays([r, none, none, r, pa.array(first[at : at + 20_000], pa.int64()), n, pa.nulls(len(r), pa.binary())], schema=_STRETCH)
+
+
+def _regions(s: Stretches, data: np.ndarray, origin: np.ndarray) -> Iterator[Stretches]:
+    """Neighbouring stretches of a document as one, in lots of about SHARD_BYTES. ``s`` is in order of (rid, start)
+    and has no bytes yet; those of a document begin at ``origin`` in ``data``."""
+    new = np.concatenate([[True], (s.rid[1:] != s.rid[:-1]) | (s.start[1:] != s.start[:-1] + s.n[:-1])])
+    head = np.flatnonzero(new)
+    count = np.add.reduceat(s.n, head)
+    pieces = -(-count // SHARD_BYTES)  # a longer region goes in pieces
+    own = np.repeat(head, pieces)
+    skip = _ragged(np.zeros(len(head), dtype=np.int64), pieces) * SHARD_BYTES
+    start, n = s.start[own] + skip, np.minimum(np.repeat(count, pieces) - skip, SHARD_BYTES)
+    for lo, hi in chunks((n + LENGTH - 1).tolist(), SHARD_BYTES, 1 << 30):
+        part = slice(lo, hi)
+        body = _gather(data, origin[own[part]] + start[part], n[part] + LENGTH - 1)
+        yield Stretches(s.hash[own[part]], s.shard[own[part]], s.doc[own[part]], s.rid[own[part]], start[part], n[part], body)
 
 
 def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stretch of every repeated anchor. Of equal ones of a block, the first; the others are known to repeat, so
-    each run of them is one row without text, under its row's number in place of a hash."""
+    """What the suffix arrays of a task's shards settle, and the stretches that other shards must see."""
+    task, block = TaskContext.get(), 0
     for b in batches:
         raw = b.column("text").cast(pa.binary())
-        for lo, hi in chunks(pa.compute.binary_length(raw).to_pylist(), 4_000_000, 2048):
-            first: dict[bytes, list] = {}
-            rows: list[list] = []
+        for lo, hi in chunks(pa.compute.binary_length(raw).to_pylist(), SHARD_BYTES, 2048):
             part = b.slice(lo, hi - lo)
-            for rid, doc, text, hashes, spots in zip(*(part.column(c).to_pylist() for c in ("rid", "doc_id")), raw.slice(lo, hi - lo).to_pylist(), part.column("hashes").to_pylist(), part.column("spots").to_pylist()):
-                doc = LEAST_ID if doc is None else doc
-                for h, s in zip(hashes, spots):
-                    start, n = s >> 7, s & 127
-                    cut = text[start : start + n + LENGTH - 1]
-                    row = [h, doc, rid, start, n, cut]
-                    old = first.get(cut)
-                    if old is None:
-                        first[cut] = row
-                    elif old[1:4] <= row[1:4]:
-                        row[5] = None
-                    else:
-                        old[5], first[cut] = None, row
-                    rows.append(row)
-            again = np.array([(r[2], r[3], r[3] + r[4] - 1) for r in rows if r[5] is None], dtype=np.int64).reshape(-1, 3)
-            out = [r for r in rows if r[5] is not None]
-            out += [[rid, LEAST_ID, rid, start, last - start + 1, None] for rid, start, last in zip(*(x.tolist() for x in _runs(*again.T)))]
-            for at in range(0, len(out), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 20_000]), _STRETCH.types)], schema=_STRETCH)
+            block += 1
+            data, offsets = _bytes_of(raw.slice(lo, hi - lo))
+            per = np.array(pa.compute.list_value_length(part.column("hashes")).to_pylist(), dtype=np.int64)
+            spot = part.column("spots").flatten().to_numpy()
+            rid = np.repeat(part.column("rid").to_numpy(), per)
+            doc = np.repeat(part.column("doc_id").fill_null(LEAST_ID).to_numpy(), per)
+            order = np.lexsort((spot >> 7, rid))
+            shard = np.full(len(spot), ((task.partitionId() if task else 0) << 24) | block, dtype=np.int64)
+            s = Stretches(part.column("hashes").flatten().to_numpy()[order], shard, doc[order], rid[order], spot[order] >> 7, spot[order] & 127, data[:0])
+            if not len(s):
+                continue
+            origin = np.repeat(offsets[:-1], per)[order]
+            repeated = np.concatenate([Shard(region).windows_repeated() for region in _regions(s, data, origin)])
+            whole = np.logical_and.reduceat(repeated, np.cumsum(s.n) - s.n)
+            yield from _marks(s.rid[whole], s.start[whole], s.start[whole] + s.n[whole] - 1)
+            left = np.flatnonzero(~whole)
+            body = _gather(data, origin[left] + s.start[left], s.n[left] + LENGTH - 1)
+            yield from Stretches(*(c[left] for c in (s.hash, s.shard, s.doc, s.rid, s.start, s.n)), body).batches()
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,30 +311,35 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.
 
 
 class Shard:
-    """Stretches of some anchors, with the windows of LENGTH bytes in them in suffix order."""
-
-    def __init__(self, rows: list[tuple[int, int, int, int, bytes]]) -> None:
-        self.text = np.frombuffer(b"".join(r[4] for r in rows) + bytes(LENGTH), dtype=np.uint8)
-        sizes = np.array([len(r[4]) for r in rows], dtype=np.int64)
-        count = np.array([r[3] for r in rows], dtype=np.int64)
-        begin = np.cumsum(sizes) - sizes
-        self.owner = np.repeat(np.arange(len(rows)), sizes)
-        inside = np.arange(int(sizes.sum())) - begin[self.owner]
-        body = self.text[: len(inside)]
+    """Some stretches, with the windows of LENGTH bytes in them in suffix order."""
+
+    def __init__(self, rows: Stretches) -> None:
+        body = rows.data
+        self.text = np.concatenate([body, np.zeros(LENGTH, dtype=np.uint8)])
+        owner = np.repeat(np.arange(len(rows)), rows.sizes)
+        inside = np.arange(len(body)) - rows.begin[owner]
         sa, _ = suffix_array(body)
         prefix = common_prefixes(body, sa)
-        window = (inside < count[self.owner])[sa]
+        is_window = inside < rows.n[owner]
+        window = is_window[sa]
         run = np.cumsum(prefix < LENGTH)
         self.sa, run = sa[window], run[window]
-        self.docs = np.array([r[0] for r in rows], dtype=np.int64)[self.owner[self.sa]]
-        self.rids = np.array([r[1] for r in rows], dtype=np.int64)[self.owner[self.sa]]
-        self.starts = np.array([r[2] for r in rows], dtype=np.int64)[self.owner[self.sa]] + inside[self.sa]
-        order = np.lexsort((self.starts, self.rids, self.docs, run))
-        lead = np.concatenate([[True], run[order][1:] != run[order][:-1]])
-        self.repeated = np.ones(len(self.sa), dtype=bool)
-        self.repeated[order[lead]] = False
+        own = owner[self.sa]
+        self.docs, self.rids, self.starts = rows.doc[own], rows.rid[own], rows.start[own] + inside[self.sa]
+        again = np.concatenate([[False], run[1:] == run[:-1]])
+        self.repeated = np.zeros(len(self.sa), dtype=bool)
+        tied = np.flatnonzero(again | np.concatenate([again[1:], [False]]))
+        order = tied[np.lexsort((self.starts[tied], self.rids[tied], self.docs[tied], run[tied]))]
+        self.repeated[order] = np.concatenate([[False], run[order][1:] == run[order][:-1]])[: len(order)]
+        self.spot = np.cumsum(is_window) - 1  # the number of a window in the order of the text
         self.views = sliding_window_view(self.text, LENGTH)
 
+    def windows_repeated(self) -> np.ndarray:
+        """Whether each window repeats, in the order of the text."""
+        out = np.empty(len(self.sa), dtype=bool)
+        out[self.spot[self.sa]] = self.repeated
+        return out
+
     def windows(self, at: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(self.views[self.sa[at]]).view(f"S{LENGTH}").ravel()
 
@@ -290,79 +384,128 @@ def _runs(rid: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndar
     return rid[head], first[head], last[np.concatenate([head[1:], [len(rid)]]).astype(np.int64) - 1]
 
 
+def _keys(rows: Stretches) -> np.ndarray:
+    """Each stretch under its anchor hash as one string; the count at its end keeps strings from ending in zero bytes."""
+    width = 8 + int(rows.sizes.max()) + 1
+    out = np.zeros((len(rows), width), dtype=np.uint8)
+    out[:, :8] = rows.hash.astype(">i8").view(np.uint8).reshape(-1, 8)
+    line = np.repeat(np.arange(len(rows)), rows.sizes)
+    out[line, 8 + np.arange(len(rows.data)) - rows.begin[line]] = rows.data
+    out[np.arange(len(rows)), 8 + rows.sizes] = rows.n
+    return out.view(f"S{width}").ravel()
+
+
+def merge_runs(rows: Stretches) -> np.ndarray:
+    """The first of each group of equal stretches, as positions in the order of (hash, stretch).
+
+    The shards the rows are from are dealt to RUNS runs. A run is sorted; then runs are merged two by two: binary
+    search places one's stretches in the other, equal ones meet, and the later one drops out.
+    """
+    keys = _keys(rows)
+    rank = np.empty(len(rows), dtype=np.int64)
+    rank[np.lexsort((rows.start, rows.rid, rows.doc))] = np.arange(len(rows))
+
+    def sorted_run(at: np.ndarray) -> np.ndarray:
+        at = at[np.argsort(rank[at])]
+        at = at[np.argsort(keys[at], kind="stable")]
+        return at[np.concatenate([[True], keys[at[1:]] != keys[at[:-1]]])[: len(at)]]
+
+    runs = [sorted_run(np.flatnonzero(rows.shard % RUNS == r)) for r in range(RUNS)]
+    while len(runs) > 1:
+        merged = []
+        for a, b in zip(runs[::2], runs[1::2]):
+            if not len(a) or not len(b):
+                merged.append(a if len(a) else b)
+                continue
+            place = np.searchsorted(keys[a], keys[b])
+            near = np.minimum(place, len(a) - 1)
+            equal = keys[a[near]] == keys[b]
+            spot = near[equal]
+            a = a.copy()
+            a[spot] = np.where(rank[b[equal]] < rank[a[spot]], b[equal], a[spot])
+            merged.append(np.insert(a, place[~equal], b[~equal]))
+        runs = merged
+    return runs[0]
+
+
 def _repeat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, first, last) of repeated starts, from a partition sorted by anchor hash."""
 
-    def out(rid, first, last) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rid, first, last)], names=["rid", "first", "last"])
+    def out(rid: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _runs(rid, first, last)], names=["rid", "first", "last"])
 
-    shard: list[tuple[int, int, int, int, bytes]] = []
-    held = 0
-    parts: list[Shard] = []  # of an anchor that has outgrown one shard
-    group: dict[bytes, tuple[int, int, int, int]] = {}
-    grouped = 0
-    whole: list[tuple[int, int, int]] = []
+    held: list[Stretches] = []  # complete anchors with several different stretches, for the next shard
+    parts: list[Shard] = []  # of the anchor that has outgrown one shard
+    outgrown: int | None = None
 
-    def lay() -> list[tuple[int, int, int, int, bytes]]:
-        return [(*v, cut) for cut, v in group.items()]
+    def settle(rows: Stretches) -> tuple[Stretches, pa.RecordBatch]:
+        """One of each group of equal stretches, and the others as repeats."""
+        first = merge_runs(rows)
+        gone = np.ones(len(rows), dtype=bool)
+        gone[first] = False
+        return rows.take(first), out(rows.rid[gone], rows.start[gone], rows.start[gone] + rows.n[gone] - 1)
 
-    def flush_shard() -> Iterator[pa.RecordBatch]:
-        nonlocal shard, held
-        if shard:
-            yield out(*Shard(shard).marks())
-        shard, held = [], 0
-
-    def add_part() -> None:
-        nonlocal group, grouped
-        new = Shard(lay())
+    def add_part(rows: Stretches) -> None:
+        new = Shard(rows)
         for old in parts:
             new.merge(old)
         parts.append(new)
-        group, grouped = {}, 0
-
-    def close() -> Iterator[pa.RecordBatch]:
-        """The anchor is complete."""
-        nonlocal shard, held, group, grouped, parts, whole
-        if parts:
-            if group:
-                add_part()
+
+    def close(rows: Stretches) -> Iterator[pa.RecordBatch]:
+        """The anchors of ``rows`` are complete."""
+        nonlocal parts, outgrown
+        rows, found = settle(rows)
+        yield found
+        if outgrown is not None:
+            more = np.flatnonzero(rows.hash == outgrown)
+            if len(more):
+                add_part(rows.take(more))
+                rows = rows.take(np.flatnonzero(rows.hash != outgrown))
             for p in parts:
                 yield out(*p.marks())
-            parts = []
-        elif len(group) > 1:
-            shard += lay()
-            held += grouped
-        group, grouped = {}, 0
-        if held >= SHARD_BYTES:
-            yield from flush_shard()
-        if len(whole) >= 20_000:
-            yield out(*zip(*whole))
-            whole = []
-
-    now = None
+            parts, outgrown = [], None
+        several = np.concatenate([[False], rows.hash[1:] == rows.hash[:-1]])[: len(rows)]
+        several |= np.concatenate([several[1:], [False]])[: len(rows)]
+        if several.any():
+            held.append(rows.take(np.flatnonzero(several)))
+        if sum(len(h.data) for h in held) >= SHARD_BYTES:
+            yield from flush()
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if held:
+            yield out(*Shard(Stretches.concat(held)).marks())
+            held.clear()
+
+    waiting: list[Stretches] = []
     for b in batches:
-        for h, doc, rid, start, n, cut in zip(*(b.column(c).to_pylist() for c in _STRETCH.names)):
-            if h != now:
-                yield from close()
-                now = h
-            if cut is None:
-                whole.append((rid, start, start + n - 1))
-                continue
-            old = group.get(cut)
-            mine = (doc, rid, start, n)
-            if old is None:
-                group[cut] = mine
-                grouped += len(cut)
-                if grouped >= SHARD_BYTES:
-                    add_part()
-            else:
-                if mine < old:
-                    group[cut], mine = mine, old
-                whole.append((mine[1], mine[2], mine[2] + mine[3] - 1))
-    yield from close()
-    yield from flush_shard()
-    if whole:
-        yield out(*zip(*whole))
+        known = b.column("stretch").is_null().to_numpy(zero_copy_only=False)
+        if known.any():
+            rid, first, n = (b.column(c).to_numpy()[known] for c in ("rid", "start", "n"))
+            yield out(rid, first, first + n - 1)
+            b = b.filter(pa.array(~known))
+        if b.num_rows:
+            waiting.append(Stretches.read(b))
+        if sum(len(w.data) for w in waiting) < 2 * SHARD_BYTES:
+            continue
+        rows = Stretches.concat(waiting)
+        last = rows.hash[-1]
+        done = int(np.searchsorted(rows.hash, last))
+        if done:
+            yield from close(rows.take(np.arange(done)))
+        tail = rows.take(np.arange(done, len(rows)))
+        if len(tail.data) >= SHARD_BYTES:
+            tail, found = settle(tail)
+            yield found
+        if len(tail.data) >= SHARD_BYTES:
+            outgrown = int(last)
+            add_part(tail)
+            tail = tail.take(np.zeros(0, dtype=np.int64))
+        waiting = [tail] if len(tail) else []
+    if waiting:
+        yield from close(Stretches.concat(waiting))
+    for p in parts:
+        yield out(*p.marks())
+    yield from flush()
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -170,7 +170,7 @@ def test_tokens_equal_the_model_without_dropout(vocab):
 
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     texts = [t for t in samples() if "▁" not in t]
-    tokens, sizes = pieces.encode_texts(vocab, texts, [0] * len(texts), 1, 0.0)
+    tokens, sizes = pieces.encode_texts(vocab, texts, np.zeros(len(texts), dtype=np.uint64), 0.0)
     got = [x.tolist() for x in np.split(tokens, np.cumsum(sizes)[:-1])]
     assert got == [sp.encode(t) for t in texts]
 
@@ -193,6 +193,24 @@ def test_dropout_heap_and_rounds_agree_and_vary(vocab):
     assert all(len(f) == len(u) for f, u in zip(fast, units)), "every merge dropped"
 
 
+def test_dropout_is_that_of_each_occurrence(vocab):
+    rng = random.Random(31)
+    texts = ["the same words of the same text, the same again\n" * 4, "", *("".join(rng.choice("abcdeéñ ,.\nTh日") for _ in range(rng.randint(1, 90))) for _ in range(40)), "y" * 200 + " the end"]
+    keys = np.array([rng.getrandbits(64) for _ in texts], dtype=np.uint64)
+    for p in (0.05, 0.3, 1.0):
+        limit = min(int(p * 2.0**64), 2**64 - 1)
+        tokens, sizes = pieces.encode_texts(vocab, texts, keys, p)
+        got = [x.tolist() for x in np.split(tokens, np.cumsum(sizes)[:-1])]
+        for text, key, ids in zip(texts, keys, got):
+            want = []
+            for i, u in enumerate(pieces.UNIT.findall(" " + text) if text else []):  # every occurrence by itself, with a heap
+                own = pieces._mix(np.array([key], dtype=np.uint64) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))[0]
+                want += pieces.merge_one(vocab, vocab.symbols(u), int(own), limit)
+            assert ids == want
+    words = pieces.encode_texts(vocab, ["information " * 400], keys[:1], 0.1)[0]
+    assert len(set(map(tuple, np.array_split(words, 400)))) > 8, "occurrences of one word are cut in more than a few ways"
+
+
 def test_tokens_decode_losslessly(spark, odd):
     docs = docs_of(spark, {i: t for i, t in enumerate(samples() * 2)})
     for seed in (1, 2):
@@ -203,6 +221,11 @@ def test_tokens_decode_losslessly(spark, odd):
     back = pieces.decode(pieces.encode(odd)).collect()
     assert len(back) == odd.count() and all(r.decoded == (r.text or "") for r in back)
     assert pieces.encode(odd.limit(0)).count() == 0
+    clash = odd.withColumns({"_text": F.lit("a"), "_variant": F.lit(1), "token_ids": F.lit("z"), "decoded": F.lit(2), "row": F.lit(3), "new": F.lit(4), "key": F.lit(5), "a.b": F.lit(6)})
+    back = pieces.decode(pieces.encode(clash))
+    assert sorted(back.columns) == sorted(clash.columns) and all(r.decoded == (r.text or "") and (r["_text"], r.row, r.new, r.key, r["a.b"]) == ("a", 3, 4, 5, 6) for r in back.collect())
+    twins = docs_of(spark, ["the information of the documents " * 20]).crossJoin(spark.range(2).withColumnRenamed("id", "copy"))
+    assert pieces.encode(twins).select("token_ids").distinct().count() == 1 and pieces.encode(twins, key=("doc_id", "copy")).select("token_ids").distinct().count() == 2
 
 
 # ---------------------------------------------------------------- quality classifier and features
@@ -539,18 +562,35 @@ def in_process(texts):
     found = [r for b in suffix_dedup._anchor_rows(iter([rows])) for r in b.to_pylist()]
     kind = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("hashes", pa.list_(pa.int64())), ("spots", pa.list_(pa.int64()))])
     cut = []
-    for i, t in texts:  # a block each, so that nothing collapses early
-        mine = [r for r in found if r["rid"] == i]
-        one = pa.RecordBatch.from_pylist([{"rid": i, "doc_id": i, "text": t or "", "hashes": [r["hash"] for r in mine], "spots": [r["spot"] for r in mine]}], schema=kind)
-        cut += [r for b in suffix_dedup._stretch_rows(iter([one])) for r in b.to_pylist()]
+    for at in range(0, len(texts), 7):  # seven documents a shard
+        block = []
+        for i, t in texts[at : at + 7]:
+            mine = [r for r in found if r["rid"] == i]
+            block.append({"rid": i, "doc_id": i, "text": t or "", "hashes": [r["hash"] for r in mine], "spots": [r["spot"] for r in mine]})
+        cut += [{**r, "shard": r["shard"] and r["shard"] + at} for b in suffix_dedup._stretch_rows(iter([pa.RecordBatch.from_pylist(block, schema=kind)])) for r in b.to_pylist()]
     cut.sort(key=lambda r: r["hash"])
     marks = {}
-    for b in suffix_dedup._repeat_rows(iter([pa.RecordBatch.from_pylist(cut, schema=suffix_dedup._STRETCH)])):
+    batches = [pa.RecordBatch.from_pylist(cut[i : i + 50], schema=suffix_dedup._STRETCH) for i in range(0, len(cut), 50)]
+    for b in suffix_dedup._repeat_rows(iter(batches)):
         for r in b.to_pylist():
             marks.setdefault(r["rid"], []).append({"first": r["first"], "last": r["last"]})
     return marks
 
 
+def test_runs_merge_to_the_first_of_equal_stretches():
+    rng = np.random.default_rng(8)
+    for rows in (1, 2, 40, 700):
+        n = rng.integers(1, 4, rows)
+        body = [np.concatenate([rng.integers(0, 2, 2), np.zeros(k + suffix_dedup.LENGTH - 3)]).astype(np.uint8) for k in n]
+        s = suffix_dedup.Stretches(rng.integers(-2, 2, rows), rng.integers(0, 20, rows), rng.integers(0, 9, rows), rng.permutation(rows), rng.integers(0, 5, rows), n, np.concatenate(body))
+        first = {}
+        for i in range(rows):
+            key = (s.hash[i], body[i].tobytes())
+            if key not in first or (s.doc[i], s.rid[i], s.start[i]) < (s.doc[first[key]], s.rid[first[key]], s.start[first[key]]):
+                first[key] = i
+        assert sorted(suffix_dedup.merge_runs(s).tolist()) == sorted(first.values())
+
+
 def test_long_text_goes_piece_by_piece(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
     texts = passages(11)
