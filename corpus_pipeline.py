@@ -6,7 +6,7 @@ of documents; labels for the two fitted stages come from ``labels`` in ``sf_dir`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obskit.llm import exact_index, mixing, pieces, simhash, toxicity
@@ -40,7 +40,9 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tokens = pieces.encode(docs.select("doc_id", "text")).select("doc_id", "token_ids")
+    """Token ids; the copies of a document are numbered, so that dropout cuts each in its own way."""
+    copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    tokens = pieces.encode(docs.select("doc_id", "text", copy.alias("copy")), key=("doc_id", "copy"))
     return tokens.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids")
 
 
