@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import join_on, quantiles
 from .space import neighbor_count
 
 
@@ -90,7 +91,8 @@ def station_series(rows: DataFrame, least: int = 3) -> DataFrame:
 
 def linear_trend(points: DataFrame, t: str, v: str, keys: Sequence[str], share: float = 0.15) -> DataFrame:
     """Per key: slope, intercept, span, and rising / falling / stable as the fitted change against a share of the median."""
-    g = points.groupBy(*keys).agg(F.count("*").alias("n"), F.regr_slope(v, t).alias("slope"), F.regr_intercept(v, t).alias("intercept"), (F.max(t) - F.min(t)).alias("span"), F.median(v).alias("median"))
+    g = points.groupBy(*keys).agg(F.count("*").alias("n"), F.regr_slope(v, t).alias("slope"), F.regr_intercept(v, t).alias("intercept"), (F.max(t) - F.min(t)).alias("span"))
+    g = join_on(g, quantiles(points, keys, v, {"median": 0.5}), keys, "left")
     change, edge = F.col("slope") * F.col("span"), share * F.abs("median")
     return g.withColumn("trend", F.when(change > edge, "rising").when(change < -edge, "falling").when(change.isNotNull(), "stable").otherwise("undetermined"))
 

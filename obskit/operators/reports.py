@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
+from .ranking import join_on, quantiles
 from .screening import cell_index
 
 QUANTIFIED = "value is not null"
@@ -178,12 +179,14 @@ def map_availability(obs: DataFrame) -> DataFrame:
 
 def element_distribution(obs: DataFrame, bins: int = 16) -> DataFrame:
     """(element, stratum, n, p10, median, p90, bin, in_bin): the largest medium x unit stratum's log10 histogram."""
-    v = obs.filter("qualifier = 'reported' and value > 0").withColumn("lv", F.log10("value"))
-    by = v.groupBy("element", "medium", "unit").agg(F.count("*").alias("n"), F.min("lv").alias("lo"), F.max("lv").alias("hi"), *[F.percentile("value", F.lit(p)).alias(a) for a, p in (("p10", 0.1), ("median", 0.5), ("p90", 0.9))])
+    keys = ["element", "medium", "unit"]
+    v = obs.filter("qualifier = 'reported' and value > 0").select(*keys, "value", F.log10("value").alias("lv"))
+    by = v.groupBy(*keys).agg(F.count("*").alias("n"), F.min("lv").alias("lo"), F.max("lv").alias("hi"))
     top = by.withColumn("k", F.row_number().over(Window.partitionBy("element").orderBy(F.desc("n"), "medium", "unit"))).filter("k = 1").drop("k")
+    v = join_on(v, top, keys)
+    v = join_on(v, quantiles(v, keys, "value", {"p10": 0.1, "median": 0.5, "p90": 0.9}), keys)
     b = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("lv") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"))).otherwise(0)
-    keys = ["element", "medium", "unit"]
-    return v.join(top, keys).withColumn("bin", b).groupBy(*keys, "n", "p10", "median", "p90", "bin").agg(F.count("*").alias("in_bin"))
+    return v.withColumn("bin", b).groupBy(*keys, "n", "p10", "median", "p90", "bin").agg(F.count("*").alias("in_bin"))
 
 
 def coverage_diagnostics(obs: DataFrame) -> DataFrame:

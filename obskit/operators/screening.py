@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import join_on, least_from_above, quantiles, ranked_values
+
 CENSORED = ("lt", "le", "gt", "ge", "bdl", "loq", "nd", "trace")
 POLICY = {"recovery_low": 80.0, "recovery_high": 120.0, "blank_max": 5.0, "rpd_max": 20.0, "unit": "mg/kg"}
 
@@ -34,19 +36,19 @@ def exclusion(obs: DataFrame, gate: bool = False) -> Column:
 def anomaly_group_report(obs: DataFrame, group_by: Sequence[str], min_group: int = 8, min_quantified: float = 0.7, gate: bool = False) -> DataFrame:
     """One row per comparable group: counts, fractions, status, log10 median and MAD.
 
-    Medians are exact and grouped (two shuffles on the group key, the first pre-aggregated); nothing is collected.
+    Medians are exact and taken by ``ranking.quantiles``: a group that holds most rows is spread over tasks.
     """
-    marked = obs.withColumns({"_why": exclusion(obs, gate)}).withColumn("_log", F.when(F.col("_why").isNull(), F.log10("value")))
-    why = F.col("_why")
-    count = lambda *names: F.count_if(why.isin(*names))
+    why = exclusion(obs, gate)
+    names = ("censored", "not_standardized", "non_positive", "duplicates", "batch_excluded")
+    held = {"duplicates": ("duplicate_candidate",), "batch_excluded": ("batch_qc_failed", "batch_qc_incomplete")}
+    marked = obs.select(*group_by, why.alias("why"), F.when(why.isNull(), F.log10("value")).alias("log"))
     groups = marked.groupBy(*group_by).agg(
-        F.count("*").alias("records_total"), F.count_if(why.isNull()).alias("records_used"), count("censored").alias("censored"), count("not_standardized").alias("not_standardized"),
-        count("non_positive").alias("non_positive"), count("duplicate_candidate").alias("duplicates"), count("batch_qc_failed", "batch_qc_incomplete").alias("batch_excluded"), F.median("_log").alias("log10_median"),
-    )
-    keyed = groups.select(*[F.col(k).alias(f"_g_{k}") for k in group_by], F.col("log10_median").alias("_med"))
-    on = _all([F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in group_by])
-    mads = marked.filter(why.isNull()).join(keyed, on).groupBy(*[f"_g_{k}" for k in group_by]).agg(F.median(F.abs(F.col("_log") - F.col("_med"))).alias("log10_mad"))
-    out = groups.join(mads, on, "left").drop(*[f"_g_{k}" for k in group_by])
+        F.count("*").alias("records_total"), F.count_if(F.col("why").isNull()).alias("records_used"), *[F.count_if(F.col("why").isin(*held.get(n, (n,)))).alias(n) for n in names]
+    )
+    medians = quantiles(marked, group_by, "log", {"log10_median": 0.5})
+    off = join_on(marked.filter("log is not null"), medians, group_by)
+    mads = quantiles(off, group_by, F.abs(F.col("log") - F.col("log10_median")), {"log10_mad": 0.5})
+    out = join_on(join_on(groups, medians, group_by, "left"), mads, group_by, "left")
     independent = F.col("records_total") - F.col("duplicates") - F.col("batch_excluded")
     out = out.withColumn("independent", independent).withColumn("quantified_fraction", F.when(F.col("independent") > 0, F.col("records_used") / F.col("independent")).otherwise(0.0))
     status = (
@@ -56,22 +58,15 @@ def anomaly_group_report(obs: DataFrame, group_by: Sequence[str], min_group: int
     return out.withColumn("status", status)
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
-
-
 def robust_anomalies(obs: DataFrame, group_by: Sequence[str], min_group: int = 8, z: float = 3.5, min_quantified: float = 0.7, gate: bool = False) -> DataFrame:
     """Rows whose log10 value lies ``z`` or more robust deviations from their group's median; adds robust_z, direction."""
     report = anomaly_group_report(obs, group_by, min_group, min_quantified, gate).filter("status = 'analyzed'")
-    keyed = report.select(*[F.col(k).alias(f"_g_{k}") for k in group_by], "log10_median", "log10_mad")
-    on = _all([F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in group_by])
-    usable = obs.withColumn("_why", exclusion(obs, gate)).filter(F.col("_why").isNull()).drop("_why")
-    scored = usable.join(keyed, on).withColumn("robust_z", 0.67448975 * (F.log10("value") - F.col("log10_median")) / F.col("log10_mad"))
-    hit = scored.filter(F.abs("robust_z") >= z).withColumn("direction", F.when(F.col("robust_z") > 0, "high").otherwise("low"))
-    return hit.drop("log10_median", "log10_mad", *[f"_g_{k}" for k in group_by])
+    own = F.struct(*[F.col(f"`{c}`") for c in obs.columns]).alias("row")
+    usable = obs.select(*group_by, own, F.log10("value").alias("log"), exclusion(obs, gate).alias("why")).filter("why is null")
+    scored = join_on(usable, report.select(*group_by, "log10_median", "log10_mad"), group_by).withColumn("z", 0.67448975 * (F.col("log") - F.col("log10_median")) / F.col("log10_mad"))
+    hit = scored.filter(F.abs("z") >= z)
+    kept = [c for c in obs.columns if c not in ("robust_z", "direction")]
+    return hit.select(*[F.col("row")[c].alias(c) for c in kept], F.col("z").alias("robust_z"), F.when(F.col("z") > 0, "high").otherwise("low").alias("direction"))
 
 
 # Lanczos coefficients, g = 7.
@@ -91,31 +86,49 @@ def log_choose(n: Column, k: Column) -> Column:
     return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
 
 
-def hypergeometric_survival(df: DataFrame, successes: str, population: str, population_successes: str, draws: str, into: str = "p_value") -> DataFrame:
-    """Add the exact P[X >= successes], summing the shorter tail of each row in place."""
+def hypergeometric_survival(df: DataFrame, successes: str, population: str, population_successes: str, draws: str, into: str = "p_value", most: int = 4096) -> DataFrame:
+    """Add P[X >= successes] of the hypergeometric distribution.
+
+    The asked tail is summed where it is the smaller one, so small p values keep their digits; elsewhere the other one
+    is taken from 1. Terms follow from each other by a ratio that falls with the distance from the mode. A row has as
+    many terms as the tail, or 12 standard deviations and 60, or ``most``, whichever is least; the geometric bound of
+    what is left out is added, so p errs upwards, by less than 1e-9 of itself up to a deviation of ``most`` / 12.
+    """
     x, n, k, m = (F.col(c).cast("double") for c in (successes, population, population_successes, draws))
     low, high = F.greatest(F.lit(0.0), m - (n - k)), F.least(m, k)
-    df = df.withColumns({"_low": low, "_high": high, "_all": log_choose(n, m)})
-    lower = (x - F.col("_low")) < (F.col("_high") - x + 1)
-    first, last = F.when(lower, F.col("_low")).otherwise(x), F.when(lower, x - 1).otherwise(F.col("_high"))
-    df = df.withColumn("_i", F.when(first <= last, F.sequence(first.cast("int"), last.cast("int"))))
-    logs = F.transform("_i", lambda i: log_choose(k, i.cast("double")) + log_choose(n - k, m - i.cast("double")) - F.col("_all"))
-    df = df.withColumn("_l", logs)
-    top = F.array_max("_l")
-    total = F.exp(top) * F.aggregate(F.transform("_l", lambda v: F.exp(v - top)), F.lit(0.0), lambda a, b: a + b)
-    p = F.when(x <= F.col("_low"), 1.0).when(x > F.col("_high"), 0.0).when(lower, 1.0 - total).otherwise(total)
-    return df.withColumn(into, F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))).drop("_low", "_high", "_all", "_i", "_l")
+    upper = x > (m + 1) * (k + 1) / (n + 2)  # beyond the mode, the asked tail is the smaller one
+    at = F.when(upper, x).otherwise(x - 1)
+    log_first = log_choose(k, at) + log_choose(n - k, m - at) - log_choose(n, m)
+    deviation = F.sqrt(m * (k / n) * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0)))
+    left = F.greatest(F.when(upper, high - at).otherwise(at - low), F.lit(0.0))
+    terms = F.least(left, F.ceil(12 * deviation) + 60.0, F.lit(float(most)))
+
+    def ratio(i: Column) -> Column:
+        """Of the next term, away from the mode, to the term at ``i``."""
+        up = (k - i) * (m - i) / ((i + 1) * (n - k - m + i + 1))
+        down = i * (n - k - m + i) / ((k - i + 1) * (m - i + 1))
+        return F.when(upper, up).otherwise(down)
+
+    def add(state: Column, j: Column) -> Column:
+        i = F.when(upper, at + j).otherwise(at - j)
+        return F.struct((state["t"] * F.coalesce(ratio(i), F.lit(0.0))).alias("t"), (state["s"] + state["t"]).alias("s"))
+
+    def close(state: Column) -> Column:
+        after = ratio(F.when(upper, at + terms + 1).otherwise(at - terms - 1))
+        return state["s"] + F.when((terms < left) & (after < 1), state["t"] / (1 - after)).otherwise(0.0)
+
+    start = F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("s"))
+    total = F.exp(log_first) * F.aggregate(F.sequence(F.lit(0), terms.cast("int")), start, add, close)
+    p = F.when(x <= low, 1.0).when(x > high, 0.0).when(upper, total).otherwise(1.0 - total)
+    return df.withColumn(into, F.least(F.lit(1.0), F.greatest(F.lit(0.0), p)))
 
 
 def benjamini_hochberg(df: DataFrame, p_col: str, into: str = "q_value") -> DataFrame:
-    """Add step-up q values over all rows. Equal p values share a rank, so only the distinct ones, with counts, meet in
-    the running window; hypotheses, not measurements, bound its size."""
-    distinct = df.groupBy(p_col).agg(F.count("*").alias("_n"))
-    up = Window.orderBy(p_col).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = distinct.withColumn("_rank", F.sum("_n").over(up)).withColumn("_m", F.sum("_n").over(Window.partitionBy()))
-    down = Window.orderBy(F.desc(p_col)).rowsBetween(Window.unboundedPreceding, 0)
-    q = ranked.withColumn(into, F.least(F.lit(1.0), F.min(F.col(p_col) * F.col("_m") / F.col("_rank")).over(down)))
-    return df.join(q.select(p_col, into), p_col)
+    """Add step-up q values over all rows. Equal p values share a rank; running counts and minima go over buckets of p,
+    so no task sees all hypotheses."""
+    df = df.persist()  # hypotheses, few next to the measurements behind them, are read three times
+    q = least_from_above(ranked_values(df, [], p_col), [], F.col("v") * F.col("n") / (F.col("before") + F.col("k")), "q")
+    return join_on(df, q.select(F.col("v").alias(p_col), F.least(F.lit(1.0), "q").alias(into)), [p_col], "left")
 
 
 def cell_index(lon: Column, lat: Column, degrees: float) -> tuple[Column, Column]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
+from .ranking import join_on, quantiles
 from .screening import cell_index
 
 METRES = 111320.0
@@ -158,13 +159,14 @@ def raster_cell_join(obs: DataFrame, raster: DataFrame, degrees: float = 0.5) ->
 def concentration_grid(obs: DataFrame, element: str, degrees: float, layer: Sequence[str]) -> DataFrame:
     """Cells x comparability layer of one element: records, samples, quantified, censored, unquantified, quartiles."""
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    rows = obs.filter((F.col("element") == element) & F.col("lon").isNotNull())
     shown = F.when(F.col("qualifier") == "reported", F.col("value"))
-    q = lambda p: F.percentile(shown, F.lit(p))
-    return rows.groupBy(x.alias("cell_x"), y.alias("cell_y"), *layer).agg(
-        F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.count(shown).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"),
-        F.count_if((F.col("qualifier") == "reported") & F.col("value").isNull()).alias("unquantified"), q(0.5).alias("median"), q(0.25).alias("q25"), q(0.75).alias("q75"),
+    rows = obs.filter((F.col("element") == element) & F.col("lon").isNotNull()).select(*layer, "sample_id", "qualifier", "value", x.alias("cell_x"), y.alias("cell_y"), shown.alias("shown"))
+    keys = ["cell_x", "cell_y", *layer]
+    counts = rows.groupBy(*keys).agg(
+        F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.count("shown").alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"),
+        F.count_if((F.col("qualifier") == "reported") & F.col("value").isNull()).alias("unquantified"),
     )
+    return join_on(counts, quantiles(rows, keys, "shown", {"median": 0.5, "q25": 0.25, "q75": 0.75}), keys, "left")
 
 
 def target_grid(spark, box: Sequence[float], degrees: float, polygons: DataFrame, zones: tuple[int, int] = (2, 3), bands: int = 4) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.screening import robust_anomalies
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _ID = "concat(cast(l_orderkey as string),'-',cast(l_linenumber as string),'-',cast(l_partkey as string),'-',cast(l_suppkey as string))"
@@ -84,8 +86,21 @@ select concat('B', cast(cast(floor(o_orderkey / 4) as bigint) % 500 as string))
     "series": """
 select user_id as station, event_type as element, ts, cast(year(ts) as double) + (cast(month(ts) as double) - 1) / 12 + cast(day(ts) as double) / 366 as t,
  value, case when event_id % 5 = 0 then 'ug/L' else 'mg/L' end as unit from {events}""",
-    # Anomaly candidates, as a claim to check.
+    # Measurements with some contaminated places: a hundredth of the places, three of their measurements in four.
+    "sites": """
+select record_id, sample_id, source_id, lineage, element, medium, method_family, basis, qualifier, unit, sample_type, lon, lat, sampled_at, lithology, source_row, value * case
+ when cast(round((lat + 90) * 100) as bigint) % 97 = 0 and source_row % 4 <> 0 then cast(10000 as double) else cast(1 as double) end as value from (OBS) o""",
+    # Their outliers (on the Spark side by the operator itself).
     "flagged": """
+select record_id, sample_id, element, medium, lon, lat, lithology, source_row, case when z > 0 then 'high' else 'low' end as direction
+from (select w.*, 0.67448975 * (log10(value) - med) / mad as z
+ from (select *, case when qualifier = 'lt' or value is null or value <= 0 then 1 else 0 end as why from (SITES) s0) w
+ join (select element, medium, unit, count(*) as total, count(*) filter (where qualifier <> 'lt' and value > 0) as used, median(log10(value)) filter (where qualifier <> 'lt' and value > 0) as med from (SITES) s1 group by element, medium, unit) g using (element, medium, unit)
+ join (select s2.element, s2.medium, s2.unit, median(abs(log10(value) - med2)) as mad from (SITES) s2 join (select element, medium, unit, median(log10(value)) filter (where qualifier <> 'lt' and value > 0) as med2 from (SITES) s3 group by element, medium, unit) g2
+  on s2.element = g2.element and s2.medium = g2.medium and s2.unit = g2.unit where qualifier <> 'lt' and value > 0 group by s2.element, s2.medium, s2.unit) m using (element, medium, unit)
+ where why = 0 and total >= 8 and used >= 8 and used / total >= 0.7 and mad > 0) a where abs(z) >= 3.5""",
+    # Anomaly candidates as others claim them.
+    "claimed": """
 select record_id, sample_id, element, medium, lon, lat, lithology, case when source_row % 2 = 0 then 'high' else 'low' end as direction
 from (OBS) o where source_row % 11 = 0""",
     # Record evidence with planted gaps, extra rows and changes.
@@ -95,8 +110,9 @@ select record_id, source_id, case when source_row % 97 = 0 then 'changed' else t
 from (OBS) o where source_row % 53 <> 0
 union all select concat(record_id, 'x'), 'src-9', title, license, 'file-9', 'h-9', element, lon, lat from (OBS) o where source_row % 401 = 0""",
 }
-for _k in ("flagged", "evidence"):
+for _k in ("sites", "claimed", "evidence"):
     VIEWS[_k] = VIEWS[_k].replace("OBS", VIEWS["obs"])
+VIEWS["flagged"] = VIEWS["flagged"].replace("SITES", VIEWS["sites"])
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -111,6 +127,11 @@ class Tables:
         if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000:
             spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
+    @property
+    def flagged(self) -> DataFrame:
+        found = robust_anomalies(self.sites, ["element", "medium", "unit"])
+        return found.select("record_id", "sample_id", "element", "medium", "lon", "lat", "lithology", "source_row", "direction")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -81,47 +81,78 @@ def j12(t):
     return r(r(out, 4, "a_median", "b_median"), 6, "ratio")
 
 
+#: The same by medium, with a site number to split by.
+MEDIA = """
+, lp as (select medium, lon as site_lon, lat as site_lat, median(value) filter (sample_type = 'topsoil') as a, median(value) filter (sample_type = 'core') as b from obs
+  where qualifier = 'reported' and value > 0 and lon is not null and sample_type in ('topsoil', 'core') group by 1, 2, 3 having a is not null and b is not null),
+l2 as (select *, b / a as ratio, log2(b / a) as lr, cast(round(site_lon * 100) as bigint) as site from lp)
+"""
+
+
+def _media_layers(t):
+    rows = t.obs.filter("lon is not null").withColumns({"site_lon": F.col("lon"), "site_lat": F.col("lat")})
+    pairs = P.median_pair(rows, ["medium", "site_lon", "site_lat"], F.col("sample_type"), "topsoil", "core")
+    return pairs.withColumn("site", F.round(F.col("site_lon") * 100).cast("bigint"))
+
+
+def tail(z: str) -> str:
+    """The two-sided normal p value of ``z`` in SQL, by the fit that the operator states."""
+    terms = (0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223)
+    x, t = f"(abs({z}) / sqrt(2))", f"(1 / (1 + 0.5 * abs({z}) / sqrt(2)))"
+    poly = str(terms[0])
+    for c in terms[1:]:
+        poly = f"({poly} * {t} + {c})"
+    return f"least(1.0, {t} * exp(-{x} * {x} + {poly}))"
+
+
 @query(
     "a46_paired_ratio_test",
-    LP.format(w="")
-    + """
-, z as (select *, abs(lr) as m from l2 where lr <> 0), k as (select *, rank() over (order by m) + (count(*) over (partition by m) - 1) / 2 as r, count(*) over (partition by m) as tie from z),
-w as (select sum(r) filter (lr > 0) as w_plus, count(*)::double as k, sum(tie * tie - 1)::double as ties from k)
-select n, round(mr, 6) as median_ratio, round(sh, 6) as share_above, round((w_plus - k * (k + 1) / 4) / sqrt(k * (k + 1) * (2 * k + 1) / 24 - ties / 48), 6) as z
-from (select count(*) as n, median(ratio) as mr, avg(case when ratio > 1.5 then 1 else 0 end) as sh from l2) b, w""",
+    MEDIA
+    + f"""
+, z as (select *, abs(lr) as m from l2 where lr <> 0), k as (select *, rank() over (partition by medium order by m) + (count(*) over (partition by medium, m) - 1) / 2 as r, count(*) over (partition by medium, m) as tie from z),
+w as (select medium, sum(r) filter (lr > 0) as w_plus, count(*)::double as k, sum(tie * tie - 1)::double as ties from k group by 1),
+zz as (select medium, w_plus, (w_plus - k * (k + 1) / 4) / sqrt(k * (k + 1) * (2 * k + 1) / 24 - ties / 48) as z from w)
+select medium, n, round(mr, 6) as median_ratio, round(sh, 6) as share_above, round(w_plus, 1) as w_plus, round(z, 6) as z, round({tail("z")}, 6) as p_value
+from (select medium, count(*) as n, median(ratio) as mr, avg(case when ratio > 1.5 then 1 else 0 end) as sh from l2 group by 1) b join zz using (medium)""",
 )
 def a46(t):
-    out = P.paired_ratio_test(_layers(t).withColumn("g", F.lit(1)), ["g"])
-    return r(out, 6, "median_ratio", "share_above", "z").select("n", "median_ratio", "share_above", "z")
+    return r(r(P.paired_ratio_test(_media_layers(t), ["medium"]), 6, "median_ratio", "share_above", "z", "p_value"), 1, "w_plus").select("medium", "n", "median_ratio", "share_above", "w_plus", "z", "p_value")
 
 
 @query("a47_bootstrap_median_ci")
 def a47(t):
-    df = t.obs.filter("qualifier = 'reported' and value > 0").select("medium", F.round(F.log10("value"), 2).alias("ratio"))
-    return P.bootstrap_median_ci(df, ["medium"], n=500)
+    df = t.obs.filter("qualifier = 'reported' and value > 0").select("element", "medium", F.log10("value").alias("ratio"))
+    return P.bootstrap_median_ci(df, ["element", "medium"])
 
 
 @query(
     "a48_transfer_model",
-    LP.format(w="").replace("select lon as site_lon", "select 1 as one, lon as site_lon").replace("group by 1, 2", "group by 1, 2, 3")
-    + "select 1 as g, count(*) as n_train, round(regr_slope(log10(b), log10(a)), 6) as slope, round(regr_intercept(log10(b), log10(a)), 6) as intercept, round(regr_r2(log10(b), log10(a)), 6) as r2, round(quantile_cont(ratio, 0.75) - quantile_cont(ratio, 0.25), 6) as ratio_iqr from l2",
+    MEDIA
+    + """
+, s as (select *, cast('0x' || substr(md5(cast(site as varchar)), 1, 8) as bigint) % 100 < 80 as fit, log10(a) as lx, log10(b) as ly from l2),
+m as (select medium, count(*) as n_train, regr_slope(ly, lx) as slope, regr_intercept(ly, lx) as intercept, regr_r2(ly, lx) as r2, median(ratio) as constant from s where fit group by 1),
+q as (select medium, quantile_cont(ratio, 0.75) - quantile_cont(ratio, 0.25) as ratio_iqr from s group by 1),
+h as (select medium, count(*) as n_test, median(abs(pow(10, intercept + slope * lx) / b - 1)) as mdape_power, median(abs(a * constant / b - 1)) as mdape_constant from s join m using (medium) where not fit group by 1)
+select medium, n_train, round(slope, 6) as slope, round(intercept, 6) as intercept, round(r2, 6) as r2, round(constant, 6) as constant, round(ratio_iqr, 6) as ratio_iqr, n_test, round(mdape_power, 6) as mdape_power, round(mdape_constant, 6) as mdape_constant
+from m join q using (medium) left join h using (medium)""",
 )
 def a48(t):
-    out = P.transfer_model(_layers(t).withColumn("g", F.lit(1)), ["g"], "site_lon", train=1.0)
-    return r(out, 6, "slope", "intercept", "r2", "ratio_iqr").select("g", "n_train", "slope", "intercept", "r2", "ratio_iqr")
+    out = P.transfer_model(_media_layers(t), ["medium"], "site")
+    return r(out, 6, "slope", "intercept", "r2", "constant", "ratio_iqr", "mdape_power", "mdape_constant")
 
 
 @query(
     "a49_rank_sum_test",
-    """
+    f"""
 , v as (select medium, sample_type, value from obs where sample_type in ('topsoil','core') and qualifier = 'reported' and value > 0),
 k as (select *, rank() over (partition by medium order by value) + (count(*) over (partition by medium, value) - 1) / 2 as r, count(*) over (partition by medium, value) as tie from v),
-g as (select medium, count(*) filter (sample_type = 'topsoil')::double as na, count(*) filter (sample_type = 'core')::double as nb, sum(r) filter (sample_type = 'topsoil') as ra, sum(tie * tie - 1)::double as ties, median(value) filter (sample_type = 'topsoil') as ma, median(value) filter (sample_type = 'core') as mb from k group by 1)
-select medium, cast(na as bigint) as n_a, cast(nb as bigint) as n_b, round(ra - na * (na + 1) / 2, 1) as u, round((ra - na * (na + 1) / 2 - na * nb / 2) / sqrt(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1)))), 6) as z, round(mb / ma, 6) as median_ratio from g where na >= 30 and nb >= 30""",
+g as (select medium, count(*) filter (sample_type = 'topsoil')::double as na, count(*) filter (sample_type = 'core')::double as nb, sum(r) filter (sample_type = 'topsoil') as ra, sum(tie * tie - 1)::double as ties, median(value) filter (sample_type = 'topsoil') as ma, median(value) filter (sample_type = 'core') as mb from k group by 1),
+u as (select *, ra - na * (na + 1) / 2 as u, (ra - na * (na + 1) / 2 - na * nb / 2) / sqrt(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1)))) as z from g where na >= 30 and nb >= 30)
+select medium, cast(na as bigint) as n_a, cast(nb as bigint) as n_b, round(u, 1) as u, round(z, 6) as z, round({tail("z")}, 6) as p_value, round(mb / ma, 6) as median_ratio from u""",
 )
 def a49(t):
     out = P.rank_sum_test(t.obs, "sample_type", "topsoil", "core", ["medium"])
-    return r(r(out, 6, "z", "median_ratio"), 1, "u").drop("p_value")
+    return r(r(out, 6, "z", "median_ratio", "p_value"), 1, "u")
 
 
 @query("a50_depth_profile", "select medium, cast(case when depth < 1 then 0 when depth < 2 then 1 else 2 end as int) as depth_bin, count(*) as n, round(median(value), 4) as median, round(quantile_cont(value, 0.25), 4) as q25, round(quantile_cont(value, 0.75), 4) as q75 from obs where qualifier = 'reported' and value is not null and depth >= 0 and depth < 10 group by 1, 2 having count(*) >= 25")
@@ -142,7 +173,7 @@ def a51(t):
 
 @query("a52_threshold_exceedance", "select source_id, count(*) as n, round(median(value), 4) as median, count(*) filter (value > 200000) as above_200000, count(*) filter (value > 450000) as above_450000 from obs where qualifier = 'reported' and value is not null group by 1")
 def a52(t):
-    return r(P.threshold_exceedance(t.obs, [200000.0, 450000.0]), 4, "median").withColumnRenamed("above_2e+05", "above_200000").withColumnRenamed("above_4.5e+05", "above_450000")
+    return r(P.threshold_exceedance(t.obs, {"above_200000": 200000.0, "above_450000": 450000.0}), 4, "median")
 
 
 @query("a53_enriched_bins", LP.format(w="") + "select cast(floor(site_lon / 20) as bigint) as bx, cast(floor(site_lat / 20) as bigint) as \"by\", count(*) as n, round(median(lr), 6) as median_log2 from l2 group by 1, 2 having count(*) >= 5 order by median(lr) desc, 1, 2 limit 8")
