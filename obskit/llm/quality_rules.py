@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one Spark projection, without user functions.
 
 Defined cases: a null text has no words and every count 0; a text without words has ratio 0 everywhere and fails
-the base rule; repeated rows are judged alike; other columns pass through; an empty table gives no rows.
+the base rule; repeated rows are judged alike; other columns pass through, but one named as the new
+column is replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -117,6 +118,9 @@ def passes(c: Column, rules=RULES) -> Column:
 
 def apply_rules(docs: DataFrame, text: str = "text", rules=RULES, into: str = "quality") -> DataFrame:
     """Add the struct ``into``: the counts, base_failed and kept."""
-    c = F.col("_counts")
-    judged = docs.withColumn("_counts", _counts(F.coalesce(F.col(text), F.lit(""))))
-    return judged.withColumn(into, F.struct("_counts.*", base_failed(c).alias("base_failed"), (~base_failed(c) & passes(c, rules)).alias("kept"))).drop("_counts")
+    row = F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row")
+    judged = docs.select(row, _counts(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("counts"))
+    c = F.col("counts")
+    verdict = F.struct("counts.*", base_failed(c).alias("base_failed"), (~base_failed(c) & passes(c, rules)).alias("kept"))
+    kept = [n for n in docs.columns if n.lower() != into.lower()]
+    return judged.select(*[F.col("row")[n].alias(n) for n in kept], verdict.alias(into))

@@ -12,7 +12,8 @@ one error; or each has just one. So fingerprints that link meet under a key of o
 * one form of three codewords: own, own, keys on the probe side; keys, keys, own on the other.
 
 Candidates are verified by the bits that differ, and links become components. Exact copies and equal fingerprints
-are one node from the start, so no group of copies is expanded.
+are one node from the start, so no group of copies is expanded. Links stay linear in the number of distinct
+fingerprints: one has at most 43,744 others within 3 bits, and at most 128 are all within 3 bits of each other.
 
 Defined cases: a null or wordless text has fingerprint zero; a null id never wins a component that has an id;
 repeated rows share one; other columns are ignored; an empty table gives no rows.
@@ -144,7 +145,8 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
                 probe, index = fuzzy_keys(col.to_numpy(zero_copy_only=False).view(np.uint64))
                 yield pa.RecordBatch.from_arrays([col, _ragged(probe), _ragged(index)], names=["f", "probe", "index"])
 
-    keyed = prints.select("fingerprint").mapInArrow(each, "f bigint, probe array<bigint>, index array<bigint>")
+    spread = prints.select("fingerprint").repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")  # a row becomes about 60
+    keyed = spread.mapInArrow(each, "f bigint, probe array<bigint>, index array<bigint>")
     probe = keyed.select(F.col("f").alias("u"), F.explode("probe").alias("k"))
     index = keyed.select(F.col("f").alias("v"), F.explode("index").alias("k"))
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= bits)
@@ -173,11 +175,12 @@ def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 
     Components are told apart by their root: the smallest id is null in each without ids, and unlike texts may share one.
     """
-    marked = durable(fingerprints(docs, ["doc_id"]).select("row.doc_id", "fingerprint"))
+    rows = durable(fingerprints(docs))
+    marked = rows.select("row.doc_id", "fingerprint")
     least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "fingerprint"))
     keepers = _rooted(marked, bits).groupBy("root").agg(least.alias("k")).select(F.col("k.fingerprint").alias("fingerprint"), F.col("k.first_id").alias("keep_id"))
     once = F.row_number().over(Window.partitionBy("print", "keep_id").orderBy("print"))
     # The id is a join key too, so the copies of one text are dealt to many tasks.
-    rows, kept = fingerprints(docs), keepers.withColumnRenamed("fingerprint", "print").hint("merge")
+    kept = keepers.withColumnRenamed("fingerprint", "print").hint("merge")
     mine = rows.join(kept, (F.col("fingerprint") == F.col("print")) & F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
     return mine.withColumn("n", once).filter("n = 1").select("row.*")

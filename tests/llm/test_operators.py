@@ -289,6 +289,10 @@ def test_rendezvous_matches_brute_force_and_moves_little(spark, odd):
         slots.setdefault(r.shard, []).append(r.slot)
     assert len(placed) == odd.count() and all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sharding.assign_shards(odd.limit(0), "doc_id", [1.0], ["text"]).count() == 0
+    clash = odd.withColumns({c: F.lit(c) for c in ("_n", "_bucket", "_before", "bucket", "n", "before", "row", "shard", "slot", "a.b")})
+    out = sharding.assign_shards(clash, "doc_id", [1.0] * 3, ["text"])
+    assert sorted(out.columns) == sorted(clash.columns) and out.count() == odd.count()
+    assert all(r["_n"] == "_n" and r["bucket"] == "bucket" and r["a.b"] == "a.b" and r.shard in (0, 1, 2) for r in out.collect())
 
 
 # ---------------------------------------------------------------- quality rules
@@ -312,6 +316,9 @@ def test_quality_rules_match_brute_force(spark, odd):
     out = quality_rules.apply_rules(odd)
     assert out.count() == odd.count() and all(r.quality.base_failed for r in out.filter("text is null or trim(text) = ''").collect())
     assert quality_rules.apply_rules(odd.limit(0)).count() == 0
+    clash = odd.withColumns({c: F.lit(c) for c in ("_counts", "counts", "row", "quality", "a.b")})
+    judged = quality_rules.apply_rules(clash)
+    assert sorted(judged.columns) == sorted(clash.columns) and all(r["_counts"] == "_counts" and r.counts == "counts" and r.quality.n_words >= 0 for r in judged.collect())
 
 
 # ---------------------------------------------------------------- simhash
@@ -438,6 +445,17 @@ def test_exact_dedup_and_its_index(spark, odd):
     again = {r.doc_id: r for r in exact_index.dedup_exact(docs_of(spark, {20: "OLD", 21: "new"}), index).collect()}
     assert {r.keep_id for r in first} == {11} and not again[20].kept and again[20].keep_id == 11 and again[21].kept
     assert index.read().count() == 2
+    same_name = exact_index.DigestIndex(spark, index.name)
+    third = {r.doc_id: r for r in exact_index.dedup_exact(docs_of(spark, {30: "NEW", 31: "third"}), same_name).collect()}
+    assert not third[30].kept and third[30].keep_id == 21 and third[31].kept and same_name.read().count() == 3
+    lost = docs_of(spark, {40: "half", 41: "written"}).select("doc_id", exact_index.text_digest(F.col("text")).alias("digest"))
+    same_name.append(lost, "a driver lost before its commit")
+    assert same_name.read().count() == 3 and all(r.kept for r in exact_index.dedup_exact(docs_of(spark, {42: "half"}), same_name).collect())
+    assert [r.doc_id for r in exact_index.keep_one(docs_of(spark, {50: "old", 51: "fresh"}), same_name).collect()] == [51]
+    index.drop()
+    left = {t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index")}
+    exact_index.dedup_exact(docs_of(spark, ["a"])).count(), exact_index.keep_one(docs_of(spark, ["a"])).count()
+    assert {t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index")} == left
 
 
 # ---------------------------------------------------------------- mixing
@@ -600,6 +618,59 @@ def test_long_text_goes_piece_by_piece(monkeypatch):
         assert len({p for m in v for p in range(m["first"], m["last"] + 100)}) == want[i]
 
 
+def test_very_long_text_through_every_operator(spark):
+    """One text of 5 MB, beside short ones that share a passage with it."""
+    rng = random.Random(77)
+    line = [" ".join(rng.choice("alpha beta gamma delta omega the of and in".split()) + str(rng.randint(0, 99999)) for _ in range(12)) for _ in range(60_000)]
+    long = "\n".join(line)
+    assert len(long) > 5_000_000
+    docs = docs_of(spark, {1: long, 2: line[500] + " " + line[900], 3: "short text"}).coalesce(1)
+    back = pieces.decode(pieces.encode(docs)).collect()
+    assert all(r.decoded == r.text for r in back)
+    cut = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).collect()}
+    again = brute_cut([(1, long), (2, line[500] + " " + line[900])])
+    assert cut[1].n_bytes - len(cut[1].kept) == again[1][0][1] and bytes(cut[2].kept) == again[2][0][3]
+    prints = {r.doc_id: r.fingerprint & (2**64 - 1) for r in simhash.near_duplicates(docs).collect()}
+    assert prints[1] == brute_print(long)
+    kept = {r.doc_id: r for r in exact_index.dedup_exact(docs).collect()}
+    assert kept[1].digest == bytearray(hashlib.sha256(long.lower().encode()).digest())
+    judged = {r.doc_id: r.quality for r in quality_rules.apply_rules(docs).collect()}
+    assert judged[1].n_words == 60_000 * 12 and judged[1].n_dup_lines == len(line) - len(set(line))
+    model = toxicity.ToxicityModel({"gamma77777": 5.0})
+    assert {r.row.doc_id: round(r.score, 9) for r in toxicity.score(docs, model).collect()} == {i: round(model.score(t), 9) for i, t in ((1, long), (2, line[500] + " " + line[900]), (3, "short text"))}
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
+    assert quality_knn.score(docs, quality_knn.fit(docs, labels, "quality", F.lit(True))).count() == 3
+    assert {r.row.doc_id: r.n_tokens for r in mixing.mix(docs, mixing.label_domains(labels)).collect()} == {1: 720_000, 2: 24, 3: 2}
+    placed = sharding.assign_shards(docs.select("doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32")), "doc_id", [1.0] * 4, ["text_crc32"]).collect()
+    assert len(placed) == 3
+    turns = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id bigint, turn bigint, role string, text string")
+    said = chat.format_chats(turns).withColumn("t", chat.parse_chat(F.col("formatted"))).collect()[0]
+    assert [x.text for x in said.t] == [long, long]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from obskit.llm import common
+
+    class Conf:
+        def __init__(self, named):
+            self.named = named
+
+        def get(self, name, default=None):
+            return self.named.get(name, default)
+
+    class Session:
+        def __init__(self, **named):
+            self.conf = Conf({k.replace("_", "."): v for k, v in named.items()})
+
+    assert common.shared_dir(Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session(spark_master="spark://host:7077"))
+    kept = common.durable(spark.range(3))
+    assert kept.count() == 3 and os.path.isdir(kept.durable_path)
+    common.forget(kept)
+    assert not os.path.isdir(kept.durable_path)
+
+
 def test_hot_groups_join_like_the_others(spark):
     from obskit.llm.common import join_groups
 
