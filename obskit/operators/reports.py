@@ -27,33 +27,60 @@ def tall(df: DataFrame, columns: Sequence[str], key: str, value: str) -> DataFra
     return df.select(F.inline(F.array(*[F.struct(F.lit(c).alias(key), F.col(c).cast("double").alias(value)) for c in columns])))
 
 
-def qc_report(obs: DataFrame, flags: str = "qc_flags") -> DataFrame:
-    """(flag, n) over all rows."""
-    return obs.select(F.explode(flags).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
-
-
-def confidence_report(scored: DataFrame) -> DataFrame:
-    """(dimension, band, n, mean) over the components of the struct ``confidence``."""
-    rows = scored.select(F.inline(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"confidence.{d}").alias("score")) for d in ("source", "completeness", "method", "spatial", "qc", "overall")])))
-    band = F.when(F.col("score") >= 0.8, "high").when(F.col("score") >= 0.6, "medium").otherwise("low")
-    return rows.groupBy("dimension", band.alias("band")).agg(F.count("*").alias("n"), F.avg("score").alias("mean"))
-
-
-COHORT = ("element", "medium", "sample_type", "method_family", "basis", "unit")
-
-
-def analysis_cohorts(obs: DataFrame, keys: Sequence[str] = COHORT) -> DataFrame:
-    """Per cohort: quantified, censored, not normalized, samples, sources, the dominant source's share, box, time range."""
-    by = obs.groupBy(*keys, "source_id").agg(F.count("*").alias("n"))
-    top = by.groupBy(*keys).agg(F.max_by("source_id", F.struct("n", "source_id")).alias("top_source"), (F.max("n") / F.sum("n")).alias("top_share"), F.count("*").alias("sources"))
+def qc_report(obs: DataFrame, errors: Sequence[str], infos: Sequence[str]) -> DataFrame:
+    """(section, key, n, rate): counts over all rows, rows by flag, flags by severity, rows by missing reason.
+
+    Reads qc_flags, value, censor_limit, qualifier, missing_reason, lon, lat. ``rate`` is of all rows, for counts.
+    """
+    severity = lambda f: F.when(f.isin(*errors), "error").when(f.isin(*infos), "info").otherwise("warning")
+    counts = {
+        "records": F.lit(True), "standardized": F.col("value").isNotNull() | F.col("censor_limit").isNotNull(), "censored": F.col("qualifier") != "reported", "flagged": F.size("qc_flags") > 0,
+        "error_flagged": F.exists("qc_flags", lambda f: f.isin(*errors)), "valid_coordinate": F.col("lon").isNotNull() & F.col("lat").isNotNull(),
+    }
+    one = obs.agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    rows = one.select(F.inline(F.array(*[F.struct(F.lit("count").alias("section"), F.lit(n).alias("key"), F.col(n).alias("n"), F.round(F.try_divide(F.col(n), F.col("records")), 6).alias("rate")) for n in counts])))
+    none = F.lit(None).cast("double")
+    by_flag = obs.select(F.explode("qc_flags").alias("key")).groupBy("key").agg(F.count("*").alias("n")).select(F.lit("flag"), "key", "n", none)
+    by_severity = obs.select(F.explode("qc_flags").alias("f")).groupBy(severity(F.col("f")).alias("key")).agg(F.count("*").alias("n")).select(F.lit("severity"), "key", "n", none)
+    reasons = obs.filter("missing_reason is not null").groupBy(F.col("missing_reason").alias("key")).agg(F.count("*").alias("n")).select(F.lit("missing_reason"), "key", "n", none)
+    return rows.union(by_flag).union(by_severity).union(reasons)
+
+
+def confidence_report(scored: DataFrame, components: Sequence[str], dimensions: Sequence[str], score: str = "confidence") -> DataFrame:
+    """(section, key, band, n, mean): component means, overall bands, gates applied, and bands and means of dimensions.
+
+    ``score`` is a struct of the components, ``overall``, ``gates`` (array of names) and the dimensions.
+    """
+    band = F.when(F.col("x") >= 0.8, "high").when(F.col("x") >= 0.6, "medium").otherwise("low")
+    part = lambda section, names: F.array(*[F.struct(F.lit(section).alias("section"), F.lit(n).alias("key"), F.col(f"{score}.{n}").cast("double").alias("x")) for n in names])
+    rows = scored.select(F.inline(F.concat(part("component", [*components, "overall"]), part("dimension", dimensions))))
+    means = rows.groupBy("section", "key").agg(F.count("*").alias("n"), F.avg("x").alias("mean")).select("section", "key", F.lit(None).cast("string").alias("band"), "n", "mean")
+    banded = rows.filter((F.col("section") == "dimension") | (F.col("key") == "overall")).groupBy("key", band.alias("band")).agg(F.count("*").alias("n"))
+    banded = banded.select(F.lit("band"), "key", "band", "n", F.lit(None).cast("double"))
+    gates = scored.select(F.explode(f"{score}.gates").alias("key")).groupBy("key").agg(F.count("*").alias("n")).select(F.lit("gate"), "key", F.lit(None).cast("string"), "n", F.lit(None).cast("double"))
+    return means.union(banded).union(gates)
+
+
+COHORT = ("element", "medium", "sample_type", "fraction", "basis", "method_family", "method_scope", "unit")
+
+
+def analysis_cohorts(obs: DataFrame, keys: Sequence[str] = COHORT, tiers: Mapping[str, float] | None = None) -> DataFrame:
+    """Per cohort: quantified, censored, not normalized, quantified samples, sources, the dominant one's share, box, time
+    range, rows by confidence band, and a tier by samples, quantified fraction and share (``tiers`` changes thresholds)."""
+    t = {"samples": 20, "fraction": 0.7, "share": 0.9, "exploratory": 8} | dict(tiers or {})
+    quantified = F.expr(QUANTIFIED)
+    by = obs.groupBy(*keys, "source_id").agg(F.count("*").alias("n"), F.count_if(quantified).alias("q"))
+    top = by.groupBy(*keys).agg(F.max_by("source_id", F.struct("n", "source_id")).alias("top_source"), (F.max("n") / F.sum("n")).alias("top_share"), F.count("*").alias("sources"), F.max("q").alias("top_quantified"), F.count_if(F.col("q") > 0).alias("quantified_sources"))
     rest = obs.groupBy(*keys).agg(
-        F.count_if(F.expr(QUANTIFIED)).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"), F.count_if(F.expr("value is null and qualifier = 'reported'")).alias("not_normalized"),
-        F.count_distinct("sample_id").alias("samples"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("sampled_at").alias("first"), F.max("sampled_at").alias("last"),
+        F.count_if(quantified).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"), F.count_if(F.expr("value is null and qualifier = 'reported'")).alias("not_normalized"),
+        F.count_distinct("sample_id").alias("samples"), F.count_distinct(F.when(quantified, F.col("sample_id"))).alias("quantified_samples"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"),
+        F.min("sampled_at").alias("first"), F.max("sampled_at").alias("last"), *[F.count_if(F.col("band") == b).alias(f"{b}_band") for b in ("high", "medium", "low")],
     )
-    on = rest[keys[0]].eqNullSafe(top[keys[0]])
-    for k in keys[1:]:
-        on = on & rest[k].eqNullSafe(top[k])
-    return rest.join(top, on).select(*[rest[c] for c in rest.columns], "top_source", "top_share", "sources")
+    out = join_on(rest, top, keys)
+    enough = (F.col("quantified_samples") >= t["samples"]) & (F.col("quantified") >= t["fraction"] * (F.col("quantified") + F.col("censored") + F.col("not_normalized")))
+    several = (F.col("quantified_sources") >= 2) & (F.col("top_quantified") <= t["share"] * F.col("quantified"))
+    tier = F.when(enough & several, "analysis_ready").when(enough, "single_lineage_ready").when(F.col("quantified_samples") >= t["exploratory"], "exploratory_only").otherwise("insufficient_background")
+    return out.withColumn("tier", tier).drop("top_quantified", "quantified_sources")
 
 
 def sample_context(obs: DataFrame, order: str = "source_row") -> DataFrame:
@@ -69,40 +96,67 @@ def exclusion_counts(obs: DataFrame) -> DataFrame:
 
 
 def database_coverage(obs: DataFrame, degrees: float = 10.0) -> DataFrame:
-    """(view, key, records, samples, traceable, ready) for the total and each dimension, by GROUPING SETS in one pass."""
+    """(view, key, records, samples, traceable, strict, ready) for the total and each dimension.
+
+    Rows are first added up by all dimensions and the sample; the views then regroup that table, with the sample as a
+    key so that it is counted once, and once more without it. No distinct aggregate multiplies the rows.
+    """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    rows = obs.select("element", "medium", "source_id", "lineage", "sample_id", F.when(F.col("lon").isNotNull(), F.concat_ws(":", y, x)).alias("cell"), F.col("license").isNotNull().alias("t"), (F.col("license").isNotNull() & F.col("lon").isNotNull() & F.col("value").isNotNull()).alias("s"))
-    cols = [F.col(c) for c in ("element", "medium", "source_id", "lineage", "cell")]
-    el, me, so, li, ce = cols
-    g = rows.groupingSets([[], [el], [me], [el, me], [so], [li], [ce]], *cols)
-    out = g.agg(F.grouping_id().alias("id"), F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.count_if("t").alias("traceable"), F.count_if("s").alias("ready"))
-    names = {31: "total", 15: "element", 23: "medium", 7: "pair", 27: "source", 29: "lineage", 30: "cell"}
-    view = F.lit(None).cast("string")
-    for k, n in names.items():
-        view = F.when(F.col("id") == k, n).otherwise(view)
-    key = F.when(F.col("id") == 7, F.concat_ws("|", "element", "medium")).otherwise(F.coalesce("element", "medium", "source_id", "lineage", "cell"))
-    return out.select(view.alias("view"), key.alias("key"), "records", "samples", "traceable", "ready").filter("view = 'total' or key is not null")
+    traced, strict = F.col("license").isNotNull(), F.col("license").isNotNull() & F.col("url").startswith("https://") & F.col("doi").isNotNull()
+    ready = strict & F.col("lon").isNotNull() & F.col("value").isNotNull()
+    dims = ("element", "medium", "domain", "source_id", "lineage", "macroregion", "country")
+    cell = F.when(F.col("lon").isNotNull(), F.concat_ws(":", y, x)).alias("cell")
+    base = obs.groupBy(*dims, cell, "sample_id").agg(F.count("*").alias("records"), F.count_if(traced).alias("traceable"), F.count_if(strict).alias("strict"), F.count_if(ready).alias("ready"))
+    view = lambda name, key: F.when(key.isNotNull(), F.struct(F.lit(name).alias("view"), key.alias("key")))
+    named = {"total": F.lit("all"), "pair": F.concat_ws("|", "element", "medium"), "source": F.col("source_id"), "cell": F.col("cell")} | {d: F.col(d) for d in dims if d != "source_id"}
+    counts = ("records", "traceable", "strict", "ready")
+    each = base.select("sample_id", *counts, F.inline(F.array_compact(F.array(*[view(n, k) for n, k in named.items()]))))
+    once = each.groupBy("view", "key", "sample_id").agg(*[F.sum(c).alias(c) for c in counts])
+    return once.groupBy("view", "key").agg(F.count("*").alias("samples"), *[F.sum(c).alias(c) for c in counts])
 
 
 def spatial_samples(obs: DataFrame) -> DataFrame:
-    """One row per sample: its first point in row order, elements and media."""
+    """One row per sample: its first point in row order, elements, media and domains."""
     at = F.when(F.col("lon").isNotNull(), F.struct("source_row", "record_id"))
-    return obs.groupBy("sample_id").agg(F.min_by("lon", at).alias("lon"), F.min_by("lat", at).alias("lat"), _set("element").alias("elements"), _set("medium").alias("media"))
+    return obs.groupBy("sample_id").agg(F.min_by("lon", at).alias("lon"), F.min_by("lat", at).alias("lat"), _set("element").alias("elements"), _set("medium").alias("media"), _set("domain").alias("domains"))
+
 
+def sample_views() -> Column:
+    """The views a sample belongs to: overall, its elements, its media, and their pairs."""
+    view = lambda name, key: F.struct(F.lit(name).alias("view"), key.alias("key"))
+    pairs = F.flatten(F.transform("elements", lambda e: F.transform("media", lambda m: view("pair", F.concat_ws("|", e, m)))))
+    return F.concat(F.array(view("overall", F.lit("all"))), F.transform("elements", lambda e: view("element", e)), F.transform("media", lambda m: view("medium", m)), pairs)
 
-def grid_occupancy(samples: DataFrame, degrees: float = 10.0) -> DataFrame:
-    """(view, key, samples, cells): per overall, element and medium view, located samples and occupied cells."""
+
+def occupied_cells(samples: DataFrame, degrees: float = 10.0) -> DataFrame:
+    """(view, key, cell, samples) of the located samples."""
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    views = F.concat(F.array(F.struct(F.lit("overall").alias("view"), F.lit("all").alias("key"))), F.transform("elements", lambda e: F.struct(F.lit("element").alias("view"), e.alias("key"))), F.transform("media", lambda e: F.struct(F.lit("medium").alias("view"), e.alias("key"))))
-    rows = samples.filter("lon is not null").select("sample_id", (y * 1000 + x).alias("cell"), F.inline(views))
-    return rows.groupBy("view", "key").agg(F.count("*").alias("samples"), F.count_distinct("cell").alias("cells"))
+    rows = samples.filter("lon is not null").select(F.concat_ws(":", y, x).alias("cell"), F.inline(sample_views()))
+    return rows.groupBy("view", "key", "cell").agg(F.count("*").alias("samples"))
+
 
+def grid_occupancy(occupied: DataFrame, target_grid: DataFrame) -> DataFrame:
+    """(view, key, samples, cells, countries, zones, bands): per view, located samples, occupied cells, and what of the
+    target grid (cell, country, zone, band) these cells cover."""
+    placed = occupied.join(target_grid.select("cell", "country", "zone", "band"), "cell", "left")
+    return placed.groupBy("view", "key").agg(F.sum("samples").alias("samples"), F.count("*").alias("cells"), *[F.count_distinct(c).alias(n) for c, n in (("country", "countries"), ("zone", "zones"), ("band", "bands"))])
 
-def sufficiency_audit(occupancy: DataFrame, views: DataFrame, least_samples: int, least_cells: int) -> DataFrame:
-    """Each asked view: counts, status pass / gap / unassessable, and the reasons of a gap."""
-    out = views.join(occupancy, ["view", "key"], "left").withColumns({"samples": F.coalesce("samples", F.lit(0)), "cells": F.coalesce("cells", F.lit(0))})
-    reasons = F.array_compact(F.array(F.when(F.col("samples") < least_samples, "too_few_samples"), F.when(F.col("cells") < least_cells, "too_few_cells")))
-    return out.withColumn("reasons", reasons).withColumn("status", F.when(F.col("samples") == 0, "unassessable").when(F.size("reasons") == 0, "pass").otherwise("gap"))
+
+def sufficiency_audit(occupied: DataFrame, target_grid: DataFrame, views: DataFrame, least_samples: int, least_cells: int, display: tuple[int, int] = (1, 1)) -> DataFrame:
+    """Each asked view: counts, zones and bands of the target grid without a cell, status pass / gap / unassessable, the
+    reasons of a gap, and whether it is at least fit for display (``display``: samples and cells)."""
+    every = target_grid.agg(F.array_sort(F.collect_set("zone")).alias("all_zones"), F.array_sort(F.collect_set(F.col("band").cast("string"))).alias("all_bands"))
+    placed = occupied.join(target_grid.select("cell", "zone", "band"), "cell", "left").groupBy("view", "key").agg(
+        F.sum("samples").alias("samples"), F.count("*").alias("cells"), F.collect_set("zone").alias("zones"), F.collect_set(F.col("band").cast("string")).alias("bands")
+    )
+    out = views.join(placed, ["view", "key"], "left").crossJoin(every)
+    lacks = lambda all_, have: F.array_except(all_, F.coalesce(have, F.array().cast("array<string>")))
+    out = out.withColumns({"samples": F.coalesce("samples", F.lit(0)), "cells": F.coalesce("cells", F.lit(0)), "missing_zones": lacks("all_zones", F.col("zones")), "missing_bands": lacks("all_bands", F.col("bands"))})
+    checks = (("too_few_samples", F.col("samples") < least_samples), ("too_few_cells", F.col("cells") < least_cells), ("missing_zones", F.size("missing_zones") > 0), ("missing_bands", F.size("missing_bands") > 0))
+    reasons = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks]))
+    status = F.when(F.col("samples") == 0, "unassessable").when(F.size("reasons") == 0, "pass").otherwise("gap")
+    shown = (F.col("samples") >= display[0]) & (F.col("cells") >= display[1])
+    return out.withColumn("reasons", reasons).withColumns({"status": status, "display_pass": shown}).drop("zones", "bands", "all_zones", "all_bands")
 
 
 def rank_country_targets(occupied: DataFrame, target_grid: DataFrame) -> DataFrame:
@@ -146,35 +200,63 @@ def field_completeness(obs: DataFrame, fields: Mapping[str, Sequence[str]]) -> D
     return rows.select("field", "filled", (F.col("_n") - F.col("filled")).alias("missing"), (F.col("filled") / F.col("_n")).alias("rate"))
 
 
-def coverage_cube(obs: DataFrame, keys: Sequence[str], totals: bool = False, degrees: float = 1.0) -> DataFrame:
-    """Per key combination (with totals: cube): observations, samples, located samples, comparable rows, cells."""
+CUBE = ("source_id", "medium", "element", "sample_type", "method_scope", "region", "basis")
+
+
+def coverage_cube(obs: DataFrame, keys: Sequence[str] = CUBE, totals: bool = False, degrees: float = 1.0) -> DataFrame:
+    """Per key combination (with totals: the roll-up of the keys as well): observations, samples, located samples,
+    comparable rows, lineages, cells.
+
+    Rows are added up once by keys, sample and cell. Each level then regroups that small table with the sample (and
+    with the cell) as a key and counts, so no distinct aggregate multiplies the rows.
+    """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    rows = obs.withColumn("_cell", F.when(F.col("lon").isNotNull(), y * 10000 + x))
-    g = rows.cube(*keys) if totals else rows.groupBy(*keys)
-    located = F.when(F.col("lon").isNotNull(), F.col("sample_id"))
-    return g.agg(F.count("*").alias("observations"), F.count_distinct("sample_id").alias("samples"), F.count_distinct(located).alias("located_samples"), F.count_if(F.expr(QUANTIFIED)).alias("comparable"), F.count_distinct("_cell").alias("cells"))
+    cell = F.when(F.col("lon").isNotNull(), y * 10000 + x).alias("cell")
+    base = obs.groupBy(*keys, "sample_id", "lineage", cell).agg(F.count("*").alias("observations"), F.count_if(F.expr(QUANTIFIED)).alias("comparable"))
+    inner = [f"key {i}" for i in range(len(keys))]
+    base = base.withColumnsRenamed(dict(zip(keys, inner)))
+    cols = [F.col(c) for c in inner]
+    levels = [cols[:n] for n in (range(len(cols) + 1) if totals else [len(cols)])]
+
+    def counted(by: str, name: str, *aggs: tuple[str, Column, Column]) -> DataFrame:
+        """Per level and key: how many values of ``by`` there are, and further sums."""
+        sets = [[*level, F.col(by)] for level in levels]
+        once = base.groupingSets(sets, *cols, F.col(by)).agg(F.grouping_id().alias("level"), *[a.alias(n) for n, a, _ in aggs])
+        return once.groupBy("level", *inner).agg(F.count(by).alias(name), *[b.alias(n) for n, _, b in aggs])
+
+    add = lambda n: (n, F.sum(n), F.sum(n))
+    samples = counted("sample_id", "samples", add("observations"), add("comparable"), ("located_samples", F.max(F.col("cell").isNotNull().cast("int")), F.sum("located_samples")))
+    cells, lineages = counted("cell", "cells"), counted("lineage", "lineages")
+    out = join_on(join_on(samples, cells, ["level", *inner]), lineages, ["level", *inner])
+    return out.select(*[F.col(i).alias(k) for i, k in zip(inner, keys)], "observations", "samples", "located_samples", "comparable", "lineages", "cells")
 
 
 def source_profile(obs: DataFrame) -> DataFrame:
-    """Per source: rows, samples, box, methods, types, media."""
-    return obs.groupBy("source_id").agg(
-        F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"),
-        F.concat_ws(",", _set("method_family")).alias("methods"), F.concat_ws(",", _set("sample_type")).alias("types"), F.concat_ws(",", _set("medium")).alias("media"), F.count_if(F.col("lon").isNull()).alias("unlocated"),
-    )
+    """Per source: rows, samples, box, and rows by region, reference system, fraction, method, type and medium as text."""
+    base = obs.groupBy("source_id").agg(F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"), F.count_if(F.col("lon").isNull()).alias("unlocated"))
+    names = {"regions": "macroregion", "systems": "crs", "fractions": "fraction", "methods": "method_family", "types": "sample_type", "media": "medium"}
+    tally = obs.select("source_id", F.inline(F.array(*[F.struct(F.lit(n).alias("what"), F.coalesce(F.col(c), F.lit("none")).alias("key")) for n, c in names.items()])))
+    tally = tally.groupBy("source_id", "what", "key").agg(F.count("*").alias("n"))
+    text = lambda n: F.concat_ws(",", F.array_sort(F.collect_list(F.when(F.col("what") == n, F.concat_ws(":", "key", F.col("n").cast("string")))))).alias(n)
+    return join_on(base, tally.groupBy("source_id").agg(*[text(n) for n in names]), ["source_id"])
 
 
 def medium_balance(obs: DataFrame, degrees: float = 1.0) -> DataFrame:
-    """(medium, element or null for all, records, lineages, sources, cells) by GROUPING SETS."""
+    """(medium, element or null for all, records, lineages, sources, cells) over rows first added up by what is counted."""
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    rows = obs.withColumn("_cell", F.when(F.col("lon").isNotNull(), y * 10000 + x))
+    cell = F.when(F.col("lon").isNotNull(), y * 10000 + x).alias("cell")
+    rows = obs.groupBy("medium", "element", "lineage", "source_id", cell).agg(F.count("*").alias("n"))
     m, e = F.col("medium"), F.col("element")
-    return rows.groupingSets([[m], [m, e]], m, e).agg(F.count("*").alias("records"), F.count_distinct("lineage").alias("lineages"), F.count_distinct("source_id").alias("sources"), F.count_distinct("_cell").alias("cells"))
+    return rows.groupingSets([[m], [m, e]], m, e).agg(F.sum("n").alias("records"), F.count_distinct("lineage").alias("lineages"), F.count_distinct("source_id").alias("sources"), F.count_distinct("cell").alias("cells"))
 
 
-def map_availability(obs: DataFrame) -> DataFrame:
-    """(dimension, key, canonical, unplottable)."""
-    rows = obs.select(F.inline(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("key"), F.col("lon").isNotNull().alias("ok")) for d in ("element", "medium")])))
-    return rows.groupBy("dimension", "key").agg(F.count_if("ok").alias("canonical"), F.count_if(~F.col("ok")).alias("unplottable"))
+def map_availability(obs: DataFrame, reported: str = "reported_point") -> DataFrame:
+    """(dimension, key, canonical, reported_only, unplottable): rows with canonical coordinates, with only reported ones
+    (boolean column ``reported``), and with none."""
+    located, told = F.col("lon").isNotNull() & F.col("lat").isNotNull(), F.coalesce(F.col(reported), F.lit(False))
+    where = F.when(located, "canonical").when(told, "reported_only").otherwise("unplottable")
+    rows = obs.select(F.inline(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("key"), where.alias("at")) for d in ("element", "medium")])))
+    return rows.groupBy("dimension", "key").agg(*[F.count_if(F.col("at") == n).alias(n) for n in ("canonical", "reported_only", "unplottable")])
 
 
 def element_distribution(obs: DataFrame, bins: int = 16) -> DataFrame:
@@ -190,8 +272,11 @@ def element_distribution(obs: DataFrame, bins: int = 16) -> DataFrame:
 
 
 def coverage_diagnostics(obs: DataFrame) -> DataFrame:
-    """Per medium: records, samples, share with a method, censored rows."""
-    return obs.groupBy("medium").agg(F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.avg(F.col("basis").isNotNull().cast("double")).alias("basis_rate"), F.count_if(F.col("qualifier") != "reported").alias("censored"))
+    """(section, key, records, samples, basis_rate, censored): per medium, sample layer and domain."""
+    parts = F.array(*[F.struct(F.lit(n).alias("section"), F.coalesce(F.col(c), F.lit("none")).alias("key")) for n, c in (("medium", "medium"), ("layer", "sample_type"), ("domain", "domain"))])
+    rows = obs.select(F.inline(parts), "sample_id", "basis", "qualifier")
+    once = rows.groupBy("section", "key", "sample_id").agg(F.count("*").alias("n"), F.count("basis").alias("b"), F.count_if(F.col("qualifier") != "reported").alias("c"))
+    return once.groupBy("section", "key").agg(F.sum("n").alias("records"), F.count("*").alias("samples"), (F.sum("b") / F.sum("n")).alias("basis_rate"), F.sum("c").alias("censored"))
 
 
 def region_presets(obs: DataFrame, regions: Mapping[str, Sequence[float]]) -> DataFrame:
@@ -201,11 +286,18 @@ def region_presets(obs: DataFrame, regions: Mapping[str, Sequence[float]]) -> Da
     return rows.groupBy("region").agg(F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"), F.concat_ws(",", _set("element")).alias("elements"), F.concat_ws(",", _set("medium")).alias("media"))
 
 
-def source_confidence(obs: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Per source: metadata rates joined to its manifest row (link); sources without one have none."""
+def source_confidence(obs: DataFrame, manifest: DataFrame, scores: Sequence[str]) -> DataFrame:
+    """Per source: metadata rates, why coordinates and times are absent, means and bands of the named scores, and the
+    link of its manifest row (none if it has no row)."""
     rate = lambda c: F.avg(F.col(c).isNotNull().cast("double"))
-    g = obs.groupBy("source_id").agg(F.count("*").alias("records"), rate("license").alias("license_rate"), rate("lon").alias("coordinate_rate"), rate("basis").alias("basis_rate"), rate("sampled_at").alias("time_rate"))
-    return g.join(F.broadcast(manifest.select("source_id", "link")), "source_id", "left")
+    band = lambda c: F.when(F.col(c) >= 0.8, "high").when(F.col(c) >= 0.6, "medium").otherwise("low")
+    absent = F.array_compact(F.array(F.when(F.col("lon").isNull(), "no_coordinate"), F.when(F.col("sampled_at").isNull(), "no_time"), F.when(F.col("basis").isNull(), "no_basis"), F.when(F.col("license").isNull(), "no_license")))
+    g = obs.groupBy("source_id").agg(
+        F.count("*").alias("records"), rate("license").alias("license_rate"), rate("lon").alias("coordinate_rate"), rate("basis").alias("basis_rate"), rate("sampled_at").alias("time_rate"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(F.flatten(F.collect_set(absent))))).alias("absent"), *[F.avg(c).alias(f"{c}_mean") for c in scores],
+        *[F.count_if(band(c) == b).alias(f"{c}_{b}") for c in scores for b in ("high", "medium", "low")],
+    )
+    return g.join(manifest.select("source_id", "link"), "source_id", "left")
 
 
 def source_independence(obs: DataFrame, requested: Sequence[str]) -> DataFrame:
@@ -241,12 +333,23 @@ def backlog_summary(issues: DataFrame) -> DataFrame:
     return issues.groupBy("status", "owner", "code").agg(F.count("*").alias("n"))
 
 
+def cell_reason(x: Column) -> Column:
+    """numeric, censored ('<'), missing or invalid."""
+    text = F.nullif(F.trim(x), F.lit(""))
+    return F.when(text.isNull(), "missing").when(text.startswith("<"), "censored").when(text.try_cast("double").isNotNull(), "numeric").otherwise("invalid")
+
+
 def value_profile(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per text column: numeric, censored ('<'), missing and invalid cells, least and greatest number."""
-    cells = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("element"), F.nullif(F.trim(F.col(c)), F.lit("")).alias("x")) for c in columns])))
-    num = F.col("x").try_cast("double")
-    cen = F.col("x").startswith("<")
-    return cells.groupBy("element").agg(F.count(num).alias("numeric"), F.count_if(cen).alias("censored"), F.count_if(F.col("x").isNull()).alias("missing"), F.count_if(F.col("x").isNotNull() & ~cen & num.isNull()).alias("invalid"), F.min(num).alias("least"), F.max(num).alias("greatest"))
+    """Per text column: numeric, censored, missing and invalid cells, least and greatest number."""
+    cells = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("element"), cell_reason(F.col(c)).alias("why"), F.trim(F.col(c)).alias("x")) for c in columns])))
+    num = F.when(F.col("why") == "numeric", F.col("x").try_cast("double"))
+    return cells.groupBy("element").agg(*[F.count_if(F.col("why") == n).alias(n) for n in ("numeric", "censored", "missing", "invalid")], F.min(num).alias("least"), F.max(num).alias("greatest"))
+
+
+def row_reasons(wide: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """(key, reasons): the sorted reasons other than numeric among a row's cells."""
+    found = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.nullif(cell_reason(F.col(c)), F.lit("numeric")) for c in columns]))))
+    return wide.select(key, F.concat_ws(",", found).alias("reasons"))
 
 
 def lab_metadata_profile(meta: DataFrame) -> DataFrame:
@@ -255,16 +358,21 @@ def lab_metadata_profile(meta: DataFrame) -> DataFrame:
 
 
 def quality_flag_audit(rows: DataFrame) -> DataFrame:
-    """Per analyte and flag: rows, stations, time range, value range."""
-    return rows.groupBy("element", "flag").agg(F.count("*").alias("n"), F.count_distinct("station").alias("stations"), F.min("t").alias("first"), F.max("t").alias("last"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+    """Per analyte and flag: rows, stations, cruises, depth, time and value ranges."""
+    return rows.groupBy("element", "flag").agg(
+        F.count("*").alias("n"), F.count_distinct("station").alias("stations"), F.count_distinct("cruise").alias("cruises"), F.min("depth").alias("shallowest"), F.max("depth").alias("deepest"),
+        F.min("t").alias("first"), F.max("t").alias("last"), F.min("value").alias("least"), F.max("value").alias("greatest"),
+    )
 
 
-def discovery_candidates(cohorts: DataFrame, least: int = 20) -> DataFrame:
-    """(kind, key): one element and medium with several methods, cohorts of one source, elements in several media."""
-    t2 = cohorts.groupBy("element", "medium").agg(F.count_distinct("method_family").alias("m"), F.sum("quantified").alias("q")).filter((F.col("m") >= 2) & (F.col("q") >= least)).select(F.lit("T2").alias("kind"), F.concat_ws("|", "element", "medium").alias("key"))
-    t3 = cohorts.filter((F.col("sources") == 1) & (F.col("quantified") >= least)).select(F.lit("T3"), F.concat_ws("|", *COHORT)).distinct()
-    t5 = cohorts.groupBy("element").agg(F.count_distinct("medium").alias("m")).filter("m >= 2").select(F.lit("T5"), "element")
-    return t2.union(t3).union(t5)
+def discovery_candidates(cohorts: DataFrame, gaps: DataFrame, least: int = 20) -> DataFrame:
+    """(kind, key, score): T2 one element and medium by several methods, T3 cohorts of one source, T4 regions by their
+    gaps (region, key), T5 elements in several media."""
+    t2 = cohorts.groupBy("element", "medium").agg(F.count_distinct("method_family").alias("m"), F.sum("quantified").alias("score")).filter((F.col("m") >= 2) & (F.col("score") >= least)).select(F.lit("T2").alias("kind"), F.concat_ws("|", "element", "medium").alias("key"), "score")
+    t3 = cohorts.filter((F.col("sources") == 1) & (F.col("quantified") >= least)).groupBy(F.concat_ws("|", *COHORT).alias("key")).agg(F.max("quantified").alias("score")).select(F.lit("T3"), "key", "score")
+    t4 = gaps.groupBy("region").agg(F.count("*").alias("score")).select(F.lit("T4"), "region", "score")
+    t5 = cohorts.groupBy("element").agg(F.count_distinct("medium").alias("score")).filter("score >= 2").select(F.lit("T5"), "element", "score")
+    return t2.union(t3).union(t4).union(t5)
 
 
 def sampling_priority(gaps: DataFrame, cohorts: DataFrame) -> DataFrame:

@@ -39,6 +39,15 @@ select {_ID} as record_id, cast(l_orderkey as string) as sample_id, concat('src-
  case l_suppkey % 5 when 0 then 'granite' when 1 then 'basalt' when 2 then cast(null as string) else 'shale' end as lithology,
  case when s_nationkey % 6 = 5 then cast(null as string) else concat('lic-', cast(s_nationkey % 2 as string)) end as license,
  concat('title-', cast(s_nationkey % 6 as string)) as title,
+ case l_linestatus when 'F' then 'total' else 'partial' end as method_scope, concat('m', cast(s_nationkey % 4 as string)) as macroregion,
+ case when s_nationkey % 8 = 7 then cast(null as string) else concat('c', cast(s_nationkey as string)) end as country,
+ case when l_suppkey % 4 <> 3 then 'land' when l_suppkey % 3 = 0 then 'marine' else 'inland_water' end as domain,
+ case s_nationkey % 3 when 0 then 'EPSG:4326' when 1 then 'WGS84' end as crs,
+ case when l_suppkey % 4 = 3 then case when l_linenumber % 2 = 0 then 'dissolved' else 'total' end end as fraction,
+ case s_nationkey % 4 when 0 then 'official' when 1 then 'journal' else 'supplement' end as tier,
+ case when s_nationkey % 7 = 3 then 'ftp//no' when s_nationkey % 7 <> 5 then concat('https://data.example/', cast(s_nationkey as string)) end as url,
+ case when s_nationkey % 5 <> 4 then concat('10.1/', cast(s_nationkey % 6 as string)) end as doi, concat('v', cast(s_nationkey % 2 as string)) as version,
+ case when l_quantity > 35 then 'high' when l_quantity > 15 then 'medium' else 'low' end as band,
  l_orderkey * 8 + l_linenumber as source_row
 from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{supplier}} on l_suppkey = s_suppkey""",
     # Measurements as read: every column text.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import standardize as S
+from ..functions import vocab as V
 from ..operators import reports as R
 from ..operators import rows
-from ..operators import space as P
 from .base import query
 
 
@@ -23,32 +23,56 @@ X10, Y10 = cell(10)
 X1, Y1 = cell(1)
 
 
-@query("a10_qc_report", "select * from (select unnest(['CENSORED_VALUE','MISSING_LICENSE','INCOMPLETE_COORDINATE']) as flag, unnest([count(*) filter (qualifier = 'lt'), count(*) filter (license is null), count(*) filter (lon is null)]) as n from obs) where n > 0")
+FLAGS = (("CENSORED_VALUE", "qualifier = 'lt'"), ("MISSING_VALUE", "value is null and qualifier <> 'lt'"), ("MISSING_LICENSE", "license is null"), ("INVALID_COORDINATE", "lon is null"), ("MISSING_SOURCE_CRS", "crs is null"))
+_ARMS = ", ".join(f"case when {c} then '{n}' end" for n, c in FLAGS)
+
+
+@query(
+    "a10_qc_report",
+    f"""
+, q as (select *, list_filter([{_ARMS}], lambda x: x is not null) as fl, case when value is null then case when qualifier = 'lt' then 'censored' when basis is null then 'not_reported' else 'invalid_value' end end as mr from obs),
+f as (select unnest(fl) as f from q), sev as (select f, case when f in ('MISSING_VALUE', 'INVALID_COORDINATE') then 'error' when f = 'CENSORED_VALUE' then 'info' else 'warning' end as s from f),
+c as (select count(*) as records, count(*) filter (value is not null or censor_limit is not null) as standardized, count(*) filter (qualifier <> 'reported') as censored, count(*) filter (len(fl) > 0) as flagged,
+ count(*) filter (list_contains(fl, 'MISSING_VALUE') or list_contains(fl, 'INVALID_COORDINATE')) as error_flagged, count(*) filter (lon is not null and lat is not null) as valid_coordinate from q),
+u as (unpivot c on records, standardized, censored, flagged, error_flagged, valid_coordinate into name key value n)
+select 'count' as section, key, n, round(n / (select records from c), 6) as rate from u
+union all select 'flag', f, count(*), null from f group by f union all select 'severity', s, count(*), null from sev group by s union all select 'missing_reason', mr, count(*), null from q where mr is not null group by mr""",
+)
 def a10(t):
-    df = t.obs.withColumn("qc_flags", S.flags(("CENSORED_VALUE", F.col("qualifier") == "lt"), ("MISSING_LICENSE", F.col("license").isNull()), ("INCOMPLETE_COORDINATE", F.col("lon").isNull())))
-    return R.qc_report(df)
+    reason = F.expr("case when value is null then case when qualifier = 'lt' then 'censored' when basis is null then 'not_reported' else 'invalid_value' end end")
+    df = t.obs.withColumns({"qc_flags": S.flags(*[(n, F.expr(c)) for n, c in FLAGS]), "missing_reason": reason})
+    return R.qc_report(df, V.ERROR_FLAGS, V.INFO_FLAGS)
+
+
+_PARTS = {"source": 11, "completeness": 7, "method": 5, "spatial": 3, "qc": 2, "overall": 13, "evidence": 17, "usability": 19}
 
 
 @query(
     "a11_confidence_report",
-    """
-, s as (select source_row % 11 / 10.0::double as source, source_row % 7 / 6.0::double as completeness, source_row % 5 / 4.0::double as method, source_row % 3 / 2.0::double as spatial, source_row % 2 / 1.0::double as qc, source_row % 13 / 12.0::double as overall from obs),
-u as (unpivot s on source, completeness, method, spatial, qc, overall into name dimension value score)
-select dimension, case when score >= 0.8 then 'high' when score >= 0.6 then 'medium' else 'low' end as band, count(*) as n, round(avg(score), 6) as mean from u group by 1, 2""",
+    f"""
+, s as (select {", ".join(f"source_row % {m} / {m - 1}.0::double as {n}" for n, m in _PARTS.items())}, list_filter([case when lon is null then 'no_coordinate' end, case when source_row % 13 < 3 then 'low_cap' end], lambda x: x is not null) as gates from obs),
+u as (unpivot s on {", ".join(_PARTS)} into name key value x), v as (select case when key in ('evidence', 'usability') then 'dimension' else 'component' end as section, key, x from u)
+select section, key, null as band, count(*) as n, round(avg(x), 6) as mean from v group by 1, 2
+union all select 'band', key, case when x >= 0.8 then 'high' when x >= 0.6 then 'medium' else 'low' end, count(*), null from v where section = 'dimension' or key = 'overall' group by 2, 3
+union all select 'gate', unnest(gates), null, count(*), null from s group by 2""",
 )
 def a11(t):
     part = lambda m: (F.col("source_row") % m) / float(m - 1)
-    names = {"source": 11, "completeness": 7, "method": 5, "spatial": 3, "qc": 2, "overall": 13}
-    df = t.obs.select(F.struct(*[part(m).alias(n) for n, m in names.items()]).alias("confidence"))
-    return r(R.confidence_report(df), 6, "mean")
-
-
-COHORT = """
-, b as (select element, medium, sample_type, method_family, basis, unit, source_id, count(*) as n from obs group by all),
-t as (select element, medium, sample_type, method_family, basis, unit, max_by(source_id, (n, source_id)) as top_source, max(n) / sum(n) as top_share, count(*) as sources from b group by all),
-co as (select element, medium, sample_type, method_family, basis, unit, count(value) as quantified, count(*) filter (qualifier <> 'reported') as censored, count(*) filter (value is null and qualifier = 'reported') as not_normalized, count(distinct sample_id) as samples,
- min(lon) as west, max(lon) as east, min(lat) as south, max(lat) as north, min(sampled_at) as first, max(sampled_at) as last from obs group by all),
-cohort as (select co.*, top_source, top_share, sources from co join t on co.element = t.element and co.medium = t.medium and co.sample_type = t.sample_type and co.method_family = t.method_family and co.basis is not distinct from t.basis and co.unit = t.unit)
+    gates = S.flags(("no_coordinate", F.col("lon").isNull()), ("low_cap", F.col("source_row") % 13 < 3))
+    df = t.obs.select(F.struct(*[part(m).alias(n) for n, m in _PARTS.items()], gates.alias("gates")).alias("confidence"))
+    return r(R.confidence_report(df, ["source", "completeness", "method", "spatial", "qc"], ["evidence", "usability"]), 6, "mean")
+
+
+_K = "element, medium, sample_type, fraction, basis, method_family, method_scope, unit"
+_ON = " and ".join(f"co.{k} is not distinct from t.{k}" for k in _K.split(", "))
+COHORT = f"""
+, b as (select {_K}, source_id, count(*) as n, count(value) as q from obs group by all),
+t as (select {_K}, max_by(source_id, (n, source_id)) as top_source, max(n) / sum(n) as top_share, count(*) as sources, max(q) as tq, count(*) filter (q > 0) as qs from b group by all),
+co as (select {_K}, count(value) as quantified, count(*) filter (qualifier <> 'reported') as censored, count(*) filter (value is null and qualifier = 'reported') as not_normalized, count(distinct sample_id) as samples,
+ count(distinct sample_id) filter (value is not null) as quantified_samples, min(lon) as west, max(lon) as east, min(lat) as south, max(lat) as north, min(sampled_at) as first, max(sampled_at) as last,
+ count(*) filter (band = 'high') as high_band, count(*) filter (band = 'medium') as medium_band, count(*) filter (band = 'low') as low_band from obs group by all),
+cohort as (select co.*, top_source, top_share, sources, case when quantified_samples >= 20 and quantified >= 0.7 * (quantified + censored + not_normalized) then case when qs >= 2 and tq <= 0.9 * quantified then 'analysis_ready' else 'single_lineage_ready' end
+ when quantified_samples >= 8 then 'exploratory_only' else 'insufficient_background' end as tier from co join t on {_ON})
 """
 
 
@@ -74,75 +98,91 @@ def a14(t):
 @query(
     "a19_database_coverage",
     f"""
-, x as (select *, case when lon is not null then concat({Y10}, ':', {X10}) end as cell from obs),
-v as (select 'total' as view, null as key, * from x union all select 'element', element, * from x union all select 'medium', medium, * from x union all select 'pair', element || '|' || medium, * from x
- union all select 'source', source_id, * from x union all select 'lineage', lineage, * from x union all select 'cell', cell, * from x where cell is not null)
-select view, key, count(*) as records, count(distinct sample_id) as samples, count(license) as traceable, count(*) filter (license is not null and lon is not null and value is not null) as ready from v group by 1, 2""",
+, x as (select *, case when lon is not null then concat({Y10}, ':', {X10}) end as cell, license is not null as tr, license is not null and coalesce(url like 'https://%', false) and doi is not null as st from obs),
+v as (select 'total' as view, 'all' as key, * from x union all select 'element', element, * from x union all select 'medium', medium, * from x union all select 'pair', element || '|' || medium, * from x
+ union all select 'source', source_id, * from x union all select 'lineage', lineage, * from x union all select 'cell', cell, * from x where cell is not null
+ union all select 'domain', domain, * from x union all select 'macroregion', macroregion, * from x union all select 'country', country, * from x where country is not null)
+select view, key, count(*) as records, count(distinct sample_id) as samples, count(*) filter (tr) as traceable, count(*) filter (st) as strict, count(*) filter (st and lon is not null and value is not null) as ready from v group by 1, 2""",
 )
 def a19(t):
     return R.database_coverage(t.obs)
 
 
-@query("a20_spatial_samples", f"select sample_id, {FIRST('lon')}, {FIRST('lat')}, string_agg(distinct element, ',' order by element) as elements, string_agg(distinct medium, ',' order by medium) as media from obs group by 1")
+@query("a20_spatial_samples", f"select sample_id, {FIRST('lon')}, {FIRST('lat')}, string_agg(distinct element, ',' order by element) as elements, string_agg(distinct medium, ',' order by medium) as media, string_agg(distinct domain, ',' order by domain) as domains from obs group by 1")
 def a20(t):
-    return R.spatial_samples(t.obs).withColumns({c: F.concat_ws(",", c) for c in ("elements", "media")})
+    return R.spatial_samples(t.obs).withColumns({c: F.concat_ws(",", c) for c in ("elements", "media", "domains")})
 
 
+#: The cells that hold a given table's customers, as a grid of countries by simple rules that both sides can tell.
+GRID = """
+grid as (select distinct concat(j, ':', i) as cell, -180 + (i + 0.5::double) * 10 as lon, -90 + (j + 0.5::double) * 10 as lat, concat('c', i % 5) as country, concat('z', i // 12, '-', j // 9) as zone, i % 4 as band
+ from (select cast(c_custkey % 36 as int) as i, cast(floor(c_custkey / 36) as int) % 18 as j from customer))"""
 OCC = f"""
-, s as (select sample_id, {FIRST('lon')}, {FIRST('lat')} from obs group by 1), s2 as (select sample_id, {Y10} * 1000 + {X10} as cell from s where lon is not null),
-o as (select 'overall' as view, 'all' as key, sample_id from s2 union select 'element', element, sample_id from obs union select 'medium', medium, sample_id from obs),
-occ as (select view, key, count(*) as samples, count(distinct cell) as cells from o join s2 using (sample_id) group by 1, 2)
+, s as (select sample_id, {FIRST('lon')}, {FIRST('lat')} from obs group by 1), s2 as (select sample_id, concat({Y10}, ':', {X10}) as cell from s where lon is not null),
+o as (select 'overall' as view, 'all' as key, sample_id from s2 union select 'element', element, sample_id from obs union select 'medium', medium, sample_id from obs
+ union select 'pair', e.element || '|' || m.medium, e.sample_id from (select distinct sample_id, element from obs) e join (select distinct sample_id, medium from obs) m using (sample_id)),
+used as (select view, key, cell, count(*) as samples from o join s2 using (sample_id) group by 1, 2, 3), {GRID}
 """
 
 
-@query("a21_grid_occupancy", OCC + "select * from occ")
-def a21(t):
-    return R.grid_occupancy(R.spatial_samples(t.obs))
+def _grid(t):
+    ids = t.customer.select((F.col("c_custkey") % 36).cast("int").alias("i"), (F.floor(F.col("c_custkey") / 36) % 18).cast("int").alias("j")).distinct()
+    return ids.select(F.concat_ws(":", "j", "i").alias("cell"), (F.lit(-180) + (F.col("i") + 0.5) * 10).alias("lon"), (F.lit(-90) + (F.col("j") + 0.5) * 10).alias("lat"), F.concat(F.lit("c"), F.col("i") % 5).alias("country"),
+                      F.concat(F.lit("z"), F.floor(F.col("i") / 12), F.lit("-"), F.floor(F.col("j") / 9)).alias("zone"), (F.col("i") % 4).alias("band"))
 
 
-@query("a23_sufficiency_audit", OCC + """, a(view, key) as (values ('overall','all'),('element','As'),('element','Xx'),('medium','soil'),('medium','water'))
-select view, key, coalesce(samples, 0) as samples, coalesce(cells, 0) as cells, case when samples is null then 'unassessable' when samples >= 500 and cells >= 400 then 'pass' else 'gap' end as status,
- concat_ws(',', case when coalesce(samples, 0) < 500 then 'too_few_samples' end, case when coalesce(cells, 0) < 400 then 'too_few_cells' end) as reasons from a left join occ using (view, key)""")
-def a23(t):
-    views = t.spark.createDataFrame([("overall", "all"), ("element", "As"), ("element", "Xx"), ("medium", "soil"), ("medium", "water")], "view string, key string")
-    return R.sufficiency_audit(R.grid_occupancy(R.spatial_samples(t.obs)), views, 500, 400).withColumn("reasons", F.concat_ws(",", "reasons"))
+def _used(t):
+    return R.occupied_cells(R.spatial_samples(t.obs))
 
 
-#: A grid of countries by simple rules, so that both sides have it without polygons.
-GRID = "grid as (select concat(j, ':', i) as cell, -180 + (i + 0.5::double) * 10 as lon, -90 + (j + 0.5::double) * 10 as lat, concat('c', i % 5) as country, concat('z', i // 12, '-', j // 9) as zone, i % 4 as band from range(36) a(i), range(18) b(j))"
-USED = f"used as (select distinct element, concat({Y10}, ':', {X10}) as cell from obs where lon is not null and element = 'As' and source_id = 'src-0' and medium = 'soil')"
+@query("a21_grid_occupancy", OCC + "select view, key, cast(sum(samples) as bigint) as samples, count(*) as cells, count(distinct country) as countries, count(distinct zone) as zones, count(distinct band) as bands from used left join grid using (cell) group by 1, 2")
+def a21(t):
+    return R.grid_occupancy(_used(t), _grid(t))
 
 
-def _grid(t):
-    ids = t.spark.range(36 * 18).select((F.col("id") % 36).cast("int").alias("i"), F.floor(F.col("id") / 36).cast("int").alias("j"))
-    return ids.select(F.concat_ws(":", "j", "i").alias("cell"), (F.lit(-180) + (F.col("i") + 0.5) * 10).alias("lon"), (F.lit(-90) + (F.col("j") + 0.5) * 10).alias("lat"), F.concat(F.lit("c"), F.col("i") % 5).alias("country"),
-                      F.concat(F.lit("z"), F.floor(F.col("i") / 12), F.lit("-"), F.floor(F.col("j") / 9)).alias("zone"), (F.col("i") % 4).alias("band"))
+_VIEWS = [("overall", "all"), ("element", "As"), ("element", "Xx"), ("medium", "soil"), ("medium", "water"), ("pair", "As|soil"), ("pair", "Hg|water")]
+_ASKED = "a(view, key) as (values " + ", ".join(f"('{v}', '{k}')" for v, k in _VIEWS) + ")"
 
 
-def _used(t):
-    x, y = P.cell_index(F.col("lon"), F.col("lat"), 10.0)
-    return t.obs.filter("lon is not null and element = 'As' and source_id = 'src-0' and medium = 'soil'").select(F.lit("element").alias("view"), F.col("element").alias("key"), F.concat_ws(":", y, x).alias("cell")).distinct()
+def _views(t):
+    return t.spark.createDataFrame(_VIEWS, "view string, key string")
+
+
+@query(
+    "a23_sufficiency_audit",
+    OCC
+    + f""", {_ASKED}, pl as (select view, key, cast(sum(samples) as bigint) as samples, count(*) as cells from used group by 1, 2), hv as (select distinct view, key, zone, cast(band as varchar) as band from used join grid using (cell)),
+m as (select view, key, (select coalesce(string_agg(z, ',' order by z), '') from (select distinct zone as z from grid) zz where not exists (select 1 from hv where hv.view = a.view and hv.key = a.key and hv.zone = z)) as missing_zones,
+ (select coalesce(string_agg(b, ',' order by b), '') from (select distinct cast(band as varchar) as b from grid) bb where not exists (select 1 from hv where hv.view = a.view and hv.key = a.key and hv.band = b)) as missing_bands from a),
+x as (select m.*, coalesce(samples, 0) as samples, coalesce(cells, 0) as cells from m left join pl using (view, key)),
+y as (select *, concat_ws(',', case when samples < 500 then 'too_few_samples' end, case when cells < 400 then 'too_few_cells' end, case when missing_zones <> '' then 'missing_zones' end, case when missing_bands <> '' then 'missing_bands' end) as reasons from x)
+select *, case when samples = 0 then 'unassessable' when reasons = '' then 'pass' else 'gap' end as status, samples >= 50 and cells >= 40 as display_pass from y""",
+)
+def a23(t):
+    out = R.sufficiency_audit(_used(t), _grid(t), _views(t), 500, 400, (50, 40))
+    return out.withColumns({c: F.concat_ws(",", c) for c in ("reasons", "missing_zones", "missing_bands")})
 
 
-@query("a24_rank_country_targets", f""", {GRID}, {USED}, l as (select grid.*, u.cell is not null as ok from grid left join used u using (cell)),
+@query("a24_rank_country_targets", OCC + """, l as (select grid.*, u.cell is not null as ok from grid left join (select distinct cell from used where view = 'pair' and key = 'As|soil') u using (cell)),
 g as (select country, count(*) as cells, count(*) filter (not ok) as unfilled, count(distinct zone) - count(distinct zone) filter (ok) as missing_zones, count(distinct band) - count(distinct band) filter (ok) as missing_bands from l group by 1)
 select *, cast(row_number() over (order by missing_zones desc, missing_bands desc, unfilled desc, country) as int) as rank from g where unfilled > 0""")
 def a24(t):
-    return R.rank_country_targets(_used(t), _grid(t))
+    return R.rank_country_targets(_used(t).filter("view = 'pair' and key = 'As|soil'"), _grid(t))
 
 
-@query("a25_country_coverage", f""", {GRID}, {USED}, g as (select country, count(*) as cells, count(u.cell) as occupied from grid left join used u using (cell) group by 1)
+@query("a25_country_coverage", OCC + """, g as (select country, count(*) as cells, count(u.cell) as occupied from grid left join (select distinct cell from used) u using (cell) group by 1)
 select country, cells, occupied, cast(rank() over (order by cells desc, country) as int) as rank, round(occupied / cells, 6) as share, occupied >= 3 as enough from g""")
 def a25(t):
     return r(R.country_coverage(_used(t), _grid(t)), 6, "share")
 
 
-@query("a26_dimension_gaps", f""", {GRID}, {USED}, v(view, key) as (values ('element','As'),('element','Pb')), z as (select zone, min(lon) as west, min(lat) as south, max(lon) as east, max(lat) as north from grid group by 1),
-h as (select distinct 'element' as view, element as key, zone from used join grid using (cell))
-select view, key, zone, west, south, east, north from v cross join z where not exists (select 1 from h where h.view = v.view and h.key = v.key and h.zone = z.zone)""")
+GAPS = f""", {_ASKED}, z as (select zone, min(lon) as west, min(lat) as south, max(lon) as east, max(lat) as north from grid group by 1), h as (select distinct view, key, zone from used join grid using (cell)),
+gap as (select view, key, zone, west, south, east, north from a cross join z where not exists (select 1 from h where h.view = a.view and h.key = a.key and h.zone = z.zone))"""
+
+
+@query("a26_dimension_gaps", OCC + GAPS + " select * from gap")
 def a26(t):
-    views = t.spark.createDataFrame([("element", "As"), ("element", "Pb")], "view string, key string")
-    return R.dimension_gaps(_used(t), _grid(t), views)
+    return R.dimension_gaps(_used(t), _grid(t), _views(t))
 
 
 @query("a27_field_completeness", "select unnest(['coordinate','license','method','time']) as field, unnest([a, b, c, d]) as filled, unnest([n - a, n - b, n - c, n - d]) as missing, round(unnest([a / n, b / n, c / n, d / n]), 6) as rate from (select count(*) as n, count(*) filter (lon is not null and lat is not null) as a, count(license) as b, count(*) filter (basis is not null and method_family is not null) as c, count(sampled_at) as d from obs)")
@@ -150,12 +190,19 @@ def a27(t):
     return r(R.field_completeness(t.obs, {"coordinate": ["lon", "lat"], "license": ["license"], "method": ["basis", "method_family"], "time": ["sampled_at"]}), 6, "rate")
 
 
-@query("a28_coverage_cube", f"select source_id, medium, element, sample_type, count(*) as observations, count(distinct sample_id) as samples, count(distinct sample_id) filter (lon is not null) as located_samples, count(value) as comparable, count(distinct case when lon is not null then {Y1} * 10000 + {X1} end) as cells from obs group by cube (source_id, medium, element, sample_type)")
+@query("a28_coverage_cube", f"""select source_id, medium, element, sample_type, method_scope, macroregion as region, basis, count(*) as observations, count(distinct sample_id) as samples, count(distinct sample_id) filter (lon is not null) as located_samples,
+ count(value) as comparable, count(distinct lineage) as lineages, count(distinct case when lon is not null then {Y1} * 10000 + {X1} end) as cells from obs group by rollup (source_id, medium, element, sample_type, method_scope, macroregion, basis)""")
 def a28(t):
-    return R.coverage_cube(t.obs, ["source_id", "medium", "element", "sample_type"], totals=True)
+    return R.coverage_cube(t.obs.withColumn("region", F.col("macroregion")), totals=True)
+
+
+_TALLY = lambda c, n: f"(select source_id, string_agg(k || ':' || n, ',' order by k || ':' || n) as {n} from (select source_id, coalesce({c}, 'none') as k, cast(count(*) as varchar) as n from obs group by 1, 2) group by 1)"
 
 
-@query("a29_source_profile", "select source_id, count(*) as records, count(distinct sample_id) as samples, min(lon) as west, max(lon) as east, min(lat) as south, max(lat) as north, string_agg(distinct method_family, ',' order by method_family) as methods, string_agg(distinct sample_type, ',' order by sample_type) as types, string_agg(distinct medium, ',' order by medium) as media, count(*) filter (lon is null) as unlocated from obs group by 1")
+@query("a29_source_profile", f"""select source_id, count(*) as records, count(distinct sample_id) as samples, min(lon) as west, max(lon) as east, min(lat) as south, max(lat) as north, count(*) filter (lon is null) as unlocated,
+ any_value(regions) as regions, any_value(systems) as systems, any_value(fractions) as fractions, any_value(methods) as methods, any_value(types) as types, any_value(media) as media
+from obs join {_TALLY("macroregion", "regions")} using (source_id) join {_TALLY("crs", "systems")} using (source_id) join {_TALLY("fraction", "fractions")} using (source_id) join {_TALLY("method_family", "methods")} using (source_id)
+ join {_TALLY("sample_type", "types")} using (source_id) join {_TALLY("medium", "media")} using (source_id) group by 1""")
 def a29(t):
     return R.source_profile(t.obs)
 
@@ -165,9 +212,10 @@ def a30(t):
     return R.medium_balance(t.obs)
 
 
-@query("a31_map_availability", "select 'element' as dimension, element as key, count(lon) as canonical, count(*) - count(lon) as unplottable from obs group by 2 union all select 'medium', medium, count(lon), count(*) - count(lon) from obs group by 2")
+@query("a31_map_availability", """, v as (select 'element' as dimension, element as key, lon, crs from obs union all select 'medium', medium, lon, crs from obs)
+select dimension, key, count(lon) as canonical, count(*) filter (lon is null and crs is not null) as reported_only, count(*) filter (lon is null and crs is null) as unplottable from v group by 1, 2""")
 def a31(t):
-    return R.map_availability(t.obs)
+    return R.map_availability(t.obs.withColumn("reported_point", F.col("crs").isNotNull()))
 
 
 @query(
@@ -181,7 +229,8 @@ def a32(t):
     return r(R.element_distribution(t.obs), 4, "p10", "median", "p90")
 
 
-@query("a33_coverage_diagnostics", "select medium, count(*) as records, count(distinct sample_id) as samples, round(count(basis) / count(*), 6) as basis_rate, count(*) filter (qualifier <> 'reported') as censored from obs group by 1")
+@query("a33_coverage_diagnostics", """, v as (select 'medium' as section, medium as key, * from obs union all select 'layer', sample_type, * from obs union all select 'domain', domain, * from obs)
+select section, key, count(*) as records, count(distinct sample_id) as samples, round(count(basis) / count(*), 6) as basis_rate, count(*) filter (qualifier <> 'reported') as censored from v group by 1, 2""")
 def a33(t):
     return r(R.coverage_diagnostics(t.obs), 6, "basis_rate")
 
@@ -193,10 +242,18 @@ def a34(t):
     return R.region_presets(t.obs, {"pacific": (150.0, -60.0, -100.0, 60.0), "north": (-180.0, 30.0, 180.0, 90.0)})
 
 
-@query("a35_source_confidence", "select source_id, count(*) as records, round(count(license) / count(*), 6) as license_rate, round(count(lon) / count(*), 6) as coordinate_rate, round(count(basis) / count(*), 6) as basis_rate, round(count(sampled_at) / count(*), 6) as time_rate, case when source_id = 'src-0' then 'https://zero' when source_id = 'src-1' then 'https://one' end as link from obs group by 1")
+_BANDS = ", ".join(f"count(*) filter ({c} >= {lo} and {c} < {hi}) as {n}_{b}" for n, c in (("evidence", "(source_row % 11 / 10.0::double)"), ("readiness", "(source_row % 7 / 6.0::double)")) for b, lo, hi in (("high", 0.8, 9), ("medium", 0.6, 0.8), ("low", -1, 0.6)))
+
+
+@query("a35_source_confidence", f"""
+, ab as (select source_id, string_agg(distinct w, ',' order by w) as absent from (select source_id, unnest([case when lon is null then 'no_coordinate' end, case when sampled_at is null then 'no_time' end, case when basis is null then 'no_basis' end, case when license is null then 'no_license' end]) as w from obs) where w is not null group by 1)
+select source_id, count(*) as records, round(count(license) / count(*), 6) as license_rate, round(count(lon) / count(*), 6) as coordinate_rate, round(count(basis) / count(*), 6) as basis_rate, round(count(sampled_at) / count(*), 6) as time_rate,
+ any_value(absent) as absent, round(avg(source_row % 11 / 10.0::double), 6) as evidence_mean, round(avg(source_row % 7 / 6.0::double), 6) as readiness_mean, {_BANDS},
+ case when source_id = 'src-0' then 'https://zero' when source_id = 'src-1' then 'https://one' end as link from obs join ab using (source_id) group by 1""")
 def a35(t):
     manifest = t.spark.createDataFrame([("src-0", "https://zero"), ("src-1", "https://one")], "source_id string, link string")
-    return r(R.source_confidence(t.obs, manifest), 6, "license_rate", "coordinate_rate", "basis_rate", "time_rate")
+    df = t.obs.withColumns({"evidence": (F.col("source_row") % 11) / 10.0, "readiness": (F.col("source_row") % 7) / 6.0})
+    return r(R.source_confidence(df, manifest, ["evidence", "readiness"]), 6, "license_rate", "coordinate_rate", "basis_rate", "time_rate", "evidence_mean", "readiness_mean")
 
 
 @query("a36_source_independence", """
@@ -238,26 +295,35 @@ def a44(t):
     return R.lab_metadata_profile(t.obs.withColumn("accredited", F.col("source_row") % 3 == 0))
 
 
-@query("a45_quality_flag_audit", "select element, cast(station % 4 as bigint) as flag, count(*) as n, count(distinct station) as stations, round(min(t), 6) as first, round(max(t), 6) as last, min(value) as least, max(value) as greatest from series group by 1, 2")
+@query("a43_row_reasons", r"""
+, c as (select record_id, [case when nullif(trim(value), '') is null then 'missing' when trim(value) like '<%' then 'censored' when try_cast(trim(value) as double) is null then 'invalid' end,
+ case when nullif(trim(detection_limit), '') is null then 'missing' when trim(detection_limit) like '<%' then 'censored' when try_cast(trim(detection_limit) as double) is null then 'invalid' end] as w from raw)
+select record_id, array_to_string(list_sort(list_distinct(list_filter(w, lambda x: x is not null))), ',') as reasons from c""")
+def a43_rows(t):
+    return R.row_reasons(t.raw, ["value", "detection_limit"], "record_id")
+
+
+@query("a45_quality_flag_audit", "select element, cast(station % 4 as bigint) as flag, count(*) as n, count(distinct station) as stations, count(distinct station % 7) as cruises, min(station % 50 / 2.0::double) as shallowest, max(station % 50 / 2.0::double) as deepest, round(min(t), 6) as first, round(max(t), 6) as last, min(value) as least, max(value) as greatest from series group by 1, 2")
 def a45(t):
-    return r(R.quality_flag_audit(t.series.withColumn("flag", F.col("station") % 4)), 6, "first", "last")
+    s = F.col("station")
+    return r(R.quality_flag_audit(t.series.withColumns({"flag": s % 4, "cruise": s % 7, "depth": (s % 50) / 2.0})), 6, "first", "last")
 
 
-@query("a54_discovery_candidates", COHORT + """
-select 'T2' as kind, element || '|' || medium as key from cohort group by element, medium having count(distinct method_family) >= 2 and sum(quantified) >= 2
-union all select distinct 'T3', concat_ws('|', element, medium, sample_type, method_family, basis, unit) from cohort where sources = 1 and quantified >= 2
-union all select 'T5', element from cohort group by element having count(distinct medium) >= 2""")
+@query("a54_discovery_candidates", COHORT + OCC.replace(" s as (", " sp as (").replace("from s where", "from sp where") + GAPS.replace(" z as (", " zn as (").replace("cross join z ", "cross join zn ").replace("h.zone = z.zone", "h.zone = zn.zone") + f"""
+select 'T2' as kind, element || '|' || medium as key, cast(sum(quantified) as bigint) as score from cohort group by element, medium having count(distinct method_family) >= 2 and sum(quantified) >= 2
+union all select 'T3', concat_ws('|', {_K}) as k, max(quantified) from cohort where sources = 1 and quantified >= 2 group by k
+union all select 'T4', zone, count(*) from gap group by zone
+union all select 'T5', element, count(distinct medium) from cohort group by element having count(distinct medium) >= 2""")
 def a54(t):
-    return R.discovery_candidates(R.analysis_cohorts(t.obs), 2)
+    gaps = R.dimension_gaps(_used(t), _grid(t), _views(t)).select(F.col("zone").alias("region"), "key")
+    return R.discovery_candidates(R.analysis_cohorts(t.obs), gaps, 2)
 
 
-@query("a55_sampling_priority", COHORT + f""", {GRID}, {USED}, z as (select zone, min(lon) as west, min(lat) as south, max(lon) as east, max(lat) as north from grid group by 1), h as (select distinct zone from used join grid using (cell)),
-u as (select 1 as kind, 'fill_zone' as task, 'element|Pb|' || zone as key, 0 as n from z union all select 1, 'fill_zone', 'element|As|' || zone, 0 from z where zone not in (select zone from h)
- union all select 2, 'second_source', concat_ws('|', element, medium, sample_type, method_family, basis, unit), quantified from cohort where sources = 1)
+@query("a55_sampling_priority", COHORT + OCC.replace(" s as (", " sp as (").replace("from s where", "from sp where") + GAPS.replace(" z as (", " zn as (").replace("cross join z ", "cross join zn ").replace("h.zone = z.zone", "h.zone = zn.zone") + f""",
+u as (select 1 as kind, 'fill_zone' as task, view || '|' || key || '|' || zone as key, 0 as n from gap union all select 2, 'second_source', concat_ws('|', {_K}), quantified from cohort where sources = 1)
 select cast(row_number() over (order by kind, n desc, key) as int) as priority, task, key from u""")
 def a55(t):
-    views = t.spark.createDataFrame([("element", "As"), ("element", "Pb")], "view string, key string")
-    return R.sampling_priority(R.dimension_gaps(_used(t), _grid(t), views), R.analysis_cohorts(t.obs)).drop("box")
+    return R.sampling_priority(R.dimension_gaps(_used(t), _grid(t), _views(t)), R.analysis_cohorts(t.obs)).drop("box")
 
 
 @query("a58_readiness_criteria", """
