@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,9 +81,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def rows_with_text(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """(row, text): ``keep`` (all columns, if None) packed in a struct, so that no name clashes, and the text, "" for null."""
+    """(row, text): ``keep`` (all columns, if None) packed in a struct, so that no name clashes, and the text. A struct
+    that has the text already stands alone, so that Python gets it once; ``texts_of`` finds it in either."""
     names = docs.columns if keep is None else keep
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    return docs.select(row) if any(c.lower() == "text" for c in names) else docs.select(row, "text")
+
+
+def texts_of(rows: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of ``rows_with_text``, "" for null."""
+    if "text" in rows.schema.names:
+        found = rows.column("text")
+    else:
+        held = rows.column("row")
+        found = held.field(next(i for i, f in enumerate(held.type) if f.name.lower() == "text"))
+    return found.fill_null("")
 
 
 def row_type(rows: DataFrame) -> str:

@@ -15,6 +15,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import texts_of
 from .pieces import chunks
 
 GRAMS = 1024
@@ -99,17 +100,18 @@ def inverse_frequency(x: np.ndarray) -> np.ndarray:
 
 
 def each_block(batches: Iterator[pa.RecordBatch], most: int = 1_000_000, cues: Sequence[dict[str, float]] = ()) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, terms, words) in blocks of bounded bytes; the text column holds no nulls. Each of ``cues`` adds three
+    """(rows, terms, words) in blocks of bounded bytes. Each of ``cues`` adds three
     columns: how much of it a text has, its strongest one, and how dense it is among the words."""
     finders = [CueFinder(c) for c in cues]
     for b in batches:
-        raw = b.column("text").cast(pa.binary())
+        said = texts_of(b)
+        raw = said.cast(pa.binary())
         sizes = pa.compute.binary_length(raw).to_pylist()
         for lo, hi in chunks(sizes, most, 512):
             part = b.slice(lo, hi - lo)
             x, words = terms(raw.slice(lo, hi - lo).to_pylist())
             if finders:
-                texts = part.column("text").to_pylist()
+                texts = said.slice(lo, hi - lo).to_pylist()
                 sums, tops = _found(finders, texts)
                 dense = np.log1p(100 * sums / (20 + words[:, None]))
                 x = np.concatenate([x, np.log1p(sums) / 4, tops / 4, dense / 4], axis=1).astype(np.float32)

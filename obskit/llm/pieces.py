@@ -303,8 +303,8 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, sizes) + np.arange(total)
 
 
-def chunks(sizes: list[int], most: int = 4_000_000, rows: int = 2048) -> Iterator[tuple[int, int]]:
-    """[from, to) runs of rows with about ``most`` bytes at most."""
+def chunks(sizes: list[int], most: int = 1_000_000, rows: int = 2048) -> Iterator[tuple[int, int]]:
+    """[from, to) runs of rows with about ``most`` bytes at most, which bounds what a task holds."""
     at, held = 0, 0
     for i, s in enumerate(sizes):
         if i > at and (held + s > most or i - at >= rows):

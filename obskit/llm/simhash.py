@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, join_groups, row_type, rows_with_text
+from .common import durable, join_groups, row_type, rows_with_text, texts_of
 from .components import components
 
 MAX_BITS = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                found = np.array([fingerprint(x.as_py()) for x in part.column("text")], dtype=np.uint64).view(np.int64)
+                found = np.array([fingerprint(x.as_py()) for x in texts_of(part)], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.int64())], names=["row", "fingerprint"])
 
     rows = rows_with_text(docs, keep)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_type, rows_with_text
+from .common import row_type, rows_with_text, texts_of
 from .features import CLAUSE, STEMS, WORD, labelled_sample, learn_cues
 
 THREATS = "kill hurt destroy beat punch stab shoot burn crush töten schlagen vernichten umbringen verprügeln tuer frapper détruire brûler écraser matar golpear destruir quemar aplastar".split()
@@ -292,7 +292,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
                 scores, found = [], []
-                for t in part.column("text").to_pylist():
+                for t in texts_of(part).to_pylist():
                     clauses = sorted(m.clauses(t), key=lambda c: -c[1])
                     scores.append(m.score(t, clauses))
                     found.append([{"clause": c, "weight": s} for c, s in clauses])
