@@ -47,7 +47,7 @@ def artifact_coordinate_check(obs: DataFrame, features: DataFrame, tolerance: fl
 
 def source_binding_check(obs: DataFrame, manifest: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(source_id, field, mismatches): rows whose value is not among their source's declared ones (array columns)."""
-    joined = obs.join(F.broadcast(manifest.select("source_id", *[F.col(f).alias(f"_{f}") for f in fields])), "source_id", "left")
+    joined = obs.join(manifest.select("source_id", *[F.col(f).alias(f"_{f}") for f in fields]), "source_id", "left")
     wrong = [F.struct(F.lit(f).alias("field"), (F.col(f).isNotNull() & ~F.coalesce(F.array_contains(f"_{f}", F.col(f)), F.lit(False))).cast("int").alias("w")) for f in fields]
     return joined.select("source_id", F.inline(F.array(*wrong))).groupBy("source_id", "field").agg(F.sum("w").alias("mismatches")).filter("mismatches > 0")
 
@@ -55,7 +55,7 @@ def source_binding_check(obs: DataFrame, manifest: DataFrame, fields: Sequence[s
 def expected_count_reconcile(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """(source_id, observed, expected, status): match, drift, or baseline where nothing is registered."""
     n = observed.groupBy("source_id").agg(F.count("*").alias("observed"))
-    both = n.join(F.broadcast(expected), "source_id", "left")
+    both = n.join(expected, "source_id", "left")
     status = F.when(F.col("expected").isNull(), "baseline").when(F.col("observed") == F.col("expected"), "match").otherwise("drift")
     return both.select("source_id", "observed", "expected", status.alias("status"))
 
@@ -69,12 +69,16 @@ def compact_evidence(evidence: DataFrame, keys: Sequence[str], fields: Sequence[
 
 
 def source_manifest(obs: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Per source: sorted distinct titles, licences and (file, hash) pairs, and located / licensed records."""
-    both = obs.select("record_id", "source_id", "lon", F.col("license").alias("own_license")).join(evidence.select("record_id", "title", "license", "source_file", "file_hash"), "record_id")
-    pair = F.concat_ws("#", "source_file", "file_hash")
+    """Per source: sorted distinct titles, licences, DOIs, versions, tiers, addresses, (file, hash, address) triples and
+    citations, and located / licensed / verified records (verified: the record's title is the evidence's)."""
+    own = obs.select("record_id", "source_id", "lon", F.col("license").alias("own_license"), F.col("title").alias("own_title"), "doi", "version", "tier", "url")
+    both = own.join(evidence.select("record_id", "title", "license", "source_file", "file_hash"), "record_id")
+    triple = F.concat_ws("#", "source_file", "file_hash", F.coalesce("url", F.lit("")))
+    cited = F.concat_ws(", ", F.col("title"), F.col("version"), F.col("doi"))
+    sets = {"titles": "title", "licenses": "license", "dois": "doi", "versions": "version", "tiers": "tier", "urls": "url", "files": triple, "citations": cited}
     return both.groupBy("source_id").agg(
-        F.concat_ws(",", F.array_sort(F.collect_set("title"))).alias("titles"), F.concat_ws(",", F.array_sort(F.collect_set("license"))).alias("licenses"), F.concat_ws(",", F.array_sort(F.collect_set(pair))).alias("files"),
-        F.count_if(F.col("lon").isNotNull()).alias("located"), F.count_if(F.col("own_license").isNotNull()).alias("licensed"), F.count("*").alias("records"),
+        *[F.concat_ws(";", F.array_sort(F.collect_set(c))).alias(n) for n, c in sets.items()], F.count_if(F.col("lon").isNotNull()).alias("located"),
+        F.count_if(F.col("own_license").isNotNull()).alias("licensed"), F.count_if(F.col("own_title") == F.col("title")).alias("verified"), F.count("*").alias("records"),
     )
 
 

@@ -388,12 +388,16 @@ def readiness_criteria(obs: DataFrame, targets: DataFrame) -> DataFrame:
     """(criterion, actual, status) against targets (criterion, least, warn): pass at ``least``, warning at ``warn``."""
     big = obs.groupBy("source_id").agg(F.count("*").alias("n")).agg((1 - F.max("n") / F.sum("n")).alias("source_balance"))
     med = obs.groupBy("medium").agg(F.count("*").alias("n"), F.count_distinct("lineage").alias("l")).agg((F.min("n") / F.max("n")).alias("medium_balance"), F.min("l").cast("double").alias("lineages_per_medium"))
+    elements = obs.groupBy("element").agg(F.count("*").alias("n")).agg((F.min("n") / F.max("n")).alias("element_balance"))
+    groups = obs.groupBy("element", "medium", "unit").agg(F.count("*").alias("n"), F.count_if((F.col("qualifier") == "reported") & (F.col("value") > 0)).alias("q"))
+    background = groups.agg((F.sum(F.when((F.col("q") >= 8) & (F.col("q") >= 0.7 * F.col("n")), F.col("n")).otherwise(0)) / F.sum("n")).alias("outlier_background"))
     one = obs.agg(
         F.count("*").cast("double").alias("records"), F.count_distinct("sample_id").cast("double").alias("samples"), F.count_distinct("source_id").cast("double").alias("sources"), F.avg(F.col("license").isNotNull().cast("double")).alias("provenance"),
         F.avg(F.col("basis").isNotNull().cast("double")).alias("method"), F.avg(F.col("lithology").isNotNull().cast("double")).alias("geology"), F.avg(F.col("lon").isNotNull().cast("double")).alias("mappable"),
     )
     names = ("records", "samples", "sources", "provenance", "method", "geology", "mappable")
     rows = tall(one, names, "criterion", "actual").union(tall(big, ["source_balance"], "criterion", "actual")).union(tall(med, ["medium_balance", "lineages_per_medium"], "criterion", "actual"))
+    rows = rows.union(tall(elements, ["element_balance"], "criterion", "actual")).union(tall(background, ["outlier_background"], "criterion", "actual"))
     status = F.when(F.col("actual").isNull(), "unassessable").when(F.col("actual") >= F.col("least"), "pass").when(F.col("actual") >= F.col("warn"), "warning").otherwise("fail")
     return targets.join(rows, "criterion", "left").select("criterion", "actual", status.alias("status"))
 

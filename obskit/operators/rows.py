@@ -11,8 +11,8 @@ from ..functions.standardize import blank_to_null, flags, inside_box, stable_id
 
 
 def coordinate_policy_join(df: DataFrame, policies: DataFrame) -> DataFrame:
-    """Fill a missing source_crs where source, DOI pattern and both coordinate fields match a policy (small, broadcast)."""
-    p = F.broadcast(policies.select(F.col("source_id").alias("_sid"), F.col("doi_pattern").alias("_doi"), F.col("fields").alias("_fields"), F.col("crs").alias("_crs")))
+    """Fill a missing source_crs where source, DOI pattern and both coordinate fields match a policy."""
+    p = policies.select(F.col("source_id").alias("_sid"), F.col("doi_pattern").alias("_doi"), F.col("fields").alias("_fields"), F.col("crs").alias("_crs"))
     match = (F.col("source_id") == F.col("_sid")) & F.expr("doi rlike _doi") & F.array_contains("_fields", F.col("lat_field")) & F.array_contains("_fields", F.col("lon_field"))
     given = blank_to_null(F.col("source_crs"))
     out = df.join(p, match, "left")
@@ -25,13 +25,24 @@ def with_stable_ids(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame
     return df.withColumns({"stable_id": stable_id("gen-", *[F.col(k) for k in keys]), "occurrence": again})
 
 
-def evidence_layer(obs: DataFrame) -> DataFrame:
-    """Add gaps and layer: strict has all, traceable names its source and licence, incomplete doesn't."""
-    gaps = flags(("coordinate", F.col("lon").isNull()), ("basis", F.col("basis").isNull()), ("license", F.col("license").isNull()), ("time", F.col("sampled_at").isNull()))
-    out = obs.withColumn("gaps", gaps)
-    traced = ~F.arrays_overlap("gaps", F.array(F.lit("license")))
-    complete = ~F.arrays_overlap("gaps", F.array(F.lit("coordinate"), F.lit("basis")))
-    return out.withColumn("layer", F.when(~traced, "incomplete").when(complete, "strict").otherwise("traceable"))
+#: What strict provenance needs beside an https address.
+PROVENANCE = ("source_id", "title", "version", "license", "doi")
+
+
+def evidence_layer(obs: DataFrame, errors: Sequence[str], provenance: Sequence[str] = PROVENANCE) -> DataFrame:
+    """Add missing_provenance, gaps, qc_status and layer: strict has no gap and clear flags, traceable names its source
+    and an address, incomplete doesn't. Marine rows need no geological context. Reads qc_flags."""
+    missing = flags(*[(c, blank_to_null(F.col(c)).isNull()) for c in provenance], ("url", ~F.coalesce(F.col("url").rlike("^https?://[^/ ]+"), F.lit(False))))
+    out = obs.withColumn("missing_provenance", missing)
+    gaps = flags(
+        ("strict_provenance", F.size("missing_provenance") > 0), ("coordinate", F.col("lon").isNull() | F.col("lat").isNull()), ("method", F.col("method_family").isNull() & F.col("basis").isNull()),
+        ("geology", F.col("lithology").isNull() & ~F.col("domain").eqNullSafe("marine")), ("quantity", F.col("value").isNull() | F.col("unit").isNull()),
+    )
+    status = F.when(F.col("qc_flags").isNull(), "not_evaluated").when(F.exists("qc_flags", lambda f: f.isin(*errors)), "blocked").otherwise("clear")
+    out = out.withColumns({"gaps": gaps, "qc_status": status})
+    traced = F.col("source_id").isNotNull() & F.col("url").isNotNull()
+    strict = (F.size("gaps") == 0) & (F.col("qc_status") == "clear")
+    return out.withColumn("layer", F.when(strict, "strict").when(traced, "traceable").otherwise("incomplete"))
 
 
 def geologic_display(labels: Mapping[str, Column]) -> Column:
@@ -49,22 +60,32 @@ def resolve_value(value: Column, unit: Column, qualifier: Column, limit: Column,
 
 def semantic_enrichment(df: DataFrame, contracts: DataFrame) -> DataFrame:
     """Add controlled_type by (source_id, sample_type) from a small contract table; codes without one are ``unmapped``."""
-    out = df.join(F.broadcast(contracts), ["source_id", "sample_type"], "left")
+    out = df.join(contracts, ["source_id", "sample_type"], "left")
     return out.withColumn("unmapped", F.col("controlled_type").isNull())
 
 
-#: (code, owner, severity, rule) of the row checks.
+#: (code, owner, severity, status, rule) of the row checks.
 ISSUES = (
-    ("MISSING_COORDINATE", "source", "error", "lon is null or lat is null"),
-    ("MISSING_LICENSE", "provenance", "warning", "license is null"),
-    ("NOT_STANDARDIZED", "workflow", "error", "value is null and qualifier <> 'lt'"),
+    ("SOURCE_LOCATOR_MISSING", "source", "error", "open", "url is null"),
+    ("LICENSE_MISSING", "source", "warning", "open", "license is null"),
+    ("COORDINATE_UNUSABLE", "source", "error", "open", "lon is null or lat is null"),
+    ("SAMPLE_TYPE_MISSING", "source", "warning", "open", "sample_type is null"),
+    ("ANALYTICAL_METHOD_MISSING", "source", "warning", "open", "method_family is null or basis is null"),
+    ("METHOD_SCOPE_MISSING", "workflow", "info", "open", "method_scope is null"),
+    ("GEOLOGIC_CONTEXT_MISSING", "workflow", "warning", "open", "lithology is null and domain = 'land'"),
+    ("CENSORED_OBSERVATION", "workflow", "info", "accepted", "qualifier <> 'reported'"),
+    ("NORMALIZATION_FAILED", "workflow", "error", "open", "value is null and qualifier = 'reported'"),
+    ("NORMALIZED_UNIT_MISSING", "workflow", "error", "open", "value is not null and unit is null"),
+    ("LOW_OPERATIONAL_CONFIDENCE", "workflow", "info", "open", "band = 'low'"),
+    ("REFERENCE_SYSTEM_MISSING", "source", "warning", "open", "lon is not null and crs is null"),
 )
 
 
 def row_issues(obs: DataFrame, rules=ISSUES) -> DataFrame:
-    """One row for each rule that a record breaks, with a stable item id."""
-    made = F.array_compact(F.array(*[F.when(F.expr(r), F.struct(F.lit(c).alias("code"), F.lit(o).alias("owner"), F.lit(s).alias("severity"), F.lit("open").alias("status"))) for c, o, s, r in rules]))
-    out = obs.select("record_id", F.inline(made))
+    """One row for each rule that a record breaks (record_id, source_id, code, owner, severity, status, item_id); the
+    item id is the same in every run."""
+    made = F.array_compact(F.array(*[F.when(F.expr(r), F.struct(F.lit(c).alias("code"), F.lit(o).alias("owner"), F.lit(s).alias("severity"), F.lit(w).alias("status"))) for c, o, s, w, r in rules]))
+    out = obs.select("record_id", "source_id", F.inline(made))
     return out.withColumn("item_id", stable_id("issue-", F.col("code"), F.col("record_id")))
 
 

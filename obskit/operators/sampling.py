@@ -39,7 +39,9 @@ def balanced_cap(df: DataFrame, cap: int, order: Sequence[str], by: str = "mediu
         return df.limit(0)
     key = F.coalesce(F.col(by).cast("string"), F.lit(""))
     allowed = F.try_element_at(F.create_map(*[F.lit(x) for kv in quota.items() for x in kv]), key)
-    return df.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("_k") <= allowed).drop("_k")
+    # The literal bound lets each task drop most rows before the shuffle; the quota decides after it.
+    ranked = df.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("_k") <= max(quota.values()))
+    return ranked.filter(F.col("_k") <= allowed).drop("_k")
 
 
 def with_positions(df: DataFrame, order: Sequence[str], into: str = "position") -> DataFrame:
@@ -74,12 +76,16 @@ def round_robin_sample(df: DataFrame, key: str, bucket_cols: Sequence[str], orde
 
 
 def balanced_layer_sample(df: DataFrame, layer: str, cap: int, order: Sequence[str], special: Column) -> DataFrame:
-    """Every layer cut to the smallest layer's size and the cap; a ``special`` row comes first where there is one."""
+    """Every layer cut to the smallest layer's size and the cap; a ``special`` row comes first where there is one.
+
+    No row beyond the first ``cap`` of its layer and kind can stay, so tasks drop these before anything is shuffled.
+    """
     least = df.groupBy(layer).agg(F.count("*").alias("n")).agg(F.least(F.min("n"), F.lit(cap)).alias("_size"))
     one = F.row_number().over(Window.partitionBy(layer, special).orderBy(*order))
+    near = df.withColumn("_s", one).filter(F.col("_s") <= cap)
     first = (special & (F.col("_s") == 1)).cast("int")
     k = F.row_number().over(Window.partitionBy(layer).orderBy(F.desc(first), *order))
-    return df.withColumn("_s", one).withColumn("_k", k).join(F.broadcast(least)).filter(F.col("_k") <= F.col("_size")).drop("_s", "_k", "_size")
+    return near.withColumn("_k", k).filter(F.col("_k") <= cap).crossJoin(least).filter(F.col("_k") <= F.col("_size")).drop("_s", "_k", "_size")
 
 
 def coverage_preserving_sample(obs: DataFrame, flagged: DataFrame, limit: int, strata: Sequence[str], unit: str = "sample_id", seed: int = 5) -> DataFrame:

@@ -14,9 +14,37 @@ CENSORED = ("lt", "le", "gt", "ge", "bdl", "loq", "nd", "trace")
 POLICY = {"recovery_low": 80.0, "recovery_high": 120.0, "blank_max": 5.0, "rpd_max": 20.0, "unit": "mg/kg"}
 
 
-def duplicate_candidates(obs: DataFrame, keys: Sequence[str], into: str = "duplicate") -> DataFrame:
-    """Flag every member of a group with more than one row; none is dropped, and null is a key value like others."""
-    return obs.withColumn(into, F.count("*").over(Window.partitionBy(*keys)) > 1)
+#: What tells two measurements apart, beside the sample; and what stands for a sample that has no identity.
+MEASUREMENT = ("source_id", "replicate_group_id", "element_or_analyte", "species_or_oxide", "value", "unit", "method_family", "analytical_method", "measurement_basis", "latitude", "longitude")
+CONTEXT = ("latitude", "longitude", "sampled_at", "sample_depth_min_m", "sample_depth_max_m", "material", "sample_type", "soil_horizon", "sediment_environment", "water_fraction", "grain_fraction")
+
+
+def measurement_identity(obs: DataFrame) -> list[Column]:
+    """The twelve parts of a measurement's identity. A sample without identity group or id is told by its context;
+    columns that the table lacks are null."""
+    have = {c.lower() for c in obs.columns}
+    col = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
+    blank = lambda c: F.nullif(col(c).cast("string"), F.lit(""))
+    named = F.coalesce(blank("sample_identity_group"), blank("sample_id"))
+    context = F.struct(*[col(c).cast("string").alias(c) for c in CONTEXT])
+    sample = F.when(named.isNotNull(), F.concat(F.lit("id:"), named)).otherwise(F.concat(F.lit("context:"), F.to_json(context)))
+    return [sample, *[col(c) for c in MEASUREMENT]]
+
+
+def duplicate_candidates(obs: DataFrame, keys: Sequence[str | Column] | None = None, into: str = "duplicate") -> DataFrame:
+    """Flag every member of a group with more than one row; none is dropped, and null is a key value like others.
+
+    ``keys`` default to ``measurement_identity``. Rows are counted by a digest of the keys and joined back, so a key
+    that many rows share is added up before it is shuffled.
+    """
+    parts = measurement_identity(obs) if keys is None else [F.col(k) if isinstance(k, str) else k for k in keys]
+    digest = F.sha2(F.to_json(F.struct(*[p.cast("string").alias(f"c{i}") for i, p in enumerate(parts)])), 256)
+    row = F.struct(*[F.col(f"`{c}`") for c in obs.columns]).alias("row")
+    keyed = obs.select(row, digest.alias("digest"))
+    again = keyed.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1")
+    joined = keyed.join(again, "digest", "left")
+    kept = [c for c in obs.columns if c.lower() != into.lower()]
+    return joined.select(*[F.col("row")[c].alias(c) for c in kept], F.col("n").isNotNull().alias(into))
 
 
 def exclusion(obs: DataFrame, gate: bool = False) -> Column:
@@ -226,12 +254,15 @@ def censor_guard_check(obs: DataFrame, flagged: DataFrame) -> DataFrame:
 
 
 def database_contract_check(obs: DataFrame) -> DataFrame:
-    """(rule, violations) over the whole table."""
+    """(rule, violations) over the whole table: ids, values and limits, coordinates, addresses, a method or the reason for
+    none but not both, and an accuracy status wherever there is a place."""
     again = obs.groupBy("record_id").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n"))
     rules = {
         "null_id": F.col("record_id").isNull(), "value_and_limit": F.col("value").isNotNull() & F.col("censor_limit").isNotNull(),
         "half_coordinate": F.col("lon").isNull() != F.col("lat").isNull(), "out_of_range": ~F.coalesce(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90), F.lit(True)),
-        "no_license": F.col("license").isNull(), "no_basis": F.col("basis").isNull(),
+        "no_license": F.col("license").isNull(), "no_basis": F.col("basis").isNull(), "invalid_url": F.col("url").isNotNull() & ~F.col("url").rlike("^https?://[^/ ]+"),
+        "method_and_reason": F.col("method_family").isNotNull() & F.col("method_missing_reason").isNotNull(), "no_method_no_reason": F.col("method_family").isNull() & F.col("method_missing_reason").isNull(),
+        "accuracy_unaccounted": F.col("lon").isNotNull() & F.col("coordinate_accuracy_status").isNull(), "accuracy_without_place": F.col("lon").isNull() & (F.col("coordinate_accuracy_status") != "not_applicable"),
     }
     sums = obs.agg(*[F.count_if(c).alias(n) for n, c in rules.items()])
     tall = sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])))

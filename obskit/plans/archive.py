@@ -58,21 +58,21 @@ def s6(t):
 
 
 def _parts(t):
+    """Six tables, one a source with columns of their own; every 50th row of src-2 is among those of src-1."""
     o = t.obs.withColumn("source_file", F.lit("f.csv"))
-    a = o.filter("source_id = 'src-0'").drop("lithology")
-    b = o.filter("source_id = 'src-1' or source_id = 'src-2' and source_row % 50 = 0").drop("basis")
-    return a, b
+    stray = (F.col("source_id") == "src-2") & (F.col("source_row") % 50 == 0)
+    parts = {f"src-{k}": o.filter(((F.col("source_id") == f"src-{k}") & ~stray) | (stray if k == 1 else F.lit(False))) for k in range(6)}
+    return {k: p.drop("lithology" if k == "src-0" else "basis") for k, p in parts.items()}
 
 
-@query("s7_union_sources", "select record_id, 'repeated_id' as problem from obs where source_id = 'src-0' or source_id = 'src-1' or source_id = 'src-2' and source_row % 50 = 0 group by 1 having count(*) > 1 union all select record_id, 'foreign_source' from obs where source_id = 'src-2' and source_row % 50 = 0")
+@query("s7_union_sources", "select record_id, 'repeated_id' as problem from obs group by 1 having count(*) > 1 union all select record_id, 'foreign_source' from obs where source_id = 'src-2' and source_row % 50 = 0")
 def s7(t):
-    a, b = _parts(t)
-    return T.union_sources({"src-0": a, "src-1": b})[1]
+    return T.union_sources(_parts(t))[1]
 
 
-@query("u1_union_by_name", "select record_id, case when source_id <> 'src-0' then lithology end as lithology, case when source_id = 'src-0' then basis end as basis from obs where source_id = 'src-0' or source_id = 'src-1' or source_id = 'src-2' and source_row % 50 = 0")
+@query("u1_union_by_name", "select record_id, case when source_id <> 'src-0' then lithology end as lithology, case when source_id = 'src-0' then basis end as basis from obs")
 def u1(t):
-    return T.union_by_name(list(_parts(t))).select("record_id", "lithology", "basis")
+    return T.union_by_name(list(_parts(t).values())).select("record_id", "lithology", "basis")
 
 
 @query("u2_key_difference", "(select record_id, 'a' as side from obs except select record_id, 'a' from evidence) union all (select record_id, 'b' from evidence except select record_id, 'b' from obs)")
@@ -173,12 +173,16 @@ def s15(t):
     return T.manifest_diff(before, after)
 
 
-@query("f10_query_observations", "select distinct record_id, sampled_at from obs where element in ('As','Pb') and medium in ('soil') and (lon >= -100 and lon <= 150) and lat between -60 and 70 and sampled_at >= '1994-01-01' and sampled_at <= '1997-12-31' order by 1, 2 limit 500")
+@query("f10_query_observations", r"""select distinct record_id, sampled_at from obs where element in ('As','Pb') and medium in ('soil') and (lon >= -100 and lon <= 150) and lat between -60 and 70 and sampled_at >= '1994-01-01' and sampled_at <= '1998-12-31'
+ and (coalesce(lithology in ('granite', 'basalt'), false) or coalesce(sample_type in ('core'), false)) and list_has_all(string_split_regex(lower(concat_ws(' ', title, method_family, basis)), '[^\p{L}\p{N}]+'), ['title', 'xrf']) order by 1, 2 limit 500""")
 def f10(t):
-    return T.query_observations(t.obs, filters={"element": ["As", "Pb"], "medium": ["soil"]}, box=(-100.0, -60.0, 150.0, 70.0), time_from="1994-01-01", time_to="1997-12-31", columns=["record_id", "sampled_at"], limit=500)
+    return T.query_observations(
+        t.obs, filters={"element": ["As", "Pb"], "medium": ["soil"]}, any_of={"lithology": ["granite", "basalt"], "sample_type": ["core"]}, box=(-100.0, -60.0, 150.0, 70.0), time_from="1994-01-01", time_to="1998-12-31",
+        text="XRF, title", text_columns=["title", "method_family", "basis"], columns=["record_id", "sampled_at"], limit=500,
+    )
 
 
-@query("f11_text_search", r"select doc_id as entity_id, cast(2 as bigint) as hits from documents where list_contains(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), 'the') and list_contains(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), 'and')")
+@query("f11_text_search", r"select doc_id as entity_id from documents where list_contains(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), 'the') and list_contains(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), 'and')")
 def f11(t):
     return T.text_search(t.documents.select(F.col("doc_id").alias("entity_id"), "text"), "and THE")
 

@@ -66,7 +66,15 @@ def a56(t):
     return P.compact_evidence(t.evidence, ["source_id", "file_hash"], ["title", "analyte"], "record_id").select("record_id", "title", "analyte", "anchor")
 
 
-@query("a57_source_manifest", "select o.source_id, string_agg(distinct e.title, ',' order by e.title) as titles, coalesce(string_agg(distinct e.license, ',' order by e.license), '') as licenses, string_agg(distinct e.source_file || '#' || file_hash, ',' order by e.source_file || '#' || file_hash) as files, count(o.lon) as located, count(o.license) as licensed, count(*) as records from obs o join evidence e on o.record_id = e.record_id group by 1")
+@query("a57_source_manifest", """select o.source_id, coalesce(string_agg(distinct e.title, ';' order by e.title), '') as titles,
+ coalesce(string_agg(distinct e.license, ';' order by e.license), '') as licenses,
+ coalesce(string_agg(distinct o.doi, ';' order by o.doi), '') as dois,
+ coalesce(string_agg(distinct o.version, ';' order by o.version), '') as versions,
+ coalesce(string_agg(distinct o.tier, ';' order by o.tier), '') as tiers,
+ coalesce(string_agg(distinct o.url, ';' order by o.url), '') as urls,
+ coalesce(string_agg(distinct e.source_file || '#' || file_hash || '#' || coalesce(o.url, ''), ';' order by e.source_file || '#' || file_hash || '#' || coalesce(o.url, '')), '') as files,
+ coalesce(string_agg(distinct concat_ws(', ', e.title, o.version, o.doi), ';' order by concat_ws(', ', e.title, o.version, o.doi)), '') as citations,
+ count(o.lon) as located, count(o.license) as licensed, count(*) filter (o.title = e.title) as verified, count(*) as records from obs o join evidence e using (record_id) group by 1""")
 def a57(t):
     return P.source_manifest(t.obs, t.evidence)
 

@@ -38,15 +38,19 @@ BOXES = """select o_orderkey as id, cast(o_custkey * 7919 % 360 - 180 as double)
  cast((o_custkey * 7919 % 360 + o_orderkey % 15) % 360 - 180 as double) as east, cast(o_custkey * 104729 % 170 - 90 + o_orderkey % 9 as double) as north from {orders}"""
 
 
+REGIONS = """select n_nationkey as id, cast(n_nationkey * 47 % 360 - 180 as double) as west, cast(n_nationkey * 31 % 150 - 90 as double) as south,
+ cast((n_nationkey * 47 + 20) % 360 - 180 as double) as east, cast(n_nationkey * 31 % 150 - 78 as double) as north from {nation}"""
+
+
 @query(
     "f5_bbox_intersects",
     f"""
-, b as ({BOXES}), s as (select id, south, north, unnest(case when west <= east then [{{'w': west, 'e': east}}] else [{{'w': west, 'e': 180.0::double}}, {{'w': -180.0::double, 'e': east}}] end) as x from b)
-select distinct a.id as a_id, c.id as b_id from s a join s c on a.id % 20 = 0 and c.id % 20 = 10 and a.x.w <= c.x.e and c.x.w <= a.x.e and a.south <= c.north and c.south <= a.north""",
+, b as ({BOXES}), n as ({REGIONS}), s as (select id, south, north, unnest(case when west <= east then [{{'w': west, 'e': east}}] else [{{'w': west, 'e': 180.0::double}}, {{'w': -180.0::double, 'e': east}}] end) as x from b),
+m as (select id, south, north, unnest(case when west <= east then [{{'w': west, 'e': east}}] else [{{'w': west, 'e': 180.0::double}}, {{'w': -180.0::double, 'e': east}}] end) as x from n)
+select distinct a.id as a_id, c.id as b_id from s a join m c on a.x.w <= c.x.e and c.x.w <= a.x.e and a.south <= c.north and c.south <= a.north""",
 )
 def f5(t):
-    boxes = t.sql(BOXES)
-    return P.bbox_intersects(boxes.filter("id % 20 = 0"), boxes.filter("id % 20 = 10"))
+    return P.bbox_intersects(t.sql(BOXES), t.sql(REGIONS))
 
 
 @query("f6_point_in_polygon", INSIDE + "select record_id, code from held")

@@ -312,14 +312,22 @@ def p22(t):
     return t.raw.select("record_id", S.spatial_domain(F.col("medium")).alias("domain"))
 
 
+_SOME = (("CENSORED_VALUE", "qualifier = 'lt'"), ("MISSING_VALUE", "value is null and qualifier <> 'lt'"), ("MISSING_SOURCE_CRS", "crs is null"))
+
+
 @query(
     "p23_evidence_layer",
-    """select record_id, case when license is null then 'incomplete' when lon is null or basis is null then 'traceable' else 'strict' end as layer,
- array_to_string(list_filter([case when lon is null then 'coordinate' end, case when basis is null then 'basis' end, case when license is null then 'license' end, case when sampled_at is null then 'time' end], lambda x: x is not null), ',') as gaps from obs""",
+    """
+, p as (select *, array_to_string(list_filter([case when version is null then 'version' end, case when license is null then 'license' end, case when doi is null then 'doi' end, case when not coalesce(regexp_matches(url, '^https?://[^/ ]+'), false) then 'url' end], lambda x: x is not null), ',') as missing_provenance,
+ case when source_row % 9 = 0 then 'not_evaluated' when value is null and qualifier <> 'lt' then 'blocked' else 'clear' end as qc_status from obs),
+g as (select *, array_to_string(list_filter([case when missing_provenance <> '' then 'strict_provenance' end, case when lon is null then 'coordinate' end, case when method_family is null and basis is null then 'method' end,
+ case when lithology is null and domain <> 'marine' then 'geology' end, case when value is null then 'quantity' end], lambda x: x is not null), ',') as gaps from p)
+select record_id, missing_provenance, gaps, qc_status, case when gaps = '' and qc_status = 'clear' then 'strict' when url is not null then 'traceable' else 'incomplete' end as layer from g""",
 )
 def p23(t):
-    e = rows.evidence_layer(t.obs)
-    return e.select("record_id", "layer", F.concat_ws(",", "gaps").alias("gaps"))
+    df = t.obs.withColumn("qc_flags", F.when(F.col("source_row") % 9 != 0, S.flags(*[(n, F.expr(c)) for n, c in _SOME])))
+    e = rows.evidence_layer(df, V.ERROR_FLAGS)
+    return e.select("record_id", *[F.concat_ws(",", c).alias(c) for c in ("missing_provenance", "gaps")], "qc_status", "layer")
 
 
 @query(
@@ -352,14 +360,13 @@ def p27(t):
     return t.obs.select("record_id", S.latitude_band(F.col("lat")).alias("band"))
 
 
-@query(
-    "p28_row_issues",
-    """
-, i as (select record_id, source_row, unnest(list_filter([case when lon is null then 'MISSING_COORDINATE|source|error' end, case when license is null then 'MISSING_LICENSE|provenance|warning' end, case when value is null and qualifier <> 'lt' then 'NOT_STANDARDIZED|workflow|error' end], lambda x: x is not null)) as s from obs)
-select split_part(s, '|', 1) as code, split_part(s, '|', 2) as owner, split_part(s, '|', 3) as severity, record_id, concat('issue-', substr(sha256(concat_ws(chr(31), split_part(s, '|', 1), record_id)), 1, 16)) as item_id from i""",
-)
+#: The issues in SQL, from the same table of rules.
+ISSUES = ", i as (select record_id, source_id, unnest(list_filter([" + ", ".join(f"case when {w} then '{c}|{o}|{s}|{st}' end" for c, o, s, st, w in rows.ISSUES) + "], lambda x: x is not null)) as s from obs), iss as (select split_part(s, '|', 1) as code, split_part(s, '|', 2) as owner, split_part(s, '|', 3) as severity, split_part(s, '|', 4) as status, record_id, source_id from i)"
+
+
+@query("p28_row_issues", ISSUES + " select *, concat('issue-', substr(sha256(concat_ws(chr(31), code, record_id)), 1, 16)) as item_id from iss")
 def p28(t):
-    return rows.row_issues(t.obs).select("code", "owner", "severity", "record_id", "item_id")
+    return rows.row_issues(t.obs)
 
 
 @query("f9_profile_filter", "select record_id from obs where medium = 'soil' and sample_type = 'topsoil' and method_family = 'xrf'")

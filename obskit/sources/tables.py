@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,36 +203,48 @@ def archive_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def query_observations(view: DataFrame, *, filters: Mapping[str, Sequence[str]] | None = None, box: Sequence[float] | None = None, time_from: str | None = None, time_to: str | None = None, ids: DataFrame | None = None, columns: Sequence[str] = ("record_id",), limit: int = 1000) -> DataFrame:
-    """Distinct, ordered rows, at most ``limit`` (1 to 10,000): IN filters by column, a box, a text time range, ids."""
+def has_tokens(text: Column, query: str) -> Column:
+    """Whether a text holds every word of ``query``, whatever the case; a query without words matches nothing."""
+    wanted = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
+    if not wanted:
+        return F.lit(False)
+    tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    return F.size(F.array_except(F.array(*[F.lit(w) for w in wanted]), tokens)) == 0
+
+
+def query_observations(view: DataFrame, *, filters: Mapping[str, Sequence[str]] | None = None, any_of: Mapping[str, Sequence[str]] | None = None, box: Sequence[float] | None = None, time_from: str | None = None, time_to: str | None = None, text: str | None = None, text_columns: Sequence[str] = (), ids: DataFrame | None = None, columns: Sequence[str] = ("record_id",), limit: int = 1000) -> DataFrame:
+    """Distinct, ordered rows, at most ``limit`` (1 to 10,000): IN filters by column, columns of which one must match
+    (geology), a box, a text time range, words found in the text columns together, ids."""
     from ..functions.standardize import inside_box
 
     if not 1 <= limit <= 10_000:
         raise ValueError("limit must be 1 to 10000")
     for column, values in (filters or {}).items():
         view = view.filter(F.col(column).isin(*values))
+    if any_of:
+        view = view.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(c).isin(*v), F.lit(False)) for c, v in any_of.items()]))
     if box:
         view = view.filter(inside_box(F.col("lon"), F.col("lat"), box))
     if time_from:
         view = view.filter(F.col("sampled_at") >= time_from)
     if time_to:
         view = view.filter(F.col("sampled_at") <= time_to)
+    if text is not None:
+        view = view.filter(has_tokens(F.concat_ws(" ", *text_columns), text))
     if ids is not None:
         view = view.join(ids, ids.columns[0], "left_semi")
     return view.select(*columns).distinct().orderBy(*columns).limit(limit)
 
 
 def text_search(entities: DataFrame, query: str, key: str = "entity_id", text: str = "text") -> DataFrame:
-    """(key, hits): entities that have every token of the query, through an inverted index of the asked tokens only."""
-    wanted = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
-    tokens = entities.select(key, F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))).alias("token")).filter(F.col("token").isin(*wanted))
-    return tokens.groupBy(key).agg(F.count_distinct("token").alias("hits")).filter(F.col("hits") == len(wanted))
+    """(key) of the entities, a row each, whose text has every word of the query: one predicate a row, no shuffle."""
+    return entities.filter(has_tokens(F.col(text), query)).select(key)
 
 
 def declared_coverage_subset(obs: DataFrame, source_countries: DataFrame, region: Sequence[str]) -> DataFrame:
     """Rows with coordinates, and those without whose source declares only countries of the region."""
     inside = source_countries.filter((F.size("countries") > 0) & (F.size(F.array_except("countries", F.array(*[F.lit(c) for c in region]))) == 0)).select("source_id")
-    return obs.filter("lon is not null").unionByName(obs.filter("lon is null").join(F.broadcast(inside), "source_id", "left_semi").select(*obs.columns))
+    return obs.filter("lon is not null").unionByName(obs.filter("lon is null").join(inside, "source_id", "left_semi").select(*obs.columns))
 
 
 def key_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
