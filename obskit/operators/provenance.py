@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,14 +102,19 @@ def linear_trend(points: DataFrame, t: str, v: str, keys: Sequence[str], share:
     return g.withColumn("trend", F.when(change > edge, "rising").when(change < -edge, "falling").when(change.isNotNull(), "stable").otherwise("undetermined"))
 
 
-def source_time_summary(dated: DataFrame) -> DataFrame:
-    """Per source: records, dated, undated, unparseable."""
+def source_time_summary(dated: DataFrame, formats: DataFrame) -> DataFrame:
+    """Per source: records, dated, undated, unparseable, the declared format (basis), and why rows are undated."""
     s = F.col("sampling_time_status")
-    return dated.groupBy("source_id").agg(F.count("*").alias("records"), F.count_if(s == "reported").alias("dated"), F.count_if(s == "not_reported").alias("undated"), F.count_if(s == "unparseable").alias("unparseable"))
+    by = dated.groupBy("source_id").agg(F.count("*").alias("records"), F.count_if(s == "reported").alias("dated"), F.count_if(s == "not_reported").alias("undated"), F.count_if(s == "unparseable").alias("unparseable"))
+    out = by.join(formats.select("source_id", F.col("raw_format").alias("basis")), "source_id", "left")
+    reason = F.when(F.col("basis").isNull(), "no_declared_format").when(F.col("dated") == F.col("records"), "all_dated").when(F.col("unparseable") > F.col("undated"), "does_not_fit_the_format").otherwise("not_reported")
+    return out.withColumn("reason", reason)
 
 
-def dated_summary(dated: DataFrame) -> DataFrame:
-    return dated.groupBy(F.col("sampling_time_status").alias("status"), F.col("sampling_time_precision").alias("precision")).agg(F.count("*").alias("n"))
+def dated_summary(dated: DataFrame, formats: DataFrame) -> DataFrame:
+    """(status, precision, n, unmapped): rows, and those whose source declares no format."""
+    known = dated.join(formats.select("source_id", F.lit(1).alias("mapped")), "source_id", "left")
+    return known.groupBy(F.col("sampling_time_status").alias("status"), F.col("sampling_time_precision").alias("precision")).agg(F.count("*").alias("n"), F.count_if(F.col("mapped").isNull()).alias("unmapped"))
 
 
 def co_anomaly_elements(obs: DataFrame, flagged: DataFrame) -> DataFrame:
@@ -118,17 +124,33 @@ def co_anomaly_elements(obs: DataFrame, flagged: DataFrame) -> DataFrame:
     return measured.join(high, "sample_id")
 
 
-def anomaly_provenance(obs: DataFrame, flagged: DataFrame, suites: Mapping[str, Sequence[str]], degrees: float = 1.0) -> DataFrame:
-    """(record_id, lines, class): lines of evidence lithology, spatial, association; none is isolated, one weak, more supported."""
+def anomaly_provenance(obs: DataFrame, flagged: DataFrame, suites: Mapping[str, Sequence[str]], degrees: float = 1.0, share: float = 0.3, least: int = 3) -> DataFrame:
+    """(record_id, geogenic, anthropogenic, available, class) from four lines of evidence.
+
+    Lithology is geogenic; neighbours of the same kind within ``degrees`` are geogenic (a pattern of the ground), none is
+    neutral; two members of a suite flagged in one sample are anthropogenic; a place with ``least`` dated values of the
+    element and medium that rise by over ``share`` of their median is anthropogenic, a stable one geogenic, a falling one
+    neutral. A line without data isn't available. Two or more lines on one side and none on the other: that side; on
+    both: mixed; else unresolved.
+    """
     near = neighbor_count(flagged, degrees).groupBy("record_id").agg(F.max("neighbours").alias("neighbours"))
     co = co_anomaly_elements(obs, flagged)
     suite = F.lit(False)
     for members in suites.values():
         suite = suite | (F.size(F.array_intersect("flagged_high", F.array(*[F.lit(m) for m in members]))) >= 2)
-    rows = flagged.join(near, "record_id", "left").join(co.select("sample_id", suite.alias("suite")), "sample_id", "left")
-    lines: Column = F.col("lithology").isNotNull().cast("int") + F.coalesce((F.col("neighbours") >= 1).cast("int"), F.lit(0)) + F.coalesce(F.col("suite").cast("int"), F.lit(0))
-    out = rows.withColumn("lines", lines)
-    return out.select("record_id", "lines", F.when(F.col("lines") == 0, "isolated").when(F.col("lines") == 1, "weak").otherwise("supported").alias("class")).distinct()
+    place = ["element", "medium", "lon", "lat"]
+    year = F.substring("sampled_at", 1, 4).try_cast("int") + (F.substring("sampled_at", 6, 2).try_cast("int") - 1) / 12.0
+    dated = obs.join(flagged.select(*place).distinct(), place, "left_semi").select(*place, "value", year.alias("t")).filter("value > 0 and t is not null")
+    trend = linear_trend(dated, "t", "value", place, share).filter((F.col("n") >= least) & (F.col("span") > 0)).select(*place, "trend")
+    rows = flagged.join(near, "record_id", "left").join(co.select("sample_id", suite.alias("suite")), "sample_id", "left").join(trend, place, "left")
+    count = lambda *cs: reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in cs])
+    geogenic = count(F.col("lithology").isNotNull(), F.col("neighbours") >= 1, F.col("trend") == "stable")
+    human = count(F.col("suite"), F.col("trend") == "rising")
+    available = count(F.col("lithology").isNotNull(), F.col("neighbours").isNotNull(), F.col("suite").isNotNull(), F.col("trend").isNotNull())
+    out = rows.select("record_id", geogenic.alias("geogenic"), human.alias("anthropogenic"), available.alias("available"))
+    g, h = F.col("geogenic"), F.col("anthropogenic")
+    kind = F.when((g > 0) & (h > 0), "mixed").when(g >= 2, "geogenic").when(h >= 2, "anthropogenic").otherwise("unresolved")
+    return out.withColumn("class", kind).distinct()
 
 
 def cohort_pair_candidates(cohorts: DataFrame, surface: str, deep: str, least: int = 50) -> DataFrame:

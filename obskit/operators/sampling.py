@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import join_on, ranked_values
+from .screening import cell_index
+
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_k") <= k).drop("_k")
@@ -45,15 +48,19 @@ def balanced_cap(df: DataFrame, cap: int, order: Sequence[str], by: str = "mediu
 
 
 def with_positions(df: DataFrame, order: Sequence[str], into: str = "position") -> DataFrame:
-    """Add the 1-based position of each row in a total order: buckets by quantiles of a hash-free range split, counted,
-    and numbered within. The first order column splits; its ties stay in one bucket."""
-    first = order[0]
-    cuts = df.agg(F.percentile_approx(first, F.array(*[F.lit(i / 64) for i in range(1, 64)]), F.lit(1000)).alias("c"))
-    bucket = F.size(F.filter("c", lambda c: c < F.col(first)))
-    dealt = df.join(F.broadcast(cuts)).withColumn("_b", F.coalesce(bucket, F.lit(0))).drop("c")
-    before = dealt.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    numbered = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(*order)))
-    return numbered.join(F.broadcast(before), "_b").withColumn(into, F.col("_o") + F.col("_r")).drop("_b", "_o", "_r")
+    """Add the 1-based position of each row in a total order whose first column is a number.
+
+    The first column's values are ranked by buckets (``ranking``), so no task sees the table, however large; rows of
+    one value are numbered among themselves. Rows without that number come last.
+    """
+    first, rest = order[0], list(order[1:])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    keyed = df.select(row, F.coalesce(F.col(f"`{first}`").cast("double"), F.lit(float("nan"))).alias("v"))
+    before = ranked_values(keyed, [], "v").select("v", "before")
+    numbered = keyed.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy(*[F.col("row")[c] for c in (rest or [first])])))
+    placed = join_on(numbered, before, ["v"])
+    kept = [c for c in df.columns if c.lower() != into.lower()]
+    return placed.select(*[F.col("row")[c].alias(c) for c in kept], (F.col("before") + F.col("r")).alias(into))
 
 
 def evenly_spaced_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -88,28 +95,42 @@ def balanced_layer_sample(df: DataFrame, layer: str, cap: int, order: Sequence[s
     return near.withColumn("_k", k).filter(F.col("_k") <= cap).crossJoin(least).filter(F.col("_k") <= F.col("_size")).drop("_s", "_k", "_size")
 
 
-def coverage_preserving_sample(obs: DataFrame, flagged: DataFrame, limit: int, strata: Sequence[str], unit: str = "sample_id", seed: int = 5) -> DataFrame:
-    """Whole units (samples): all with a candidate, at least one of each stratum, then more by hash until ``limit`` rows.
+def unit_hash(unit: Column, seed: int) -> Column:
+    """60 bits of the MD5 of a unit and the seed."""
+    return F.conv(F.substring(F.md5(F.concat_ws("#", unit.cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("bigint")
+
+
+def coverage_preserving_sample(obs: DataFrame, flagged: DataFrame, limit: int, strata: Sequence[str], degrees: Sequence[float] = (1.0, 2.0, 5.0, 10.0, 30.0), unit: str = "sample_id", seed: int = 5) -> DataFrame:
+    """Whole units (samples): all with a candidate, at least one of each stratum and grid cell, then more by hash until
+    ``limit`` rows.
 
-    Units kept for coverage stay even if they alone exceed the limit.
+    Cells start at the first of ``degrees`` and grow until what must be kept fits, at last without cells. Units kept for
+    coverage stay even if they alone exceed the limit then. Only one count a grid reaches the driver.
     """
-    sizes = obs.groupBy(unit).agg(F.count("*").alias("n"), F.xxhash64(F.col(unit), F.lit(seed)).alias("h"))
+    h = unit_hash(F.col(unit), seed)
+    sizes = obs.groupBy(unit).agg(F.count("*").alias("n")).withColumn("h", h)
     must = flagged.select(unit).distinct()
-    rep = obs.select(*strata, unit, F.xxhash64(F.col(unit), F.lit(seed)).alias("h")).groupBy(*strata).agg(F.min_by(unit, F.struct("h", unit)).alias(unit)).select(unit).distinct()
-    forced = must.union(rep).distinct().withColumn("first", F.lit(0))
-    ranked = sizes.join(forced, unit, "left").withColumn("first", F.coalesce("first", F.lit(1)))
+    forced = must
+    for d in (*degrees, None):
+        x, y = cell_index(F.col("lon"), F.col("lat"), d or 360.0)
+        cell = F.when(F.col("lon").isNotNull(), y * 100_000 + x) if d else F.lit(0)
+        rep = obs.groupBy(*strata, cell.alias("cell")).agg(F.min_by(unit, F.struct(h.alias("h"), unit)).alias(unit)).select(unit)
+        forced = must.union(rep).distinct()
+        if d is None or (sizes.join(forced, unit, "left_semi").agg(F.sum("n")).first()[0] or 0) <= limit:
+            break
+    ranked = sizes.join(forced.withColumn("first", F.lit(0)), unit, "left").withColumn("first", F.coalesce("first", F.lit(1)))
     positions = with_running_sum(ranked, ["first", "h", unit], "n")
     keep = positions.filter((F.col("first") == 0) | (F.col("running") <= limit)).select(unit)
     return obs.join(keep, unit, "left_semi")
 
 
 def with_running_sum(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
-    """Add ``running``: the sum of ``value`` up to each row, over buckets of the order whose totals are added."""
-    b = F.struct(F.col(order[0]), F.shiftright(F.col(order[1]), 56).alias("hi"))
-    dealt = df.withColumn("_b", b)
+    """Add ``running``: the sum of ``value`` up to each row. The second order column is a hash of 60 bits; the totals of
+    its 4096 ranges are added, so a window sees a 4096th of the rows."""
+    dealt = df.withColumn("_b", F.struct(F.col(order[0]), F.shiftright(F.col(order[1]), 48).alias("hi")))
     before = dealt.groupBy("_b").agg(F.sum(value).alias("_t")).withColumn("_o", F.coalesce(F.sum("_t").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
     within = F.sum(value).over(Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return dealt.withColumn("_w", within).join(F.broadcast(before), "_b").withColumn("running", F.col("_o") + F.col("_w")).drop("_b", "_o", "_w")
+    return dealt.withColumn("_w", within).join(before, "_b").withColumn("running", F.col("_o") + F.col("_w")).drop("_b", "_o", "_w")
 
 
 def review_sample(df: DataFrame, n: int, order: Sequence[str], classes: Sequence[str], group: str, value: str) -> DataFrame:

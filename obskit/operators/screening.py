@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.standardize import confidence_score, flags
 from .ranking import join_on, least_from_above, quantiles, ranked_values
 
 CENSORED = ("lt", "le", "gt", "ge", "bdl", "loq", "nd", "trace")
@@ -213,11 +214,15 @@ def batch_qc_validate(rows: DataFrame, policy: Mapping = POLICY) -> DataFrame:
 
 
 def apply_batch_gate(obs: DataFrame, acceptance: DataFrame) -> DataFrame:
-    """Add batch_status and batch_flag; batches without a decision are incomplete."""
+    """Add batch_status, batch_disposition and batch_flags; a row without batch, or whose batch has no decision, is
+    incomplete. Where the table has qc_flags they get these flags too, and where it has a confidence, it is scored anew."""
     decided = obs.join(acceptance.select("batch_id", F.col("status").alias("_s")), "batch_id", "left")
     status = F.coalesce("_s", F.lit("incomplete"))
-    flag = F.when(status == "fail", "BATCH_QC_FAILED").when(status == "incomplete", "BATCH_QC_NOT_EVALUATED")
-    return decided.withColumns({"batch_status": status, "batch_flag": flag}).drop("_s")
+    added = flags(("MISSING_ANALYSIS_BATCH_ID", F.col("batch_id").isNull()), ("BATCH_QC_FAILED", status == "fail"), ("BATCH_QC_NOT_EVALUATED", status == "incomplete"))
+    out = decided.withColumns({"batch_status": status, "batch_disposition": F.when(status == "pass", "accept_for_scientific_analysis").otherwise("exclude_batch_and_investigate"), "batch_flags": added}).drop("_s")
+    if "qc_flags" in obs.columns:
+        out = out.withColumn("qc_flags", F.array_distinct(F.concat("qc_flags", "batch_flags")))
+    return confidence_score(out) if "confidence" in obs.columns else out
 
 
 def batch_gate_check(stored: DataFrame, acceptance: DataFrame) -> DataFrame:

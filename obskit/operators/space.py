@@ -182,6 +182,15 @@ def target_grid(spark, box: Sequence[float], degrees: float, polygons: DataFrame
     return placed.select(F.col("record_id").alias("cell"), "lon", "lat", "country", "macroregion", zone.alias("zone"), F.floor(rank * bands / size).cast("int").alias("band"))
 
 
+def filled_grid(grid: DataFrame, obs: DataFrame, box: Sequence[float], degrees: float) -> DataFrame:
+    """``grid``, a target grid of the box, with the records and samples of ``obs`` in each cell."""
+    west, south, east, north = box
+    i, j = F.floor((F.col("lon") - west) / degrees).cast("int"), F.floor((F.col("lat") - south) / degrees).cast("int")
+    inside = obs.filter((F.col("lon") >= west) & (F.col("lon") < east) & (F.col("lat") >= south) & (F.col("lat") < north))
+    held = inside.groupBy(F.concat_ws(":", j, i).alias("cell")).agg(F.count("*").alias("records"), F.count_distinct("sample_id").alias("samples"))
+    return grid.join(held, "cell", "left").withColumns({"records": F.coalesce("records", F.lit(0)), "samples": F.coalesce("samples", F.lit(0))})
+
+
 def neighbor_count(flagged: DataFrame, degrees: float = 1.0) -> DataFrame:
     """(record_id, neighbours): other rows of the same element, medium and direction within ``degrees`` both ways.
 

@@ -138,8 +138,9 @@ class Tables:
 
     @property
     def flagged(self) -> DataFrame:
+        """The outliers, few next to the measurements: kept, as their readers join them several times."""
         found = robust_anomalies(self.sites, ["element", "medium", "unit"])
-        return found.select("record_id", "sample_id", "element", "medium", "lon", "lat", "lithology", "source_row", "direction")
+        return found.select("record_id", "sample_id", "element", "medium", "lon", "lat", "lithology", "source_row", "direction").persist()
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -9,7 +9,7 @@ from ..operators import provenance as P
 from ..operators import reports as R
 from .base import query
 from .reports import COHORT
-from .standard import TIMES, _formats
+from .standard import FORMATS, TIMES, _formats
 
 
 def r(df, digits, *cols):
@@ -94,14 +94,22 @@ def a16(t):
     return r(r(P.linear_trend(t.series, "t", "value", ["element", "unit"]), 4, "slope", "median"), 6, "span").drop("intercept")
 
 
-@query("a17_source_time_summary", TIMES + "select source_id, count(*) as records, count(*) filter (status = 'reported') as dated, count(*) filter (status = 'not_reported') as undated, count(*) filter (status = 'unparseable') as unparseable from dated group by 1")
+#: Without the format of one source, so that its rows are unmapped.
+_BASIS = "case source_id " + " ".join(f"when '{k}' then '{v}'" for k, v in FORMATS.items() if k != "src-3") + " end"
+_LESS = ", dl as (select * replace (case when source_id = 'src-3' then null else prec end as prec, case when source_id = 'src-3' then case when s is null then 'not_reported' else 'unparseable' end else status end as status) from dated) "
+
+
+@query("a17_source_time_summary", TIMES + _LESS + f""", g as (select source_id, count(*) as records, count(*) filter (status = 'reported') as dated, count(*) filter (status = 'not_reported') as undated, count(*) filter (status = 'unparseable') as unparseable, {_BASIS} as basis from dl group by source_id)
+select *, case when basis is null then 'no_declared_format' when dated = records then 'all_dated' when unparseable > undated then 'does_not_fit_the_format' else 'not_reported' end as reason from g""")
 def a17(t):
-    return P.source_time_summary(times.normalize_sampling_time(t.raw, _formats(t)))
+    formats = _formats(t).filter("source_id <> 'src-3'")
+    return P.source_time_summary(times.normalize_sampling_time(t.raw, formats), formats)
 
 
-@query("a18_dated_summary", TIMES + "select status, prec as precision, count(*) as n from dated group by 1, 2")
+@query("a18_dated_summary", TIMES + _LESS + "select status, prec as precision, count(*) as n, count(*) filter (source_id = 'src-3') as unmapped from dl group by 1, 2")
 def a18(t):
-    return P.dated_summary(times.normalize_sampling_time(t.raw, _formats(t)))
+    formats = _formats(t).filter("source_id <> 'src-3'")
+    return P.dated_summary(times.normalize_sampling_time(t.raw, formats), formats)
 
 
 @query("j14_co_anomaly_elements", "select f.sample_id, (select string_agg(distinct element, ',' order by element) from obs o where o.sample_id = f.sample_id) as measured, string_agg(distinct element, ',' order by element) as flagged_high from flagged f where direction = 'high' group by 1")
@@ -111,10 +119,16 @@ def j14(t):
 
 
 @query("j15_anomaly_provenance", """
-, n as (select a.record_id, count(*) - 1 as k from (select * from flagged where lon is not null) a join (select * from flagged where lon is not null) b on a.element = b.element and a.medium = b.medium and a.direction = b.direction and abs(a.lon - b.lon) <= 5 and abs(a.lat - b.lat) <= 5 group by a.record_id, a.lon, a.lat, a.element, a.medium, a.direction),
+, pl as (select * from flagged where lon is not null),
+n as (select a.record_id, count(*) - 1 as k from pl a join pl b on a.element = b.element and a.medium = b.medium and a.direction = b.direction and abs(a.lon - b.lon) <= 5 and abs(a.lat - b.lat) <= 5 group by a.record_id, a.lon, a.lat, a.element, a.medium, a.direction),
 n2 as (select record_id, max(k) as k from n group by 1), s as (select sample_id, count(distinct element) filter (element in ('Cu','Zn','Pb')) >= 2 as suite from flagged where direction = 'high' group by 1),
-x as (select f.record_id, case when lithology is not null then 1 else 0 end + case when k >= 1 then 1 else 0 end + case when suite then 1 else 0 end as lines from flagged f left join n2 on f.record_id = n2.record_id left join s on f.sample_id = s.sample_id)
-select distinct record_id, cast(lines as int) as lines, case lines when 0 then 'isolated' when 1 then 'weak' else 'supported' end as class from x""")
+d as (select element, medium, lon, lat, value, cast(substr(sampled_at, 1, 4) as int) + (cast(substr(sampled_at, 6, 2) as int) - 1) / 12.0::double as t from obs where value > 0 and sampled_at is not null and lon is not null and exists (select 1 from pl where pl.element = obs.element and pl.medium = obs.medium and pl.lon = obs.lon and pl.lat = obs.lat)),
+g as (select element, medium, lon, lat, regr_slope(value, t) * (max(t) - min(t)) as ch, 0.3 * abs(median(value)) as edge from d group by all having count(*) >= 3 and max(t) > min(t)),
+x as (select f.record_id, f.lithology is not null as li, k, suite, case when ch > edge then 'rising' when ch < -edge then 'falling' when ch is not null then 'stable' end as tr from flagged f left join n2 on f.record_id = n2.record_id left join s on f.sample_id = s.sample_id
+ left join g on f.element = g.element and f.medium = g.medium and f.lon = g.lon and f.lat = g.lat),
+y as (select record_id, cast(li as int) + cast(coalesce(k >= 1, false) as int) + cast(coalesce(tr = 'stable', false) as int) as geogenic, cast(coalesce(suite, false) as int) + cast(coalesce(tr = 'rising', false) as int) as anthropogenic,
+ cast(li as int) + cast(k is not null as int) + cast(suite is not null as int) + cast(tr is not null as int) as available from x)
+select distinct *, case when geogenic > 0 and anthropogenic > 0 then 'mixed' when geogenic >= 2 then 'geogenic' when anthropogenic >= 2 then 'anthropogenic' else 'unresolved' end as class from y""")
 def j15(t):
     return P.anomaly_provenance(t.obs, t.flagged, {"base_metal": ["Cu", "Zn", "Pb"]}, 5.0)
 

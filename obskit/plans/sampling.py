@@ -20,9 +20,28 @@ def k1(t):
     return K.balanced_cap(unique(t), 400, ORDER).select("record_id", "medium")
 
 
-@query("k2_coverage_preserving_sample")
+_GRIDS = (2.0, 10.0, 30.0, None)
+
+
+def _cell(d):
+    if d is None:
+        return "'-'"
+    return f"case when lon is not null then least({round(180 / d) - 1}, greatest(0, cast(floor((lat + 90) / {d}::double) as int))) * 100000 + least({round(360 / d) - 1}, greatest(0, cast(floor((lon + 180) / {d}::double) as int))) end"
+
+
+_HASH = "cast('0x' || substr(md5(sample_id || '#5'), 1, 15) as bigint)"
+_REPS = " union all ".join(f"select {i} as lvl, arg_min(sample_id, ({_HASH}, sample_id)) as sample_id from obs group by source_id, medium, element, {_cell(d)}" for i, d in enumerate(_GRIDS))
+
+
+@query("k2_coverage_preserving_sample", f"""
+, su as (select sample_id, count(*) as n, {_HASH} as h from obs group by 1), must as (select distinct sample_id from flagged where direction = 'high'),
+fo as (select distinct lvl, sample_id from ({_REPS}) union select l.lvl, must.sample_id from must, range({len(_GRIDS)}) l(lvl)),
+pick as (select min(lvl) as lvl from (select lvl, sum(n) as n from fo join su using (sample_id) group by 1) where n <= 20000 or lvl = {len(_GRIDS) - 1}),
+k as (select su.*, case when fo.sample_id is not null then 0 else 1 end as first from su left join (select fo.sample_id from fo join pick using (lvl)) fo on su.sample_id = fo.sample_id),
+r as (select *, sum(n) over (order by first, h, sample_id) as running from k)
+select record_id, sample_id from obs where sample_id in (select sample_id from r where first = 0 or running <= 20000)""")
 def k2(t):
-    return K.coverage_preserving_sample(t.obs, t.flagged.filter("direction = 'high'"), 3000, ["source_id", "medium", "element"]).select("record_id", "sample_id")
+    return K.coverage_preserving_sample(t.obs, t.flagged.filter("direction = 'high'"), 20000, ["source_id", "medium", "element"], _GRIDS[:-1]).select("record_id", "sample_id")
 
 
 @query("k3_round_robin_sample", f""", {UNIQUE}, n as (select *, row_number() over (partition by element, medium, source_id order by source_row, record_id) as n from u), p as (select *, row_number() over (partition by element order by case when n > 5 then 1 else 0 end, n, medium, source_id, source_row, record_id) as p from n)

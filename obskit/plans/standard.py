@@ -273,18 +273,20 @@ def p19(t):
     return df.groupBy(text.alias("flag_text")).agg(F.count("*").alias("n"), *sums)
 
 
-@query(
-    "p20_confidence_score",
-    """
-, x as (select *, case source_id when 'src-0' then 0.95 when 'src-1' then 0.9 else 0.3 end - case when license is null then 0.1 else 0 end as s, lon is not null as located, case when value is null and qualifier <> 'lt' then 1 else 0 end as e,
-  case when license is null then 1 else 0 end as w, case when qualifier = 'lt' then 1 else 0 end as i, case when basis is not null then 1 else 0 end as b from obs),
-y as (select *, (14 + b + case when license is not null then 1 else 0 end + case when located then 1 else 0 end) / 17.0::double as c, (3 + b) / 4.0::double as m, case when located then 0.95 else 0 end as sp, greatest(0, 1 - 0.35 * e - 0.08 * w - 0.02 * i)::double as q from x),
+def confidence_sql(table: str = "obs", errors: str = "0", warnings: str = "0") -> str:
+    """CTE ``f`` with the components of ``table`` and v, the capped sum; further errors and warnings may be added."""
+    return f"""
+, x as (select *, case source_id when 'src-0' then 0.95 when 'src-1' then 0.9 else 0.3 end - case when license is null then 0.1 else 0 end as s, lon is not null as located,
+  case when value is null and qualifier <> 'lt' then 1 else 0 end + {errors} as e, case when license is null then 1 else 0 end + {warnings} as w, case when qualifier = 'lt' then 1 else 0 end as i, case when basis is not null then 1 else 0 end as b from {table}),
+y as (select *, (14 + b + case when license is not null then 1 else 0 end + case when located then 1 else 0 end) / 17.0::double as c, (3 + b) / 4.0::double as m, case when located then 0.95 else 0 end as sp,
+  greatest(0, 1 - 0.35 * e - 0.08 * w - 0.02 * i)::double as q from x),
 z as (select *, 0.3 * s + 0.2 * c + 0.2 * m + 0.15 * sp + 0.15 * q as o from y),
 f as (select *, least(o, case when e > 0 then 0.59 else 9 end, case when not located then 0.59 else 9 end, case when m < 1 then 0.79 else 9 end, case when medium in ('rock','soil','sediment') and lithology is null then 0.79 else 9 end) as v from z)
-select record_id, round(s, 5)::double as source, round(c, 5)::double as completeness, round(q, 5)::double as qc, round(v, 5)::double as overall, case when v >= 0.8 then 'high' when v >= 0.6 then 'medium' else 'low' end as band from f""",
-)
-def p20(t):
-    o = t.obs
+"""
+
+
+def scored(o):
+    """Measurements with what the confidence score reads, and that score."""
     lit = {"analytical_method": "method_family", "digestion_or_extraction": "unit", "analyte": "element", "analyte_reported": "element", "source_locator": "source_id", "dataset_title": "title", "dataset_version": "title"}
     df = o.withColumns({k: F.col(v) for k, v in lit.items()}).withColumns(
         {
@@ -294,8 +296,15 @@ def p20(t):
             "qc_flags": S.flags(("MISSING_VALUE", F.col("value").isNull() & (F.col("qualifier") != "lt")), ("MISSING_LICENSE", F.col("license").isNull()), ("CENSORED_VALUE", F.col("qualifier") == "lt")),
         }
     )
-    c = S.confidence_score(df)
-    return c.select("record_id", *[F.round(F.col("confidence")[k], 5).alias(k) for k in ("source", "completeness", "qc", "overall")], F.col("confidence.band").alias("band"))
+    return S.confidence_score(df)
+
+
+@query(
+    "p20_confidence_score",
+    confidence_sql() + "select record_id, round(s, 5)::double as source, round(c, 5)::double as completeness, round(q, 5)::double as qc, round(v, 5)::double as overall, case when v >= 0.8 then 'high' when v >= 0.6 then 'medium' else 'low' end as band from f",
+)
+def p20(t):
+    return scored(t.obs).select("record_id", *[F.round(F.col("confidence")[k], 5).alias(k) for k in ("source", "completeness", "qc", "overall")], F.col("confidence.band").alias("band"))
 
 
 @query(
