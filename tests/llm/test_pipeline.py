@@ -1,8 +1,12 @@
 """The stages of the corpus pipeline, one after another, each against brute force on its own input."""
 
+import math
 import os
+from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
@@ -10,12 +14,12 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables"
 
 def test_stages_match_brute_force(spark):
     import corpus_pipeline as cp
-    from obskit.llm import pieces
+    from obskit.llm import mixing, pieces
     from obskit.llm.common import durable, table
-    from tests.llm.test_operators import brute_print
+    from tests.llm.test_operators import brute_print, nearest_rates
 
     docs = table(spark, SF, "documents")
-    columns, seen = docs.columns, {"documents": docs.collect()}
+    columns, docs_schema, seen = docs.columns, docs.schema, {"documents": docs.collect()}
     for name, stage in cp.STAGES:
         docs = durable(stage(spark, docs, SF))
         seen[name] = docs.collect()
@@ -47,8 +51,31 @@ def test_stages_match_brute_force(spark):
                 root[max(find(a), find(b))] = min(find(a), find(b))
     assert sorted(r.doc_id for r in seen["simhash_near_dedup"]) == sorted({find(i) for i in ids})
 
-    assert {r.doc_id for r in seen["mixing"]} <= {r.doc_id for r in seen["simhash_near_dedup"]}
+    before = spark.createDataFrame(seen["simhash_near_dedup"], docs_schema)
+    mixed = mixing.mix(before, table(spark, SF, "labels").select("doc_id", (1 - F.col("quality")).alias("domain")), cp.QUALITY).collect()
+    n, rate, p = np.array([r.n_tokens for r in mixed]), np.array([r.rate for r in mixed]), np.array([r.posterior for r in mixed])
+    assert np.allclose((n * rate) @ p / n.sum(), list(cp.QUALITY.values()), atol=1e-4)
+    assert np.allclose(rate, nearest_rates(n, p, np.array(list(cp.QUALITY.values())) * n.sum()), atol=1e-3)
+    assert all(math.floor(r.rate) <= r.copies <= math.floor(r.rate) + 1 for r in mixed)
+    assert Counter(r.doc_id for r in seen["mixing"]) == {r.row.doc_id: r.copies for r in mixed if r.copies}
     texts = {r.doc_id: r.text or "" for r in seen["mixing"]}
     back = pieces.decode(docs).collect()
     assert sorted(r.doc_id for r in back) == sorted(r.doc_id for r in seen["mixing"])
     assert all(r.decoded == texts[r.doc_id] and r.n_tokens == len(r.token_ids) for r in back)
+
+
+def test_pipeline_stands_odd_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as cp
+    from obskit.llm import pieces
+
+    docs_type, labels_type = "doc_id bigint, text string, lang string, source string, n_chars bigint", "doc_id bigint, quality int, toxic int"
+    words = "the of and plain words in a text that says nothing much at all to anyone who reads it today".split()
+    texts = {i: " ".join(words[(i * k) % len(words)] for k in range(1, 60 + i)) for i in range(30)}
+    rows = [(i, t, "en", "hot", len(t)) for i, t in texts.items()] + [(40, texts[3], "en", "hot", 1), (41, None, None, None, None), (None, "no id here but some words", "en", "s", 1), (None, None, None, None, None), (42, "", "en", "s", 0), (42, "same id, other text", "en", "s", 1)]
+    marks = [(i, int(i % 3 != 0), 0) for i in range(30)] + [(41, None, None), (None, 1, 1), (7, 9, 9)]
+    for name, data, labels in (("odd", rows, marks), ("unlabelled", rows, []), ("empty", [], [])):
+        spark.createDataFrame(data, docs_type).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, labels_type).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        out = pieces.decode(cp.run(spark, f"{tmp_path}/{name}")).collect()
+        assert {r.decoded for r in out} <= {t or "" for _, t, *_ in data} and all(r.n_tokens == len(r.token_ids) for r in out)
+        assert bool(out) == bool(data)
