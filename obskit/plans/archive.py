@@ -25,7 +25,7 @@ def s1(t):
     return df
 
 
-@query("s2_read_units_header_table")
+@query("s2_read_units_header_table", """select sample_id as "Station", cast(depth as varchar) as "Depth", cast(source_row as varchar) as "As", 'ug/L' as unit from obs where value is not null""")
 def s2(t):
     path = scratch(t)
     lines = t.spark.createDataFrame([("# made",), ("Station\tDepth\tAs",), ("\tm\tug/L",)], "value string").coalesce(1)
@@ -143,10 +143,10 @@ def a60(t):
     return T.archive_integrity(T.explode_archive_bundle(bundles(t)))
 
 
-@query("s12_write_canonical")
+@query("s12_write_canonical", """select case when qualifier = 'lt' then 'true' else 'false' end as censored, record_id, '["' || element || '","' || medium || '"]' as tags, cast(source_row as varchar) as value from obs""")
 def s12(t):
     path = scratch(t)
-    df = t.obs.select("record_id", "value", F.array("element", "medium").alias("tags"), (F.col("qualifier") == "lt").alias("censored"))
+    df = t.obs.select("record_id", F.col("source_row").alias("value"), F.array("element", "medium").alias("tags"), (F.col("qualifier") == "lt").alias("censored"))
     T.write_canonical(df, path, "csv", ["censored", "record_id", "tags", "value"])
     return t.spark.read.option("header", True).option("escape", '"').csv(path)
 
