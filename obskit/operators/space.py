@@ -170,13 +170,14 @@ def concentration_grid(obs: DataFrame, element: str, degrees: float, layer: Sequ
 
 
 def target_grid(spark, box: Sequence[float], degrees: float, polygons: DataFrame, zones: tuple[int, int] = (2, 3), bands: int = 4) -> DataFrame:
-    """Every cell of a box (that doesn't wrap) with its country by centre, zone (row x column sector) and longitude band."""
+    """Every cell of a box (that doesn't wrap) with its country by centre, zone (macroregion, or open ocean, and row x column
+    sector) and longitude band."""
     west, south, east, north = box
     nx, ny = int(round((east - west) / degrees)), int(round((north - south) / degrees))
     cells = spark.range(nx * ny).select((F.col("id") % nx).cast("int").alias("i"), F.floor(F.col("id") / nx).cast("int").alias("j"))
     cells = cells.withColumns({"lon": F.lit(west) + (F.col("i") + 0.5) * degrees, "lat": F.lit(south) + (F.col("j") + 0.5) * degrees, "record_id": F.concat_ws(":", "j", "i")})
     placed = point_to_country(cells, polygons)
-    zone = F.concat(F.lit("z"), F.floor(F.col("j") * zones[0] / ny).cast("int"), F.lit("-"), F.floor(F.col("i") * zones[1] / nx).cast("int"))
+    zone = F.concat(F.col("macroregion"), F.lit(":"), F.floor(F.col("j") * zones[0] / ny).cast("int"), F.lit("-"), F.floor(F.col("i") * zones[1] / nx).cast("int"))
     rank = F.row_number().over(Window.partitionBy("country").orderBy("lon", "lat")) - 1
     size = F.count("*").over(Window.partitionBy("country"))
     return placed.select(F.col("record_id").alias("cell"), "lon", "lat", "country", "macroregion", zone.alias("zone"), F.floor(rank * bands / size).cast("int").alias("band"))

@@ -118,7 +118,7 @@ tst as (select i, j, code, sum(case when (y1 > lat) <> (y2 > lat) and lon < x1 +
 m as (select i, j, min(code) as c from tst where hit group by all),
 pl as (select cell.i, cell.j, lon, lat, coalesce(c, 'ocean') as country from cell left join m on cell.i = m.i and cell.j = m.j),
 us as (select cast(floor((lon + 100) / 10) as int) as i, cast(floor((lat + 80) / 10) as int) as j, count(*) as records, count(distinct sample_id) as samples from obs where lon >= -100 and lon < 140 and lat >= -80 and lat < 80 group by 1, 2)
-select concat(j, ':', i) as cell, country, concat('z', cast(floor(j * 2 / 16) as int), '-', cast(floor(i * 3 / 24) as int)) as zone,
+select concat(j, ':', i) as cell, country, concat(case country {" ".join(f"when '{c}' then '{m}'" for c, m, _ in SHAPES)} else 'open ocean' end, ':', cast(floor(j * 2 / 16) as int), '-', cast(floor(i * 3 / 24) as int)) as zone,
  cast(floor((row_number() over (partition by country order by lon, lat) - 1) * 4 / count(*) over (partition by country)) as int) as band, coalesce(records, 0) as records, coalesce(samples, 0) as samples from pl left join us using (i, j)""",
 )
 def a22(t):
