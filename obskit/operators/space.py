@@ -99,7 +99,9 @@ def region_filter(obs: DataFrame, box: Sequence[float], polygons: DataFrame | No
 
 
 def point_to_country(points: DataFrame, polygons: DataFrame, key: str = "record_id") -> DataFrame:
-    """Add country (the least code that holds the point), macroregion, else open ocean; no point: null."""
+    """Add country (the least code that holds the point), macroregion, else open ocean; no point: null. Columns of these
+    names are replaced."""
+    points = points.drop("country", "macroregion")
     held = point_in_polygon(points, polygons.select("code", "rings"), key=key).groupBy(key).agg(F.min("code").alias("country"))
     named = held.join(polygons.select(F.col("code").alias("country"), "macroregion"), "country")
     out = points.join(named, key, "left")
