@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_index, mixing, pieces, quality_knn, quality_rules, sharding, simhash, suffix_dedup, toxicity
+from . import chat, exact_index, gnat, mixing, pieces, quality_knn, quality_rules, sharding, simhash, suffix_dedup, toxicity, vantage
 from .common import held_out, table
 
 
@@ -79,8 +79,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vantage.cluster(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return gnat.mine(rows, F.col("id") % 100 == 0)
+
+
 def queries() -> dict:
-    own = (op1_chat_formatting, op2_toxicity, op3_sentencepiece, op4_quality_classifier, op5_sharding, op6_quality_rules, op7_simhash, op8_exact_dedup, op9_mixing, op10_suffix_dedup)
+    own = (op1_chat_formatting, op2_toxicity, op3_sentencepiece, op4_quality_classifier, op5_sharding, op6_quality_rules, op7_simhash, op8_exact_dedup, op9_mixing, op10_suffix_dedup, op11_centroid_clustering, op12_hard_negatives)
     return {f.__name__: f for f in own}
 
 
@@ -127,6 +138,40 @@ select doc_id, keep_id, group_size, doc_id is not distinct from keep_id and row_
 from t join g using (text_sha256)
 """
 
+_WHOLE = "list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint))"
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd rounds written out, one after the other."""
+    steps = [
+        f"kept as materialized (select row_number() over () as r, vec_id, {_WHOLE} as v from embeddings where {_FINITE} and len(embedding) = 64)",
+        f"c0 as materialized (select row_number() over (order by sha256('2:' || vec_id), v) - 1 as c, v from kept order by c limit {k})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} as materialized (select r, any_value(vec_id) as vec_id, any_value(v) as v, min(struct_pack(d := d, c := c)) as best from ("
+            f"select r, vec_id, kept.v, c, list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) as d from kept, c{i}) group by r)"
+        )
+        if i < rounds:
+            steps.append(f"m{i} as materialized (select c, list(x order by i) as v from (select c, i, cast(floor(sum(x) / count(*)) as bigint) as x from (select best.c as c, unnest(v) as x, unnest(range(64)) as i from a{i}) group by c, i) group by c)")
+            steps.append(f"c{i + 1} as materialized (select c, coalesce(m{i}.v, c{i}.v) as v from c{i} left join m{i} using (c))")
+    return (
+        f"with {', '.join(steps)} select vec_id, cast(best.c as int) as cluster, cast(best.d as bigint) as distance, cast(sum(best.d) over (partition by best.c) as bigint) as cluster_inertia, "
+        f"cast(sum(best.d) over () as bigint) as inertia, sha256(array_to_string(c{rounds}.v, ',')) as centroid_sha256 from a{rounds} join c{rounds} on best.c = c"
+    )
+
+_NEGATIVES = f"""
+with e as materialized (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, {_WHOLE} as v from embeddings where label is not null and {_FINITE}),
+scored as materialized (select a.r as a, a.vec_id as anchor_id, b.r as b, b.vec_id, a.label = b.label as alike, cast(list_inner_product(a.v::double[], b.v::double[]) as bigint) as score
+  from e a, e b where a.vec_id % 100 = 0 and a.r <> b.r),
+positives as (select a, anchor_id, b, vec_id as positive_id, score as positive_score, row_number() over (partition by a order by score desc, vec_id) as p from scored where alike),
+found as (select anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+  row_number() over (partition by a, p order by score desc, vec_id) as rank
+  from positives join (select a, vec_id, score from scored where not alike) n using (a) where p <= 5 and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from found where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": _CHAT, "op6_quality_rules": _RULES, "op8_exact_dedup": _EXACT}
+    return {"op1_chat_formatting": _CHAT, "op6_quality_rules": _RULES, "op8_exact_dedup": _EXACT, "op11_centroid_clustering": _clusters(), "op12_hard_negatives": _NEGATIVES}
