@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_index, gnat, mixing, pieces, quality_knn, quality_rules, sharding, simhash, suffix_dedup, toxicity, vantage
+from . import byte_bpe, chat, exact_index, gnat, mixing, pieces, quality_knn, quality_rules, sharding, simhash, suffix_dedup, toxicity, vantage
 from .common import held_out, table
 
 
@@ -90,8 +90,17 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gnat.mine(rows, F.col("id") % 100 == 0)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "token_ids")
+    back = byte_bpe.decode(tokens)
+    return back.select(
+        "doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
-    own = (op1_chat_formatting, op2_toxicity, op3_sentencepiece, op4_quality_classifier, op5_sharding, op6_quality_rules, op7_simhash, op8_exact_dedup, op9_mixing, op10_suffix_dedup, op11_centroid_clustering, op12_hard_negatives)
+    own = (op1_chat_formatting, op2_toxicity, op3_sentencepiece, op4_quality_classifier, op5_sharding, op6_quality_rules, op7_simhash, op8_exact_dedup, op9_mixing, op10_suffix_dedup, op11_centroid_clustering, op12_hard_negatives, op13_byte_bpe)
     return {f.__name__: f for f in own}
 
 
