@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,9 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.spelled = {i: b for b, i in ranks.items()}
+        self.single = [ranks.get(bytes([c])) for c in range(256)]
+        #: Which token two neighbours make, by both ids in one number.
+        self.pairs = {(ranks[t[:i]] << 32) | ranks[t[i:]]: rank for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.known = _Known(self)
 
     @classmethod
@@ -55,60 +59,56 @@ class ByteBpe:
         pairs = (line.split() for line in lines.splitlines() if line)
         return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
-    def merged(self, data: bytes) -> list[bytes]:
+    def merged(self, data: bytes) -> list[int]:
         """Tokens of ``data`` by merging from single bytes: always the pair of lowest rank, the leftmost of equal ones."""
         return self._scanned(data) if len(data) <= 2 * LEAF else self._queued(data)
 
-    def _scanned(self, data: bytes) -> list[bytes]:
-        rank = self.ranks.get
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [rank(data[i : i + 2], NONE) for i in range(len(data) - 1)]
-        while pairs and (least := min(pairs)) < NONE:
-            i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+    def _scanned(self, data: bytes) -> list[int]:
+        rank = self.pairs.get
+        ids = [self.single[c] for c in data]
+        made = [rank(a << 32 | b, NONE) for a, b in zip(ids, ids[1:])]
+        while made and (least := min(made)) < NONE:
+            i = made.index(least)
+            ids[i] = least
+            del ids[i + 1], made[i]
             if i:
-                pairs[i - 1] = rank(parts[i - 1] + parts[i], NONE)
-            if i < len(pairs):
-                pairs[i] = rank(parts[i] + parts[i + 1], NONE)
-        return parts
-
-    def _queued(self, data: bytes) -> list[bytes]:
-        """The same with a heap, for long windows."""
-        n = len(data)
-        stop, before = list(range(1, n + 1)), list(range(-1, n))  # of the token that starts at a byte; 0: none does
-        rank = self.ranks.get
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+                made[i - 1] = rank(ids[i - 1] << 32 | least, NONE)
+            if i < len(made):
+                made[i] = rank(least << 32 | ids[i + 1], NONE)
+        return ids
+
+    def _queued(self, data: bytes) -> list[int]:
+        """The same with a heap, for long windows: tokens stand at their first byte."""
+        n, rank = len(data), self.pairs.get
+        ids = [self.single[c] for c in data]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, start, end = heapq.heappop(heap)
-            middle = stop[start]
-            if not middle or middle >= end or stop[middle] != end:
+            made, at, a, b = heapq.heappop(heap)
+            other = after[at]
+            if other >= n or ids[at] != a or ids[other] != b:
                 continue  # one of the two has been merged since
-            stop[start], stop[middle] = end, 0
-            if end < n:
-                before[end] = start
-                if (r := rank(data[start : stop[end]])) is not None:
-                    heapq.heappush(heap, (r, start, stop[end]))
-            if start and (r := rank(data[before[start] : end])) is not None:
-                heapq.heappush(heap, (r, before[start], end))
-        out, at = [], 0
-        while at < n:
-            out.append(data[at : stop[at]])
-            at = stop[at]
-        return out
-
-    def join(self, left: list[bytes], right: list[bytes], window: int = 2) -> list[bytes]:
+            ids[at], ids[other], after[at] = made, None, after[other]
+            if (right := after[at]) < n:
+                before[right] = at
+                if (r := rank(made << 32 | ids[right])) is not None:
+                    heapq.heappush(heap, (r, at, made, ids[right]))
+            if (left := before[at]) >= 0 and (r := rank(ids[left] << 32 | made)) is not None:
+                heapq.heappush(heap, (r, left, ids[left], made))
+        return [i for i in ids if i is not None]
+
+    def join(self, left: list[int], right: list[int], window: int = 2) -> list[int]:
         """The tokens of two neighbouring byte strings together, from the tokens of each."""
         while True:
             a, b = left[-window:], right[:window]
-            again = self.merged(b"".join(a + b))
+            again = self.merged(b"".join(map(self.spelled.__getitem__, a + b)))
             outside, beyond = len(left) - len(a), len(right) - len(b)
             if (not outside or again[0] == a[0]) and (not beyond or again[-1] == b[-1]):
                 return left[:outside] + again + right[len(b) :]
             window *= 2
 
-    def tokens(self, data: bytes) -> list[bytes]:
+    def tokens(self, data: bytes) -> list[int]:
         """Both halves encoded, then joined. The left half is the largest power of two of leaves."""
         if len(data) <= LEAF:
             return self.merged(data)
@@ -117,7 +117,7 @@ class ByteBpe:
 
     def piece(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
-        return [whole] if whole is not None else [self.ranks[t] for t in self.tokens(data)]
+        return [whole] if whole is not None else self.tokens(data)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.pattern.findall(text))), dtype=np.int32)
@@ -137,7 +137,7 @@ class _Known(dict):
         self.bpe, self.most, self.longest = bpe, most, longest
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.bpe.piece(piece.encode()), dtype=np.int32).tobytes()
+        ids = array("i", self.bpe.piece(piece.encode())).tobytes()
         if len(piece) <= self.longest:
             if len(self) >= self.most:
                 self.clear()
@@ -192,7 +192,9 @@ def decode(tokens: DataFrame, ids: str = "token_ids", path: str | None = None, i
         for b in batches:
             for lo, hi in chunks([4 * n for n in pc.list_value_length(b.column("ids")).to_pylist()]):
                 part = b.slice(lo, hi - lo)
-                said = [bpe.decode(row) for row in part.column("ids").to_pylist()]
+                column = part.column("ids")
+                offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+                said = [bpe.decode(flat[i:j].tolist()) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(said, pa.binary())], names=["row", "new"])
 
     return unpack(rows.mapInArrow(each, T.StructType([rows.schema["row"], T.StructField("new", T.BinaryType())])))
