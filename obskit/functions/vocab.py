@@ -95,3 +95,18 @@ def oxide_fraction(key: str) -> float:
     _, element, n, oxygen = OXIDES[key]
     own = ATOMIC_WEIGHTS[element] * n
     return own / (own + ATOMIC_WEIGHTS["O"] * oxygen)
+
+# Rock families with naturally high backgrounds of some elements, by words of a rock's name, and element suites.
+HIGH_BACKGROUND = (
+    (("ULTRAMAFIC", "PERIDOTITE", "SERPENTIN", "DUNITE", "PYROXENITE", "KOMATIITE"), ("Ni", "Cr", "Co")),
+    (("BASALT", "GABBRO", "DOLERITE", "DIABASE", "AMPHIBOLITE", "GREENSTONE"), ("Ni", "Cr", "Cu", "Co", "V")),
+    (("BLACK SHALE", "SHALE", "SCHIST"), ("As", "Mo", "U", "V", "Zn")),
+)
+CHALCOPHILE = ("Pb", "Zn", "Cd", "Cu", "Hg", "As", "Sb")
+MAFIC = ("Ni", "Cr", "Co", "V")
+# Sample types of the two layers of a medium.
+LAYERS = {
+    "soil": (("soil_topsoil", "soil_a_horizon", "soil_humus", "soil_organic_litter", "soil_surface"), ("soil_subsoil", "soil_c_horizon")),
+    "sediment": (("sediment_outlet_top", "sediment_marine_surface"), ("sediment_outlet_bottom", "sediment_marine_core")),
+}
+USABLE_TIERS = ("analysis_ready", "single_lineage_ready")

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import join_on, quantiles
+from ..functions import vocab as V
+from .ranking import join_on, quantiles, values_at
 from .space import neighbor_count
 
 
@@ -83,17 +84,40 @@ def source_manifest(obs: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
-def station_series(rows: DataFrame, least: int = 3) -> DataFrame:
-    """station, element, unit, points, dropped, first, last: the majority unit of each series with ``least`` times or more.
+def station_key(rows: DataFrame, prefixed: Mapping[str, str] | None = None, digits: int = 2) -> Column:
+    """The station of a row: what comes before a separator in the sample id where ``prefixed`` names one for the source,
+    else the source and its coordinates rounded to ``digits``; null without coordinates."""
+    lon, lat = F.round("lon", digits), F.round("lat", digits)
+    cell = F.when(lon.isNotNull() & lat.isNotNull(), F.concat_ws("|", F.lit("cell"), F.coalesce("source_id", F.lit("")), lat.cast("string"), lon.cast("string")))
+    for source, mark in (prefixed or {}).items():
+        named = (F.col("source_id") == source) & F.contains(F.col("sample_id"), F.lit(mark))
+        cell = F.when(named, F.concat_ws("|", F.lit("station"), F.lit(source), F.substring_index("sample_id", mark, 1))).otherwise(cell)
+    return cell
 
-    Points stay rows (``series_points``); the series' length is counted, not collected.
-    """
+
+def station_series(rows: DataFrame, least: int = 3) -> DataFrame:
+    """station, element, unit, points, dropped, first, last: the majority unit of each series (the smaller name of equally
+    frequent ones) with ``least`` times or more. ``station_points`` has the points themselves."""
     by = rows.groupBy("station", "element", "unit").agg(F.count("*").alias("n"), F.count_distinct("t").alias("points"), F.min("t").alias("first"), F.max("t").alias("last"))
     w = Window.partitionBy("station", "element")
     vote = by.withColumn("k", F.row_number().over(w.orderBy(F.desc("n"), "unit"))).withColumn("dropped", F.sum("n").over(w) - F.col("n")).filter("k = 1")
     return vote.filter(F.col("points") >= least).select("station", "element", "unit", "points", "dropped", "first", "last")
 
 
+def station_points(rows: DataFrame, least: int = 3, size: int = 1000) -> DataFrame:
+    """station, element, unit, chunk, points: the series of ``station_series`` in order of time, then value, ``size`` points
+    (t, value) a row, chunks numbered from 0.
+
+    The points of a series are sorted by Spark, which spills, and numbered as they pass; no row holds more than ``size``.
+    """
+    series = station_series(rows, least).select("station", "element", "unit")
+    kept = join_on(rows.select("station", "element", "unit", "t", "value"), series, ["station", "element", "unit"])
+    at = F.row_number().over(Window.partitionBy("station", "element").orderBy("t", "value"))
+    chunk = kept.withColumn("at", at).withColumn("chunk", F.floor((F.col("at") - 1) / size).cast("int"))
+    held = chunk.groupBy("station", "element", "unit", "chunk").agg(F.sort_array(F.collect_list(F.struct("at", "t", "value"))).alias("points"))
+    return held.withColumn("points", F.transform("points", lambda p: F.struct(p["t"].alias("t"), p["value"].alias("value"))))
+
+
 def linear_trend(points: DataFrame, t: str, v: str, keys: Sequence[str], share: float = 0.15) -> DataFrame:
     """Per key: slope, intercept, span, and rising / falling / stable as the fitted change against a share of the median."""
     g = points.groupBy(*keys).agg(F.count("*").alias("n"), F.regr_slope(v, t).alias("slope"), F.regr_intercept(v, t).alias("intercept"), (F.max(t) - F.min(t)).alias("span"))
@@ -124,43 +148,95 @@ def co_anomaly_elements(obs: DataFrame, flagged: DataFrame) -> DataFrame:
     return measured.join(high, "sample_id")
 
 
-def anomaly_provenance(obs: DataFrame, flagged: DataFrame, suites: Mapping[str, Sequence[str]], degrees: float = 1.0, share: float = 0.3, least: int = 3) -> DataFrame:
-    """(record_id, geogenic, anthropogenic, available, class) from four lines of evidence.
+GEOGENIC, HUMAN, NEUTRAL, MISSING = "supports_geogenic", "supports_anthropogenic", "available_but_neutral", "unavailable"
+LINES = ("lithology_line", "spatial_line", "association_line", "temporal_line")
+
+
+def lithology_line(text: Column, element: Column) -> Column:
+    """Geogenic if the rock is one that naturally holds much of the element."""
+    said = F.upper(F.trim(text))
+    known = F.lit(False)
+    for words, elements in V.HIGH_BACKGROUND:
+        known = known | (element.isin(*elements) & reduce(lambda a, b: a | b, [F.contains(said, F.lit(w)) for w in words]))
+    return F.when(F.coalesce(said, F.lit("")) == "", MISSING).when(F.coalesce(known, F.lit(False)), GEOGENIC).otherwise(NEUTRAL)
+
+
+def association_line(element: Column, measured: Column, flagged_high: Column) -> Column:
+    """What else is high in the sample: a second chalcophile element speaks for people, a mafic one for the rock."""
+    others = lambda xs: F.array_remove(F.coalesce(xs, F.array().cast("array<string>")), element)
+    of = lambda suite: F.array_intersect(others(flagged_high), F.array(*[F.lit(e) for e in suite]))
+    polluted = element.isin(*V.CHALCOPHILE) & (F.size(of(V.CHALCOPHILE)) > 0)
+    mafic = element.isin(*V.MAFIC, "Cu") & (F.size(of(V.MAFIC)) > 0)
+    return F.when(F.size(others(measured)) == 0, MISSING).when(polluted, HUMAN).when(mafic, GEOGENIC).otherwise(NEUTRAL)
 
-    Lithology is geogenic; neighbours of the same kind within ``degrees`` are geogenic (a pattern of the ground), none is
-    neutral; two members of a suite flagged in one sample are anthropogenic; a place with ``least`` dated values of the
-    element and medium that rise by over ``share`` of their median is anthropogenic, a stable one geogenic, a falling one
-    neutral. A line without data isn't available. Two or more lines on one side and none on the other: that side; on
-    both: mixed; else unresolved.
+
+def spatial_line(neighbours: Column, peers: Column) -> Column:
+    """Two neighbours or more are a pattern of the ground; none, among three candidates or more, is a point source."""
+    return F.when(neighbours.isNull(), MISSING).when(neighbours >= 2, GEOGENIC).when((neighbours == 0) & (peers >= 3), HUMAN).otherwise(NEUTRAL)
+
+
+def temporal_lines(obs: DataFrame, wanted: DataFrame, share: float = 0.3, least: int = 3) -> DataFrame:
+    """station, element, temporal_line for series in ``wanted`` (station, element) with ``least`` dated values of ``obs``
+    (station, element, t, value): rising by over ``share`` of the upper median speaks for people, falling is
+    neutral, stable geogenic. Series of one time, or whose median isn't positive, have no row."""
+    keys = ["station", "element"]
+    dated = obs.select(*keys, "t", "value").filter("station is not null and element is not null and t is not null and value is not null")
+    dated = dated.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    fits = dated.groupBy(*keys).agg(F.count("*").alias("n"), F.regr_slope("value", "t").alias("slope"), (F.max("t") - F.min("t")).alias("span")).filter((F.col("n") >= least) & (F.col("span") > 0))
+    upper = values_at(dated, keys, F.col("value"), lambda b: b.withColumn("want", F.array(F.floor(F.col("n") / 2)))).select(*keys, F.col("v").alias("median"))
+    change = F.col("slope") * F.col("span") / F.col("median")
+    line = F.when(change > share, HUMAN).when(change < -share, NEUTRAL).otherwise(GEOGENIC)
+    return fits.join(upper, keys).filter("median > 0").select(*keys, line.alias("temporal_line"))
+
+
+def anomaly_provenance(obs: DataFrame, flagged: DataFrame, degrees: float = 1.0, share: float = 0.3, least: int = 3, prefixed: Mapping[str, str] | None = None) -> DataFrame:
+    """record_id, four lines of evidence and ``class``, one row for each candidate; only enrichment is attributed.
+
+    ``flagged`` has record_id, sample_id, source_id, element, medium, direction, lon, lat and lithology, and may have
+    geologic_unit; ``obs`` has sample_id, source_id, element, lon, lat, value and the sampling year ``t``, null where no
+    time was reported. Lines that agree, two or more, decide; lines on both sides are mixed; else the evidence is
+    insufficient. ``prefixed`` is that of ``station_key``.
     """
-    near = neighbor_count(flagged, degrees).groupBy("record_id").agg(F.max("neighbours").alias("neighbours"))
-    co = co_anomaly_elements(obs, flagged)
-    suite = F.lit(False)
-    for members in suites.values():
-        suite = suite | (F.size(F.array_intersect("flagged_high", F.array(*[F.lit(m) for m in members]))) >= 2)
-    place = ["element", "medium", "lon", "lat"]
-    year = F.substring("sampled_at", 1, 4).try_cast("int") + (F.substring("sampled_at", 6, 2).try_cast("int") - 1) / 12.0
-    dated = obs.join(flagged.select(*place).distinct(), place, "left_semi").select(*place, "value", year.alias("t")).filter("value > 0 and t is not null")
-    trend = linear_trend(dated, "t", "value", place, share).filter((F.col("n") >= least) & (F.col("span") > 0)).select(*place, "trend")
-    rows = flagged.join(near, "record_id", "left").join(co.select("sample_id", suite.alias("suite")), "sample_id", "left").join(trend, place, "left")
-    count = lambda *cs: reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in cs])
-    geogenic = count(F.col("lithology").isNotNull(), F.col("neighbours") >= 1, F.col("trend") == "stable")
-    human = count(F.col("suite"), F.col("trend") == "rising")
-    available = count(F.col("lithology").isNotNull(), F.col("neighbours").isNotNull(), F.col("suite").isNotNull(), F.col("trend").isNotNull())
-    out = rows.select("record_id", geogenic.alias("geogenic"), human.alias("anthropogenic"), available.alias("available"))
-    g, h = F.col("geogenic"), F.col("anthropogenic")
-    kind = F.when((g > 0) & (h > 0), "mixed").when(g >= 2, "geogenic").when(h >= 2, "anthropogenic").otherwise("unresolved")
-    return out.withColumn("class", kind).distinct()
-
-
-def cohort_pair_candidates(cohorts: DataFrame, surface: str, deep: str, least: int = 50) -> DataFrame:
-    """Surface and deep cohorts of one element, medium and method whose boxes overlap; the largest pair of each."""
+    rock = F.concat_ws(" ", *[c for c in ("lithology", "lithology_raw", "geologic_unit") if c in flagged.columns])
+    named = lambda df: df.filter("trim(sample_id) <> '' and trim(element) <> ''")
+    co = co_anomaly_elements(named(obs), named(flagged)).select("sample_id", "measured", "flagged_high")
+    rows = neighbor_count(flagged, degrees).withColumn("station", station_key(flagged, prefixed))
+    dated = obs.withColumn("station", station_key(obs, prefixed))
+    rows = join_on(rows, co, ["sample_id"], "left")
+    rows = join_on(rows, temporal_lines(dated, rows.filter("direction = 'high'"), share, least), ["station", "element"], "left")
+    lines = (
+        lithology_line(rock, F.col("element")), spatial_line(F.col("neighbours"), F.col("peers")),
+        association_line(F.col("element"), F.col("measured"), F.col("flagged_high")), F.coalesce("temporal_line", F.lit(MISSING)),
+    )
+    high = F.coalesce(F.col("direction") == "high", F.lit(False))
+    out = rows.select("record_id", high.alias("high"), *[F.when(high, line).alias(n) for n, line in zip(LINES, lines)])
+    count = lambda what: reduce(lambda a, b: a + b, [F.coalesce((F.col(n) == what).cast("int"), F.lit(0)) for n in LINES])
+    ground, people = count(GEOGENIC), count(HUMAN)
+    kind = (
+        F.when(~F.col("high"), "not_applicable_depletion").when((ground >= 1) & (people >= 1), "mixed_or_undistinguished")
+        .when(ground >= 2, "geogenic_background").when(people >= 2, "suspected_anthropogenic_input").otherwise("insufficient_evidence")
+    )
+    return out.select("record_id", *LINES, kind.alias("class"))
+
+
+def usable_cohorts(cohorts: DataFrame, least: int) -> DataFrame:
+    return cohorts.filter(F.col("tier").isin(*V.USABLE_TIERS) & (F.col("quantified_samples") >= least))
+
+
+def cohort_pair_candidates(cohorts: DataFrame, layers: Mapping[str, tuple[Sequence[str], Sequence[str]]] = V.LAYERS, least: int = 50) -> DataFrame:
+    """One row for each element and medium with a surface and a deep cohort of the same method whose boxes overlap: the pair
+    with the most quantified samples in sum, and that sum. Only usable tiers with ``least`` quantified samples count."""
+    usable = usable_cohorts(cohorts, least)
+    of = lambda i: reduce(lambda a, b: a | b, [(F.col("medium") == m) & F.col("sample_type").isin(*pair[i]) for m, pair in layers.items()], F.lit(False))
     keys = ["element", "medium", "method_family"]
-    side = lambda name, p: cohorts.filter(F.col("sample_type") == name).select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in ("basis", "samples", "west", "east", "south", "north")])
-    met = side(surface, "s").join(side(deep, "d"), keys).filter("s_west <= d_east and d_west <= s_east and s_south <= d_north and d_south <= s_north").filter((F.col("s_samples") >= least) & (F.col("d_samples") >= least))
-    size = F.least("s_samples", "d_samples")
-    w = Window.partitionBy(*keys).orderBy(F.desc(size), "s_basis", "d_basis")
-    return met.withColumn("k", F.row_number().over(w)).filter("k = 1").select(*keys, "s_basis", "d_basis", size.alias("samples"))
+    told = [c for c in ("sample_type", "basis", "fraction", "method_scope", "unit") if c in cohorts.columns]
+    side = lambda i, p: usable.filter(of(i)).select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in (*told, "quantified_samples", "west", "east", "south", "north")])
+    met = side(0, "s").join(side(1, "d"), keys).filter("s_west <= d_east and d_west <= s_east and s_south <= d_north and d_south <= s_north")
+    score = F.col("s_quantified_samples") + F.col("d_quantified_samples")
+    ties = [f"{p}_{c}" for c in told for p in "sd"]
+    w = Window.partitionBy("element", "medium").orderBy(F.desc("score"), "method_family", *ties)
+    best = met.withColumn("score", score).withColumn("place", F.row_number().over(w)).filter("place = 1")
+    return best.select(*keys, *ties, "score")
 
 
 def fraction_pair_candidates(cohorts: DataFrame, suffixes: Mapping[str, str]) -> DataFrame:

@@ -31,9 +31,22 @@ def join_on(a: DataFrame, b: DataFrame, columns: Sequence[str], how: str = "inne
     """Join on columns where null matches null; each appears once. No columns: ``b`` is one row."""
     if not columns:
         return a.crossJoin(b)
-    theirs = b.withColumnsRenamed({c: f"right {c}" for c in columns})
-    on = reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.col(f"`right {c}`")) for c in columns])
-    return a.join(theirs, on, how).drop(*[f"right {c}" for c in columns])
+    right = dict(zip(columns, fresh([*a.columns, *b.columns], *columns)))
+    theirs = b.withColumnsRenamed(right)
+    on = reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.col(f"`{r}`")) for c, r in right.items()])
+    return a.join(theirs, on, how).drop(*right.values())
+
+
+def fresh(df: DataFrame | Sequence[str], *names: str) -> tuple[str, ...]:
+    """Names like ``names`` that ``df`` (or a list of columns) doesn't have: scratch columns beside a user's own, which
+    stay columns of their own and so can be pruned."""
+    taken, out = {c.lower() for c in (df.columns if isinstance(df, DataFrame) else df)}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
 
 
 def behind(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:

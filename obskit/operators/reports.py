@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
+from .provenance import usable_cohorts
 from .ranking import join_on, quantiles
 from .screening import cell_index
 
@@ -69,14 +70,20 @@ def analysis_cohorts(obs: DataFrame, keys: Sequence[str] = COHORT, tiers: Mappin
     range, rows by confidence band, and a tier by samples, quantified fraction and share (``tiers`` changes thresholds)."""
     t = {"samples": 20, "fraction": 0.7, "share": 0.9, "exploratory": 8} | dict(tiers or {})
     quantified = F.expr(QUANTIFIED)
-    by = obs.groupBy(*keys, "source_id").agg(F.count("*").alias("n"), F.count_if(quantified).alias("q"))
-    top = by.groupBy(*keys).agg(F.max_by("source_id", F.struct("n", "source_id")).alias("top_source"), (F.max("n") / F.sum("n")).alias("top_share"), F.count("*").alias("sources"), F.max("q").alias("top_quantified"), F.count_if(F.col("q") > 0).alias("quantified_sources"))
-    rest = obs.groupBy(*keys).agg(
-        F.count_if(quantified).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"), F.count_if(F.expr("value is null and qualifier = 'reported'")).alias("not_normalized"),
-        F.count_distinct("sample_id").alias("samples"), F.count_distinct(F.when(quantified, F.col("sample_id"))).alias("quantified_samples"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north"),
-        F.min("sampled_at").alias("first"), F.max("sampled_at").alias("last"), *[F.count_if(F.col("band") == b).alias(f"{b}_band") for b in ("high", "medium", "low")],
+    keys, sums = list(keys), ("n", "quantified", "censored", "not_normalized", "high_band", "medium_band", "low_band")
+    ends = {"west": (F.min, "lon"), "east": (F.max, "lon"), "south": (F.min, "lat"), "north": (F.max, "lat"), "first": (F.min, "sampled_at"), "last": (F.max, "sampled_at")}
+    # One pass over the rows; samples and sources are then counted from its groups, so nothing is expanded for distinct counts.
+    once = obs.groupBy(*keys, "sample_id", "source_id").agg(
+        F.count("*").alias("n"), F.count_if(quantified).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"), F.count_if(F.expr("value is null and qualifier = 'reported'")).alias("not_normalized"),
+        *[F.count_if(F.col("band") == b).alias(f"{b}_band") for b in ("high", "medium", "low")], *[f(c).alias(n) for n, (f, c) in ends.items()],
     )
-    out = join_on(rest, top, keys)
+    add = [F.sum(c).alias(c) for c in sums] + [f(n).alias(n) for n, (f, _) in ends.items()]
+    named = F.col("sample_id").isNotNull()
+    rest = once.groupBy(*keys, "sample_id").agg(*add).groupBy(*keys).agg(*add, F.count_if(named).alias("samples"), F.count_if(named & (F.col("quantified") > 0)).alias("quantified_samples"))
+    by = once.groupBy(*keys, "source_id").agg(F.sum("n").alias("n"), F.sum("quantified").alias("q"))
+    top = by.groupBy(*keys).agg(F.max_by("source_id", F.struct("n", "source_id")).alias("top_source"), (F.max("n") / F.sum("n")).alias("top_share"), F.count("*").alias("sources"), F.max("q").alias("top_quantified"), F.count_if(F.col("q") > 0).alias("quantified_sources"))
+    order = ("quantified", "censored", "not_normalized", "samples", "quantified_samples", "west", "east", "south", "north", "first", "last", "high_band", "medium_band", "low_band")
+    out = join_on(rest.select(*keys, *order), top, keys)
     enough = (F.col("quantified_samples") >= t["samples"]) & (F.col("quantified") >= t["fraction"] * (F.col("quantified") + F.col("censored") + F.col("not_normalized")))
     several = (F.col("quantified_sources") >= 2) & (F.col("top_quantified") <= t["share"] * F.col("quantified"))
     tier = F.when(enough & several, "analysis_ready").when(enough, "single_lineage_ready").when(F.col("quantified_samples") >= t["exploratory"], "exploratory_only").otherwise("insufficient_background")
@@ -365,14 +372,24 @@ def quality_flag_audit(rows: DataFrame) -> DataFrame:
     )
 
 
-def discovery_candidates(cohorts: DataFrame, gaps: DataFrame, least: int = 20) -> DataFrame:
-    """(kind, key, score): T2 one element and medium by several methods, T3 cohorts of one source, T4 regions by their
-    gaps (region, key), T5 elements in several media."""
-    t2 = cohorts.groupBy("element", "medium").agg(F.count_distinct("method_family").alias("m"), F.sum("quantified").alias("score")).filter((F.col("m") >= 2) & (F.col("score") >= least)).select(F.lit("T2").alias("kind"), F.concat_ws("|", "element", "medium").alias("key"), "score")
-    t3 = cohorts.filter((F.col("sources") == 1) & (F.col("quantified") >= least)).groupBy(F.concat_ws("|", *COHORT).alias("key")).agg(F.max("quantified").alias("score")).select(F.lit("T3"), "key", "score")
-    t4 = gaps.groupBy("region").agg(F.count("*").alias("score")).select(F.lit("T4"), "region", "score")
-    t5 = cohorts.groupBy("element").agg(F.count_distinct("medium").alias("score")).filter("score >= 2").select(F.lit("T5"), "element", "score")
-    return t2.union(t3).union(t4).union(t5)
+def discovery_candidates(cohorts: DataFrame, gaps: DataFrame, least: int = 50, alone: int = 500, shared: int = 200) -> DataFrame:
+    """(kind, key, score) from usable cohorts with ``least`` quantified samples, and ``gaps`` (region, ...).
+
+    T2: an element, medium and sample type measured by several methods; T3: an element and medium with ``alone`` samples
+    or more, all from one and the same source; T4: gaps of a region; T5: an element with ``shared`` samples in soil and
+    in water, or else in sediment. Scores are sums of quantified samples, for T4 gaps.
+    """
+    usable, samples = usable_cohorts(cohorts, least), F.sum("quantified_samples")
+    t2 = usable.groupBy("element", "medium", "sample_type").agg(F.count_distinct(F.coalesce("method_family", F.lit(""))).alias("m"), samples.alias("score")).filter("m >= 2")
+    t3 = usable.groupBy("element", "medium").agg(samples.alias("score"), F.max("sources").alias("sources"), F.count_distinct("top_source").alias("tops"))
+    t3 = t3.filter((F.col("score") >= alone) & (F.col("sources") == 1) & (F.col("tops") == 1))
+    t4 = gaps.groupBy(F.coalesce("region", F.lit("unknown")).alias("region")).agg(F.count("*").alias("score"))
+    in_ = lambda m: F.coalesce(F.sum(F.when(F.col("medium") == m, F.col("quantified_samples"))), F.lit(0)).alias(m)
+    t5 = usable.groupBy("element").agg(*[in_(m) for m in ("soil", "water", "sediment")]).filter((F.col("soil") >= shared) & (F.greatest("water", "sediment") >= shared))
+    partner = F.when(F.col("water") >= shared, "water").otherwise("sediment")
+    t5 = t5.select("element", partner.alias("partner"), (F.col("soil") + F.when(F.col("water") >= shared, F.col("water")).otherwise(F.col("sediment"))).alias("score"))
+    as_ = lambda df, kind, *key: df.select(F.lit(kind).alias("kind"), F.concat_ws("|", *key).alias("key"), "score")
+    return as_(t2, "T2", "element", "medium", "sample_type").union(as_(t3, "T3", "element", "medium")).union(as_(t4, "T4", "region")).union(as_(t5, "T5", "element", F.lit("soil"), "partner"))
 
 
 def sampling_priority(gaps: DataFrame, cohorts: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import confidence_score, flags
-from .ranking import join_on, least_from_above, quantiles, ranked_values
+from ..sources.storage import written
+from .bracket import brackets, median_and_deviation, summary
+from .ranking import behind, fresh, join_on, least_from_above, ranked_values
 
 CENSORED = ("lt", "le", "gt", "ge", "bdl", "loq", "nd", "trace")
 POLICY = {"recovery_low": 80.0, "recovery_high": 120.0, "blank_max": 5.0, "rpd_max": 20.0, "unit": "mg/kg"}
@@ -55,7 +57,8 @@ def exclusion(obs: DataFrame, gate: bool = False) -> Column:
         rules += [("batch_qc_failed", F.col("batch_status").eqNullSafe("fail")), ("batch_qc_incomplete", ~F.col("batch_status").eqNullSafe("pass"))]
     if "duplicate" in obs.columns:
         rules.append(("duplicate_candidate", F.col("duplicate")))
-    rules += [("censored", F.col("qualifier").isin(*CENSORED)), ("not_standardized", F.col("value").isNull()), ("non_positive", F.col("value") <= 0)]
+    unusable = F.col("value").isNull() | F.isnan("value") | (F.abs("value") == float("inf"))
+    rules += [("censored", F.col("qualifier").isin(*CENSORED)), ("not_standardized", unusable), ("non_positive", F.col("value") <= 0)]
     out = F.lit(None).cast("string")
     for name, hit in reversed(rules):
         out = F.when(hit, name).otherwise(out)
@@ -65,37 +68,40 @@ def exclusion(obs: DataFrame, gate: bool = False) -> Column:
 def anomaly_group_report(obs: DataFrame, group_by: Sequence[str], min_group: int = 8, min_quantified: float = 0.7, gate: bool = False) -> DataFrame:
     """One row per comparable group: counts, fractions, status, log10 median and MAD.
 
-    Medians are exact and taken by ``ranking.quantiles``: a group that holds most rows is spread over tasks.
+    Two scans of ``obs``, neither of which shuffles its rows: counts and a summary of every group, then exact medians and
+    deviations within the summary's brackets. The report, a row a group, is written to the shared folder.
     """
     why = exclusion(obs, gate)
     names = ("censored", "not_standardized", "non_positive", "duplicates", "batch_excluded")
     held = {"duplicates": ("duplicate_candidate",), "batch_excluded": ("batch_qc_failed", "batch_qc_incomplete")}
-    marked = obs.select(*group_by, why.alias("why"), F.when(why.isNull(), F.log10("value")).alias("log"))
-    groups = marked.groupBy(*group_by).agg(
-        F.count("*").alias("records_total"), F.count_if(F.col("why").isNull()).alias("records_used"), *[F.count_if(F.col("why").isin(*held.get(n, (n,)))).alias(n) for n in names]
-    )
-    medians = quantiles(marked, group_by, "log", {"log10_median": 0.5})
-    off = join_on(marked.filter("log is not null"), medians, group_by)
-    mads = quantiles(off, group_by, F.abs(F.col("log") - F.col("log10_median")), {"log10_mad": 0.5})
-    out = join_on(join_on(groups, medians, group_by, "left"), mads, group_by, "left")
+    marked, keys, named = behind(obs.select(*[F.col(f"`{c}`") for c in group_by], why.alias("excluded why"), F.when(why.isNull(), F.log10("value")).alias("log of value")), group_by)
+    groups = marked.groupBy(*keys).agg(
+        F.count("*").alias("records_total"), F.count_if(F.col("excluded why").isNull()).alias("records_used"), *[F.count_if(F.col("excluded why").isin(*held.get(n, (n,)))).alias(n) for n in names],
+        summary(F.col("log of value")).alias("points"),
+    )
+    groups = written(groups.withColumn("bracket", brackets(F.col("points"))).drop("points"))
+    found = median_and_deviation(marked, groups.withColumn("n", F.col("records_used")), keys, "log of value")
+    out = join_on(groups.drop("bracket"), found, keys, "left").withColumnsRenamed({"median": "log10_median", "mad": "log10_mad"})
     independent = F.col("records_total") - F.col("duplicates") - F.col("batch_excluded")
     out = out.withColumn("independent", independent).withColumn("quantified_fraction", F.when(F.col("independent") > 0, F.col("records_used") / F.col("independent")).otherwise(0.0))
     status = (
         F.when(F.col("independent") < min_group, "insufficient_group_size").when(F.col("quantified_fraction") < min_quantified, "insufficient_quantified_fraction")
         .when(F.col("records_used") < min_group, "insufficient_usable_group_size").when(F.col("log10_mad") == 0, "zero_dispersion").otherwise("analyzed")
     )
-    return out.withColumn("status", status)
+    return named(written(out.withColumn("status", status)))
 
 
 def robust_anomalies(obs: DataFrame, group_by: Sequence[str], min_group: int = 8, z: float = 3.5, min_quantified: float = 0.7, gate: bool = False) -> DataFrame:
-    """Rows whose log10 value lies ``z`` or more robust deviations from their group's median; adds robust_z, direction."""
+    """Rows whose log10 value lies ``z`` or more robust deviations from their group's median; adds robust_z, direction.
+
+    A third scan joins the rows with the report of ``anomaly_group_report``."""
     report = anomaly_group_report(obs, group_by, min_group, min_quantified, gate).filter("status = 'analyzed'")
-    own = F.struct(*[F.col(f"`{c}`") for c in obs.columns]).alias("row")
-    usable = obs.select(*group_by, own, F.log10("value").alias("log"), exclusion(obs, gate).alias("why")).filter("why is null")
-    scored = join_on(usable, report.select(*group_by, "log10_median", "log10_mad"), group_by).withColumn("z", 0.67448975 * (F.col("log") - F.col("log10_median")) / F.col("log10_mad"))
-    hit = scored.filter(F.abs("z") >= z)
-    kept = [c for c in obs.columns if c not in ("robust_z", "direction")]
-    return hit.select(*[F.col("row")[c].alias(c) for c in kept], F.col("z").alias("robust_z"), F.when(F.col("z") > 0, "high").otherwise("low").alias("direction"))
+    obs = obs.drop("robust_z", "direction")
+    log, why, z_score, median, mad = fresh(obs, "log", "why", "z", "median", "mad")
+    usable = obs.withColumns({log: F.log10("value"), why: exclusion(obs, gate)}).filter(F.col(why).isNull())
+    scored = join_on(usable, report.select(*group_by, F.col("log10_median").alias(median), F.col("log10_mad").alias(mad)), group_by)
+    scored = scored.withColumn(z_score, 0.67448975 * (F.col(log) - F.col(median)) / F.col(mad)).filter(F.abs(F.col(z_score)) >= z)
+    return scored.select(*[F.col(f"`{c}`") for c in obs.columns], F.col(z_score).alias("robust_z"), F.when(F.col(z_score) > 0, "high").otherwise("low").alias("direction"))
 
 
 # Lanczos coefficients, g = 7.
@@ -155,7 +161,7 @@ def hypergeometric_survival(df: DataFrame, successes: str, population: str, popu
 def benjamini_hochberg(df: DataFrame, p_col: str, into: str = "q_value") -> DataFrame:
     """Add step-up q values over all rows. Equal p values share a rank; running counts and minima go over buckets of p,
     so no task sees all hypotheses."""
-    df = df.persist()  # hypotheses, few next to the measurements behind them, are read three times
+    df = written(df)  # hypotheses, few next to the measurements behind them, are read three times
     q = least_from_above(ranked_values(df, [], p_col), [], F.col("v") * F.col("n") / (F.col("before") + F.col("k")), "q")
     return join_on(df, q.select(F.col("v").alias(p_col), F.least(F.lit(1.0), "q").alias(into)), [p_col], "left")
 
@@ -178,6 +184,8 @@ def spatial_anomaly_cells(obs: DataFrame, flagged: DataFrame, group_by: Sequence
     cells = cells.withColumns({"n_group": F.sum("n_cell").over(w), "g_high": F.sum("high").over(w), "g_low": F.sum("low").over(w)})
     sides = F.explode(F.array(*[F.struct(F.lit(d).alias("direction"), F.col(d).alias("k_cell"), F.col(f"g_{d}").alias("k_group")) for d in ("high", "low")]))
     tests = cells.withColumn("s", sides).select(*group_by, "cell_x", "cell_y", "n_cell", "n_group", "s.*").filter((F.col("n_cell") >= min_samples) & (F.col("k_group") > 0))
+    # Few rows with much work each: without a fixed number, small partitions would be merged into one task.
+    tests = tests.repartition(int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     tested = benjamini_hochberg(hypergeometric_survival(tests, "k_cell", "n_group", "k_group", "n_cell"), "p_value")
     inside, outside = F.col("k_cell") / F.col("n_cell"), (F.col("k_group") - F.col("k_cell")) / F.nullif(F.col("n_group") - F.col("n_cell"), F.lit(0))
     kept = tested.withColumns({"rate_inside": inside, "rate_outside": outside}).filter((F.col("q_value") <= alpha) & (F.col("k_cell") >= min_candidates) & (F.col("rate_inside") > F.coalesce("rate_outside", F.lit(0.0))))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
-from .ranking import join_on, quantiles
+from .counting import counts_around
+from .ranking import fresh, join_on, quantiles
 from .screening import cell_index
 
 METRES = 111320.0
@@ -195,17 +196,21 @@ def filled_grid(grid: DataFrame, obs: DataFrame, box: Sequence[float], degrees:
 
 
 def neighbor_count(flagged: DataFrame, degrees: float = 1.0) -> DataFrame:
-    """(record_id, neighbours): other rows of the same element, medium and direction within ``degrees`` both ways.
+    """``flagged`` with ``neighbours`` and ``peers``: high candidates of the same element and medium within ``degrees`` both
+    ways, those at the row's own place left out, and all of them anywhere.
 
-    Each row goes to its own cell; the other side to its cell and the eight around, so an equi-join finds all pairs.
-    Rows at the same place are counted once, as a place with a count, so that a crowded place makes no pairs.
+    Rows with a place count as peers if their direction is high; the row itself may be of any. Without a place
+    ``neighbours`` is null. Longitudes aren't wrapped. Rows of a place are one place with a weight, and places
+    are counted by ``counts_around``, which makes no pairs.
     """
-    places = flagged.filter("lon is not null").groupBy("element", "medium", "direction", "lon", "lat").agg(F.count("*").alias("n"))
-    cx, cy = F.floor(F.col("lon") / degrees).cast("int"), F.floor(F.col("lat") / degrees).cast("int")
-    own = places.withColumns({"cx": cx, "cy": cy})
-    around = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    other = own.select("element", "medium", "direction", F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), F.col("n").alias("n2"), F.explode(F.transform(around, lambda k: F.col("cx") + k)).alias("cx"), "cy")
-    other = other.withColumn("cy", F.explode(F.transform(around, lambda k: F.col("cy") + k)))
-    near = own.join(other, ["element", "medium", "direction", "cx", "cy"]).filter((F.abs(F.col("lon") - F.col("lon2")) <= degrees) & (F.abs(F.col("lat") - F.col("lat2")) <= degrees))
-    counts = near.groupBy("element", "medium", "direction", "lon", "lat").agg((F.sum("n2") - 1).alias("neighbours"))
-    return flagged.filter("lon is not null").join(counts, ["element", "medium", "direction", "lon", "lat"]).select("record_id", "neighbours")
+    kind = ["element", "medium"]
+    spot = [*kind, "lon", "lat"]
+    high, around = fresh(flagged, "high", "around")
+    is_high = F.coalesce(F.col("direction") == "high", F.lit(False))
+    places = flagged.filter("lon is not null and lat is not null").groupBy(*spot).agg(F.count_if(is_high).alias(high))
+    sums = counts_around(places, kind, "lon", "lat", high, degrees, around)
+    near = join_on(sums, places, spot).select(*spot, (F.col(around) - F.col(high)).alias("neighbours"))
+    peers = places.groupBy(*kind).agg(F.sum(high).alias("peers"))
+    rows = flagged.drop("neighbours", "peers")
+    out = join_on(join_on(rows, near, spot, "left"), peers, kind, "left")
+    return out.withColumn("peers", F.coalesce("peers", F.lit(0)))

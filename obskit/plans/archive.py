@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..sources import tables as T
+from ..sources.storage import new_folder
 from .base import query
 
 
 def scratch(t) -> str:
     """A new folder in the shared place for files that a reader reads back."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/obskit-{uuid.uuid4().hex}"
+    return new_folder(t.spark)
 
 
 @query("s1_read_delimited", "select record_id, element as element_or_analyte, cast(source_row as varchar) as value, unit, medium from obs")

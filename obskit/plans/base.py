@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.screening import robust_anomalies
+from ..sources.storage import written
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -101,7 +102,7 @@ select record_id, sample_id, source_id, lineage, element, medium, method_family,
  when cast(round((lat + 90) * 100) as bigint) % 97 = 0 and source_row % 4 <> 0 then cast(10000 as double) else cast(1 as double) end as value from (OBS) o""",
     # Their outliers (on the Spark side by the operator itself).
     "flagged": """
-select record_id, sample_id, element, medium, lon, lat, lithology, source_row, case when z > 0 then 'high' else 'low' end as direction
+select record_id, sample_id, source_id, element, medium, lon, lat, lithology, source_row, case when z > 0 then 'high' else 'low' end as direction
 from (select w.*, 0.67448975 * (log10(value) - med) / mad as z
  from (select *, case when qualifier = 'lt' or value is null or value <= 0 then 1 else 0 end as why from (SITES) s0) w
  join (select element, medium, unit, count(*) as total, count(*) filter (where qualifier <> 'lt' and value > 0) as used, median(log10(value)) filter (where qualifier <> 'lt' and value > 0) as med from (SITES) s1 group by element, medium, unit) g using (element, medium, unit)
@@ -138,9 +139,9 @@ class Tables:
 
     @property
     def flagged(self) -> DataFrame:
-        """The outliers, few next to the measurements: kept, as their readers join them several times."""
+        """The outliers, few next to the measurements: written, as their readers join them several times."""
         found = robust_anomalies(self.sites, ["element", "medium", "unit"])
-        return found.select("record_id", "sample_id", "element", "medium", "lon", "lat", "lithology", "source_row", "direction").persist()
+        return written(found.select("record_id", "sample_id", "source_id", "element", "medium", "lon", "lat", "lithology", "source_row", "direction"))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

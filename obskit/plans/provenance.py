@@ -8,7 +8,7 @@ from ..functions import times
 from ..operators import provenance as P
 from ..operators import reports as R
 from .base import query
-from .reports import COHORT
+from .reports import COARSE, COHORT, coarse
 from .standard import FORMATS, TIMES, _formats
 
 
@@ -87,6 +87,18 @@ def a15(t):
     return r(P.station_series(t.series), 6, "first", "last")
 
 
+@query("a15_station_points", """
+, u as (select station, element, unit, count(*) as n, count(distinct t) as points from series group by all),
+k as (select * from (select *, row_number() over (partition by station, element order by n desc, unit) as k from u) where k = 1 and points >= 3),
+p as (select s.station, s.element, s.unit, t, value, row_number() over (partition by s.station, s.element order by t, value) as pos from series s join k on s.station = k.station and s.element = k.element and s.unit = k.unit)
+select station, element, unit, cast(floor((pos - 1) / 5) as int) as chunk, count(*) as n, round(min(t), 6) as first, round(max(t), 6) as last, string_agg(cast(round(value * 100) as bigint), ',' order by pos) as hundredths from p group by all""")
+def a15_points(t):
+    rows = P.station_points(t.series, size=5)
+    said = F.array_join(F.transform("points", lambda p: F.round(p["value"] * 100).cast("bigint").cast("string")), ",")
+    ends = F.transform("points", lambda p: p["t"])
+    return rows.select("station", "element", "unit", "chunk", F.size("points").cast("bigint").alias("n"), F.round(F.array_min(ends), 6).alias("first"), F.round(F.array_max(ends), 6).alias("last"), said.alias("hundredths"))
+
+
 @query("a16_linear_trend", """
 , g as (select element, unit, count(*) as n, regr_slope(value, t) as slope, regr_intercept(value, t) as intercept, max(t) - min(t) as span, median(value) as median from series group by 1, 2)
 select element, unit, n, round(slope, 4) as slope, round(span, 6) as span, round(median, 4) as median, case when slope * span > 0.15 * abs(median) then 'rising' when slope * span < -0.15 * abs(median) then 'falling' when slope * span is not null then 'stable' else 'undetermined' end as trend from g""")
@@ -119,26 +131,37 @@ def j14(t):
 
 
 @query("j15_anomaly_provenance", """
-, pl as (select * from flagged where lon is not null),
-n as (select a.record_id, count(*) - 1 as k from pl a join pl b on a.element = b.element and a.medium = b.medium and a.direction = b.direction and abs(a.lon - b.lon) <= 5 and abs(a.lat - b.lat) <= 5 group by a.record_id, a.lon, a.lat, a.element, a.medium, a.direction),
-n2 as (select record_id, max(k) as k from n group by 1), s as (select sample_id, count(distinct element) filter (element in ('Cu','Zn','Pb')) >= 2 as suite from flagged where direction = 'high' group by 1),
-d as (select element, medium, lon, lat, value, cast(substr(sampled_at, 1, 4) as int) + (cast(substr(sampled_at, 6, 2) as int) - 1) / 12.0::double as t from obs where value > 0 and sampled_at is not null and lon is not null and exists (select 1 from pl where pl.element = obs.element and pl.medium = obs.medium and pl.lon = obs.lon and pl.lat = obs.lat)),
-g as (select element, medium, lon, lat, regr_slope(value, t) * (max(t) - min(t)) as ch, 0.3 * abs(median(value)) as edge from d group by all having count(*) >= 3 and max(t) > min(t)),
-x as (select f.record_id, f.lithology is not null as li, k, suite, case when ch > edge then 'rising' when ch < -edge then 'falling' when ch is not null then 'stable' end as tr from flagged f left join n2 on f.record_id = n2.record_id left join s on f.sample_id = s.sample_id
- left join g on f.element = g.element and f.medium = g.medium and f.lon = g.lon and f.lat = g.lat),
-y as (select record_id, cast(li as int) + cast(coalesce(k >= 1, false) as int) + cast(coalesce(tr = 'stable', false) as int) as geogenic, cast(coalesce(suite, false) as int) + cast(coalesce(tr = 'rising', false) as int) as anthropogenic,
- cast(li as int) + cast(k is not null as int) + cast(suite is not null as int) + cast(tr is not null as int) as available from x)
-select distinct *, case when geogenic > 0 and anthropogenic > 0 then 'mixed' when geogenic >= 2 then 'geogenic' when anthropogenic >= 2 then 'anthropogenic' else 'unresolved' end as class from y""")
+, hi as (select * from flagged where direction = 'high'),
+c as (select row_number() over () as n, * from flagged),
+near as (select c.n, count(b.record_id) filter (not (b.lon = c.lon and b.lat = c.lat) and abs(b.lat - c.lat) <= 5 and abs(b.lon - c.lon) <= 5) as k, count(b.record_id) as total
+  from c left join hi b on b.element = c.element and b.medium = c.medium and b.lon is not null and b.lat is not null where c.lon is not null and c.lat is not null group by c.n),
+el as (select sample_id, list(distinct element) as measured from obs group by 1), eh as (select sample_id, list(distinct element) as high from hi group by 1),
+d as (select source_id, element, round(lon, 2) as x, round(lat, 2) as y, value as v, cast(substr(sampled_at, 1, 4) as int) + (cast(substr(sampled_at, 6, 2) as int) - 1) / 12.0::double as t from obs where value is not null and sampled_at is not null and lon is not null and lat is not null),
+g as (select source_id, element, x, y, regr_slope(v, t) * (max(t) - min(t)) as moved, list_sort(list(v))[cast(floor(count(*) / 2) as bigint) + 1] as med from d group by all having count(*) >= 3 and max(t) > min(t)),
+l as (select c.n, record_id, c.direction,
+  case when trim(coalesce(lithology, '')) = '' then 'unavailable' when c.element in ('Ni', 'Cr', 'Cu', 'Co', 'V') and regexp_matches(upper(lithology), 'BASALT|GABBRO|DOLERITE|DIABASE|AMPHIBOLITE|GREENSTONE') or c.element in ('As', 'Mo', 'U', 'V', 'Zn') and regexp_matches(upper(lithology), 'SHALE|SCHIST')
+    or c.element in ('Ni', 'Cr', 'Co') and regexp_matches(upper(lithology), 'ULTRAMAFIC|PERIDOTITE|SERPENTIN|DUNITE|PYROXENITE|KOMATIITE') then 'supports_geogenic' else 'available_but_neutral' end as lithology_line,
+  case when near.n is null then 'unavailable' when k >= 2 then 'supports_geogenic' when k = 0 and total >= 3 then 'supports_anthropogenic' else 'available_but_neutral' end as spatial_line,
+  case when len(list_filter(measured, lambda e: e <> c.element)) = 0 or measured is null then 'unavailable'
+    when c.element in ('Pb', 'Zn', 'Cd', 'Cu', 'Hg', 'As', 'Sb') and len(list_filter(high, lambda e: e <> c.element and e in ('Pb', 'Zn', 'Cd', 'Cu', 'Hg', 'As', 'Sb'))) > 0 then 'supports_anthropogenic'
+    when c.element in ('Ni', 'Cr', 'Co', 'V', 'Cu') and len(list_filter(high, lambda e: e <> c.element and e in ('Ni', 'Cr', 'Co', 'V'))) > 0 then 'supports_geogenic' else 'available_but_neutral' end as association_line,
+  case when med is null or med <= 0 then 'unavailable' when moved / med > 0.3 then 'supports_anthropogenic' when moved / med < -0.3 then 'available_but_neutral' else 'supports_geogenic' end as temporal_line
+  from c left join near using (n) left join el using (sample_id) left join eh using (sample_id) left join g on g.source_id = c.source_id and g.element = c.element and g.x = round(c.lon, 2) and g.y = round(c.lat, 2)),
+s as (select *, len(list_filter([lithology_line, spatial_line, association_line, temporal_line], lambda v: v = 'supports_geogenic')) as ge, len(list_filter([lithology_line, spatial_line, association_line, temporal_line], lambda v: v = 'supports_anthropogenic')) as an from l)
+select record_id, case when direction = 'high' then lithology_line end as lithology_line, case when direction = 'high' then spatial_line end as spatial_line, case when direction = 'high' then association_line end as association_line, case when direction = 'high' then temporal_line end as temporal_line,
+ case when direction <> 'high' then 'not_applicable_depletion' when ge >= 1 and an >= 1 then 'mixed_or_undistinguished' when ge >= 2 then 'geogenic_background' when an >= 2 then 'suspected_anthropogenic_input' else 'insufficient_evidence' end as class from s""")
 def j15(t):
-    return P.anomaly_provenance(t.obs, t.flagged, {"base_metal": ["Cu", "Zn", "Pb"]}, 5.0)
+    year = F.substring("sampled_at", 1, 4).cast("int") + (F.substring("sampled_at", 6, 2).cast("int") - 1) / 12.0
+    return P.anomaly_provenance(t.obs.withColumn("t", year), t.flagged, 5.0)
 
 
-@query("j16_cohort_pair_candidates", COHORT + """
-, m as (select s.element, s.medium, s.method_family, s.basis as s_basis, d.basis as d_basis, least(s.samples, d.samples) as samples from cohort s join cohort d on s.element = d.element and s.medium = d.medium and s.method_family = d.method_family and s.sample_type = 'topsoil' and d.sample_type = 'core'
- and s.west <= d.east and d.west <= s.east and s.south <= d.north and d.south <= s.north and s.samples >= 2 and d.samples >= 2)
-select * from m qualify row_number() over (partition by element, medium, method_family order by samples desc, s_basis nulls first, d_basis nulls first) = 1""")
+@query("j16_cohort_pair_candidates", COARSE + """
+, m as (select s.element, s.medium, s.method_family, s.sample_type as s_sample_type, d.sample_type as d_sample_type, s.quantified_samples + d.quantified_samples as score from usable s join usable d on s.element = d.element and s.medium = d.medium and s.method_family = d.method_family
+ where (s.medium = 'soil' and s.sample_type = 'topsoil' and d.sample_type in ('subsoil', 'core') or s.medium = 'sediment' and s.sample_type in ('topsoil', 'subsoil') and d.sample_type = 'core')
+ and s.west <= d.east and d.west <= s.east and s.south <= d.north and d.south <= s.north)
+select * from m qualify row_number() over (partition by element, medium order by score desc, method_family, s_sample_type, d_sample_type) = 1""")
 def j16(t):
-    return P.cohort_pair_candidates(R.analysis_cohorts(t.obs), "topsoil", "core", 2)
+    return P.cohort_pair_candidates(coarse(t), {"soil": (("topsoil",), ("subsoil", "core")), "sediment": (("topsoil", "subsoil"), ("core",))}, 10)
 
 
 @query("j17_fraction_pair_candidates", COHORT + """

@@ -65,18 +65,32 @@ def a11(t):
 
 
 _K = "element, medium, sample_type, fraction, basis, method_family, method_scope, unit"
-_ON = " and ".join(f"co.{k} is not distinct from t.{k}" for k in _K.split(", "))
-COHORT = f"""
-, b as (select {_K}, source_id, count(*) as n, count(value) as q from obs group by all),
-t as (select {_K}, max_by(source_id, (n, source_id)) as top_source, max(n) / sum(n) as top_share, count(*) as sources, max(q) as tq, count(*) filter (q > 0) as qs from b group by all),
-co as (select {_K}, count(value) as quantified, count(*) filter (qualifier <> 'reported') as censored, count(*) filter (value is null and qualifier = 'reported') as not_normalized, count(distinct sample_id) as samples,
+
+
+def cohort_sql(keys):
+    on = " and ".join(f"co.{k} is not distinct from t.{k}" for k in keys.split(", "))
+    return f"""
+, b as (select {keys}, source_id, count(*) as n, count(value) as q from obs group by all),
+t as (select {keys}, max_by(source_id, (n, source_id)) as top_source, max(n) / sum(n) as top_share, count(*) as sources, max(q) as tq, count(*) filter (q > 0) as qs from b group by all),
+co as (select {keys}, count(value) as quantified, count(*) filter (qualifier <> 'reported') as censored, count(*) filter (value is null and qualifier = 'reported') as not_normalized, count(distinct sample_id) as samples,
  count(distinct sample_id) filter (value is not null) as quantified_samples, min(lon) as west, max(lon) as east, min(lat) as south, max(lat) as north, min(sampled_at) as first, max(sampled_at) as last,
  count(*) filter (band = 'high') as high_band, count(*) filter (band = 'medium') as medium_band, count(*) filter (band = 'low') as low_band from obs group by all),
 cohort as (select co.*, top_source, top_share, sources, case when quantified_samples >= 20 and quantified >= 0.7 * (quantified + censored + not_normalized) then case when qs >= 2 and tq <= 0.9 * quantified then 'analysis_ready' else 'single_lineage_ready' end
- when quantified_samples >= 8 then 'exploratory_only' else 'insufficient_background' end as tier from co join t on {_ON})
+ when quantified_samples >= 8 then 'exploratory_only' else 'insufficient_background' end as tier from co join t on {on})
 """
 
 
+COHORT = cohort_sql(_K)
+#: Cohorts of fewer keys, which are large enough for the rules on pairs and sources at every scale.
+COARSE_KEYS = ("element", "medium", "sample_type", "method_family")
+COARSE = cohort_sql(", ".join(COARSE_KEYS)) + ", usable as (select * from cohort where tier in ('analysis_ready', 'single_lineage_ready') and quantified_samples >= 10)"
+COARSE = COARSE.replace("quantified_samples >= 20", "quantified_samples >= 10").replace("quantified_samples >= 8", "quantified_samples >= 4")
+
+
+def coarse(t):
+    return R.analysis_cohorts(t.obs, COARSE_KEYS, {"samples": 10, "exploratory": 4})
+
+
 @query("a12_analysis_cohorts", COHORT + "select * replace (round(top_share, 6) as top_share) from cohort")
 def a12(t):
     return r(R.analysis_cohorts(t.obs), 6, "top_share")
@@ -310,14 +324,15 @@ def a45(t):
     return r(R.quality_flag_audit(t.series.withColumns({"flag": s % 4, "cruise": s % 7, "depth": (s % 50) / 2.0})), 6, "first", "last")
 
 
-@query("a54_discovery_candidates", COHORT + OCC.replace(" s as (", " sp as (").replace("from s where", "from sp where") + GAPS.replace(" z as (", " zn as (").replace("cross join z ", "cross join zn ").replace("h.zone = z.zone", "h.zone = zn.zone") + f"""
-select 'T2' as kind, element || '|' || medium as key, cast(sum(quantified) as bigint) as score from cohort group by element, medium having count(distinct method_family) >= 2 and sum(quantified) >= 2
-union all select 'T3', concat_ws('|', {_K}) as k, max(quantified) from cohort where sources = 1 and quantified >= 2 group by k
-union all select 'T4', zone, count(*) from gap group by zone
-union all select 'T5', element, count(distinct medium) from cohort group by element having count(distinct medium) >= 2""")
+@query("a54_discovery_candidates", COARSE + OCC.replace(" s as (", " sp as (").replace("from s where", "from sp where") + GAPS.replace(" z as (", " zn as (").replace("cross join z ", "cross join zn ").replace("h.zone = z.zone", "h.zone = zn.zone") + """,
+m as (select element, sum(quantified_samples) filter (medium = 'soil') as so, coalesce(sum(quantified_samples) filter (medium = 'water'), 0) as wa, coalesce(sum(quantified_samples) filter (medium = 'sediment'), 0) as se from usable group by 1)
+select 'T2' as kind, element || '|' || medium || '|' || sample_type as key, cast(sum(quantified_samples) as bigint) as score from usable group by element, medium, sample_type having count(distinct method_family) >= 2
+union all select 'T3', element || '|' || medium, sum(quantified_samples) from usable group by element, medium having sum(quantified_samples) >= 30 and count(distinct top_source) = 1 and max(sources) = 1
+union all select 'T4', coalesce(zone, 'unknown'), count(*) from gap group by zone
+union all select 'T5', element || '|soil|' || case when wa >= 40 then 'water' else 'sediment' end, so + case when wa >= 40 then wa else se end from m where so >= 40 and (wa >= 40 or se >= 40)""")
 def a54(t):
     gaps = R.dimension_gaps(_used(t), _grid(t), _views(t)).select(F.col("zone").alias("region"), "key")
-    return R.discovery_candidates(R.analysis_cohorts(t.obs), gaps, 2)
+    return R.discovery_candidates(coarse(t), gaps, 10, 30, 40)
 
 
 @query("a55_sampling_priority", COHORT + OCC.replace(" s as (", " sp as (").replace("from s where", "from sp where") + GAPS.replace(" z as (", " zn as (").replace("cross join z ", "cross join zn ").replace("h.zone = z.zone", "h.zone = zn.zone") + f""",

@@ -129,10 +129,10 @@ def a22(t):
 @query(
     "j13_neighbor_count",
     """
-, f as (select * from flagged where lon is not null)
-select a.record_id, cast(count(*) - 1 as bigint) as neighbours from f a join f b on a.element = b.element and a.medium = b.medium and a.direction = b.direction and abs(a.lon - b.lon) <= 2 and abs(a.lat - b.lat) <= 2 group by a.record_id, a.lon, a.lat, a.element""",
+, f as (select *, row_number() over () as n from flagged), h as (select * from flagged where direction = 'high' and lon is not null and lat is not null),
+p as (select element, medium, count(*) as peers from h group by all),
+c as (select f.n, count(*) filter (h.record_id is not null) as neighbours from f left join h on f.element = h.element and f.medium = h.medium and not (f.lon = h.lon and f.lat = h.lat) and abs(f.lon - h.lon) <= 2 and abs(f.lat - h.lat) <= 2 group by f.n)
+select record_id, f.element, f.medium, direction, case when lon is not null and lat is not null then neighbours end as neighbours, coalesce(peers, 0) as peers from f join c using (n) left join p on f.element = p.element and f.medium = p.medium""",
 )
 def j13(t):
-    return P.neighbor_count(t.flagged.dropDuplicates(["record_id"]), 2.0)
-
-
+    return P.neighbor_count(t.flagged, 2.0).select("record_id", "element", "medium", "direction", "neighbours", "peers")
