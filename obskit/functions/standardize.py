@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab as V
+from .names import scratch
 
 NUMBER = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
 PREFIXED = rf"^(<=|>=|<|>|≤|≥|~)?\s*({NUMBER})$"
@@ -45,6 +46,7 @@ def source_qualifier(row: Mapping[str, Column]) -> Column:
     return F.coalesce(blank_to_null(row["source_qualifier_raw"]), blank_to_null(row["value_qualifier"]), sign, word)
 
 
+@scratch("_plain", "_said", "_given", "_dl", "_ql", "_sign", "_digits", "_reason_word", "_word", "_said_word", "_given_word", "_invalid", "_reason")
 def parse_measurement(df: DataFrame) -> DataFrame:
     """Add number, qualifier, limits, missing_reason and value_flags, from the value text and its companions."""
     c = {n: F.col(n) for n in ("value", "value_qualifier", "source_qualifier_raw", "detection_limit", "quantitation_limit", "missing_reason")}
@@ -111,6 +113,7 @@ def canonical_unit(c: Column) -> Column:
     return F.coalesce(lookup(out, V.UNIT_ALIASES), out)
 
 
+@scratch("_unit")
 def unit_conversion(df: DataFrame, medium: str = "medium", unit: str = "unit", analyte: str = "analyte", species: str = "species") -> DataFrame:
     """Add unit_factor, normalized_unit and unit_flags: solids go to mg/kg, water to ug/L; nmol/kg stays."""
     df = df.withColumn("_unit", canonical_unit(F.col(unit)))
@@ -146,6 +149,7 @@ def analyte_symbol(c: Column) -> Column:
     return F.struct(out.alias("symbol"), F.coalesce(by_name.isNotNull() | known, F.lit(False)).alias("recognized"))
 
 
+@scratch("_name", "_species", "_nk", "_sk", "_a")
 def resolve_analyte(df: DataFrame) -> DataFrame:
     """Add analyte, analyte_recognized, species, analyte_flag: an oxide names its element; compounds stay species."""
     df = df.withColumns({"_name": blank_to_null(F.col("element_or_analyte")), "_species": blank_to_null(F.col("species_or_oxide"))})
@@ -294,6 +298,7 @@ def confidence_band(score: Column) -> Column:
     return F.when(score >= 0.8, "high").when(score >= 0.6, "medium").when(score.isNotNull(), "low")
 
 
+@scratch("_n", "_c", "_overall", "_analytical")
 def confidence_score(df: DataFrame) -> DataFrame:
     """Add the struct ``confidence``: five components, their weighted sum under its caps, band and gates."""
     has = lambda n: F.col(n).isNotNull() & (F.col(n).cast("string") != "")

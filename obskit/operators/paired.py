@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import scratch
 from .ranking import behind, join_on, mean_ranks, quantiles, ranked_values, values_at
 
 
@@ -34,6 +35,7 @@ def element_comparison_stats(pairs: DataFrame, keys: Sequence[str], least: int =
     return join_on(join_on(rho, med, keys), quad, keys)
 
 
+@scratch("_side")
 def median_pair(obs: DataFrame, keys: Sequence[str], side: Column, a: str, b: str) -> DataFrame:
     """keys, a_median, b_median, ratio, log2_ratio where both sides of ``side`` have positive values.
 

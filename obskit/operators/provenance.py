@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..functions.names import fresh
 from .ranking import join_on, quantiles, values_at
 from .space import neighbor_count
 
@@ -64,10 +65,11 @@ def expected_count_reconcile(observed: DataFrame, expected: DataFrame) -> DataFr
 
 def compact_evidence(evidence: DataFrame, keys: Sequence[str], fields: Sequence[str], order: str) -> DataFrame:
     """Fields constant within (source, file, hash) stay on the group's first row only and are null on the others."""
-    const = evidence.groupBy(*keys).agg(*[(F.count_distinct(f) + F.max(F.col(f).isNull().cast("int")) <= 1).alias(f"_{f}") for f in fields], F.min(order).alias("_first"))
+    first, *marks = fresh(evidence, "first", *[f"{f} is constant" for f in fields])
+    const = evidence.groupBy(*keys).agg(*[(F.count_distinct(f) + F.max(F.col(f).isNull().cast("int")) <= 1).alias(m) for f, m in zip(fields, marks)], F.min(order).alias(first))
     joined = evidence.join(const, list(keys))
-    anchor = F.col(order) == F.col("_first")
-    return joined.withColumns({**{f: F.when(~F.col(f"_{f}") | anchor, F.col(f)) for f in fields}, "anchor": anchor}).drop("_first", *[f"_{f}" for f in fields])
+    anchor = F.col(order) == F.col(first)
+    return joined.withColumns({**{f: F.when(~F.col(m) | anchor, F.col(f)) for f, m in zip(fields, marks)}, "anchor": anchor}).drop(first, *marks)
 
 
 def source_manifest(obs: DataFrame, evidence: DataFrame) -> DataFrame:

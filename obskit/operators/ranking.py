@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import fresh
+
 #: Buckets for each factor of e in size.
 BUCKETS = 4096
 
@@ -37,18 +39,6 @@ def join_on(a: DataFrame, b: DataFrame, columns: Sequence[str], how: str = "inne
     return a.join(theirs, on, how).drop(*right.values())
 
 
-def fresh(df: DataFrame | Sequence[str], *names: str) -> tuple[str, ...]:
-    """Names like ``names`` that ``df`` (or a list of columns) doesn't have: scratch columns beside a user's own, which
-    stay columns of their own and so can be pruned."""
-    taken, out = {c.lower() for c in (df.columns if isinstance(df, DataFrame) else df)}, []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return tuple(out)
-
-
 def behind(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
     """``df`` with its keys under names that nothing else has, these names, and what gives the keys theirs back."""
     inner = [f"key {i}" for i in range(len(keys))]

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import fresh, scratch
 from ..functions.standardize import blank_to_null, flags, inside_box, stable_id
 
 
+@scratch("_sid", "_doi", "_fields", "_crs")
 def coordinate_policy_join(df: DataFrame, policies: DataFrame) -> DataFrame:
     """Fill a missing source_crs where source, DOI pattern and both coordinate fields match a policy."""
     p = policies.select(F.col("source_id").alias("_sid"), F.col("doi_pattern").alias("_doi"), F.col("fields").alias("_fields"), F.col("crs").alias("_crs"))
@@ -131,6 +133,7 @@ def request_filter(obs: DataFrame, request: Mapping) -> tuple[DataFrame, DataFra
     for name, key, test in reversed(rules):
         if key in request:
             reason = F.when(no(test(request[key])), name).otherwise(reason)
-    judged = obs.withColumn("_reason", reason)
-    counts = judged.groupBy(F.coalesce("_reason", F.lit("kept")).alias("outcome")).agg(F.count("*").alias("n"))
-    return judged.filter(F.col("_reason").isNull()).drop("_reason"), counts
+    (why,) = fresh(obs, "reason")
+    judged = obs.withColumn(why, reason)
+    counts = judged.groupBy(F.coalesce(why, F.lit("kept")).alias("outcome")).agg(F.count("*").alias("n"))
+    return judged.filter(F.col(why).isNull()).drop(why), counts

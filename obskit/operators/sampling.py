@@ -11,10 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import scratch
 from .ranking import join_on, ranked_values
 from .screening import cell_index
 
 
+@scratch("_k")
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_k") <= k).drop("_k")
 
@@ -31,6 +33,7 @@ def water_fill(sizes: dict, cap: int) -> dict:
     return quota
 
 
+@scratch("_k")
 def balanced_cap(df: DataFrame, cap: int, order: Sequence[str], by: str = "medium", most_groups: int = 1000) -> DataFrame:
     """At most ``cap`` rows, shared out over the values of ``by`` (up to ``most_groups``), the first of each in order."""
     sizes = {r[0]: r["n"] for r in df.groupBy(by).agg(F.count("*").alias("n")).limit(most_groups + 1).collect()}
@@ -63,6 +66,7 @@ def with_positions(df: DataFrame, order: Sequence[str], into: str = "position")
     return placed.select(*[F.col("row")[c].alias(c) for c in kept], (F.col("before") + F.col("r")).alias(into))
 
 
+@scratch("_p")
 def evenly_spaced_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """``n`` rows spread over the order, both ends included."""
     total = df.count()
@@ -74,6 +78,7 @@ def evenly_spaced_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFra
     return with_positions(df, order, "_p").filter(F.col("_p").isin(*spots)).drop("_p")
 
 
+@scratch("_n", "_over", "_p")
 def round_robin_sample(df: DataFrame, key: str, bucket_cols: Sequence[str], order: Sequence[str], per_key: int, cap: int) -> DataFrame:
     """``per_key`` rows of each key: one of each bucket in turn, up to ``cap`` of a bucket, then the overflow."""
     n = F.row_number().over(Window.partitionBy(key, *bucket_cols).orderBy(*order))
@@ -82,6 +87,7 @@ def round_robin_sample(df: DataFrame, key: str, bucket_cols: Sequence[str], orde
     return turns.withColumn("_p", pick).filter(F.col("_p") <= per_key).drop("_n", "_over", "_p")
 
 
+@scratch("_s", "_k", "_size")
 def balanced_layer_sample(df: DataFrame, layer: str, cap: int, order: Sequence[str], special: Column) -> DataFrame:
     """Every layer cut to the smallest layer's size and the cap; a ``special`` row comes first where there is one.
 
@@ -124,6 +130,7 @@ def coverage_preserving_sample(obs: DataFrame, flagged: DataFrame, limit: int, s
     return obs.join(keep, unit, "left_semi")
 
 
+@scratch("_b", "_t", "_o", "_w")
 def with_running_sum(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
     """Add ``running``: the sum of ``value`` up to each row. The second order column is a hash of 60 bits; the totals of
     its 4096 ranges are added, so a window sees a 4096th of the rows."""

@@ -8,10 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import fresh, scratch
 from ..functions.standardize import confidence_score, flags
 from ..sources.storage import written
 from .bracket import brackets, median_and_deviation, summary
-from .ranking import behind, fresh, join_on, least_from_above, ranked_values
+from .ranking import behind, join_on, least_from_above, ranked_values
 
 CENSORED = ("lt", "le", "gt", "ge", "bdl", "loq", "nd", "trace")
 POLICY = {"recovery_low": 80.0, "recovery_high": 120.0, "blank_max": 5.0, "rpd_max": 20.0, "unit": "mg/kg"}
@@ -209,6 +210,7 @@ def batch_qc(rows: DataFrame, policy: Mapping = POLICY) -> DataFrame:
     return out.withColumns({"blank_ok": blank_ok, "duplicate_ok": dup_ok, "status": F.when(failed, "fail").when(whole, "pass").otherwise("incomplete")})
 
 
+@scratch("_v", "violation")
 def batch_qc_validate(rows: DataFrame, policy: Mapping = POLICY) -> DataFrame:
     """(batch_id, qc_id, violation): repeated ids, reference materials without a value, duplicates without a pair, units."""
     again = F.count("*").over(Window.partitionBy("batch_id", "qc_id"))
@@ -221,6 +223,7 @@ def batch_qc_validate(rows: DataFrame, policy: Mapping = POLICY) -> DataFrame:
     return rows.withColumn("_v", made).select("batch_id", "qc_id", F.explode("_v").alias("violation"))
 
 
+@scratch("_s")
 def apply_batch_gate(obs: DataFrame, acceptance: DataFrame) -> DataFrame:
     """Add batch_status, batch_disposition and batch_flags; a row without batch, or whose batch has no decision, is
     incomplete. Where the table has qc_flags they get these flags too, and where it has a confidence, it is scored anew."""

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import fresh, scratch
 from ..functions.standardize import inside_box
 from .counting import counts_around
-from .ranking import fresh, join_on, quantiles
+from .ranking import join_on, quantiles
 from .screening import cell_index
 
 METRES = 111320.0
@@ -139,6 +140,7 @@ def domain_scope_filter(obs: DataFrame, polygons: DataFrame, km: float, key: str
     return obs.join(inside.unionByName(near), key)
 
 
+@scratch("_row", "_col")
 def raster_cell_join(obs: DataFrame, raster: DataFrame, degrees: float = 0.5) -> DataFrame:
     """Add class_id, edge_metres and raster_status by the cell (row, col) of a raster table.
 
