@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
+from .distinct import distinct_by_keys, rolled_up, together
 from .provenance import usable_cohorts
 from .ranking import join_on, quantiles
 from .screening import cell_index
@@ -105,21 +106,27 @@ def exclusion_counts(obs: DataFrame) -> DataFrame:
 def database_coverage(obs: DataFrame, degrees: float = 10.0) -> DataFrame:
     """(view, key, records, samples, traceable, strict, ready) for the total and each dimension.
 
-    Rows are first added up by all dimensions and the sample; the views then regroup that table, with the sample as a
-    key so that it is counted once, and once more without it. No distinct aggregate multiplies the rows.
+    Rows are added up by their dimensions, and these few groups by view. Samples are counted in one more pass: each has its
+    distinct keys of every view, as many as a dimension has labels, and adds one to each, map-side.
     """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
     traced, strict = F.col("license").isNotNull(), F.col("license").isNotNull() & F.col("url").startswith("https://") & F.col("doi").isNotNull()
     ready = strict & F.col("lon").isNotNull() & F.col("value").isNotNull()
     dims = ("element", "medium", "domain", "source_id", "lineage", "macroregion", "country")
-    cell = F.when(F.col("lon").isNotNull(), F.concat_ws(":", y, x)).alias("cell")
-    base = obs.groupBy(*dims, cell, "sample_id").agg(F.count("*").alias("records"), F.count_if(traced).alias("traceable"), F.count_if(strict).alias("strict"), F.count_if(ready).alias("ready"))
-    view = lambda name, key: F.when(key.isNotNull(), F.struct(F.lit(name).alias("view"), key.alias("key")))
-    named = {"total": F.lit("all"), "pair": F.concat_ws("|", "element", "medium"), "source": F.col("source_id"), "cell": F.col("cell")} | {d: F.col(d) for d in dims if d != "source_id"}
+    cell = F.when(F.col("lon").isNotNull(), F.concat_ws(":", y, x))
+    named = {"total": F.lit("all"), "pair": F.when(F.col("element").isNotNull() & F.col("medium").isNotNull(), F.concat_ws("|", "element", "medium")), "source": F.col("source_id"), "cell": F.col("cell")} | {d: F.col(d) for d in dims if d != "source_id"}
+    rows = obs.select(*dims, cell.alias("cell"), "sample_id", traced.alias("traceable"), strict.alias("strict"), ready.alias("ready"))
     counts = ("records", "traceable", "strict", "ready")
-    each = base.select("sample_id", *counts, F.inline(F.array_compact(F.array(*[view(n, k) for n, k in named.items()]))))
-    once = each.groupBy("view", "key", "sample_id").agg(*[F.sum(c).alias(c) for c in counts])
-    return once.groupBy("view", "key").agg(F.count("*").alias("samples"), *[F.sum(c).alias(c) for c in counts])
+    groups = rows.groupBy(*dims, "cell").agg(F.count("*").alias("records"), *[F.count_if(F.col(c)).alias(c) for c in counts[1:]])
+    view = lambda n, k: F.when(k.isNotNull(), F.struct(F.lit(n).alias("view"), k.alias("key")))
+    each = groups.select(*counts, F.inline(F.array_compact(F.array(*[view(n, k) for n, k in named.items()]))))
+    sums = each.groupBy("view", "key").agg(*[F.sum(c).alias(c) for c in counts])
+    sets = rows.filter("sample_id is not null").groupBy("sample_id").agg(*[F.collect_set(k).alias(n) for n, k in named.items()])
+    labels = lambda n: F.transform(F.col(n), lambda k: F.struct(F.lit(n).alias("view"), k.alias("key")))
+    keyed = sets.select(F.inline(F.flatten(F.array(*map(labels, named)))))
+    samples = keyed.groupBy("view", "key").agg(F.count("*").alias("samples"))
+    out = sums.join(samples, ["view", "key"], "left")
+    return out.select("view", "key", F.coalesce("samples", F.lit(0)).alias("samples"), *counts)
 
 
 def spatial_samples(obs: DataFrame) -> DataFrame:
@@ -214,27 +221,21 @@ def coverage_cube(obs: DataFrame, keys: Sequence[str] = CUBE, totals: bool = Fal
     """Per key combination (with totals: the roll-up of the keys as well): observations, samples, located samples,
     comparable rows, lineages, cells.
 
-    Rows are added up once by keys, sample and cell. Each level then regroups that small table with the sample (and
-    with the cell) as a key and counts, so no distinct aggregate multiplies the rows.
+    Rows are added up once by keys, sample, lineage and cell; distinct samples, lineages and cells of every level are then
+    sums (``distinct``), rolled up from the few rows by all keys.
     """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    cell = F.when(F.col("lon").isNotNull(), y * 10000 + x).alias("cell")
-    base = obs.groupBy(*keys, "sample_id", "lineage", cell).agg(F.count("*").alias("observations"), F.count_if(F.expr(QUANTIFIED)).alias("comparable"))
+    cell = F.when(F.col("lon").isNotNull(), y * 10000 + x)
     inner = [f"key {i}" for i in range(len(keys))]
-    base = base.withColumnsRenamed(dict(zip(keys, inner)))
-    cols = [F.col(c) for c in inner]
-    levels = [cols[:n] for n in (range(len(cols) + 1) if totals else [len(cols)])]
-
-    def counted(by: str, name: str, *aggs: tuple[str, Column, Column]) -> DataFrame:
-        """Per level and key: how many values of ``by`` there are, and further sums."""
-        sets = [[*level, F.col(by)] for level in levels]
-        once = base.groupingSets(sets, *cols, F.col(by)).agg(F.grouping_id().alias("level"), *[a.alias(n) for n, a, _ in aggs])
-        return once.groupBy("level", *inner).agg(F.count(by).alias(name), *[b.alias(n) for n, _, b in aggs])
-
-    add = lambda n: (n, F.sum(n), F.sum(n))
-    samples = counted("sample_id", "samples", add("observations"), add("comparable"), ("located_samples", F.max(F.col("cell").isNotNull().cast("int")), F.sum("located_samples")))
-    cells, lineages = counted("cell", "cells"), counted("lineage", "lineages")
-    out = join_on(join_on(samples, cells, ["level", *inner]), lineages, ["level", *inner])
+    base = obs.select(*[F.col(f"`{k}`").alias(i) for k, i in zip(keys, inner)], "sample_id", "lineage", cell.alias("cell"), F.expr(QUANTIFIED).alias("quantified"))
+    base = base.groupBy(*inner, "sample_id", "lineage", "cell").agg(F.count("*").alias("observations"), F.count_if(F.col("quantified")).alias("comparable"))
+    levels = list(range(len(keys) + 1)) if totals else [len(keys)]
+    counted = [
+        base.groupBy(*inner).agg(F.sum("observations").alias("observations"), F.sum("comparable").alias("comparable")),
+        distinct_by_keys(base, inner, "sample_id", "samples", levels, {"located_samples": F.col("cell").isNotNull()}),
+        distinct_by_keys(base, inner, "lineage", "lineages", levels), distinct_by_keys(base, inner, "cell", "cells", levels),
+    ]
+    out = rolled_up(together(counted, inner), inner, ["observations", "comparable"], ["samples", "located_samples", "lineages", "cells"], levels)
     return out.select(*[F.col(i).alias(k) for i, k in zip(inner, keys)], "observations", "samples", "located_samples", "comparable", "lineages", "cells")
 
 
@@ -249,12 +250,13 @@ def source_profile(obs: DataFrame) -> DataFrame:
 
 
 def medium_balance(obs: DataFrame, degrees: float = 1.0) -> DataFrame:
-    """(medium, element or null for all, records, lineages, sources, cells) over rows first added up by what is counted."""
+    """(medium, element or null for all, records, lineages, sources, cells); distinct counts as sums (``distinct``)."""
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
     cell = F.when(F.col("lon").isNotNull(), y * 10000 + x).alias("cell")
-    rows = obs.groupBy("medium", "element", "lineage", "source_id", cell).agg(F.count("*").alias("n"))
-    m, e = F.col("medium"), F.col("element")
-    return rows.groupingSets([[m], [m, e]], m, e).agg(F.sum("n").alias("records"), F.count_distinct("lineage").alias("lineages"), F.count_distinct("source_id").alias("sources"), F.count_distinct("cell").alias("cells"))
+    rows = obs.groupBy("medium", "element", "lineage", "source_id", cell).agg(F.count("*").alias("records"))
+    keys, things = ["medium", "element"], {"lineages": "lineage", "sources": "source_id", "cells": "cell"}
+    counted = [rows.groupBy(*keys).agg(F.sum("records").alias("records")), *[distinct_by_keys(rows, keys, c, n, [1, 2]) for n, c in things.items()]]
+    return rolled_up(together(counted, keys), keys, ["records"], list(things), [1, 2]).drop("level")
 
 
 def map_availability(obs: DataFrame, reported: str = "reported_point") -> DataFrame:
