@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.names import fresh, scratch
 from ..functions.standardize import inside_box
 from .counting import counts_around
+from .covering import inside
 from .ranking import join_on, quantiles
 from .screening import cell_index
 
@@ -50,48 +51,17 @@ def bbox_intersects(a: DataFrame, b: DataFrame, degrees: float = 10.0) -> DataFr
 
 
 def edges(polygons: DataFrame) -> DataFrame:
-    """(code, lon, lat, next_lon, next_lat) of polygons (code, rings array<array<array<double>>>), rings closed."""
+    """(code, ring, i, lon, lat, next_lon, next_lat) of polygons (code, rings array<array<array<double>>>), rings closed."""
     rings = polygons.select("code", F.posexplode("rings").alias("ring", "points"))
     at = rings.select("code", "ring", "points", F.posexplode("points").alias("i", "p"))
     following = F.coalesce(F.get("points", F.col("i") + 1), F.get("points", F.lit(0)))
-    return at.select("code", "ring", F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat"), following[0].alias("next_lon"), following[1].alias("next_lat"))
+    return at.select("code", "ring", "i", F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat"), following[0].alias("next_lon"), following[1].alias("next_lat"))
 
 
-def candidate_cells(edge_table: DataFrame, degrees: float = 10.0) -> DataFrame:
-    """(code, cx, cy): the cells that each polygon's bounding box covers."""
-    box = edge_table.groupBy("code").agg(F.min("lon").alias("w"), F.max("lon").alias("e"), F.min("lat").alias("s"), F.max("lat").alias("n"))
-    x0, y0 = cell_index(F.col("w"), F.col("s"), degrees)
-    x1, y1 = cell_index(F.col("e"), F.col("n"), degrees)
-    return box.select("code", F.explode(F.sequence(x0, x1)).alias("cx"), F.sequence(y0, y1).alias("ys")).select("code", "cx", F.explode("ys").alias("cy"))
-
-
-def _packed(edge_table: DataFrame) -> DataFrame:
-    return edge_table.groupBy("code").agg(F.collect_list(F.struct("lon", "lat", "next_lon", "next_lat")).alias("edges"))
-
-
-def _within(lon: Column, lat: Column, edge_list: Column) -> Column:
-    """Even-odd test over all rings, a boundary point being inside."""
-
-    def crossing(e: Column) -> Column:
-        spans = (e["lat"] > lat) != (e["next_lat"] > lat)
-        at = e["lon"] + (lat - e["lat"]) * (e["next_lon"] - e["lon"]) / F.when(spans, e["next_lat"] - e["lat"]).otherwise(1.0)
-        return F.when(spans & (lon < at), 1).otherwise(0)
-
-    def touching(e: Column) -> Column:
-        cross = (lon - e["lon"]) * (e["next_lat"] - e["lat"]) - (lat - e["lat"]) * (e["next_lon"] - e["lon"])
-        return (F.abs(cross) < 1e-12) & lon.between(F.least(e["lon"], e["next_lon"]), F.greatest(e["lon"], e["next_lon"])) & lat.between(F.least(e["lat"], e["next_lat"]), F.greatest(e["lat"], e["next_lat"]))
-
-    odd = F.aggregate(F.transform(edge_list, crossing), F.lit(0), lambda a, b: a + b) % 2 == 1
-    return odd | F.exists(edge_list, touching)
-
-
-def point_in_polygon(points: DataFrame, polygons: DataFrame, degrees: float = 10.0, key: str = "record_id") -> DataFrame:
-    """(key, code) of the points (key, lon, lat) inside each polygon."""
-    edge_table = edges(polygons)
-    shapes = candidate_cells(edge_table, degrees).join(_packed(edge_table), "code")
-    x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
-    placed = points.filter("lon is not null and lat is not null").select(key, "lon", "lat", x.alias("cx"), y.alias("cy"))
-    return placed.join(shapes, ["cx", "cy"]).filter(_within(F.col("lon"), F.col("lat"), F.col("edges"))).select(key, "code")
+def point_in_polygon(points: DataFrame, polygons: DataFrame, degrees: float = 1.0, key: str = "record_id") -> DataFrame:
+    """(key, code) of the points (key, lon, lat) inside each polygon, by coverings of grid cells (``covering``): a point
+    meets only the edges of its own cell, and none in a cell that lies inside."""
+    return inside(points, edges(polygons), [key], degrees)
 
 
 def region_filter(obs: DataFrame, box: Sequence[float], polygons: DataFrame | None = None, key: str = "record_id") -> DataFrame:
