@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor. All but the last return the columns
 of documents; labels for the two fitted stages come from ``labels`` in ``sf_dir``.
+
+Defined cases, in every stage: a null text counts as empty and keeps being null in the rows that stay; an empty or very
+long text is a document like others; rows with a null id are documents like others but never labelled; rows that share an
+id are told apart by their texts; further columns of documents stay until the last stage, whatever they are called;
+empty documents give an empty result and empty labels leave both fitted stages without effect on any class of documents.
 """
 
 from __future__ import annotations
@@ -19,15 +24,20 @@ QUALITY = {"clean": 0.94, "junk": 0.06}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose toxicity score stays below ``TOXIC``; copies of a text score alike, so they go or stay together."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
     return toxicity.score(docs, model).filter(F.col("score") < TOXIC).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal after lower-casing A-Z, the row with the largest id; of rows that repeat it, one. Null and
+    empty texts are equal."""
     return exact_index.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of fingerprints that link, that of the smallest id; texts without words are one
+    component."""
     return simhash.keep_one(docs)
 
 
