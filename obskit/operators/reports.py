@@ -120,7 +120,7 @@ def database_coverage(obs: DataFrame, degrees: float = 10.0) -> DataFrame:
     counts = ("records", "traceable", "strict", "ready")
     each = base.select("sample_id", *counts, F.inline(F.array_compact(F.array(*[view(n, k) for n, k in named.items()]))))
     once = each.groupBy("view", "key", "sample_id").agg(*[F.sum(c).alias(c) for c in counts])
-    return once.groupBy("view", "key").agg(F.count("*").alias("samples"), *[F.sum(c).alias(c) for c in counts])
+    return once.groupBy("view", "key").agg(F.count("sample_id").alias("samples"), *[F.sum(c).alias(c) for c in counts])
 
 
 def spatial_samples(obs: DataFrame) -> DataFrame:
