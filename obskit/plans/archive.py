@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import search as I
 from ..sources import tables as T
 from ..sources.storage import new_folder
 from .base import query
@@ -93,25 +94,30 @@ def s8(t):
 def bundles(t):
     """Bundles of bounded size, samples of one dataset made its own, with a planted repeated and a dangling key.
 
-    Each source has one with its dataset, files, events and methods, and a part for each sample and its observations.
+    Each source has one with its dataset, files, events, methods, publication and acquisition run, and a part for each
+    sample, its observations and their line.
     """
     o = t.obs.dropDuplicates(["record_id"]).withColumn("sid", F.concat_ws("/", "source_id", "sample_id"))
     files = F.array(F.struct(F.lit("file-1").alias("file_id"), F.lit("h").alias("sha256")))
     events = F.array(F.struct(F.concat(F.lit("e-"), "source_id").alias("event_id"), F.col("title").alias("place")))
-    fam = F.array(*[F.struct(F.concat(F.col("source_id"), F.lit(f"/{m}")).alias("method_id"), F.lit(m).alias("family")) for m in ("icp_ms", "xrf")])
-    heads = o.select("source_id", "title", "license").distinct().select(F.struct(F.col("source_id").alias("dataset_id"), "title", "license").alias("dataset"), files.alias("files"), events.alias("events"), fam.alias("methods"))
-    observation = F.struct(F.col("record_id").alias("observation_id"), F.col("sid").alias("sample_id"), F.concat(F.col("source_id"), F.lit("/"), "method_family").alias("method_id"), "element", "value")
+    fam = F.array(*[F.struct(F.concat(F.col("source_id"), F.lit(f"/{m}")).alias("method_id"), F.lit(m).alias("family"), F.when(F.lit(m == "xrf"), F.array(F.concat(F.lit("pub-"), "source_id"))).otherwise(F.array().cast("array<string>")).alias("publication_ids")) for m in ("icp_ms", "xrf")])
+    own = F.array("source_id").alias("dataset_ids")
+    papers = F.array(F.struct(F.concat(F.lit("pub-"), "source_id").alias("publication_id"), F.concat(F.lit("Survey of "), "title").alias("citation"), F.concat(F.lit("doi 10/"), "source_id").alias("doi"), own, F.array(F.lit("describes"), F.lit("cites")).alias("relation_types")))
+    runs = F.array(F.struct(F.concat(F.lit("run-"), "source_id").alias("acquisition_run_id"), F.lit("complete").alias("status"), own))
+    line = F.array(F.struct(F.concat(F.lit("p-"), "sid").alias("provenance_id"), F.concat(F.lit("run-"), "source_id").alias("acquisition_run_id"), F.col("sid").alias("source_record_id"), "source_row"))
+    heads = o.select("source_id", "title", "license").distinct().select(F.struct(F.col("source_id").alias("dataset_id"), "title", "license").alias("dataset"), files.alias("files"), events.alias("events"), fam.alias("methods"), papers.alias("publications"), runs.alias("acquisition_runs"))
+    observation = F.struct(F.concat(F.lit("p-"), "sid").alias("provenance_id"), F.col("record_id").alias("observation_id"), F.col("sid").alias("sample_id"), F.concat(F.col("source_id"), F.lit("/"), "method_family").alias("method_id"), "element", "value")
     event = F.when(F.length("sid") % 5 != 0, F.concat(F.lit("e-"), "source_id")).otherwise("e-none")
-    parts = o.groupBy("source_id", "sid").agg(F.min("medium").alias("medium"), F.collect_list(observation).alias("observations")).select(
-        F.col("source_id").alias("part_of"), F.array(F.struct(F.col("sid").alias("sample_id"), event.alias("event_id"), "medium")).alias("samples"), "observations",
+    parts = o.groupBy("source_id", "sid").agg(F.min("medium").alias("medium"), F.min("lithology").alias("lithology"), F.min("source_row").alias("source_row"), F.collect_list(observation).alias("observations")).select(
+        F.col("source_id").alias("part_of"), F.array(F.struct(F.col("sid").alias("sample_id"), event.alias("event_id"), "medium", "lithology")).alias("samples"), "observations", line.alias("lineage"),
     )
     return heads.select(F.to_json(F.struct("*")).alias("bundle")).union(parts.select(F.to_json(F.struct("*")).alias("bundle")))
 
 
 #: The archive's tables in SQL, written down from the same rules.
 ARCH = """
-, ob as (select distinct on (record_id) record_id, source_id, title, license, source_id || '/' || sample_id as sid, medium, source_id || '/' || method_family as mid, method_family, element, value from obs order by record_id, value, element),
-sa as (select source_id, sid, min(medium) as medium, case when length(sid) % 5 <> 0 then 'e-' || source_id else 'e-none' end as eid from ob group by source_id, sid),
+, ob as (select distinct on (record_id) record_id, source_id, title, license, source_id || '/' || sample_id as sid, medium, source_id || '/' || method_family as mid, method_family, element, value, lithology, source_row from obs order by record_id, value, element),
+sa as (select source_id, sid, min(medium) as medium, min(lithology) as lithology, min(source_row) as source_row, case when length(sid) % 5 <> 0 then 'e-' || source_id else 'e-none' end as eid from ob group by source_id, sid),
 srch as (select record_id as observation_id, ob.sid as sample_id, element, ob.value, sa.medium, method_family as family, ob.source_id as dataset_id, title, license from ob join sa on ob.sid = sa.sid where sa.eid <> 'e-none' and method_family <> 'aas')
 """
 
@@ -128,6 +134,71 @@ def s10(t):
     return T.archive_views(T.explode_archive_bundle(bundles(t)))["source_coverage"]
 
 
+@query("s10_observation_search", ARCH + "select * from srch")
+def s10_search(t):
+    found = T.archive_views(T.explode_archive_bundle(bundles(t)))["observation_search"]
+    return found.select("observation_id", "sample_id", "element", "value", "medium", "family", "dataset_id", "title", "license")
+
+
+@query("s10_sample_summary", ARCH + "select sa.sid as sample_id, sa.medium, count(*) as observations, string_agg(distinct element, ',' order by element) as elements from sa join ob on ob.sid = sa.sid group by all")
+def s10_summary(t):
+    return T.archive_views(T.explode_archive_bundle(bundles(t)))["sample_summary"].withColumn("elements", F.concat_ws(",", "elements"))
+
+
+@query("s10_provenance_trace", ARCH + "select record_id as observation_id, ob.source_id as dataset_id, title, license, cast(1 as bigint) as files, 'p-' || ob.sid as provenance_id, 'run-' || ob.source_id as acquisition_run_id, ob.sid as source_record_id, sa.source_row, 'complete' as status from ob join sa on ob.sid = sa.sid")
+def s10_trace(t):
+    return T.archive_views(T.explode_archive_bundle(bundles(t)))["provenance_trace"].drop("input_sha256")
+
+
+@query("s9_archive_links", ARCH + """, src as (select distinct source_id as d from ob)
+select 'publication_datasets' as link, 'pub-' || d as one, d as other, unnest(['describes', 'cites']) as relation from src
+union all select 'method_publications', d || '/xrf', 'pub-' || d, null from src
+union all select 'run_datasets', 'run-' || d, d, null from src
+union all select 'lineage', 'p-' || sid, 'run-' || source_id, null from sa""")
+def s9_links(t):
+    a = T.explode_archive_bundle(bundles(t))
+    keys = {"publication_datasets": ("publication_id", "dataset_id", "relation_type"), "method_publications": ("method_id", "publication_id"), "run_datasets": ("acquisition_run_id", "dataset_id"), "lineage": ("provenance_id", "acquisition_run_id")}
+    parts = [a[k].select(F.lit(k).alias("link"), F.col(c[0]).alias("one"), F.col(c[1]).alias("other"), (F.col(c[2]) if c[2:] else F.lit(None).cast("string")).alias("relation")) for k, c in keys.items()]
+    return T.union_by_name(parts)
+
+
+#: What each entity is found by, and which have all words of a search.
+ENTITIES = ARCH + r"""
+, ents as (select distinct 'dataset' as kind, source_id as entity_id, concat_ws(' ', title, source_id) as text from ob
+ union all select distinct 'publication', 'pub-' || source_id, concat_ws(' ', 'Survey of ' || title, 'doi 10/' || source_id) from ob
+ union all select distinct 'event', 'e-' || source_id, title from ob
+ union all select 'sample', sid, concat_ws(' ', sid, medium, lithology) from sa
+ union all select distinct 'method', source_id || '/' || m, m from ob cross join (values ('icp_ms'), ('xrf')) v(m)
+ union all select 'document', cast(doc_id as varchar), text from documents),
+hits as (select q, kind, entity_id from ents, (values ('the and', ['the', 'and']), ('Granite SOIL', ['granite', 'soil']), ('title 1', ['title', '1']), ('xrf', ['xrf']), ('doi survey', ['doi', 'survey'])) s(q, w) where list_has_all(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), w))"""
+
+
+def _indexed(t, more=None):
+    """An archive and the place of the index of its entities and ``more``."""
+    archive, path = T.explode_archive_bundle(bundles(t)), scratch(t)
+    entities = I.archive_entities(archive)
+    I.build_index(entities.union(more) if more is not None else entities, path)
+    return archive, path
+
+
+@query("f11_indexed_search", ENTITIES + " select * from hits")
+def f11_index(t):
+    _, path = _indexed(t, t.documents.select(F.lit("document"), F.col("doc_id").cast("string"), "text"))
+    searches = ("the and", "Granite SOIL", "title 1", "xrf", "doi survey")
+    return T.union_by_name([I.search_index(t.spark, path, q).select(F.lit(q).alias("q"), "kind", "entity_id") for q in searches])
+
+
+@query("f10_archive_text", ENTITIES + """
+, found as (select * from hits where q in ('Granite SOIL', 'doi survey') and kind <> 'document' or q = 'title 1' and kind = 'event')
+select observation_id, sample_id from srch where sample_id in (select entity_id from found where kind = 'sample') or dataset_id in (select entity_id from found where kind = 'dataset')
+ or 'e-' || dataset_id in (select entity_id from found where kind = 'event') or dataset_id || '/' || family in (select entity_id from found where kind = 'method')
+ or family = 'xrf' and 'pub-' || dataset_id in (select entity_id from found where kind = 'publication')""")
+def f10_archive(t):
+    archive, path = _indexed(t)
+    hits = [I.search_index(t.spark, path, q, kinds) for q, kinds in (("Granite SOIL", None), ("doi survey", None), ("title 1", ["event"]))]
+    return I.observations_found(archive, T.union_by_name(hits)).select("observation_id", "sample_id")
+
+
 @query("s11_export_flat", ARCH + "select observation_id as record_id, sample_id, medium, family as method_family, dataset_id as source_id, title, license, case when value is null then 'not_reported' end as missing_reason from srch")
 def s11(t):
     return T.export_flat(T.explode_archive_bundle(bundles(t))).drop("value", "element_or_analyte")

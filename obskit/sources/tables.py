@@ -152,22 +152,36 @@ def manifest_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 BUNDLE = (
     "dataset struct<dataset_id: string, title: string, license: string>, files array<struct<file_id: string, sha256: string>>, events array<struct<event_id: string, place: string>>, "
-    "samples array<struct<sample_id: string, event_id: string, medium: string>>, methods array<struct<method_id: string, family: string>>, "
-    "observations array<struct<observation_id: string, sample_id: string, method_id: string, element: string, value: double>>, "
+    "samples array<struct<sample_id: string, event_id: string, medium: string, lithology: string, description: string>>, "
+    "methods array<struct<method_id: string, family: string, technique: string, laboratory: string, publication_ids: array<string>>>, "
+    "observations array<struct<observation_id: string, sample_id: string, method_id: string, element: string, value: double, provenance_id: string>>, "
+    "publications array<struct<publication_id: string, doi: string, citation: string, title: string, year: int, dataset_ids: array<string>, relation_types: array<string>>>, "
+    "acquisition_runs array<struct<acquisition_run_id: string, status: string, started_at: string, finished_at: string, dataset_ids: array<string>>>, "
+    "lineage array<struct<provenance_id: string, acquisition_run_id: string, source_record_id: string, source_row: bigint, input_sha256: string>>, "
     "part_of string"
 )
 
 
 def explode_archive_bundle(bundles: DataFrame, column: str = "bundle") -> dict[str, DataFrame]:
-    """The tables of nested JSON bundles, each with its dataset_id: datasets, files, events, samples, methods, observations, provenance.
+    """The tables of nested JSON bundles, each with its dataset_id: datasets, files, events, samples, methods, observations,
+    lineage (the lines of a source and the run that fetched them), provenance (an observation's dataset and line).
 
-    A large dataset comes as many bundles: one has the dataset, the others name its id in ``part_of``.
+    publications, acquisition_runs and the links method_publications, publication_datasets (each dataset of a publication
+    with each of its relations) and run_datasets stand for themselves. A large dataset comes as many bundles: one has the
+    dataset, the others name its id in ``part_of``.
     """
     parsed = bundles.select(F.from_json(column, BUNDLE).alias("b")).select("b.*").withColumn("dataset_id", F.coalesce("part_of", "dataset.dataset_id"))
     out = {"datasets": parsed.filter("part_of is null").select("dataset.*")}
-    for name in ("files", "events", "samples", "methods", "observations"):
+    for name in ("files", "events", "samples", "methods", "observations", "lineage"):
         out[name] = parsed.select("dataset_id", F.inline(name))
-    out["provenance"] = out["observations"].select("observation_id", "dataset_id")
+    link = lambda df, key, many, one: df.select(key, F.explode(many).alias(one))
+    papers, runs = parsed.select(F.inline("publications")), parsed.select(F.inline("acquisition_runs"))
+    out["publications"], out["acquisition_runs"] = papers.drop("dataset_ids", "relation_types"), runs.drop("dataset_ids")
+    out["publication_datasets"] = papers.select("publication_id", "relation_types", F.explode("dataset_ids").alias("dataset_id")).select("publication_id", "dataset_id", F.explode("relation_types").alias("relation_type"))
+    out["method_publications"] = link(out["methods"], "method_id", "publication_ids", "publication_id")
+    out["run_datasets"] = link(runs, "acquisition_run_id", "dataset_ids", "dataset_id")
+    out["methods"] = out["methods"].drop("publication_ids")
+    out["provenance"] = out["observations"].select("observation_id", "dataset_id", "provenance_id")
     return out
 
 
@@ -178,6 +192,9 @@ def archive_views(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     summary = t["samples"].join(t["observations"].drop("dataset_id"), "sample_id", "left").groupBy("sample_id", "medium").agg(F.count("observation_id").alias("observations"), F.array_sort(F.collect_set("element")).alias("elements"))
     coverage = search.groupBy("dataset_id", "title").agg(F.count("*").alias("observations"), F.count_distinct("sample_id").alias("samples"), F.count_distinct("element").alias("elements"))
     trace = t["provenance"].join(t["datasets"], "dataset_id").join(t["files"].groupBy("dataset_id").agg(F.count("*").alias("files")), "dataset_id", "left")
+    if "lineage" in t:
+        lines = t["lineage"].drop("dataset_id").join(t["acquisition_runs"].select("acquisition_run_id", "status"), "acquisition_run_id", "left")
+        trace = trace.join(lines, "provenance_id", "left")
     return {"observation_search": search, "sample_summary": summary, "source_coverage": coverage, "provenance_trace": trace}
 
 
@@ -187,8 +204,9 @@ def export_flat(tables: Mapping[str, DataFrame]) -> DataFrame:
     return s.select(F.col("observation_id").alias("record_id"), "sample_id", F.col("element").alias("element_or_analyte"), F.col("value").cast("string").alias("value"), "medium", F.col("family").alias("method_family"), F.col("dataset_id").alias("source_id"), "title", "license", F.when(F.col("value").isNull(), "not_reported").alias("missing_reason"))
 
 
-KEYS = {"datasets": "dataset_id", "files": "file_id", "events": "event_id", "samples": "sample_id", "methods": "method_id", "observations": "observation_id"}
-LINKS = (("samples", "event_id", "events"), ("observations", "sample_id", "samples"), ("observations", "method_id", "methods"), ("files", "dataset_id", "datasets"), ("provenance", "observation_id", "observations"))
+KEYS = {"datasets": "dataset_id", "files": "file_id", "events": "event_id", "samples": "sample_id", "methods": "method_id", "observations": "observation_id", "publications": "publication_id", "acquisition_runs": "acquisition_run_id", "lineage": "provenance_id"}
+LINKS = (("samples", "event_id", "events"), ("observations", "sample_id", "samples"), ("observations", "method_id", "methods"), ("files", "dataset_id", "datasets"), ("provenance", "observation_id", "observations"),
+         ("method_publications", "publication_id", "publications"), ("publication_datasets", "publication_id", "publications"), ("publication_datasets", "dataset_id", "datasets"), ("run_datasets", "dataset_id", "datasets"), ("lineage", "acquisition_run_id", "acquisition_runs"))
 
 
 def archive_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -203,9 +221,19 @@ def archive_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def distinct_words(query: str) -> list[str]:
+    """The different words of a query, lower-cased, in order."""
+    return sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
+
+
+def words_of(text: Column) -> Column:
+    """The different words of a text, lower-cased; ends of the text may add an empty one."""
+    return F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"))
+
+
 def has_tokens(text: Column, query: str) -> Column:
     """Whether a text holds every word of ``query``, whatever the case; a query without words matches nothing."""
-    wanted = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
+    wanted = distinct_words(query)
     if not wanted:
         return F.lit(False)
     tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
