@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import fresh
+from ..sources.storage import written
 
 #: Buckets for each factor of e in size.
 BUCKETS = 4096
@@ -123,3 +124,21 @@ def least_from_above(ranked: DataFrame, keys: Sequence[str], value: Column, into
     above = rows.groupBy(*keys, "f").agg(F.min("x").alias("x")).select(*keys, "f", after.alias("above"))
     own = F.min("x").over(Window.partitionBy(*keys, "f").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, 0))
     return join_on(rows, above, [*keys, "f"]).withColumn(into, F.least("above", own)).drop("above", "x")
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], into: str) -> DataFrame:
+    """``df`` with each row's position in an order, from 1.
+
+    Rows are dealt by ranges of the order and sorted in each, and written with the place they have there; the counts of the
+    ranges, one number a task, give the offsets. No task sees more than a range. Rows alike in the whole order share a
+    range, in any order, so it should end in a key. Runs when called.
+    """
+    place, part, before = fresh([*df.columns, into], "place", "part", "before")
+    sorted_ = df.drop(into).repartitionByRange(*order).sortWithinPartitions(*order)
+    # A place is the task's number above 33 bits that count its rows.
+    placed = written(sorted_.withColumn(place, F.monotonically_increasing_id())).withColumn(part, F.shiftright(place, 33))
+    counts = sorted((r[part], r["count"]) for r in placed.groupBy(part).count().collect())
+    offsets = [(p, sum(n for _, n in counts[:i])) for i, (p, _) in enumerate(counts)]
+    ahead = df.sparkSession.createDataFrame(offsets, f"`{part}` long, `{before}` long")
+    row = F.col(place).bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(F.broadcast(ahead), part).withColumn(into, F.col(before) + row).drop(place, part, before)

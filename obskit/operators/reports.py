@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.standardize import inside_box
 from .distinct import distinct_by_keys, rolled_up, together
 from .provenance import usable_cohorts
-from .ranking import join_on, quantiles
+from .ranking import join_on, numbered, quantiles
 from .screening import cell_index
 
 QUANTIFIED = "value is not null"
@@ -389,12 +389,12 @@ def discovery_candidates(cohorts: DataFrame, gaps: DataFrame, least: int = 50, a
 
 
 def sampling_priority(gaps: DataFrame, cohorts: DataFrame) -> DataFrame:
-    """(priority, task, key, box): gap zones first, then cohorts of one source, the largest first."""
+    """(priority, task, key, box): gap zones first, then cohorts of one source, the largest first; numbered by ranges."""
     box = lambda: F.concat_ws(",", *[F.round(c, 2).cast("string") for c in ("west", "south", "east", "north")])
     g = gaps.select(F.lit(1).alias("kind"), F.lit("fill_zone").alias("task"), F.concat_ws("|", "view", "key", "zone").alias("key"), box().alias("box"), F.lit(0).cast("bigint").alias("n"))
     c = cohorts.filter("sources = 1").select(F.lit(2), F.lit("second_source"), F.concat_ws("|", *COHORT), box(), "quantified")
     both = g.union(c)
-    return both.withColumn("priority", F.row_number().over(Window.orderBy("kind", F.desc("n"), "key"))).select("priority", "task", "key", "box")
+    return numbered(both, ["kind", F.desc("n"), "key"], "priority").select(F.col("priority").cast("int"), "task", "key", "box")
 
 
 def readiness_criteria(obs: DataFrame, targets: DataFrame) -> DataFrame:

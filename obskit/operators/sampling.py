@@ -111,19 +111,28 @@ def coverage_preserving_sample(obs: DataFrame, flagged: DataFrame, limit: int, s
     ``limit`` rows.
 
     Cells start at the first of ``degrees`` and grow until what must be kept fits, at last without cells. Units kept for
-    coverage stay even if they alone exceed the limit then. Only one count a grid reaches the driver.
+    coverage stay even if they alone exceed the limit then. The first units of all cell sizes come from one aggregate
+    over the rows, as the first of a coarse cell is the first of those of the fine cells in it; the size is chosen within
+    the plan, so that building it runs no job.
     """
     h = unit_hash(F.col(unit), seed)
     sizes = obs.groupBy(unit).agg(F.count("*").alias("n")).withColumn("h", h)
+    cells = []
+    for d in degrees:
+        x, y = cell_index(F.col("lon"), F.col("lat"), d)
+        cells.append(F.when(F.col("lon").isNotNull(), y * 100_000 + x).cast("bigint"))
+    first = F.min(F.struct(h.alias("h"), F.col(unit).alias("unit"))).alias("first")
+    layers = [F.col(f"`{c}`").alias(f"layer {i}") for i, c in enumerate(strata)]
+    names = [f"layer {i}" for i in range(len(strata))]
+    fine = obs.groupBy(*layers, F.array(*cells, F.lit(0).cast("bigint")).alias("cells")).agg(first)
+    each = fine.select(*names, "first", F.posexplode("cells").alias("level", "cell"))
+    reps = each.groupBy(*names, "level", "cell").agg(F.min("first").alias("first")).select("level", F.col("first.unit").alias(unit))
     must = flagged.select(unit).distinct()
-    forced = must
-    for d in (*degrees, None):
-        x, y = cell_index(F.col("lon"), F.col("lat"), d or 360.0)
-        cell = F.when(F.col("lon").isNotNull(), y * 100_000 + x) if d else F.lit(0)
-        rep = obs.groupBy(*strata, cell.alias("cell")).agg(F.min_by(unit, F.struct(h.alias("h"), unit)).alias(unit)).select(unit)
-        forced = must.union(rep).distinct()
-        if d is None or (sizes.join(forced, unit, "left_semi").agg(F.sum("n")).first()[0] or 0) <= limit:
-            break
+    last = len(degrees)
+    forced_of = reps.union(must.select(F.explode(F.sequence(F.lit(0), F.lit(last))).alias("level"), unit)).distinct()
+    needed = sizes.join(forced_of, unit).groupBy("level").agg(F.sum("n").alias("needed"))
+    chosen = needed.agg(F.coalesce(F.min(F.when(F.col("needed") <= limit, F.col("level"))), F.lit(last)).alias("level"))
+    forced = forced_of.join(F.broadcast(chosen), "level").select(unit)  # one row
     ranked = sizes.join(forced.withColumn("first", F.lit(0)), unit, "left").withColumn("first", F.coalesce("first", F.lit(1)))
     positions = with_running_sum(ranked, ["first", "h", unit], "n")
     keep = positions.filter((F.col("first") == 0) | (F.col("running") <= limit)).select(unit)

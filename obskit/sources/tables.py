@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
-
 from functools import reduce
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,9 +139,46 @@ def to_geojson_features(df: DataFrame, lon: str, lat: str, props: Sequence[str])
     return df.select(whole.alias("feature"))
 
 
-def file_manifest(spark: SparkSession, glob: str) -> DataFrame:
-    """path, bytes, sha256 of every file that the glob names."""
-    return spark.read.format("binaryFile").load(glob).select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+#: Bytes a task holds of a file that it reads in blocks.
+BLOCK = 8 << 20
+
+
+def _hashed_in_blocks(files: DataFrame) -> DataFrame:
+    """path, bytes, sha256 of files (path, length), each read by one task a block at a time. Nested, so that executors
+    need no copy of this package."""
+
+    def digests(batches):
+        for batch in batches:
+            found = []
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                system, inner = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+                digest, seen = hashlib.sha256(), 0
+                with system.open_input_stream(inner) as stream:
+                    while block := stream.read(BLOCK):
+                        digest.update(block)
+                        seen += len(block)
+                if seen != size:
+                    raise OSError(f"{path} has {seen} bytes, not the {size} it was listed with")
+                found.append({"path": path, "bytes": size, "sha256": digest.hexdigest()})
+            yield pa.RecordBatch.from_pylist(found, pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string())]))
+
+    return files.mapInArrow(digests, "path string, bytes long, sha256 string")
+
+
+def file_manifest(spark: SparkSession, glob: str, in_blocks_from: int = 64 << 20) -> DataFrame:
+    """path (the file's name), bytes, sha256 of every file that the glob names, empty ones too.
+
+    Small files are cells of Spark's own reader. Those of ``in_blocks_from`` bytes and more, of any size, are listed by
+    Spark without their content and read by a task each in blocks of 8 MB, from file systems that Arrow knows. Scans
+    leave out empty files; these are what the driver's list of the glob, which Spark holds anyway, has beyond the scan.
+    """
+    files = spark.read.format("binaryFile").load(glob)
+    small = files.filter(F.col("length") < in_blocks_from).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = _hashed_in_blocks(files.filter(F.col("length") >= in_blocks_from).select("path", "length"))
+    listed = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string")
+    plain = F.regexp_replace("path", "^file:/+", "file:/").alias("path")
+    empty = listed.select(plain).join(files.select(plain), "path", "left_anti").select("path", F.lit(0).cast("bigint"), F.sha2(F.lit("").cast("binary"), 256))
+    return small.union(large).union(empty).withColumn("path", F.regexp_extract("path", "([^/]+)$", 1))
 
 
 def manifest_diff(before: DataFrame, after: DataFrame) -> DataFrame:
