@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import layout as L
 from ..sources import search as I
 from ..sources import tables as T
-from ..sources.storage import new_folder
+from ..sources.storage import new_folder, written
 from .base import query
 
 
@@ -175,7 +176,7 @@ hits as (select q, kind, entity_id from ents, (values ('the and', ['the', 'and']
 
 def _indexed(t, more=None):
     """An archive and the place of the index of its entities and ``more``."""
-    archive, path = T.explode_archive_bundle(bundles(t)), scratch(t)
+    archive, path = T.explode_archive_bundle(written(bundles(t))), scratch(t)
     entities = I.archive_entities(archive)
     I.build_index(entities.union(more) if more is not None else entities, path)
     return archive, path
@@ -256,6 +257,13 @@ def f11(t):
     return T.text_search(t.documents.select(F.col("doc_id").alias("entity_id"), "text"), "and THE")
 
 
+@query("f4_box_of_layout", "select record_id, element, medium, lon, lat from obs where element in ('As', 'Pb') and medium = 'soil' and (lon >= 100 or lon <= -120) and lat between -40.5 and 35")
+def f4_layout(t):
+    path = scratch(t)
+    L.write_by_place(t.obs, path, level=2)
+    return L.read_by_place(t.spark, path, (100.0, -40.5, -120.0, 35.0), medium=["soil"], element=["As", "Pb"]).select("record_id", "element", "medium", "lon", "lat")
+
+
 @query("f12_declared_coverage_subset", "select record_id from obs where lon is not null or source_id in ('src-0')")
 def f12(t):
     declared = t.spark.createDataFrame([("src-0", ["A", "B"]), ("src-1", ["A", "Z"]), ("src-2", [])], "source_id string, countries array<string>")

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import fresh
+from .storage import written
 from .tables import archive_views, distinct_words, words_of
 
 POSTINGS = "token string, kind string, block bigint, ids array<string>, bucket bigint"
@@ -33,8 +34,10 @@ def build_index(entities: DataFrame, path: str, buckets: int = 64, block: int =
     """Write the index of ``entities`` (kind, entity_id, text) to ``path``. What tells a reader its shape is written
     last, so an index whose writing broke off is not one."""
     spark = entities.sparkSession
+    # Entities are read twice, for their number and their words: written, as they may be the union of many joins.
+    entities = written(entities.select("kind", F.col("entity_id").cast("string").alias("entity_id"), "text"))
     blocks = entities.count() // block + 1
-    words = entities.select("kind", F.col("entity_id").cast("string").alias("entity_id"), F.explode(words_of(F.col("text"))).alias("token"))
+    words = entities.select("kind", "entity_id", F.explode(words_of(F.col("text"))).alias("token"))
     dealt = words.filter("token <> '' and entity_id is not null").withColumn("block", F.pmod(F.xxhash64("entity_id"), F.lit(blocks)))
     lists = dealt.groupBy("token", "kind", "block").agg(F.array_sort(F.collect_set("entity_id")).alias("ids")).withColumn("bucket", _bucket(F.col("token"), buckets))
     # By ranges, so that a folder has few files and yet a common word's lists are written by many tasks.
