@@ -25,3 +25,12 @@ def test_cells_meet_no_candidate_by_id(spark):
     assert [(r.n_cell, r.k_cell, r.n_group, r.k_group) for r in out.collect()] == [(200, 40, 400, 40)]
     cut = screening.spatial_anomaly_cells(rows.drop("record_id"), flagged.drop("record_id"), ["medium"])
     assert [(r.n_cell, r.k_cell) for r in cut.collect()] == [(200, 40)]
+
+
+def test_batch_gate_shuffles_no_measurements(spark):
+    decided = spark.range(1_000_000).groupBy(F.concat(F.lit("B"), (F.col("id") % 50).cast("string")).alias("batch_id")).agg(F.when(F.min("id") % 2 == 0, "pass").otherwise("fail").alias("status"))
+    obs = spark.range(5_000_000).select("id", F.concat(F.lit("B"), (F.col("id") % 60).cast("string")).alias("batch_id"))
+    out = screening.apply_batch_gate(obs, decided)
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.batch_id: r.batch_status for r in out.filter("id < 60").collect()}
+    assert (got["B0"], got["B1"], got["B55"]) == ("pass", "fail", "incomplete")
