@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from obskit.operators import screening
+from obskit.operators import sampling, screening
 
 
 def test_rows_are_computed_once(spark):
@@ -34,3 +34,17 @@ def test_batch_gate_shuffles_no_measurements(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     got = {r.batch_id: r.batch_status for r in out.filter("id < 60").collect()}
     assert (got["B0"], got["B1"], got["B55"]) == ("pass", "fail", "incomplete")
+
+
+def test_review_sample_places_rows_once(spark):
+    rows = spark.createDataFrame([(f"r{i:03d}", i, f"m{i % 3}", "a", float(i)) for i in range(100)], "id string, n long, medium string, g string, value double")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    out = sampling.review_sample(rows.mapInArrow(count, rows.schema), 10, ["n", "id"], ["medium"], "g", "value").collect()
+    assert len(out) == 10 and {r.id for r in out} >= {"r000", "r001", "r002", "r024", "r049", "r074", "r099"}
+    assert read.value <= 200
