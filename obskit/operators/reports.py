@@ -106,8 +106,9 @@ def exclusion_counts(obs: DataFrame) -> DataFrame:
 def database_coverage(obs: DataFrame, degrees: float = 10.0) -> DataFrame:
     """(view, key, records, samples, traceable, strict, ready) for the total and each dimension.
 
-    Rows are first added up by all dimensions and the sample; the views then regroup that table, with the sample as a
-    key so that it is counted once, and once more without it. No distinct aggregate multiplies the rows.
+    Rows are first added up by all dimensions and the sample. A window over each sample's rows then tells which of them has
+    a view's key as the first one, so samples are sums like the rest, and rows that are multiplied for views are added up
+    by view and key at once, map-side: no task holds more than a few counts of them.
     """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
     traced, strict = F.col("license").isNotNull(), F.col("license").isNotNull() & F.col("url").startswith("https://") & F.col("doi").isNotNull()
@@ -115,12 +116,16 @@ def database_coverage(obs: DataFrame, degrees: float = 10.0) -> DataFrame:
     dims = ("element", "medium", "domain", "source_id", "lineage", "macroregion", "country")
     cell = F.when(F.col("lon").isNotNull(), F.concat_ws(":", y, x)).alias("cell")
     base = obs.groupBy(*dims, cell, "sample_id").agg(F.count("*").alias("records"), F.count_if(traced).alias("traceable"), F.count_if(strict).alias("strict"), F.count_if(ready).alias("ready"))
-    view = lambda name, key: F.when(key.isNotNull(), F.struct(F.lit(name).alias("view"), key.alias("key")))
     named = {"total": F.lit("all"), "pair": F.concat_ws("|", "element", "medium"), "source": F.col("source_id"), "cell": F.col("cell")} | {d: F.col(d) for d in dims if d != "source_id"}
     counts = ("records", "traceable", "strict", "ready")
-    each = base.select("sample_id", *counts, F.inline(F.array_compact(F.array(*[view(n, k) for n, k in named.items()]))))
-    once = each.groupBy("view", "key", "sample_id").agg(*[F.sum(c).alias(c) for c in counts])
-    return once.groupBy("view", "key").agg(F.count("sample_id").alias("samples"), *[F.sum(c).alias(c) for c in counts])
+    # Rows without a sample open none; they are spread by what they hold.
+    spread = F.when(F.col("sample_id").isNull(), F.xxhash64(*dims, "cell"))
+    ahead = Window.partitionBy("sample_id", "spread").orderBy("records").rowsBetween(Window.unboundedPreceding, -1)
+    opens = {n: F.col("sample_id").isNotNull() & ~F.array_contains(F.collect_set(k).over(ahead), k) for n, k in named.items()}
+    marked = base.withColumn("spread", spread).select(*dims, "cell", *counts, *[o.alias(f"opens {n}") for n, o in opens.items()])
+    view = lambda name, key: F.when(key.isNotNull(), F.struct(F.lit(name).alias("view"), key.alias("key"), F.col(f"opens {name}").alias("opens")))
+    each = marked.select(*counts, F.inline(F.array(*[view(n, k) for n, k in named.items()]))).filter("view is not null")
+    return each.groupBy("view", "key").agg(F.count_if("opens").alias("samples"), *[F.sum(c).alias(c) for c in counts])
 
 
 def spatial_samples(obs: DataFrame) -> DataFrame:

@@ -69,6 +69,14 @@ def test_views_and_balance_equal_sets(spark):
         assert v == (len(mine), len({r[4] for r in mine} - {None}), len({r[0] for r in mine} - {None}), len({cell(r) for r in mine} - {None}))
 
 
+def test_views_are_not_multiplied_by_samples(spark):
+    _, df = table(spark, 4, 300)
+    df = df.withColumns({"domain": F.lit("land"), "macroregion": F.lit("m"), "country": F.col("medium"), "license": F.lit("l"), "url": F.lit("https://x"), "doi": F.lit("d")})
+    plan = reports.database_coverage(df)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.split("\n") if "Aggregate [" in line]
+    assert "Generate" in plan and not any("view" in g and "sample_id" in g for g in grouped), "multiplied rows are added up by view and key alone"
+
+
 def test_cohorts_count_samples_across_sources(spark):
     rows = [("As", "s1", "a", 1.0), ("As", "s1", "b", None), ("As", "s2", "b", 2.0), ("As", None, "b", 3.0), ("Pb", "s1", "a", None)]
     df = spark.createDataFrame(rows, "element string, sample_id string, source_id string, value double").withColumns({c: F.lit(None).cast("string") for c in ("sampled_at", "band")}).withColumns({"qualifier": F.lit("reported"), "lon": F.lit(0.0), "lat": F.lit(0.0)})
