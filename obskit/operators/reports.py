@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.standardize import inside_box
+from ..sources.storage import written
 from .distinct import distinct_by_keys, rolled_up, together
 from .provenance import usable_cohorts
 from .ranking import join_on, numbered, quantiles
@@ -220,19 +221,19 @@ def coverage_cube(obs: DataFrame, keys: Sequence[str] = CUBE, totals: bool = Fal
     """Per key combination (with totals: the roll-up of the keys as well): observations, samples, located samples,
     comparable rows, lineages, cells.
 
-    Rows are added up once by keys, sample, lineage and cell; distinct samples, lineages and cells of every level are then
+    Rows are added up once by keys, sample, lineage and cell, and written, as each count reads other columns of them; distinct samples, lineages and cells of every level are then
     sums (``distinct``), rolled up from the few rows by all keys.
     """
     x, y = cell_index(F.col("lon"), F.col("lat"), degrees)
     cell = F.when(F.col("lon").isNotNull(), y * 10000 + x)
     inner = [f"key {i}" for i in range(len(keys))]
     base = obs.select(*[F.col(f"`{k}`").alias(i) for k, i in zip(keys, inner)], "sample_id", "lineage", cell.alias("cell"), F.expr(QUANTIFIED).alias("quantified"))
-    base = base.groupBy(*inner, "sample_id", "lineage", "cell").agg(F.count("*").alias("observations"), F.count_if(F.col("quantified")).alias("comparable"))
+    base = written(base.groupBy(*inner, "sample_id", "lineage", "cell").agg(F.count("*").alias("observations"), F.count_if(F.col("quantified")).alias("comparable")))
     levels = list(range(len(keys) + 1)) if totals else [len(keys)]
     counted = [
         base.groupBy(*inner).agg(F.sum("observations").alias("observations"), F.sum("comparable").alias("comparable")),
         distinct_by_keys(base, inner, "sample_id", "samples", levels, {"located_samples": F.col("cell").isNotNull()}),
-        distinct_by_keys(base, inner, "lineage", "lineages", levels), distinct_by_keys(base, inner, "cell", "cells", levels),
+        distinct_by_keys(base, inner, "lineage", "lineages", levels), distinct_by_keys(base, inner, "cell", "cells", levels, few=False),
     ]
     out = rolled_up(together(counted, inner), inner, ["observations", "comparable"], ["samples", "located_samples", "lineages", "cells"], levels)
     return out.select(*[F.col(i).alias(k) for i, k in zip(inner, keys)], "observations", "samples", "located_samples", "comparable", "lineages", "cells")
