@@ -75,10 +75,12 @@ def analysis_cohorts(obs: DataFrame, keys: Sequence[str] = COHORT, tiers: Mappin
     keys, sums = list(keys), ("n", "quantified", "censored", "not_normalized", "high_band", "medium_band", "low_band")
     ends = {"west": (F.min, "lon"), "east": (F.max, "lon"), "south": (F.min, "lat"), "north": (F.max, "lat"), "first": (F.min, "sampled_at"), "last": (F.max, "sampled_at")}
     # One pass over the rows; samples and sources are then counted from its groups, so nothing is expanded for distinct counts.
+    # The groups are written: each count reads other columns of them, and Spark would make them anew for it.
     once = obs.groupBy(*keys, "sample_id", "source_id").agg(
         F.count("*").alias("n"), F.count_if(quantified).alias("quantified"), F.count_if(F.col("qualifier") != "reported").alias("censored"), F.count_if(F.expr("value is null and qualifier = 'reported'")).alias("not_normalized"),
         *[F.count_if(F.col("band") == b).alias(f"{b}_band") for b in ("high", "medium", "low")], *[f(c).alias(n) for n, (f, c) in ends.items()],
     )
+    once = written(once)
     add = [F.sum(c).alias(c) for c in sums] + [f(n).alias(n) for n, (f, _) in ends.items()]
     named = F.col("sample_id").isNotNull()
     rest = once.groupBy(*keys, "sample_id").agg(*add).groupBy(*keys).agg(*add, F.count_if(named).alias("samples"), F.count_if(named & (F.col("quantified") > 0)).alias("quantified_samples"))

@@ -82,3 +82,11 @@ def test_cohorts_count_samples_across_sources(spark):
     df = spark.createDataFrame(rows, "element string, sample_id string, source_id string, value double").withColumns({c: F.lit(None).cast("string") for c in ("sampled_at", "band")}).withColumns({"qualifier": F.lit("reported"), "lon": F.lit(0.0), "lat": F.lit(0.0)})
     got = {r.element: (r.quantified, r.samples, r.quantified_samples, r.sources, r.top_source) for r in reports.analysis_cohorts(df, ["element"]).collect()}
     assert got == {"As": (3, 2, 2, 2, "b"), "Pb": (0, 1, 0, 1, "a")}
+
+
+def test_rows_are_added_up_once_for_all_counts(spark):
+    _, df = table(spark, 5, 300)
+    more = df.withColumns({c: F.lit(None).cast("string") for c in ("sampled_at", "band")}).withColumn("qualifier", F.lit("reported"))
+    for out in (reports.coverage_cube(df, KEYS, totals=True), reports.analysis_cohorts(more, ["element"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" in plan and "LogicalRDD" not in plan, "no count reads the rows anew"
