@@ -2,9 +2,9 @@
 
 An entity is (kind, entity_id, text). Entities are dealt to blocks by a hash of their id, and the index holds for each
 word, kind and block the ids of the entities whose text has the word. A block has about ``block`` entities however
-many there are, so no list outgrows it and a word that most texts have is spread over as many rows, files and tasks as
-there are blocks. Rows lie in folders by a hash of the word: a search reads the folders of its words, in them the row
-groups that may have these words, and meets the lists of its words block by block.
+many there are, so no list outgrows it and a word that most texts have is spread over as many rows and tasks as
+there are blocks. Rows lie in folders by a hash of the word, in each file by the word: a search reads the folders of its
+words, in them the pages that may have these words, and meets the lists of its words block by block.
 
 Defined cases: case does not matter; words are runs of letters and digits; a null or empty text has no words; a
 search without words finds nothing; rows of one kind and id are one entity with the words of them all; an entity without
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import fresh
-from .storage import written
+from .storage import DENSE, written
 from .tables import archive_views, distinct_words, words_of
 
 POSTINGS = "token string, kind string, block bigint, ids array<string>, bucket bigint"
@@ -30,19 +30,24 @@ def _bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets))
 
 
-def build_index(entities: DataFrame, path: str, buckets: int = 64, block: int = 4096) -> None:
+def build_index(entities: DataFrame, path: str, buckets: int = 64, block: int = 4096, stored: bool = False) -> None:
     """Write the index of ``entities`` (kind, entity_id, text) to ``path``. What tells a reader its shape is written
-    last, so an index whose writing broke off is not one."""
+    last, so an index whose writing broke off is not one.
+
+    Entities are read twice, for their number and their words: they are written before, as they may be the union of many
+    joins, unless ``stored`` says that they are cheap to read. Words are shuffled once, as they are, to the task that makes and
+    writes their lists: lists made before would be sorted, and spilled, where the entities are read.
+    """
     spark = entities.sparkSession
-    # Entities are read twice, for their number and their words: written, as they may be the union of many joins.
-    entities = written(entities.select("kind", F.col("entity_id").cast("string").alias("entity_id"), "text"))
+    entities = entities.select("kind", F.col("entity_id").cast("string").alias("entity_id"), "text")
+    if not stored:
+        entities = written(entities, **DENSE)
     blocks = entities.count() // block + 1
     words = entities.select("kind", "entity_id", F.explode(words_of(F.col("text"))).alias("token"))
     dealt = words.filter("token <> '' and entity_id is not null").withColumn("block", F.pmod(F.xxhash64("entity_id"), F.lit(blocks)))
-    lists = dealt.groupBy("token", "kind", "block").agg(F.array_sort(F.collect_set("entity_id")).alias("ids")).withColumn("bucket", _bucket(F.col("token"), buckets))
-    # By ranges, so that a folder has few files and yet a common word's lists are written by many tasks.
-    ranged = lists.repartitionByRange("bucket", "token", "block").sortWithinPartitions("bucket", "token", "kind", "block")
-    ranged.write.partitionBy("bucket").parquet(f"{path}/postings")
+    met = dealt.repartition("token", "kind", "block")
+    lists = met.groupBy("token", "kind", "block").agg(F.array_sort(F.collect_set("entity_id")).alias("ids")).withColumn("bucket", _bucket(F.col("token"), buckets))
+    lists.sortWithinPartitions("bucket", "token", "kind", "block").write.options(**DENSE).partitionBy("bucket").parquet(f"{path}/postings")
     spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(blocks).alias("blocks")).write.parquet(f"{path}/shape")
 
 
