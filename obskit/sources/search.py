@@ -86,7 +86,7 @@ def observations_found(tables: Mapping[str, DataFrame], hits: DataFrame) -> Data
     by_paper = tables["method_publications"].join(of("publication", "publication_id"), "publication_id", "left_semi").select("method_id")
     ids = {k: of(kind, k) for k, kind in (("dataset_id", "dataset"), ("event_id", "event"), ("sample_id", "sample"))}
     ids["method_id"] = of("method", "method_id").union(by_paper)
-    view = archive_views(tables)["observation_search"]
+    view = archive_views(tables, ["observation_search"])["observation_search"]
     columns, marks = view.columns, fresh(view, *["hit"] * len(ids))
     for mark, (key, found) in zip(marks, ids.items()):
         view = view.join(found.distinct().withColumn(mark, F.lit(True)), key, "left")
