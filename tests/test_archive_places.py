@@ -91,3 +91,34 @@ def test_index_of_stored_entities_writes_no_copy(spark, tmp_path):
         search.build_index(spark.createDataFrame(rows, "kind string, entity_id string, text string"), path, buckets=8, block=50, stored=stored)
         assert len(storage._made) == before + (not stored)
         assert sorted(r.entity_id for r in search.search_index(spark, path, "W3 common").collect()) == sorted(e for _, e, w in rows if w.endswith("w3"))
+
+
+@pytest.mark.parametrize("bundles", [NEAT, ODD], ids=["neat", "odd"])
+@pytest.mark.parametrize("how", ["in bundles", "by keys", "too many strays"])
+def test_views_of_spread_bundles(spark, monkeypatch, bundles, how):
+    if how == "too many strays":
+        monkeypatch.setattr(tables, "STRAYS", -1)
+    found = exploded(spark, bundles)
+    views = tables.archive_views(dict(found) if how == "by keys" else found)
+    summary, met, trace = plain(bundles)
+    assert told(views["sample_summary"]) == summary
+    assert Counter(tuple(r) for r in views["observation_search"].select("observation_id", "sample_id", "medium").collect()) == met
+    assert Counter(tuple(r) for r in views["provenance_trace"].select("observation_id", "provenance_id", "acquisition_run_id", "status", "files").collect()) == trace
+    (cover,) = views["source_coverage"].collect()
+    assert (cover.observations, cover.samples) == (sum(met.values()), len({m[1] for m in met}))
+
+
+def test_views_shuffle_no_observations(spark):
+    views = tables.archive_views(exploded(spark, NEAT))
+    for name in ("observation_search", "sample_summary"):
+        assert "Exchange hashpartitioning" not in plan(views[name]) and "SortMergeJoin" not in plan(views[name])
+    assert "hashpartitioning(provenance_id" not in plan(views["provenance_trace"])
+    assert "Exchange hashpartitioning" not in plan(tables.export_flat(exploded(spark, NEAT)))
+
+
+def test_replaced_tables_are_met_by_keys(spark):
+    found = exploded(spark, NEAT)
+    found["observations"] = found["observations"].filter("observation_id = 'o1-1'")
+    views = tables.archive_views(found)
+    assert [r.observation_id for r in views["observation_search"].collect()] == ["o1-1"]
+    assert sorted(r.observations for r in views["sample_summary"].collect()) == [0] * 29 + [1]
