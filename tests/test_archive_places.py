@@ -122,3 +122,21 @@ def test_replaced_tables_are_met_by_keys(spark):
     views = tables.archive_views(found)
     assert [r.observation_id for r in views["observation_search"].collect()] == ["o1-1"]
     assert sorted(r.observations for r in views["sample_summary"].collect()) == [0] * 29 + [1]
+
+
+@pytest.mark.parametrize("how", ["in bundles", "by keys"])
+def test_integrity_of_spread_bundles(spark, how):
+    found = exploded(spark, ODD)
+    got = Counter(tuple(r) for r in tables.archive_integrity(found if how == "in bundles" else dict(found)).collect())
+    every = lambda name: [x for b in ODD for x in b.get(name, [])]
+    want = Counter({("files", "f", "repeated_key", 2): 1, ("samples", "lost", "no_events", 6): 1, ("observations", "lost", "no_methods", 7): 1})
+    for name, key in (("samples", "sample_id"), ("observations", "observation_id"), ("lineage", "provenance_id"), ("datasets", "dataset_id")):
+        keys = [None] * 0 if name == "datasets" else [x[key] for x in every(name)]
+        want.update((name, k, "repeated_key", n) for k, n in Counter(keys).items() if n > 1)
+    want.update([("observations", "nowhere", "no_samples", 1), ("observations", None, "no_samples", 1), ("provenance", None, "no_observations", 2), ("lineage", "gone", "no_acquisition_runs", 1)])
+    assert got == want
+
+
+def test_integrity_shuffles_hashes_of_long_tables(spark):
+    out = tables.archive_integrity(exploded(spark, NEAT))
+    assert "hashpartitioning(observation_id" not in plan(out) and [tuple(r) for r in out.collect()] == [("files", "f", "repeated_key", 2)]
