@@ -84,10 +84,11 @@ def observations_found(tables: Mapping[str, DataFrame], hits: DataFrame) -> Data
     a publication about their method."""
     of = lambda kind, name: hits.filter(F.col("kind") == kind).select(F.col("entity_id").alias(name))
     by_paper = tables["method_publications"].join(of("publication", "publication_id"), "publication_id", "left_semi").select("method_id")
-    ids = {k: of(kind, k) for k, kind in (("dataset_id", "dataset"), ("event_id", "event"), ("sample_id", "sample"))}
-    ids["method_id"] = of("method", "method_id").union(by_paper)
+    ids = {"dataset_id": of("dataset", "dataset_id"), "event_id": of("event", "event_id"), "method_id": of("method", "method_id").union(by_paper)}
     view = archive_views(tables, ["observation_search"])["observation_search"]
     columns, marks = view.columns, fresh(view, *["hit"] * len(ids))
     for mark, (key, found) in zip(marks, ids.items()):
-        view = view.join(found.distinct().withColumn(mark, F.lit(True)), key, "left")
-    return view.filter(F.coalesce(*marks)).select(*columns)
+        view = view.join(written(found.distinct()).withColumn(mark, F.lit(True)), key, "left")  # written: Spark knows how few they are
+    # Samples found may be as many as rows: only rows that nothing else has found are shuffled to meet them.
+    touched = F.coalesce(*marks, F.lit(False))
+    return view.filter(touched).select(*columns).union(view.filter(~touched).join(of("sample", "sample_id"), "sample_id", "left_semi").select(*columns))

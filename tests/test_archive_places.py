@@ -67,32 +67,6 @@ def plain(bundles):
     return summary, met, trace
 
 
-@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
-def test_bundles_are_dealt_once(spark):
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "4000")  # suppliers are few, orders are not
-    try:
-        found = archive.bundles(Tables(spark, SF))
-        found.collect()
-        final = plan(found).split("Initial Plan")[0]
-    finally:
-        spark.conf.set(name, before)
-    dealt = [x.split("hashpartitioning")[1].split("#")[0] for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
-    # Rows by the key they are joined by, once for heads and parts, and the few heads.
-    assert "SortMergeJoin" in final and final.count("ReusedExchange") >= 2 and sorted(dealt) == ["(l_orderkey", "(o_orderkey", "(source_id"]
-
-
-def test_index_of_stored_entities_writes_no_copy(spark, tmp_path):
-    before = len(storage._made)
-    rows = [("sample", f"e{i}", f"common w{i % 7}") for i in range(400)]
-    for stored in (True, False):
-        path = str(tmp_path / str(stored))
-        search.build_index(spark.createDataFrame(rows, "kind string, entity_id string, text string"), path, buckets=8, block=50, stored=stored)
-        assert len(storage._made) == before + (not stored)
-        assert sorted(r.entity_id for r in search.search_index(spark, path, "W3 common").collect()) == sorted(e for _, e, w in rows if w.endswith("w3"))
-
-
 @pytest.mark.parametrize("bundles", [NEAT, ODD], ids=["neat", "odd"])
 @pytest.mark.parametrize("how", ["in bundles", "by keys", "too many strays"])
 def test_views_of_spread_bundles(spark, monkeypatch, bundles, how):
@@ -140,3 +114,39 @@ def test_integrity_of_spread_bundles(spark, how):
 def test_integrity_shuffles_hashes_of_long_tables(spark):
     out = tables.archive_integrity(exploded(spark, NEAT))
     assert "hashpartitioning(observation_id" not in plan(out) and [tuple(r) for r in out.collect()] == [("files", "f", "repeated_key", 2)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_bundles_are_dealt_once(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4000")  # suppliers are few, orders are not
+    try:
+        found = archive.bundles(Tables(spark, SF))
+        found.collect()
+        final = plan(found).split("Initial Plan")[0]
+    finally:
+        spark.conf.set(name, before)
+    dealt = [x.split("hashpartitioning")[1].split("#")[0] for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    # Rows by the key they are joined by, once for heads and parts, and the few heads.
+    assert "SortMergeJoin" in final and final.count("ReusedExchange") >= 2 and sorted(dealt) == ["(l_orderkey", "(o_orderkey", "(source_id"]
+
+
+def test_index_of_stored_entities_writes_no_copy(spark, tmp_path):
+    before = len(storage._made)
+    rows = [("sample", f"e{i}", f"common w{i % 7}") for i in range(400)]
+    for stored in (True, False):
+        path = str(tmp_path / str(stored))
+        search.build_index(spark.createDataFrame(rows, "kind string, entity_id string, text string"), path, buckets=8, block=50, stored=stored)
+        assert len(storage._made) == before + (not stored)
+        assert sorted(r.entity_id for r in search.search_index(spark, path, "W3 common").collect()) == sorted(e for _, e, w in rows if w.endswith("w3"))
+
+
+def test_rows_found_otherwise_do_not_meet_samples(spark):
+    found = exploded(spark, ODD)
+    hits = spark.createDataFrame([("method", "nothing"), ("sample", "far"), ("sample", "s2"), ("event", "absent")], "kind string, entity_id string")
+    assert sorted(r.observation_id for r in search.observations_found(found, hits).collect()) == sorted(["f1"] + 2 * ["o2-0", "o2-1", "o2-2", "x1"])
+    both = hits.union(spark.createDataFrame([("dataset", "d")], hits.schema))
+    out = search.observations_found(found, both)
+    every = Counter(r.observation_id for r in tables.archive_views(found)["observation_search"].collect())
+    assert Counter(r.observation_id for r in out.collect()) == every and "LeftSemi" in plan(out)
