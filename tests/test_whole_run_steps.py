@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from obskit.functions import standardize as S
 from obskit.functions import times
 from obskit.operators import rows, screening, workflow
+from obskit.sources.storage import small_splits
 from tests.test_workflow import TEXT, raw_row
 
 
@@ -95,3 +96,22 @@ def test_formats_shuffle_no_rows(spark):
     formats = spark.createDataFrame([("s1", "iso8601")], "source_id string, raw_format string")
     df = spark.range(3_000_000).select(F.concat(F.lit("s"), (F.col("id") % 2).cast("string")).alias("source_id"), F.lit("2001-02").alias("sampled_at"))
     assert "SortMergeJoin" not in plan(times.normalize_sampling_time(df, formats))
+
+
+def test_whole_run_spreads_rows_without_a_shuffle(spark, monkeypatch):
+    raw = spark.createDataFrame([tuple(raw_row(i).values()) for i in range(40)], TEXT)
+    asked = []
+    monkeypatch.setattr(type(raw), "repartition", lambda df, *a: asked.append(a) or df)
+    name = "spark.sql.files.minPartitionNum"
+    with small_splits(spark, 3):
+        assert spark.conf.get(name) == str(3 * spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(name, None) is None
+    out = workflow.run(raw, spark.createDataFrame([("src-a", "iso8601")], "source_id string, raw_format string"))
+    assert out.count() == 40 and asked == [] and spark.conf.get(name, None) is None
+    spark.conf.set(name, "5")
+    try:
+        with pytest.raises(RuntimeError), small_splits(spark):
+            raise RuntimeError
+        assert spark.conf.get(name) == "5"
+    finally:
+        spark.conf.unset(name)
